@@ -158,31 +158,68 @@ def reading_kind() -> Column:
     )
 
 
-def typed_columns(df: DataFrame) -> dict[str, str]:
-    """Types that a typed source already settles."""
-    known = {T.TimestampType: "DATETIME", T.TimestampNTZType: "DATETIME", T.DateType: "DATE"}
-    return {f.name: known[type(f.dataType)] for f in df.schema.fields if type(f.dataType) in known}
+def number_facts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The facts of columns that already are numbers, without a look at any text."""
+    whole_types = [c for c in columns if isinstance(df.schema[c].dataType, T.IntegralType)]
+    long = df.select(
+        *[F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(c) for c in columns]
+    ).unpivot([], [f"`{c}`" for c in columns], "column", "x")
+    filled = F.count("x")
+    none = F.lit(0).cast("long")
+    return long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"),
+        filled.alias("filled"),
+        filled.alias("votes"),
+        filled.alias("readings"),
+        F.count_if(F.col("x").isNotNull() & F.col("column").isin(whole_types)).alias("integers"),
+        none.alias("too_wide"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        F.count_if(F.col("x") % 1 == 0).alias("whole"),
+        none.alias("booleans"),
+        none.alias("dates"),
+        F.lit(None).cast("int").alias("longest"),
+    )
+
+
+def settled_type(data_type: T.DataType) -> str | None:
+    """Type a typed source already decides."""
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return "DATETIME"
+    if isinstance(data_type, T.DateType):
+        return "DATE"
+    return "BOOLEAN" if isinstance(data_type, T.BooleanType) else None
+
+
+def table_facts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Facts of text and number columns alike."""
+    numbers_ = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    texts = [c for c in columns if c not in numbers_]
+    parts = []
+    if texts:
+        parts.append(column_facts(df.select(*as_text(df, texts)), texts))
+    if numbers_:
+        parts.append(number_facts(df, numbers_))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def infer_schema(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(position, column, type)`` for every column of ``df``, in one pass.
 
     The result has one row per column. Columns whose source type is already a
-    date or timestamp keep it without looking at the data.
+    date, timestamp or boolean keep it without a look at the data.
     """
     columns = list(columns or df.columns)
-    settled = typed_columns(df)
-    spark = df.sparkSession
-    order = spark.createDataFrame(
-        [(i, c, settled.get(c)) for i, c in enumerate(columns, 1)],
+    settled = {c: settled_type(df.schema[c].dataType) for c in columns}
+    order = df.sparkSession.createDataFrame(
+        [(i, c, settled[c]) for i, c in enumerate(columns, 1)],
         "position int, column string, settled string",
     )
-    open_columns = [c for c in columns if c not in settled]
+    open_columns = [c for c in columns if settled[c] is None]
     if not open_columns:
         return order.select("position", "column", F.col("settled").alias("type"))
-    facts = column_facts(df.select(*as_text(df, open_columns)), open_columns)
     # One row per column on both sides.
-    return order.join(F.broadcast(facts), "column", "left").select(
+    return order.join(F.broadcast(table_facts(df, open_columns)), "column", "left").select(
         "position",
         "column",
         F.coalesce(F.col("settled"), decided_type(), F.lit(EMPTY_TYPE)).alias("type"),
