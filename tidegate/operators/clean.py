@@ -21,25 +21,39 @@ def fill_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return df.withColumns({c: fill_null(F.col(f"`{c}`")) for c in columns or df.columns})
 
 
-def reading_kinds(df: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
+def kinds_of(facts: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
     """One row per file saying how each of its columns reads (int, float, bool, text)."""
-    facts = column_facts(df, columns, [file]).select(file, "column", reading_kind().alias("kind"))
-    return facts.groupBy(file).agg(
+    kinds = facts.select(file, "column", reading_kind().alias("kind"))
+    return kinds.groupBy(file).agg(
         *[F.max(F.when(F.col("column") == c, F.col("kind"))).alias(f"_kind_{c}") for c in columns]
     )
 
 
+def reading_kinds(df: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
+    return kinds_of(column_facts(df, columns, [file]), file, columns)
+
+
+def number_text(value: Column) -> Column:
+    """One text per number: whole numbers as digits, others as Spark prints doubles.
+
+    Integer literals are not passed through double, so long ones keep all digits.
+    """
+    x = numbers.reading_value(value)
+    literal = F.when(numbers.is_integer_text(value), strip(value).try_cast("bigint"))
+    whole = F.when((x % 1 == 0) & (F.abs(x) < float(2**53)), x.try_cast("bigint"))
+    return F.coalesce(F.coalesce(literal, whole).cast("string"), x.cast("string"))
+
+
 def read_value(value: Column, kind: Column) -> Column:
     """The value's text once its column is read as ``kind``.
 
-    Equal values get equal text: ``7``, ``007`` and `` 7 `` in an integer column,
-    ``1`` and ``1.0`` in a float column. Text columns keep every blank.
+    Equal values get equal text: ``7``, ``007`` and `` 7 `` in a numeric column,
+    ``1`` and ``1.0`` as well. Text columns keep every blank.
     """
-    as_float = (numbers.reading_value(value) + F.lit(0.0)).cast("string")
     return (
         F.when(kind == "text", value)
         .when(kind == "int", strip(value).try_cast("bigint").cast("string"))
-        .when(kind == "float", as_float)
+        .when(kind == "float", number_text(value))
         .otherwise(F.initcap(value))
     )
 

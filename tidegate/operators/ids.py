@@ -29,11 +29,12 @@ def rank_in_chunks(df: DataFrame, file: str, pos: str, span: int = CHUNK_SPAN) -
     )
 
 
-def tally_chunks(ranked: DataFrame, file: str, good: Column) -> DataFrame:
-    """Rows per chunk and the rank of its last good row."""
+def tally_chunks(ranked: DataFrame, file: str, good: Column, *extras: Column) -> DataFrame:
+    """Rows per chunk and the rank of its last good row, with other sums on demand."""
     return ranked.groupBy(file, CHUNK).agg(
         F.count(F.lit(1)).alias("chunk_rows"),
         F.max(F.when(good, F.col(RANK))).alias("last_good"),
+        *extras,
     )
 
 
@@ -73,12 +74,8 @@ def chunk_offsets(tallies: DataFrame, file: str, base: int = 0) -> DataFrame:
     return chunks.join(files, file).select(file, CHUNK, "rows_before", "id_base")
 
 
-def number_rows(df: DataFrame, file: str, pos: str, good: Column | None = None, base: int = 0, span: int = CHUNK_SPAN) -> DataFrame:
-    """Add ``ordinal`` (1-based, per file) and ``id`` (continuing from ``base``)."""
-    good = F.lit(True) if good is None else good
-    ranked = rank_in_chunks(df, file, pos, span)
-    tallies = settle(tally_chunks(ranked, file, good))
-    offsets = lookup(settle(chunk_offsets(tallies, file, base)))
+def apply_offsets(ranked: DataFrame, offsets: DataFrame, file: str) -> DataFrame:
+    """Turn ranks inside chunks into ``ordinal`` (1-based, per file) and ``id``."""
     ordinal = F.col("rows_before") + F.col(RANK)
     return (
         ranked.join(offsets, [file, CHUNK])
@@ -88,5 +85,12 @@ def number_rows(df: DataFrame, file: str, pos: str, good: Column | None = None,
     )
 
 
+def number_rows(df: DataFrame, file: str, pos: str, good: Column | None = None, base: int = 0, span: int = CHUNK_SPAN) -> DataFrame:
+    """Add ``ordinal`` and ``id`` (continuing from ``base``) in one call."""
+    ranked = rank_in_chunks(df, file, pos, span)
+    tallies = settle(tally_chunks(ranked, file, F.lit(True) if good is None else good))
+    return apply_offsets(ranked, lookup(chunk_offsets(tallies, file, base), tallies), file)
+
+
 def max_id(table: DataFrame) -> DataFrame:
     return table.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("max_id"))

@@ -52,17 +52,19 @@ def as_text(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [decode_null(F.col(f"`{c}`").cast("string")).alias(c) for c in columns]
 
 
-def column_facts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def column_facts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), flags: Sequence[str] = ()) -> DataFrame:
     """What the values of each column look like, per key (for example per file).
 
-    The columns must be text with NULL for missing values.
+    The columns must be text with NULL for missing values. ``flags`` are boolean
+    row columns whose number of true rows is reported along, in the same pass.
     """
-    long = df.select(*keys, *[F.col(f"`{c}`") for c in columns]).unpivot(
-        list(keys), [f"`{c}`" for c in columns], "column", "value"
+    long = df.select(*keys, *flags, *[F.col(f"`{c}`") for c in columns]).unpivot(
+        [*keys, *flags], [f"`{c}`" for c in columns], "column", "value"
     )
     value = F.col("value")
     judged = long.select(
         *keys,
+        *flags,
         "column",
         "value",
         numbers.votes_numeric(value).alias("vote"),
@@ -84,6 +86,7 @@ def column_facts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
         F.count_if(value.isin(*numbers.BOOLEAN_WORDS)).alias("booleans"),
         F.count_if(value.rlike(DATE_SHAPE)).alias("dates"),
         F.max(F.char_length(value)).alias("longest"),
+        *[F.count_if(flag).alias(flag) for flag in flags],
     )
 
 

@@ -65,10 +65,30 @@ def column_fault(column: str, sql_type: str, strict: bool = False) -> Column:
 
 def first_fault(types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> Column:
     """The first column, in file order, whose value does not fit."""
-    checked = [c for c in (order or types) if strict or expected_kind(types[c]) is not None]
-    if not checked:
+    checked = set(checked_columns(types, strict))
+    faults = [column_fault(c, types[c], strict) for c in (order or types) if c in checked]
+    return F.coalesce(*faults) if faults else column_fault("", "VARCHAR(255)")
+
+
+def checked_columns(types: Mapping[str, str], strict: bool = False) -> list[str]:
+    """Columns that can reject a value."""
+    return [c for c in types if strict or expected_kind(types[c]) is not None]
+
+
+def first_fault_by_place(types: Mapping[str, str], places: Column, strict: bool = False) -> Column:
+    """First fault where files list the same columns in different orders.
+
+    ``places`` holds the place of each checked column in the row's own file. Each
+    column is checked once; the fault at the least place wins.
+    """
+    faults = []
+    for i, c in enumerate(checked_columns(types, strict)):
+        fault = column_fault(c, types[c], strict)
+        entry = F.struct(F.get(places, F.lit(i)).alias("place"), fault.alias("fault"))
+        faults.append(F.when(fault.isNotNull(), entry))
+    if not faults:
         return column_fault("", "VARCHAR(255)")
-    return F.coalesce(*[column_fault(c, types[c], strict) for c in checked])
+    return F.array_min(F.array_compact(F.array(*faults)))["fault"]
 
 
 def fault_message(fault: Column | None = None) -> Column:

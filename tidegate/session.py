@@ -42,11 +42,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def lookup(df: DataFrame) -> DataFrame:
-    """Mark a settled table for broadcast if it is small enough to send around.
+def lookup(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
+    """Mark a table for broadcast if it is small enough to send around.
 
-    The size is measured, not guessed; a larger table is left to a shuffled join.
+    The size is measured, not guessed, on the table itself or on a settled one
+    with as many rows; a larger table is left to a shuffled join.
     """
-    if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    measured = df if sized_by is None else sized_by
+    if measured.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df
