@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegate.session import small_table
+
 BUCKETS = 8192
 INF = float("inf")
 
@@ -61,8 +63,8 @@ def _narrow(df: DataFrame, brackets: list[tuple[str, float, float]], ranks: list
     )
     window = W.partitionBy("bracket").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     running = counts.withColumn("upto", F.sum("n").over(window))
-    wanted = df.sparkSession.createDataFrame(
-        [(b, i, k) for k, (b, i) in enumerate(ranks)], "bracket int, idx long, wanted int"
+    wanted = small_table(
+        df.sparkSession, [(b, i, k) for k, (b, i) in enumerate(ranks)], "bracket int, idx long, wanted int"
     )
     # A few rows: two ranks per column and percentile.
     inside = (F.col("upto") - F.col("n") <= F.col("idx")) & (F.col("idx") < F.col("upto"))

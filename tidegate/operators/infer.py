@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tidegate.functions import numbers
 from tidegate.functions.dates import DATE_SHAPE
 from tidegate.functions.text import decode_null
+from tidegate.session import small_table
 
 EMPTY_TYPE = "VARCHAR(255)"
 
@@ -214,7 +215,8 @@ def infer_schema(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """
     columns = list(columns or df.columns)
     settled = {c: settled_type(df.schema[c].dataType) for c in columns}
-    order = df.sparkSession.createDataFrame(
+    order = small_table(
+        df.sparkSession,
         [(i, c, settled[c]) for i, c in enumerate(columns, 1)],
         "position int, column string, settled string",
     )

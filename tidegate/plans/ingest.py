@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
-from tidegate.session import lookup, settle
+from tidegate.session import lookup, settle, small_table
 from tidegate.sinks import store as st
 from tidegate.sinks.store import Store
 from tidegate.sources import csv, files
@@ -196,30 +196,39 @@ class Load:
 
     # --- rows -------------------------------------------------------------------
 
-    def _stage(self, run: int, layouts: list[Layout], columns: list[str], facts: list[DataFrame]) -> DataFrame:
-        """Cleaned, deduplicated rows with their rank in their chunk, on disk."""
+    def _rows(self, layouts: list[Layout], columns: list[str], facts: list[DataFrame]) -> DataFrame:
+        """Rows as read, one per distinct row of a file."""
         kinds = clean.kinds_of(reduce(DataFrame.unionByName, facts), "file", columns)
         rows = csv.scan(self.spark, layouts, columns)
         # One row per file of the batch, whose number is capped.
         rows = clean.read_values(rows, "file", columns, F.broadcast(kinds))
-        rows = clean.dedupe_rows(rows, "file", "pos", columns)
-        self.store.write(ids.rank_in_chunks(rows, "file", "pos", self.config.chunk_span), STAGED, run)
+        return clean.dedupe_rows(rows, "file", "pos", columns)
+
+    def _stage(self, run: int, layouts: list[Layout], rows: DataFrame, types: dict[str, str]) -> DataFrame:
+        """Rows with their rank in their chunk and their first fault, on disk.
+
+        Each row is judged once, here. Counting and quarantine then read the few
+        columns they need.
+        """
+        ranked = ids.rank_in_chunks(rows, "file", "pos", self.config.chunk_span)
+        staged = self._check(ranked, layouts, types).withColumn("_nulls", clean.nulls_in_row(list(types)))
+        self.store.write(staged, STAGED, run)
         return self.spark.read.parquet(self.store.path(STAGED, run))
 
     def _stage_and_load(self, run: int, layouts: list[Layout], main: MainSchema, facts: list[DataFrame]) -> dict[str, str]:
         columns = list(main.columns)
-        staged = self._stage(run, layouts, columns, facts)
         types = main.types
         if types is None:
-            first = staged.where(F.col("file") == min(x.file for x in layouts))
-            types = infer.collect_types(infer.infer_schema(first.select(*[F.col(f"`{c}`") for c in columns])))
-        checked = self._check(staged, layouts, types)
+            first = min(layouts, key=lambda x: x.file)
+            rows = self._rows([first], columns, facts)
+            types = infer.collect_types(infer.infer_schema(rows, columns))
+        staged = self._stage(run, layouts, self._rows(layouts, columns, facts), types)
         good = F.col(validate.FAULT).isNull()
-        tallies = ids.tally_chunks(checked, "file", good, *self._tally_extras(columns, good))
-        self.store.write(tallies, TALLIES, run)
+        extras = F.sum("copies").alias("rows_in"), F.sum("_nulls").alias("nulls"), F.count_if(good).alias("good_rows")
+        self.store.write(ids.tally_chunks(staged, "file", good, *extras), TALLIES, run)
         tallies = self.spark.read.parquet(self.store.path(TALLIES, run))
         offsets = lookup(ids.chunk_offsets(tallies, "file", self.last_id(run)), tallies)
-        numbered = ids.apply_offsets(checked, offsets, "file")
+        numbered = ids.apply_offsets(staged, offsets, "file")
         loaded = validate.good_rows(numbered, types, ["id", F.col("file").alias("_src_file")])
         self.store.write(loaded, self.config.table, run)
         payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
@@ -235,30 +244,25 @@ class Load:
         self.store.write(bad, st.BAD_ROWS, run)
         return types
 
-    def _check(self, staged: DataFrame, layouts: list[Layout], types: dict[str, str]) -> DataFrame:
+    def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str]) -> DataFrame:
         """Add the first fault in the column order of the row's own file."""
         strict = self.config.strict
         if len({layout.columns for layout in layouts}) == 1:
-            return validate.check_rows(staged, types, layouts[0].columns, strict)
+            return validate.check_rows(rows, types, layouts[0].columns, strict)
         checked = validate.checked_columns(types, strict)
         listed = [(x.file, [x.columns.index(c) for c in checked]) for x in layouts]
         # One row per file of the batch, whose number is capped.
-        guide = F.broadcast(self.spark.createDataFrame(listed, "file string, _places array<int>"))
+        guide = F.broadcast(small_table(self.spark, listed, "file string, _places array<int>"))
         fault = validate.first_fault_by_place(types, F.col("_places"), strict)
-        return staged.join(guide, "file").withColumn(validate.FAULT, fault).drop("_places")
-
-    @staticmethod
-    def _tally_extras(columns: list[str], good):
-        return (
-            F.sum("copies").alias("rows_in"),
-            F.sum(clean.nulls_in_row(columns)).alias("nulls"),
-            F.count_if(good).alias("good_rows"),
-        )
+        return rows.join(guide, "file").withColumn(validate.FAULT, fault).drop("_places")
 
     # --- books ------------------------------------------------------------------
 
     def _quarantine_files(self, run: int, judged: list[Judged], paths: dict[str, str], facts: list[DataFrame]) -> None:
         reasons = [(j.file, j.status, j.reason) for j in judged if j.status != LOADED]
+        if not reasons:
+            self.store.write(small_table(self.spark, [], st.SCHEMA_OF[st.BAD_FILES]), st.BAD_FILES, run)
+            return
         parts = []
         mixed = [j.layout for j in judged if j.status in (MISMATCH, RESERVED)]
         if mixed:
@@ -268,8 +272,8 @@ class Load:
             parts.append(csv.scan_lines(self.spark, lines).withColumnRenamed("line", "payload"))
         schema = "file string, status string, reason string"
         # One row per rejected file of the batch, whose number is capped.
-        listed = self.spark.createDataFrame(reasons, schema)
-        rows = self.spark.createDataFrame([], "file string, pos long, payload string")
+        listed = small_table(self.spark, reasons, schema)
+        rows = small_table(self.spark, [], "file string, pos long, payload string")
         for part in parts:
             rows = rows.unionByName(part)
         # A rejected file without rows still leaves its reason behind.
@@ -289,13 +293,14 @@ class Load:
         kinds = clean.kinds_of(facts, "file", fields)
         rows = clean.read_values(rows, "file", fields, F.broadcast(kinds))
         rows = clean.dedupe_rows(rows, "file", "pos", fields)
-        names = self.spark.createDataFrame([(x.file, list(x.columns)) for x in layouts], "file string, names array<string>")
+        names = small_table(self.spark, [(x.file, list(x.columns)) for x in layouts], "file string, names array<string>")
         values = F.slice(F.array(*fields), F.lit(1), F.size("names"))
         payload = F.to_json(F.map_from_arrays("names", values), {"ignoreNullFields": "false"})
         return rows.join(F.broadcast(names), "file").select("file", "pos", payload.alias("payload"))
 
     def _audit(self, run: int, judged: list[Judged], loaded: bool, started: float) -> None:
-        listed = self.spark.createDataFrame(
+        listed = small_table(
+            self.spark,
             [(j.file, j.status, len(j.layout.columns) if j.layout else 0) for j in judged],
             "file string, status string, columns long",
         )
@@ -322,9 +327,9 @@ class Load:
 
     def _register(self, run: int, main: MainSchema) -> None:
         row = (self.config.table, main.key, list(main.types.items()), main.first_file)
-        self.store.write(self.spark.createDataFrame([row], st.SCHEMA_OF[st.SCHEMAS]), st.SCHEMAS, run)
+        self.store.write(small_table(self.spark, [row], st.SCHEMA_OF[st.SCHEMAS]), st.SCHEMAS, run)
 
     def _checkpoint(self, run: int, judged: list[Judged]) -> None:
         now = datetime.now(timezone.utc)
         rows = [(j.file, j.status, now) for j in judged]
-        self.store.write(self.spark.createDataFrame(rows, st.SCHEMA_OF[st.PROCESSED]).coalesce(1), st.PROCESSED, run)
+        self.store.write(small_table(self.spark, rows, st.SCHEMA_OF[st.PROCESSED]).coalesce(1), st.PROCESSED, run)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # A lookup side is broadcast up to this many rows; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 500_000
@@ -52,3 +55,10 @@ def lookup(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     if measured.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few known rows, planned as a local relation without a Python job."""
+    fields = T.StructType.fromDDL(schema)
+    records = [dict(zip(fields.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(fields)), fields)

@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.session import small_table
+
 PROCESSED = "processed_files"
 SCHEMAS = "schema_registry"
 BAD_FILES = "quarantine_files"
@@ -47,7 +49,7 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], f"{schema}, run int")
+            return small_table(self.spark, [], f"{schema}, run int")
 
     def exists(self, name: str) -> bool:
         try:

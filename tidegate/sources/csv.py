@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import decode_null
+from tidegate.session import small_table
 from tidegate.sources.files import decoded_name
 
 RAW = "_raw"
@@ -126,7 +127,7 @@ def scan_group(spark: SparkSession, layouts: Sequence[Layout], wanted: Sequence[
         (x.file, x.places(wanted) if wanted else list(range(x.skipped, x.width)), x.width) for x in layouts
     ]
     # At most one row per file of the batch, whose number is capped.
-    guide = F.broadcast(spark.createDataFrame(listed, "file string, places array<int>, width int"))
+    guide = F.broadcast(small_table(spark, listed, "file string, places array<int>, width int"))
     values = F.array(*[F.col(c) for c in field_names(width)])
     names = list(wanted) if wanted else field_names(max(len(p) for _, p, _ in listed))
     place = F.get("places", F.lit(0))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.text import table_columns
 from tidegate.operators.gate import schema_key
+from tidegate.session import small_table
 
 CSV_GLOB = "*.[cC][sS][vV]"
 HEAD_BYTES = 1 << 16
@@ -46,7 +47,7 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
     names = found.inputFiles()
     if len(names) == listed.count():
         return listed
-    every = spark.createDataFrame([(n,) for n in names], "url string").select(
+    every = small_table(spark, [(n,) for n in names], "url string").select(
         decoded_name(F.col("url")).alias("path"),
         F.substring_index(decoded_name(F.col("url")), "/", -1).alias("file"),
         F.lit(0).cast("long").alias("length"),
