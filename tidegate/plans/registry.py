@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidegate.plans import load_queries, profile_queries
+from tidegate.plans import file_queries, load_queries, profile_queries
 
 FLAGSHIP = "load_good_rows"
-_MODULES = (load_queries, profile_queries)
+_MODULES = (file_queries, load_queries, profile_queries)
 
 
 def queries() -> dict:

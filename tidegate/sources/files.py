@@ -18,7 +18,7 @@ CSV_GLOB = "*.[cC][sS][vV]"
 HEAD_BYTES = 1 << 16
 HEAD_LIMIT = 1 << 26
 
-FILE_FIELDS = ("path", "file", "length", "modified")
+LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _described(files: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
 
 def stream_files(spark: SparkSession, landing: str, files_per_batch: int) -> DataFrame:
     """The same listing as a stream of newly landed files."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+    reader = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", CSV_GLOB)
     return _described(reader.option("maxFilesPerTrigger", files_per_batch).load(landing))
 
 
