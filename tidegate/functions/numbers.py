@@ -35,7 +35,10 @@ def votes_numeric(value: Column) -> Column:
 def vote_value(value: Column) -> Column:
     """Value of a text accepted by :func:`votes_numeric`, NULL otherwise."""
     text = strip(value)
-    return F.when(text.rlike(VOTE_PATTERN), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+    # A signed NaN is a number to the grammar but not to the cast.
+    signed_nan = F.lower(text).rlike("^[+-]nan$")
+    return F.when(text.rlike(VOTE_PATTERN), F.coalesce(number, F.when(signed_nan, F.lit(float("nan")))))
 
 
 def reading_value(value: Column) -> Column:
