@@ -95,14 +95,22 @@ def test_dedupe_keeps_the_first_and_blanks_matter_in_text(spark):
     rows = [("a", 3, "1", "x"), ("a", 1, "1.0", "x"), ("a", 2, " 1 ", "x "), ("b", 1, "1", "x"), ("a", 4, None, None), ("a", 5, None, None)]
     df = spark.createDataFrame(rows, "f string, pos long, n string, s string")
     kinds = clean.reading_kinds(df, "f", ["n", "s"])
-    out = clean.dedupe_rows(clean.read_values(df, "f", ["n", "s"], kinds), "f", "pos", ["n", "s"])
+    out = clean.dedupe_rows(kinds.apply(df), "f", "pos", ["n", "s"])
     got = sorted((r["f"], r["pos"], r["n"], r["s"], r["copies"]) for r in out.collect())
     assert got == [("a", 1, "1", "x", 2), ("a", 2, "1", "x ", 1), ("a", 4, None, None, 2), ("b", 1, "1", "x", 1)]
 
 
+def test_a_column_may_read_differently_in_each_file(spark):
+    rows = [("a", 1, "01"), ("a", 2, "1"), ("b", 1, "01"), ("b", 2, "x"), ("c", 1, "TRUE"), ("c", 2, "true"), ("d", 1, "1.50"), ("d", 2, "1.5")]
+    df = spark.createDataFrame(rows, "f string, pos long, n string")
+    out = clean.dedupe_rows(clean.reading_kinds(df, "f", ["n"]).apply(df), "f", "pos", ["n"])
+    got = sorted((r["f"], r["n"], r["copies"]) for r in out.collect())
+    assert got == [("a", "1", 2), ("b", "01", 1), ("b", "x", 1), ("c", "True", 2), ("d", "1.5", 2)]
+
+
 def test_long_integers_keep_their_digits_beside_nulls(spark):
     df = spark.createDataFrame([("a", 1, "9007199254740993"), ("a", 2, None)], "f string, pos long, n string")
-    out = clean.read_values(df, "f", ["n"], clean.reading_kinds(df, "f", ["n"]))
+    out = clean.reading_kinds(df, "f", ["n"]).apply(df)
     assert {r["n"] for r in out.collect()} == {"9007199254740993", None}
 
 

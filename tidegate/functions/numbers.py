@@ -41,12 +41,17 @@ def vote_value(value: Column) -> Column:
     return F.when(text.rlike(VOTE_PATTERN), F.coalesce(number, F.when(signed_nan, F.lit(float("nan")))))
 
 
+def reading_number(text: Column) -> Column:
+    """Number in a stripped text known to match the reading pattern; NULL if it overflows."""
+    number = text.try_cast("double")
+    overflow = (F.abs(number) == float("inf")) & ~F.lower(text).contains("inf")
+    return F.when(~overflow, number)
+
+
 def reading_value(value: Column) -> Column:
     """Number a whole-column reader would take from the text, else NULL."""
     text = strip(value)
-    number = F.when(text.rlike(READING_PATTERN), text.try_cast("double"))
-    overflow = (F.abs(number) == float("inf")) & ~F.lower(text).contains("inf")
-    return F.when(~overflow, number)
+    return F.when(text.rlike(READING_PATTERN), reading_number(text))
 
 
 def is_integer_text(value: Column) -> Column:

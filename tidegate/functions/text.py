@@ -35,6 +35,7 @@ NULL_TOKENS = (
 NULL_TEXT = "NULL"
 
 # Blanks removed around a value before it is judged as a number.
+ODD_EDGE = r"^[^!-~]|[^!-~]$"
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -49,7 +50,12 @@ def fill_null(value: Column) -> Column:
 
 
 def strip(value: Column) -> Column:
-    return F.btrim(value, F.lit(BLANKS))
+    """Remove blanks of any script around the text.
+
+    Few values have any, and trimming a set of characters is slow, so a look at
+    the first and last character comes first.
+    """
+    return F.when(value.rlike(ODD_EDGE), F.btrim(value, F.lit(BLANKS))).otherwise(value)
 
 
 def clean_header(name: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions import numbers
 from tidegate.functions.text import decode_null, fill_null, strip
 from tidegate.operators.infer import column_facts, reading_kind
+from tidegate.session import lookup, settle
 
 
 def decode_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -21,16 +22,37 @@ def fill_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return df.withColumns({c: fill_null(F.col(f"`{c}`")) for c in columns or df.columns})
 
 
-def kinds_of(facts: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
-    """One row per file saying how each of its columns reads (int, float, bool, text)."""
-    kinds = facts.select(file, "column", reading_kind().alias("kind"))
-    return kinds.groupBy(file).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("kind"))).alias(f"_kind_{c}") for c in columns]
-    )
+class Kinds:
+    """How each column reads (int, float, bool, text), file by file.
+
+    Most columns read alike in all files; those are handled without a lookup,
+    and text columns at no cost at all. Only columns that read differently from
+    file to file are looked up per row, in a table of one row per file.
+    """
+
+    def __init__(self, facts: DataFrame, file: str, columns: Sequence[str]):
+        """``facts`` is a settled table of one row per file and column."""
+        self.file = file
+        kinds = facts.select(file, "column", reading_kind().alias("kind"))
+        found = kinds.groupBy("column").agg(F.collect_set("kind").alias("kinds")).collect()
+        sets = {r["column"]: r["kinds"] for r in found}
+        self.uniform = {c: sets[c][0] for c in columns if len(sets.get(c, ())) == 1}
+        self.mixed = [c for c in columns if len(sets.get(c, ())) > 1]
+        self.per_file = kinds.groupBy(file).agg(
+            *[F.max(F.when(F.col("column") == c, F.col("kind"))).alias(f"_kind_{c}") for c in self.mixed]
+        ) if self.mixed else None
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Replace every value by its text as read."""
+        if self.mixed:
+            df = df.join(lookup(self.per_file), self.file)
+        values = {c: _READERS[k](F.col(f"`{c}`")) for c, k in self.uniform.items() if k != "text"}
+        values |= {c: read_value(F.col(f"`{c}`"), F.col(f"`_kind_{c}`")) for c in self.mixed}
+        return df.withColumns(values).drop(*[f"_kind_{c}" for c in self.mixed])
 
 
-def reading_kinds(df: DataFrame, file: str, columns: Sequence[str]) -> DataFrame:
-    return kinds_of(column_facts(df, columns, [file]), file, columns)
+def reading_kinds(df: DataFrame, file: str, columns: Sequence[str]) -> Kinds:
+    return Kinds(settle(column_facts(df, columns, [file])), file, columns)
 
 
 def number_text(value: Column) -> Column:
@@ -44,25 +66,24 @@ def number_text(value: Column) -> Column:
     return F.coalesce(F.coalesce(literal, whole).cast("string"), x.cast("string"))
 
 
+_READERS = {
+    "text": lambda value: value,
+    "int": lambda value: strip(value).try_cast("bigint").cast("string"),
+    "float": number_text,
+    "bool": F.initcap,
+}
+
+
 def read_value(value: Column, kind: Column) -> Column:
     """The value's text once its column is read as ``kind``.
 
     Equal values get equal text: ``7``, ``007`` and `` 7 `` in a numeric column,
     ``1`` and ``1.0`` as well. Text columns keep every blank.
     """
-    return (
-        F.when(kind == "text", value)
-        .when(kind == "int", strip(value).try_cast("bigint").cast("string"))
-        .when(kind == "float", number_text(value))
-        .otherwise(F.initcap(value))
-    )
-
-
-def read_values(df: DataFrame, file: str, columns: Sequence[str], kinds: DataFrame) -> DataFrame:
-    """Replace every value by its text as read. ``kinds`` has one row per file."""
-    out = df.join(kinds, file)
-    out = out.withColumns({c: read_value(F.col(f"`{c}`"), F.col(f"`_kind_{c}`")) for c in columns})
-    return out.drop(*[f"_kind_{c}" for c in columns])
+    out = F.when(kind == "text", value)
+    for name in ("int", "float", "bool"):
+        out = out.when(kind == name, _READERS[name](value))
+    return out
 
 
 def dedupe_rows(df: DataFrame, file: str, pos: str, columns: Sequence[str]) -> DataFrame:

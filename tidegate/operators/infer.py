@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions import numbers
 from tidegate.functions.dates import DATE_SHAPE
-from tidegate.functions.text import decode_null
+from tidegate.functions.text import decode_null, strip
 from tidegate.session import small_table
 
 EMPTY_TYPE = "VARCHAR(255)"
@@ -62,18 +62,17 @@ def column_facts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
     long = df.select(*keys, *flags, *[F.col(f"`{c}`") for c in columns]).unpivot(
         [*keys, *flags], [f"`{c}`" for c in columns], "column", "value"
     )
-    value = F.col("value")
-    judged = long.select(
-        *keys,
-        *flags,
-        "column",
-        "value",
-        numbers.votes_numeric(value).alias("vote"),
-        numbers.reading_value(value).alias("x"),
-        numbers.is_integer_text(value).alias("integer"),
+    value, text = F.col("value"), F.col("text")
+    # Cheapest test first; each later one runs only where the earlier failed.
+    judged = (
+        long.withColumn("text", strip(value))
+        .withColumn("integer", text.rlike(numbers.INTEGER_PATTERN))
+        .withColumn("reading", F.col("integer") | text.rlike(numbers.READING_PATTERN))
+        .withColumn("vote", F.col("reading") | text.rlike(numbers.VOTE_PATTERN))
+        .withColumn("x", F.when(F.col("reading"), numbers.reading_number(text)))
     )
     x = F.col("x")
-    too_wide = F.col("integer") & F.btrim(value).try_cast("bigint").isNull()
+    too_wide = F.col("integer") & (F.char_length(text) > 18) & text.try_cast("bigint").isNull()
     return judged.groupBy(*keys, "column").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("value").alias("filled"),

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.functions.numbers import VOTE_PATTERN
 from tidegate.functions.text import NULL_TOKENS
+from tidegate.session import tune
 
 FILE = "src_file"
 POS = "pos"
@@ -110,4 +111,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty view as a CSV reader would see it, null tokens included."""
+    tune(spark)
     return spark.sql(RAW_SQL.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
-from tidegate.session import lookup, settle, small_table
+from tidegate.session import lookup, settle, small_table, tune
 from tidegate.sinks import store as st
 from tidegate.sinks.store import Store
 from tidegate.sources import csv, files
@@ -63,7 +63,7 @@ class Judged:
 
 class Load:
     def __init__(self, spark: SparkSession, config: LoadConfig):
-        self.spark = spark
+        self.spark = tune(spark)
         self.config = config
         self.store = Store(spark, config.warehouse)
 
@@ -196,12 +196,9 @@ class Load:
 
     # --- rows -------------------------------------------------------------------
 
-    def _rows(self, layouts: list[Layout], columns: list[str], facts: list[DataFrame]) -> DataFrame:
+    def _rows(self, layouts: list[Layout], columns: list[str], kinds: clean.Kinds) -> DataFrame:
         """Rows as read, one per distinct row of a file."""
-        kinds = clean.kinds_of(reduce(DataFrame.unionByName, facts), "file", columns)
-        rows = csv.scan(self.spark, layouts, columns)
-        # One row per file of the batch, whose number is capped.
-        rows = clean.read_values(rows, "file", columns, F.broadcast(kinds))
+        rows = kinds.apply(csv.scan(self.spark, layouts, columns))
         return clean.dedupe_rows(rows, "file", "pos", columns)
 
     def _stage(self, run: int, layouts: list[Layout], rows: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -217,12 +214,12 @@ class Load:
 
     def _stage_and_load(self, run: int, layouts: list[Layout], main: MainSchema, facts: list[DataFrame]) -> dict[str, str]:
         columns = list(main.columns)
+        kinds = clean.Kinds(reduce(DataFrame.unionByName, facts), "file", columns)
         types = main.types
         if types is None:
             first = min(layouts, key=lambda x: x.file)
-            rows = self._rows([first], columns, facts)
-            types = infer.collect_types(infer.infer_schema(rows, columns))
-        staged = self._stage(run, layouts, self._rows(layouts, columns, facts), types)
+            types = infer.collect_types(infer.infer_schema(self._rows([first], columns, kinds), columns))
+        staged = self._stage(run, layouts, self._rows(layouts, columns, kinds), types)
         good = F.col(validate.FAULT).isNull()
         extras = F.sum("copies").alias("rows_in"), F.sum("_nulls").alias("nulls"), F.count_if(good).alias("good_rows")
         self.store.write(ids.tally_chunks(staged, "file", good, *extras), TALLIES, run)
@@ -290,8 +287,7 @@ class Load:
         """
         rows = csv.scan(self.spark, layouts)
         fields = csv.positional(rows)
-        kinds = clean.kinds_of(facts, "file", fields)
-        rows = clean.read_values(rows, "file", fields, F.broadcast(kinds))
+        rows = clean.Kinds(facts, "file", fields).apply(rows)
         rows = clean.dedupe_rows(rows, "file", "pos", fields)
         names = small_table(self.spark, [(x.file, list(x.columns)) for x in layouts], "file string, names array<string>")
         values = F.slice(F.array(*fields), F.lit(1), F.size("names"))

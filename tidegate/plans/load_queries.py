@@ -40,9 +40,7 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decoded(spark, sf_dir)
-    # The view has four files, so the reading kinds are four rows.
-    kinds = F.broadcast(clean.reading_kinds(rows, FILE, COLUMNS))
-    return clean.read_values(rows, FILE, COLUMNS, kinds)
+    return clean.reading_kinds(rows, FILE, COLUMNS).apply(rows)
 
 
 def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:

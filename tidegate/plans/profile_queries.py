@@ -253,8 +253,7 @@ FROM scores""",
 )
 def quality_score(spark, sf_dir):
     decoded = _decoded(spark, sf_dir)
-    kinds = F.broadcast(clean.reading_kinds(decoded, dirty.FILE, dirty.COLUMNS))  # four files
-    as_read = clean.read_values(decoded, dirty.FILE, dirty.COLUMNS, kinds)
+    as_read = clean.reading_kinds(decoded, dirty.FILE, dirty.COLUMNS).apply(decoded)
     return _rounded(profile.quality_score(as_read, exclude=["pos"]), "completeness", "uniqueness", "overall")
 
 

@@ -17,6 +17,23 @@ BROADCAST_ROWS = 500_000
 _local_dir: str | None = None
 
 
+# Settings that results or speed rely on. Dates are read and printed
+# in UTC. Generated methods beyond 8000 bytes of bytecode are never compiled by
+# the JVM, so a stage that would need one is better run operator by operator.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
