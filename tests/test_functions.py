@@ -55,8 +55,8 @@ def test_reading_is_what_to_numeric_keeps(spark):
 
 @pytest.mark.parametrize("sql_type, low, high", [("TINYINT", -128, 127), ("SMALLINT", -32768, 32767), ("INT", -(2**31), 2**31 - 1), ("BIGINT", -(2**63), 2**63 - 1)])
 def test_integer_values(spark, sql_type, low, high):
-    texts = [str(low), str(high), str(low - 1), str(high + 1), "22.9", "-22.9", " 7 ", "1e2", "1_0", "x", "inf", "nan", None]
-    want = [low, high, None, None, 22, -22, 7, 100, 10, None, None, None, None]
+    texts = [str(low), str(high), str(low - 1), str(high + 1), "22.9", "-22.9", " 7 ", "1e2", "1_0", "1__0", "_1", "x", "inf", "nan", None, "\u00a07"]
+    want = [low, high, None, None, 22, -22, 7, 100, 10, None, None, None, None, None, None, 7]
     assert evaluate(spark, texts, numbers.integer_value(F.col("v"), sql_type)) == want
 
 

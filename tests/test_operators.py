@@ -100,6 +100,20 @@ def test_dedupe_keeps_the_first_and_blanks_matter_in_text(spark):
     assert got == [("a", 1, "1", "x", 2), ("a", 2, "1", "x ", 1), ("a", 4, None, None, 2), ("b", 1, "1", "x", 1)]
 
 
+def test_columns_that_read_alike_take_their_type(spark):
+    rows = [("a", "1", "1.50", "TRUE", "x", None), ("b", " 02 ", "1e1", "false", "1", None), ("b", "3", "inf", "True", "2", None)]
+    df = spark.createDataFrame(rows, "f string, i string, d string, b string, s string, e string")
+    out = clean.reading_kinds(df, "f", ["i", "d", "b", "s", "e"]).apply(df)
+    assert out.dtypes[1:] == [("i", "bigint"), ("d", "double"), ("b", "boolean"), ("s", "string"), ("e", "string")]
+    assert sorted(r["i"] for r in out.collect()) == [1, 2, 3]
+    types = {"i": "TINYINT", "d": "SMALLINT", "b": "VARCHAR(100)", "s": "VARCHAR(100)", "e": "DATE"}
+    checked = validate.check_rows(out, types)
+    good = validate.good_rows(checked, types).orderBy("i").collect()
+    assert [tuple(r) for r in good] == [(1, 1, "True", "x", None), (2, 10, "False", "1", None)]
+    bad = validate.bad_rows(checked, types).first()
+    assert (bad["error"], bad["b"]) == ("Column 'd' expects INT, got 'Infinity'", "True")
+
+
 def test_a_column_may_read_differently_in_each_file(spark):
     rows = [("a", 1, "01"), ("a", 2, "1"), ("b", 1, "01"), ("b", 2, "x"), ("c", 1, "TRUE"), ("c", 2, "true"), ("d", 1, "1.50"), ("d", 2, "1.5")]
     df = spark.createDataFrame(rows, "f string, pos long, n string")
@@ -111,7 +125,7 @@ def test_a_column_may_read_differently_in_each_file(spark):
 def test_long_integers_keep_their_digits_beside_nulls(spark):
     df = spark.createDataFrame([("a", 1, "9007199254740993"), ("a", 2, None)], "f string, pos long, n string")
     out = clean.reading_kinds(df, "f", ["n"]).apply(df)
-    assert {r["n"] for r in out.collect()} == {"9007199254740993", None}
+    assert {r["n"] for r in out.collect()} == {9007199254740993, None}
 
 
 def sequential_ids(rows, base):
@@ -286,5 +300,5 @@ def test_backlog_is_a_true_difference(spark):
 def test_errors_follow_the_column_order_of_the_file(spark):
     df = spark.createDataFrame([("x", "y", [0, 1]), ("x", "y", [1, 0]), ("1", "y", [0, 1]), ("1", "2", [1, 0])], "p string, q string, places array<int>")
     types = {"p": "INT", "q": "DOUBLE"}
-    got = df.select(validate.first_fault_by_place(types, F.col("places"))["column"].alias("c")).collect()
+    got = df.select(validate.first_fault_by_place(df, types, F.col("places"))["column"].alias("c")).collect()
     assert [r["c"] for r in got] == ["p", "q", "q", None]

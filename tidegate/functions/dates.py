@@ -36,4 +36,6 @@ def timestamp_value(value: Column) -> Column:
 
 
 def date_value(value: Column) -> Column:
-    return timestamp_value(value).cast("date")
+    """Date of the text; the usual layout takes a shorter way."""
+    usual = F.when(value.rlike(DATE_SHAPE), value.try_cast("date"))
+    return F.coalesce(usual, timestamp_value(value).cast("date"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions import numbers
 from tidegate.functions.text import decode_null, fill_null, strip
@@ -25,9 +26,10 @@ def fill_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 class Kinds:
     """How each column reads (int, float, bool, text), file by file.
 
-    Most columns read alike in all files; those are handled without a lookup,
-    and text columns at no cost at all. Only columns that read differently from
-    file to file are looked up per row, in a table of one row per file.
+    A column that reads alike in all files takes the type it reads as: numbers
+    travel as numbers, and text columns cost nothing. Only a column that reads
+    differently from file to file stays text and is looked up per row, in a
+    table of one row per file.
     """
 
     def __init__(self, facts: DataFrame, file: str, columns: Sequence[str]):
@@ -43,11 +45,11 @@ class Kinds:
         ) if self.mixed else None
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """Replace every value by its text as read."""
+        """Replace every value by what it reads as."""
         if self.mixed:
             df = df.join(lookup(self.per_file), self.file)
         values = {c: _READERS[k](F.col(f"`{c}`")) for c, k in self.uniform.items() if k != "text"}
-        values |= {c: read_value(F.col(f"`{c}`"), F.col(f"`_kind_{c}`")) for c in self.mixed}
+        values |= {c: read_text(F.col(f"`{c}`"), F.col(f"`_kind_{c}`")) for c in self.mixed}
         return df.withColumns(values).drop(*[f"_kind_{c}" for c in self.mixed])
 
 
@@ -55,34 +57,43 @@ def reading_kinds(df: DataFrame, file: str, columns: Sequence[str]) -> Kinds:
     return Kinds(settle(column_facts(df, columns, [file])), file, columns)
 
 
+_READERS = {
+    "int": lambda value: strip(value).try_cast("bigint"),
+    "float": lambda value: numbers.reading_number(strip(value)),
+    "bool": lambda value: value.try_cast("boolean"),
+}
+
+
 def number_text(value: Column) -> Column:
     """One text per number: whole numbers as digits, others as Spark prints doubles.
 
     Integer literals are not passed through double, so long ones keep all digits.
     """
     x = numbers.reading_value(value)
-    literal = F.when(numbers.is_integer_text(value), strip(value).try_cast("bigint"))
     whole = F.when((x % 1 == 0) & (F.abs(x) < float(2**53)), x.try_cast("bigint"))
-    return F.coalesce(F.coalesce(literal, whole).cast("string"), x.cast("string"))
+    return F.coalesce(F.coalesce(numbers.long_value(strip(value)), whole).cast("string"), x.cast("string"))
 
 
-_READERS = {
-    "text": lambda value: value,
-    "int": lambda value: strip(value).try_cast("bigint").cast("string"),
-    "float": number_text,
-    "bool": F.initcap,
-}
-
-
-def read_value(value: Column, kind: Column) -> Column:
+def read_text(value: Column, kind: Column) -> Column:
     """The value's text once its column is read as ``kind``.
 
     Equal values get equal text: ``7``, ``007`` and `` 7 `` in a numeric column,
     ``1`` and ``1.0`` as well. Text columns keep every blank.
     """
-    out = F.when(kind == "text", value)
-    for name in ("int", "float", "bool"):
-        out = out.when(kind == name, _READERS[name](value))
+    return (
+        F.when(kind == "text", value)
+        .when(kind == "bool", F.initcap(value))
+        .when(kind.isNotNull(), number_text(value))
+    )
+
+
+def as_written(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns as text again."""
+    out = []
+    for c in columns:
+        value = F.col(f"`{c}`")
+        text = value.cast("string")
+        out.append((F.initcap(text) if df.schema[c].dataType == T.BooleanType() else text).alias(c))
     return out
 
 
@@ -121,7 +132,9 @@ def column_samples(df: DataFrame, file: str, ordinal: str, columns: Sequence[str
     Only rows numbered up to ``size`` are looked at, so a group holds ``size`` values.
     """
     first = df.where(F.col(ordinal) <= size).select(file, ordinal, *[f"`{c}`" for c in columns])
-    long = first.unpivot([file, ordinal], [f"`{c}`" for c in columns], "column", "value")
+    long = first.select(file, ordinal, *as_written(first, columns)).unpivot(
+        [file, ordinal], [f"`{c}`" for c in columns], "column", "value"
+    )
     entry = F.struct(F.col(ordinal), F.coalesce("value", F.lit("NULL")).alias("value"))
     return long.groupBy(file, "column").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["value"]), "|").alias("samples")

@@ -62,23 +62,23 @@ def column_facts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
     long = df.select(*keys, *flags, *[F.col(f"`{c}`") for c in columns]).unpivot(
         [*keys, *flags], [f"`{c}`" for c in columns], "column", "value"
     )
-    value, text = F.col("value"), F.col("text")
-    # Cheapest test first; each later one runs only where the earlier failed.
+    value, text, integer, reading = (F.col(c) for c in ("value", "text", "integer", "reading"))
+    # Cheapest test first; a pattern runs only where the tests before it failed.
     judged = (
         long.withColumn("text", strip(value))
-        .withColumn("integer", text.rlike(numbers.INTEGER_PATTERN))
-        .withColumn("reading", F.col("integer") | text.rlike(numbers.READING_PATTERN))
-        .withColumn("vote", F.col("reading") | text.rlike(numbers.VOTE_PATTERN))
-        .withColumn("x", F.when(F.col("reading"), numbers.reading_number(text)))
+        .withColumn("integer", numbers.long_value(text))
+        .withColumn("reading", integer.isNotNull() | text.rlike(numbers.READING_PATTERN))
+        .withColumn("vote", reading | text.rlike(numbers.VOTE_PATTERN))
+        .withColumn("x", F.coalesce(integer.cast("double"), F.when(reading, numbers.reading_number(text))))
+        .withColumn("too_wide", integer.isNull() & reading & numbers.is_wide_integer(text))
     )
-    x = F.col("x")
-    too_wide = F.col("integer") & (F.char_length(text) > 18) & text.try_cast("bigint").isNull()
+    x, too_wide = F.col("x"), F.col("too_wide")
     return judged.groupBy(*keys, "column").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("value").alias("filled"),
         F.count_if("vote").alias("votes"),
         F.count("x").alias("readings"),
-        F.count_if("integer").alias("integers"),
+        F.count_if(integer.isNotNull() | too_wide).alias("integers"),
         F.count_if(too_wide).alias("too_wide"),
         F.min("x").alias("low"),
         F.max("x").alias("high"),
@@ -146,15 +146,16 @@ def reading_kind() -> Column:
     """How a whole-column reader takes the column: int, float, bool or text.
 
     Unlike the vote this is all or nothing. It decides which values of a column
-    are equal (``1`` and ``1.0`` only if every value is a number). A column with
-    no values reads as float, which changes nothing since there is no text.
+    are equal (``1`` and ``1.0`` only if every value is a number). A column of
+    integers and missing values stays integer here, so that long ones keep their
+    digits. NULL for a column without values, which may pass for anything.
     """
     filled = F.col("filled")
-    integers = (F.col("integers") == F.col("rows")) & (F.col("too_wide") == 0)
     # Integers too wide for the reader stay text unless fractions made it read floats.
     mixed = (F.col("too_wide") == 0) | (F.col("integers") < filled)
     return (
-        F.when(integers, F.lit("int"))
+        F.when(filled == 0, F.lit(None))
+        .when((F.col("integers") == filled) & (F.col("too_wide") == 0), F.lit("int"))
         .when((F.col("readings") == filled) & mixed, F.lit("float"))
         .when((F.col("booleans") == filled) & (filled == F.col("rows")), F.lit("bool"))
         .otherwise(F.lit("text"))

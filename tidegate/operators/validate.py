@@ -7,9 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions import dates, numbers
 from tidegate.functions.text import strip
+from tidegate.operators.clean import as_written
+from tidegate.operators.infer import spark_type
 
 FAULT = "_fault"
 
@@ -27,8 +30,20 @@ def expected_kind(sql_type: str) -> str | None:
     return None
 
 
-def typed_value(value: Column, sql_type: str) -> Column:
-    """The text as the column's type, NULL where it does not convert."""
+def typed_value(value: Column, sql_type: str, source: T.DataType = T.StringType()) -> Column:
+    """The value as the column's type, NULL where it does not convert.
+
+    Columns that were read as numbers or booleans convert by a plain cast; only
+    text is parsed.
+    """
+    target = spark_type(sql_type)
+    if isinstance(source, T.BooleanType):
+        text = F.initcap(value.cast("string"))
+        return value if target == source else typed_value(text, sql_type)
+    if isinstance(source, T.NumericType):
+        if isinstance(target, (T.NumericType, T.StringType)):
+            return value if target == source else value.try_cast(target.simpleString())
+        value = value.cast("string")
     if sql_type in numbers.INTEGER_TYPES:
         return numbers.integer_value(value, sql_type)
     if sql_type == "DOUBLE":
@@ -42,7 +57,10 @@ def typed_value(value: Column, sql_type: str) -> Column:
     return value
 
 
-def column_fault(column: str, sql_type: str, strict: bool = False) -> Column:
+_NO_FAULT = "struct<column:string,expected:string,value:string>"
+
+
+def column_fault(column: str, sql_type: str, source: T.DataType = T.StringType(), strict: bool = False) -> Column:
     """``(column, expected, value)`` if the value does not fit, else NULL.
 
     NULL fits every column, text fits every text column. ``strict`` also holds
@@ -50,24 +68,17 @@ def column_fault(column: str, sql_type: str, strict: bool = False) -> Column:
     """
     value = F.col(f"`{column}`")
     kind = expected_kind(sql_type)
+    if kind is not None and source == spark_type(sql_type):
+        return F.lit(None).cast(_NO_FAULT)
     if kind is not None:
-        bad = value.isNotNull() & typed_value(value, sql_type).isNull()
+        bad = value.isNotNull() & typed_value(value, sql_type, source).isNull()
     elif strict and sql_type.startswith("VARCHAR("):
         kind = sql_type
-        bad = F.char_length(value) > int(sql_type[8:-1])
+        bad = F.char_length(value.cast("string")) > int(sql_type[8:-1])
     else:
-        return F.lit(None).cast("struct<column:string,expected:string,value:string>")
-    return F.when(
-        bad,
-        F.struct(F.lit(column).alias("column"), F.lit(kind).alias("expected"), value.alias("value")),
-    )
-
-
-def first_fault(types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> Column:
-    """The first column, in file order, whose value does not fit."""
-    checked = set(checked_columns(types, strict))
-    faults = [column_fault(c, types[c], strict) for c in (order or types) if c in checked]
-    return F.coalesce(*faults) if faults else column_fault("", "VARCHAR(255)")
+        return F.lit(None).cast(_NO_FAULT)
+    text = value.cast("string").alias("value")
+    return F.when(bad, F.struct(F.lit(column).alias("column"), F.lit(kind).alias("expected"), text))
 
 
 def checked_columns(types: Mapping[str, str], strict: bool = False) -> list[str]:
@@ -75,7 +86,14 @@ def checked_columns(types: Mapping[str, str], strict: bool = False) -> list[str]
     return [c for c in types if strict or expected_kind(types[c]) is not None]
 
 
-def first_fault_by_place(types: Mapping[str, str], places: Column, strict: bool = False) -> Column:
+def first_fault(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> Column:
+    """The first column, in file order, whose value does not fit."""
+    checked = set(checked_columns(types, strict))
+    faults = [column_fault(c, types[c], df.schema[c].dataType, strict) for c in (order or types) if c in checked]
+    return F.coalesce(*faults) if faults else F.lit(None).cast(_NO_FAULT)
+
+
+def first_fault_by_place(df: DataFrame, types: Mapping[str, str], places: Column, strict: bool = False) -> Column:
     """First fault where files list the same columns in different orders.
 
     ``places`` holds the place of each checked column in the row's own file. Each
@@ -83,11 +101,11 @@ def first_fault_by_place(types: Mapping[str, str], places: Column, strict: bool
     """
     faults = []
     for i, c in enumerate(checked_columns(types, strict)):
-        fault = column_fault(c, types[c], strict)
+        fault = column_fault(c, types[c], df.schema[c].dataType, strict)
         entry = F.struct(F.get(places, F.lit(i)).alias("place"), fault.alias("fault"))
         faults.append(F.when(fault.isNotNull(), entry))
     if not faults:
-        return column_fault("", "VARCHAR(255)")
+        return F.lit(None).cast(_NO_FAULT)
     return F.array_min(F.array_compact(F.array(*faults)))["fault"]
 
 
@@ -102,12 +120,13 @@ def fault_message(fault: Column | None = None) -> Column:
 
 def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
     """Add the first fault of every row; rows without one are good."""
-    return df.withColumn(FAULT, first_fault(types, order, strict))
+    return df.withColumn(FAULT, first_fault(df, types, order, strict))
 
 
 def good_rows(checked: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Rows without a fault, with typed values."""
-    values = [typed_value(F.col(f"`{c}`"), t).alias(c) for c, t in types.items()]
+    schema = checked.schema
+    values = [typed_value(F.col(f"`{c}`"), t, schema[c].dataType).alias(c) for c, t in types.items()]
     return checked.where(F.col(FAULT).isNull()).select(*keep, *values)
 
 
@@ -115,7 +134,7 @@ def bad_rows(checked: DataFrame, types: Mapping[str, str], keep: Sequence[str] =
     """Faulty rows with their values as written and the reason."""
     return checked.where(F.col(FAULT).isNotNull()).select(
         *keep,
-        *[F.col(f"`{c}`") for c in types],
+        *as_written(checked, list(types)),
         F.col(FAULT)["column"].alias("error_column"),
         F.col(FAULT)["expected"].alias("expected"),
         fault_message().alias("error"),

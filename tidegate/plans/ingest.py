@@ -228,7 +228,7 @@ class Load:
         numbered = ids.apply_offsets(staged, offsets, "file")
         loaded = validate.good_rows(numbered, types, ["id", F.col("file").alias("_src_file")])
         self.store.write(loaded, self.config.table, run)
-        payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+        payload = F.to_json(F.struct(*clean.as_written(numbered, columns)), {"ignoreNullFields": "false"})
         bad = numbered.where(~good).select(
             "file",
             ids.ORDINAL,
@@ -250,7 +250,7 @@ class Load:
         listed = [(x.file, [x.columns.index(c) for c in checked]) for x in layouts]
         # One row per file of the batch, whose number is capped.
         guide = F.broadcast(small_table(self.spark, listed, "file string, _places array<int>"))
-        fault = validate.first_fault_by_place(types, F.col("_places"), strict)
+        fault = validate.first_fault_by_place(rows, types, F.col("_places"), strict)
         return rows.join(guide, "file").withColumn(validate.FAULT, fault).drop("_places")
 
     # --- books ------------------------------------------------------------------
@@ -290,7 +290,7 @@ class Load:
         rows = clean.Kinds(facts, "file", fields).apply(rows)
         rows = clean.dedupe_rows(rows, "file", "pos", fields)
         names = small_table(self.spark, [(x.file, list(x.columns)) for x in layouts], "file string, names array<string>")
-        values = F.slice(F.array(*fields), F.lit(1), F.size("names"))
+        values = F.slice(F.array(*clean.as_written(rows, fields)), F.lit(1), F.size("names"))
         payload = F.to_json(F.map_from_arrays("names", values), {"ignoreNullFields": "false"})
         return rows.join(F.broadcast(names), "file").select("file", "pos", payload.alias("payload"))
 

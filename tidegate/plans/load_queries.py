@@ -257,7 +257,8 @@ def header_collisions(spark, sf_dir):
 
 @query("dedupe_rows", ORACLE + f"SELECT src_file, pos, copies, {', '.join(COLUMNS)} FROM deduped")
 def dedupe_rows(spark, sf_dir):
-    return deduped(spark, sf_dir).select(FILE, POS, "copies", *COLUMNS)
+    rows = deduped(spark, sf_dir)
+    return rows.select(FILE, POS, "copies", *clean.as_written(rows, COLUMNS))
 
 
 @query("duplicate_count", ORACLE + "SELECT src_file, CAST(SUM(copies - 1) AS BIGINT) AS duplicates FROM deduped GROUP BY src_file")
@@ -272,7 +273,8 @@ def null_counts(spark, sf_dir):
 
 @query("null_fill", ORACLE + f"SELECT src_file, pos, {', '.join(f'COALESCE({c}, {chr(39)}NULL{chr(39)}) AS {c}' for c in COLUMNS)} FROM deduped")
 def null_fill(spark, sf_dir):
-    return clean.fill_nulls(deduped(spark, sf_dir), COLUMNS).select(FILE, POS, *COLUMNS)
+    rows = deduped(spark, sf_dir)
+    return clean.fill_nulls(rows.select(FILE, POS, *clean.as_written(rows, COLUMNS)), COLUMNS)
 
 
 @query(
