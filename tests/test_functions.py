@@ -105,7 +105,7 @@ DATES = [
 
 
 def test_dates(spark):
-    got = evaluate(spark, [d for d, _ in DATES], dates.date_value(F.col("v")).cast("string"))
+    got = evaluate(spark, [d for d, _ in DATES], dates.date_value(text.strip(F.col("v"))).cast("string"))
     assert got == [w for _, w in DATES]
     for value, want in DATES:
         if value:

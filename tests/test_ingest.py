@@ -67,6 +67,56 @@ def test_narrow_files(load):
     assert tuple(summary) == (4, 3, 1, 0, 16, 2)
 
 
+def test_colliding_and_odd_column_names(load):
+    run = load({"a__csv": "A B,a_b,x.y,,days/week\n1,2,3,4,5\n", "b__csv": "a b,A_B,X.Y,,Days/Week\n6,7,oops,9,1.5\n6,7,8,9,10\n"})
+    run.run_all()
+    assert list(run.registered_schema().types) == ["a_b", "a_b.1", "x_y", "unnamed:_3", "days/week"]
+    assert rows(run.table().drop("_src_file"), "id") == [(1, 1, 2, 3, 4, 5), (3, 6, 7, 8, 9, 10)]
+    assert run.store.finished(st.BAD_ROWS).first()["error"] == "Column 'x_y' expects INT, got 'oops'"
+
+
+# A wide table in the shape of the fixtures: numbers, one narrow integer column
+# written with fractions, one beyond 64 bits, and text with commas.
+WIDE_TEXT = [f"Text {i} (kind)" for i in range(15)]
+WIDE_NUMBERS = [f"Number.{i}" for i in range(37)]
+
+
+def wide_file(rows, faults=()):
+    header = [*WIDE_NUMBERS, "Calories", "Burn (bc)", *WIDE_TEXT]
+    lines = [",".join(header)]
+    for r in range(rows):
+        numbers = [str(round(r * 1.37 + i / 7 + 0.01, 6)) for i in range(37)]
+        for row, column, word in faults:
+            if row == r:
+                numbers[column] = word
+        texts = [f'"Quads, Glutes {i}"' if i % 5 == 0 else f"t{r}{i}" for i in range(15)]
+        lines.append(",".join([*numbers, f"{1500 + r}.0", f"{r + 1}.25e+20", *texts]))
+    return "\n".join(lines)
+
+
+def test_wide_files(load):
+    run = load(
+        {
+            "data_1__csv": wide_file(7),
+            "data_2__csv": wide_file(6),
+            "data_3__csv": wide_file(7, [(2, 5, "hello"), (2, 30, "again"), (5, 33, "hi")]),
+            "data_4__csv": "name,age\nAl ,39 \nBo,77\nCy,78",
+        }
+    )
+    run.run_all()
+    types = run.registered_schema().types
+    kinds = list(types.values())
+    assert (kinds.count("DOUBLE"), kinds.count("SMALLINT"), kinds.count("VARCHAR(100)")) == (38, 1, 15)
+    assert types["calories"] == "SMALLINT" and types["burn_bc"] == "DOUBLE"
+    assert [r["id"] for r in run.table().select("id").orderBy("id").collect()] == [*range(1, 16), 17, 18, 20]
+    assert rows(run.store.finished(st.BAD_ROWS).select("row_number", "error"), "row_number") == [
+        (4, "Column 'number_5' expects FLOAT, got 'hello'"),
+        (7, "Column 'number_33' expects FLOAT, got 'hi'"),
+    ]
+    held = [json.loads(r["payload"]) for r in run.store.finished(st.BAD_FILES).orderBy("pos").collect()]
+    assert held == [{"name": "Al ", "age": "39"}, {"name": "Bo", "age": "77"}, {"name": "Cy", "age": "78"}]
+
+
 def test_batches_continue_ids_and_rerun_is_a_no_op(load):
     run = load(NARROW, files_per_batch=1)
     assert run.run_all() == 4

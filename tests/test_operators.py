@@ -300,5 +300,5 @@ def test_backlog_is_a_true_difference(spark):
 def test_errors_follow_the_column_order_of_the_file(spark):
     df = spark.createDataFrame([("x", "y", [0, 1]), ("x", "y", [1, 0]), ("1", "y", [0, 1]), ("1", "2", [1, 0])], "p string, q string, places array<int>")
     types = {"p": "INT", "q": "DOUBLE"}
-    got = df.select(validate.first_fault_by_place(df, types, F.col("places"))["column"].alias("c")).collect()
+    got = validate.check_rows(df, types, places="places").select(F.col(validate.FAULT)["column"].alias("c")).collect()
     assert [r["c"] for r in got] == ["p", "q", "q", None]

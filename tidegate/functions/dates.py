@@ -19,23 +19,20 @@ DATE_LAYOUTS = (
 ISO_STAMP = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 
 
-def timestamp_value(value: Column) -> Column:
-    """Timestamp of the text under any accepted layout, else NULL.
+def timestamp_value(text: Column) -> Column:
+    """Timestamp of a stripped text under any accepted layout, else NULL.
 
     The shape test comes first: it is cheap, and keeps the parser from raising
     and catching an exception for every text that is no date at all.
     """
-    text = F.btrim(value)
     parsed = F.when(text.rlike(ISO_STAMP), text.try_cast("timestamp"))
     for shape, layout in DATE_LAYOUTS:
-        parsed = parsed.when(
-            text.rlike(shape),
-            F.try_to_timestamp(F.replace(text, F.lit(","), F.lit("")), F.lit(layout)),
-        )
+        plain = F.replace(text, F.lit(","), F.lit("")) if "," in shape else text
+        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(plain, F.lit(layout)))
     return parsed
 
 
-def date_value(value: Column) -> Column:
-    """Date of the text; the usual layout takes a shorter way."""
-    usual = F.when(value.rlike(DATE_SHAPE), value.try_cast("date"))
-    return F.coalesce(usual, timestamp_value(value).cast("date"))
+def date_value(text: Column) -> Column:
+    """Date of a stripped text; the usual layout takes a shorter way."""
+    usual = text.rlike(DATE_SHAPE)
+    return F.when(usual, text.try_cast("date")).otherwise(timestamp_value(text).cast("date"))

@@ -28,17 +28,23 @@ INTEGER_TYPES = {"TINYINT": "tinyint", "SMALLINT": "smallint", "INT": "int", "BI
 TWO_63 = float(2**63)
 
 
+# Functions of ``text`` expect it stripped; functions of ``value`` strip it themselves.
+
+
 def votes_numeric(value: Column) -> Column:
     return strip(value).rlike(VOTE_PATTERN)
 
 
-def vote_value(value: Column) -> Column:
-    """Value of a text accepted by :func:`votes_numeric`, NULL otherwise."""
-    text = strip(value)
+def vote_number(text: Column) -> Column:
+    """Value of a text the vote accepts, NULL otherwise."""
     number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     # A signed NaN is a number to the grammar but not to the cast.
-    signed_nan = F.lower(text).rlike("^[+-]nan$")
-    return F.when(text.rlike(VOTE_PATTERN), F.coalesce(number, F.when(signed_nan, F.lit(float("nan")))))
+    signed_nan = F.when(F.lower(text).rlike("^[+-]nan$"), F.lit(float("nan")))
+    return F.when(text.rlike(VOTE_PATTERN), F.coalesce(number, signed_nan))
+
+
+def vote_value(value: Column) -> Column:
+    return vote_number(strip(value))
 
 
 def reading_number(text: Column) -> Column:
@@ -68,13 +74,17 @@ def is_wide_integer(text: Column) -> Column:
     return (F.char_length(text) > 18) & text.rlike(INTEGER_PATTERN)
 
 
-def integer_value(value: Column, sql_type: str) -> Column:
+def integer_number(text: Column, sql_type: str) -> Column:
     """Integer in ``sql_type``, truncated toward zero; NULL if it does not fit.
 
     Integer literals are cast directly, which keeps all digits beyond 2**53; all
     other numbers go through double.
     """
     target = INTEGER_TYPES[sql_type]
-    bare = F.replace(strip(value), F.lit("_"), F.lit(""))
+    bare = F.replace(text, F.lit("_"), F.lit(""))
     whole = F.when(bare.rlike(INTEGER_PATTERN), bare.try_cast(target)).otherwise(bare.try_cast("double").try_cast(target))
-    return F.when(votes_numeric(value), whole)
+    return F.when(text.rlike(VOTE_PATTERN), whole)
+
+
+def integer_value(value: Column, sql_type: str) -> Column:
+    return integer_number(strip(value), sql_type)

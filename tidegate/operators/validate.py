@@ -30,83 +30,91 @@ def expected_kind(sql_type: str) -> str | None:
     return None
 
 
-def typed_value(value: Column, sql_type: str, source: T.DataType = T.StringType()) -> Column:
-    """The value as the column's type, NULL where it does not convert.
-
-    Columns that were read as numbers or booleans convert by a plain cast; only
-    text is parsed.
-    """
-    target = spark_type(sql_type)
-    if isinstance(source, T.BooleanType):
-        text = F.initcap(value.cast("string"))
-        return value if target == source else typed_value(text, sql_type)
-    if isinstance(source, T.NumericType):
-        if isinstance(target, (T.NumericType, T.StringType)):
-            return value if target == source else value.try_cast(target.simpleString())
-        value = value.cast("string")
+def parsed_value(text: Column, sql_type: str) -> Column:
+    """A stripped text as the column's type, NULL where it does not convert."""
     if sql_type in numbers.INTEGER_TYPES:
-        return numbers.integer_value(value, sql_type)
+        return numbers.integer_number(text, sql_type)
     if sql_type == "DOUBLE":
-        return numbers.vote_value(value)
+        return numbers.vote_number(text)
     if sql_type == "DATE":
-        return dates.date_value(value)
+        return dates.date_value(text)
     if sql_type == "DATETIME":
-        return dates.timestamp_value(value)
-    if sql_type == "BOOLEAN":
-        return strip(value).try_cast("boolean")
-    return value
-
+        return dates.timestamp_value(text)
+    return text.try_cast("boolean")
 
-_NO_FAULT = "struct<column:string,expected:string,value:string>"
 
+def typed_values(df: DataFrame, types: Mapping[str, str], prefix: str = "") -> DataFrame:
+    """Add every column under its table type, NULL where a value does not convert.
 
-def column_fault(column: str, sql_type: str, source: T.DataType = T.StringType(), strict: bool = False) -> Column:
-    """``(column, expected, value)`` if the value does not fit, else NULL.
-
-    NULL fits every column, text fits every text column. ``strict`` also holds
-    text to its declared length.
+    Columns that were read as numbers or booleans convert by a plain cast; only
+    text is parsed. Stripping is a step of its own so that it happens once.
     """
-    value = F.col(f"`{column}`")
-    kind = expected_kind(sql_type)
-    if kind is not None and source == spark_type(sql_type):
-        return F.lit(None).cast(_NO_FAULT)
-    if kind is not None:
-        bad = value.isNotNull() & typed_value(value, sql_type, source).isNull()
-    elif strict and sql_type.startswith("VARCHAR("):
-        kind = sql_type
-        bad = F.char_length(value.cast("string")) > int(sql_type[8:-1])
-    else:
-        return F.lit(None).cast(_NO_FAULT)
-    text = value.cast("string").alias("value")
-    return F.when(bad, F.struct(F.lit(column).alias("column"), F.lit(kind).alias("expected"), text))
-
-
-def checked_columns(types: Mapping[str, str], strict: bool = False) -> list[str]:
-    """Columns that can reject a value."""
-    return [c for c in types if strict or expected_kind(types[c]) is not None]
-
-
-def first_fault(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> Column:
-    """The first column, in file order, whose value does not fit."""
-    checked = set(checked_columns(types, strict))
-    faults = [column_fault(c, types[c], df.schema[c].dataType, strict) for c in (order or types) if c in checked]
-    return F.coalesce(*faults) if faults else F.lit(None).cast(_NO_FAULT)
-
-
-def first_fault_by_place(df: DataFrame, types: Mapping[str, str], places: Column, strict: bool = False) -> Column:
-    """First fault where files list the same columns in different orders.
-
-    ``places`` holds the place of each checked column in the row's own file. Each
-    column is checked once; the fault at the least place wins.
+    texts, values = {}, {}
+    for c, sql_type in types.items():
+        value, source, target = F.col(f"`{c}`"), df.schema[c].dataType, spark_type(sql_type)
+        text = F.initcap(value.cast("string")) if source == T.BooleanType() else value.cast("string")
+        if expected_kind(sql_type) is None:
+            values[prefix + c] = text
+        elif source == target:
+            values[prefix + c] = value
+        elif isinstance(source, T.NumericType) and isinstance(target, T.NumericType):
+            values[prefix + c] = value.try_cast(target.simpleString())
+        else:
+            texts[f"_text_{c}"] = strip(text)
+            values[prefix + c] = parsed_value(F.col(f"`_text_{c}`"), sql_type)
+    return df.withColumns(texts).withColumns(values).drop(*texts)
+
+
+def column_checks(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> dict[str, tuple[str, Column]]:
+    """For each column that can reject a value: what it expects and when it rejects.
+
+    The conditions refer to the typed values under the prefix ``_value_``. NULL
+    fits every column, text fits every text column. ``strict`` also holds text to
+    its declared length.
     """
-    faults = []
-    for i, c in enumerate(checked_columns(types, strict)):
-        fault = column_fault(c, types[c], df.schema[c].dataType, strict)
-        entry = F.struct(F.get(places, F.lit(i)).alias("place"), fault.alias("fault"))
-        faults.append(F.when(fault.isNotNull(), entry))
-    if not faults:
-        return F.lit(None).cast(_NO_FAULT)
-    return F.array_min(F.array_compact(F.array(*faults)))["fault"]
+    checks = {}
+    for c, sql_type in types.items():
+        value, kind = F.col(f"`{c}`"), expected_kind(sql_type)
+        if kind is not None:
+            checks[c] = (kind, value.isNotNull() & F.col(f"`_value_{c}`").isNull())
+        elif strict and sql_type.startswith("VARCHAR("):
+            checks[c] = (sql_type, F.char_length(value.cast("string")) > int(sql_type[8:-1]))
+    return checks
+
+
+def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False, places: str | None = None) -> DataFrame:
+    """Add the first fault of every row, ``(column, expected, value)`` or NULL.
+
+    First means first in the column order of the row's file: ``order`` if all
+    files share one, else ``places``, a column with the place of every column of
+    ``types`` in the row's own file. Each column is checked once.
+    """
+    checks = column_checks(df, types, strict)
+    if not checks:
+        return df.withColumn(FAULT, F.lit(None).cast("struct<column:string,expected:string,value:string>"))
+    names = [c for c in (order or types) if c in checks]
+    if places is None:
+        number = F.when(F.lit(False), F.lit(0))
+        for i, c in enumerate(names):
+            number = number.when(checks[c][1], F.lit(i))
+    else:
+        at = list(types)
+        found = [
+            F.when(checks[c][1], F.struct(F.get(places, F.lit(at.index(c))).alias("place"), F.lit(i).alias("no")))
+            for i, c in enumerate(names)
+        ]
+        number = F.array_min(F.array_compact(F.array(*found)))["no"]
+    no = F.col("_fault_no")
+    value = F.when(F.lit(False), F.lit(""))
+    for i, text in enumerate(as_written(df, names)):
+        value = value.when(no == i, text)
+    fault = F.struct(
+        F.get(F.array(*[F.lit(c) for c in names]), no).alias("column"),
+        F.get(F.array(*[F.lit(checks[c][0]) for c in names]), no).alias("expected"),
+        value.alias("value"),
+    )
+    judged = typed_values(df, {c: types[c] for c in names}, "_value_").withColumn("_fault_no", number)
+    return judged.withColumn(FAULT, F.when(no.isNotNull(), fault)).drop("_fault_no", *[f"_value_{c}" for c in names])
 
 
 def fault_message(fault: Column | None = None) -> Column:
@@ -118,16 +126,10 @@ def fault_message(fault: Column | None = None) -> Column:
     return F.when(fault.isNotNull(), text)
 
 
-def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
-    """Add the first fault of every row; rows without one are good."""
-    return df.withColumn(FAULT, first_fault(df, types, order, strict))
-
-
 def good_rows(checked: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Rows without a fault, with typed values."""
-    schema = checked.schema
-    values = [typed_value(F.col(f"`{c}`"), t, schema[c].dataType).alias(c) for c, t in types.items()]
-    return checked.where(F.col(FAULT).isNull()).select(*keep, *values)
+    good = checked.where(F.col(FAULT).isNull())
+    return typed_values(good, types).select(*keep, *[F.col(f"`{c}`") for c in types])
 
 
 def bad_rows(checked: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

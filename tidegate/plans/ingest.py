@@ -246,12 +246,10 @@ class Load:
         strict = self.config.strict
         if len({layout.columns for layout in layouts}) == 1:
             return validate.check_rows(rows, types, layouts[0].columns, strict)
-        checked = validate.checked_columns(types, strict)
-        listed = [(x.file, [x.columns.index(c) for c in checked]) for x in layouts]
+        listed = [(x.file, [x.columns.index(c) for c in types]) for x in layouts]
         # One row per file of the batch, whose number is capped.
         guide = F.broadcast(small_table(self.spark, listed, "file string, _places array<int>"))
-        fault = validate.first_fault_by_place(rows, types, F.col("_places"), strict)
-        return rows.join(guide, "file").withColumn(validate.FAULT, fault).drop("_places")
+        return validate.check_rows(rows.join(guide, "file"), types, strict=strict, places="_places").drop("_places")
 
     # --- books ------------------------------------------------------------------
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions import dates, numbers
 from tidegate.functions.text import clean_header, table_columns_of
 from tidegate.operators import audit, clean, ids, infer, validate
 from tidegate.plans import dirty
@@ -291,10 +290,14 @@ def column_samples(spark, sf_dir):
 # --- row checks ---------------------------------------------------------------
 
 
-def _check_one(spark, sf_dir, column: str, sql_type: str, value) -> DataFrame:
+def _check_one(spark, sf_dir, column: str, sql_type: str) -> DataFrame:
+    types = {column: sql_type}
     rows = decoded(spark, sf_dir).select(FILE, POS, column)
-    fault = validate.column_fault(column, sql_type)
-    return rows.select(FILE, POS, F.col(column).alias("text"), value.alias("value"), validate.fault_message(fault).alias("error"))
+    checked = validate.typed_values(validate.check_rows(rows, types), types, "value_of_")
+    value = F.col(f"value_of_{column}")
+    return checked.select(
+        FILE, POS, F.col(column).alias("text"), (value.cast("string") if sql_type == "DATE" else value).alias("value"), validate.fault_message().alias("error")
+    )
 
 
 def _check_sql(column: str, kind: str, value: str) -> str:
@@ -309,12 +312,12 @@ _INT_SQL = "TRY_CAST(TRUNC(TRY_CAST(TRIM(cust) AS DOUBLE)) AS BIGINT)"
 
 @query("validate_int", _check_sql("cust", "INT", _INT_SQL))
 def validate_int(spark, sf_dir):
-    return _check_one(spark, sf_dir, "cust", "BIGINT", numbers.integer_value(F.col("cust"), "BIGINT"))
+    return _check_one(spark, sf_dir, "cust", "BIGINT")
 
 
 @query("validate_float", _check_sql("price", "FLOAT", "TRY_CAST(TRIM(price) AS DOUBLE)"))
 def validate_float(spark, sf_dir):
-    return _check_one(spark, sf_dir, "price", "DOUBLE", numbers.vote_value(F.col("price")))
+    return _check_one(spark, sf_dir, "price", "DOUBLE")
 
 
 _DATE_SQL = "CAST(" + dirty._DATE + " AS VARCHAR)"
@@ -322,7 +325,7 @@ _DATE_SQL = "CAST(" + dirty._DATE + " AS VARCHAR)"
 
 @query("validate_date", _check_sql("odate", "DATE", _DATE_SQL))
 def validate_date(spark, sf_dir):
-    return _check_one(spark, sf_dir, "odate", "DATE", dates.date_value(F.col("odate")).cast("string"))
+    return _check_one(spark, sf_dir, "odate", "DATE")
 
 
 @query(
