@@ -11,6 +11,7 @@ from tidegate.functions.text import clean_header, table_columns_of
 from tidegate.operators import audit, clean, ids, infer, validate
 from tidegate.plans import dirty
 from tidegate.plans.dirty import COLUMNS, FILE, ORACLE, POS, VOTE, table
+from tidegate.session import lookup, scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,12 +57,29 @@ def main_types(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return infer.collect_types(infer.infer_schema(rows.select(*COLUMNS)))
 
 
-def checked(spark: SparkSession, sf_dir: str, types: dict[str, str]) -> DataFrame:
-    return validate.check_rows(deduped(spark, sf_dir), types)
+_staged: dict[tuple[str, str], tuple[DataFrame, dict[str, str]]] = {}
 
 
-def numbered(spark: SparkSession, sf_dir: str, types: dict[str, str]) -> DataFrame:
-    return ids.number_rows(checked(spark, sf_dir, types), FILE, POS, F.col(validate.FAULT).isNull())
+def staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
+    """Deduplicated, ranked and checked rows on disk, and the types they met.
+
+    Staged once per application. Everything after it reads only the columns it
+    needs, instead of running the cleaning again for each of its passes.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staged:
+        types = main_types(spark, sf_dir)
+        ranked = ids.rank_in_chunks(deduped(spark, sf_dir), FILE, POS)
+        path = scratch_path(spark, "staged")
+        validate.check_rows(ranked, types).write.parquet(path)
+        _staged[key] = (spark.read.parquet(path), types)
+    return _staged[key]
+
+
+def numbered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
+    rows, types = staged(spark, sf_dir)
+    tallies = settle(ids.tally_chunks(rows, FILE, F.col(validate.FAULT).isNull()))
+    return ids.apply_offsets(rows, lookup(ids.chunk_offsets(tallies, FILE), tallies), FILE), types
 
 
 # --- inference ----------------------------------------------------------------
@@ -333,20 +351,19 @@ def validate_date(spark, sf_dir):
     ORACLE + "SELECT src_file, COUNT(CASE WHEN error IS NULL THEN 1 END) AS good, COUNT(error) AS bad FROM messages GROUP BY src_file",
 )
 def validate_rows(spark, sf_dir):
-    rows = checked(spark, sf_dir, main_types(spark, sf_dir))
+    rows, _ = staged(spark, sf_dir)
     fault = F.col(validate.FAULT)
     return rows.groupBy(FILE).agg(F.count_if(fault.isNull()).alias("good"), F.count_if(fault.isNotNull()).alias("bad"))
 
 
 @query("first_error", ORACLE + "SELECT src_file, pos, error_column, error FROM messages WHERE error IS NOT NULL")
 def first_error(spark, sf_dir):
-    types = main_types(spark, sf_dir)
-    return validate.bad_rows(checked(spark, sf_dir, types), types, [FILE, POS]).select(FILE, POS, "error_column", "error")
+    rows, types = staged(spark, sf_dir)
+    return validate.bad_rows(rows, types, [FILE, POS]).select(FILE, POS, "error_column", "error")
 
 
 def _bad(spark, sf_dir) -> DataFrame:
-    types = main_types(spark, sf_dir)
-    rows = numbered(spark, sf_dir, types)
+    rows, types = numbered(spark, sf_dir)
     return validate.bad_rows(rows, types, [FILE, ids.ORDINAL])
 
 
@@ -371,8 +388,8 @@ def error_sample(spark, sf_dir):
 
 @query("error_breakdown", ORACLE + "SELECT src_file, error_column, expected, COUNT(*) AS errors FROM messages WHERE error IS NOT NULL GROUP BY ALL")
 def error_breakdown(spark, sf_dir):
-    types = main_types(spark, sf_dir)
-    return validate.error_breakdown(validate.bad_rows(checked(spark, sf_dir, types), types, [FILE]), FILE)
+    rows, types = staged(spark, sf_dir)
+    return validate.error_breakdown(validate.bad_rows(rows, types, [FILE]), FILE)
 
 
 @query("quarantine_rows", ORACLE + f"SELECT src_file, ordinal, {', '.join(COLUMNS)}, error FROM messages WHERE error IS NOT NULL")
@@ -385,13 +402,13 @@ def quarantine_rows(spark, sf_dir):
 
 @query("surrogate_ids", ORACLE + "SELECT src_file, pos, ordinal, id, error IS NULL AS good FROM loaded")
 def surrogate_ids(spark, sf_dir):
-    rows = numbered(spark, sf_dir, main_types(spark, sf_dir))
+    rows, _ = numbered(spark, sf_dir)
     return rows.select(FILE, POS, ids.ORDINAL, "id", F.col(validate.FAULT).isNull().alias("good"))
 
 
 @query("max_id", ORACLE + "SELECT COALESCE(MAX(id), 0) AS max_id FROM loaded WHERE error IS NULL")
 def max_id(spark, sf_dir):
-    rows = numbered(spark, sf_dir, main_types(spark, sf_dir))
+    rows, _ = numbered(spark, sf_dir)
     return ids.max_id(rows.where(F.col(validate.FAULT).isNull()))
 
 
@@ -401,8 +418,8 @@ def max_id(spark, sf_dir):
     "flag = 'True' AS flag, status, note FROM loaded WHERE error IS NULL",
 )
 def load_good_rows(spark, sf_dir):
-    types = main_types(spark, sf_dir)
-    good = validate.good_rows(numbered(spark, sf_dir, types), types, ["id", FILE])
+    rows, types = numbered(spark, sf_dir)
+    good = validate.good_rows(rows, types, ["id", FILE])
     return good.withColumns({"odate": F.col("odate").cast("string"), "cust": F.col("cust").cast("long"), "qty": F.col("qty").cast("long")})
 
 
@@ -422,7 +439,7 @@ def file_audit(spark, sf_dir):
 
 @query("load_audit", ORACLE + "SELECT src_file, COUNT(*) - COUNT(error) AS rows_loaded, COUNT(error) AS rows_bad FROM messages GROUP BY src_file")
 def load_audit(spark, sf_dir):
-    rows = checked(spark, sf_dir, main_types(spark, sf_dir))
+    rows, _ = staged(spark, sf_dir)
     return audit.load_audit(rows, FILE, F.col(validate.FAULT).isNull())
 
 
