@@ -16,7 +16,7 @@ from tidegate.plans.dirty import table
 from tidegate.plans.ingest import FLAGS, Load, LoadConfig
 from tidegate.plans.landing import COLUMNS, HEADER, ORACLE_ROWS, OTHER, OTHER_HEADER, RAGGED, REORDERED, landing
 from tidegate.plans.profile_queries import TABLES
-from tidegate.session import scratch_path
+from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
 from tidegate.sinks import store as st
 from tidegate.sources import csv, files
@@ -108,7 +108,8 @@ def backlog(spark, sf_dir):
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.header_registry(_files(spark, sf_dir))
+    """One row per file, settled so that no file is opened twice."""
+    return settle(files.header_registry(_files(spark, sf_dir)))
 
 
 def _by_kind(usual: str, reordered: str, other: str) -> str:
@@ -300,7 +301,7 @@ def staged_roundtrip(spark, sf_dir):
     return back.select(dirty.FILE, dirty.POS, "copies", *clean.as_written(back, dirty.COLUMNS))
 
 
-@query("csv_export", f"SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+@query("csv_export", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def csv_export(spark, sf_dir):
     """A table exported as CSV and read back."""
     path = scratch_path(spark, "export")

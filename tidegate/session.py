@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A lookup side is broadcast up to this many rows; beyond it Spark joins by shuffle.
-BROADCAST_ROWS = 500_000
+# A lookup side (a few short fields per row) is broadcast up to this many rows,
+# some 150 MB; beyond it Spark joins by shuffle.
+BROADCAST_ROWS = 2_000_000
 
 _local_dir: str | None = None
 
