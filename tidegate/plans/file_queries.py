@@ -19,7 +19,7 @@ from tidegate.plans.profile_queries import TABLES
 from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
 from tidegate.sinks import store as st
-from tidegate.sources import csv, files
+from tidegate.sources import csv, files, tables
 from tidegate.sources.csv import Layout
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -321,9 +321,8 @@ def table_catalog(spark, sf_dir):
     prefix = "tidegate_catalog_"
     for t in TABLES:
         table(spark, sf_dir, t).createOrReplaceTempView(prefix + t)
-    known = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
     out = None
-    for name in known:
+    for name in tables.list_tables(spark, prefix):
         df = spark.table(name)
         one = df.agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(
             F.lit(name.removeprefix(prefix)).alias("table_name"), F.lit(len(df.columns)).cast("long").alias("columns"), "has_rows"

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
-from tidegate.session import lookup, settle, small_table, tune
+from tidegate.session import lookup, settle, shuffle_sized_for, small_table, tune
 from tidegate.sinks import store as st
 from tidegate.sinks.store import Store
 from tidegate.sources import csv, files
@@ -114,8 +114,12 @@ class Load:
         """Load one capped batch of pending files."""
         started = time.time()
         registry = files.header_registry(pending).orderBy("file").collect()
-        if not registry:
-            return 0
+        if registry:
+            with shuffle_sized_for(self.spark, sum(r["length"] for r in registry)):
+                self._load_batch(registry, started)
+        return len(registry)
+
+    def _load_batch(self, registry: list, started: float) -> None:
         run = self.store.last_run() + 1
         known = self.registered_schema()
         judged, main, facts, other_facts = self._judge(registry, known)
@@ -128,7 +132,6 @@ class Load:
         if good and (known is None or known.types is None):
             self._register(run, main)
         self._checkpoint(run, judged)
-        return len(registry)
 
     # --- which files fit --------------------------------------------------------
 

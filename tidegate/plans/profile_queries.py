@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegate.functions.text import NULL_TOKENS
 from tidegate.operators import clean, profile
 from tidegate.plans import dirty
 from tidegate.plans.dirty import table
+from tidegate.sources import tables
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -263,7 +263,7 @@ def _count_sql(t: str) -> str:
 
 @query("row_count", "SELECT COUNT(*) AS row_count FROM lineitem")
 def row_count(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("row_count"))
+    return tables.row_count(table(spark, sf_dir, "lineitem"))
 
 
 @query("table_stats", _union([_count_sql(t) for t in TABLES]))
@@ -282,7 +282,7 @@ def table_stats_summary(spark, sf_dir):
 @query("table_preview", "SELECT * FROM customer ORDER BY c_custkey LIMIT 10000")
 def table_preview(spark, sf_dir):
     """The feature is a limited scan; the order makes it repeatable."""
-    return table(spark, sf_dir, "customer").orderBy("c_custkey").limit(10_000)
+    return tables.preview(table(spark, sf_dir, "customer"), "c_custkey")
 
 
 @query("adhoc_avg", "SELECT ROUND(AVG(c_acctbal), 4) AS average_balance FROM customer")
@@ -298,14 +298,6 @@ def adhoc_filter_count(spark, sf_dir):
     return spark.sql("SELECT COUNT(*) AS n FROM {events} WHERE value > 50", events=table(spark, sf_dir, "events"))
 
 
-# Spark's type names -> the names used in results.
-TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
-
-
-def type_name(data_type: T.DataType) -> str:
-    return TYPE_NAMES.get(data_type.simpleString(), data_type.simpleString().upper())
-
-
 _TYPEOF = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"]
 
 
@@ -314,10 +306,7 @@ _TYPEOF = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"]
     _union([f"SELECT '{c}' AS \"column\", typeof({c}) AS type, COUNT(*) AS n FROM orders GROUP BY typeof({c})" for c in _TYPEOF]),
 )
 def adhoc_typeof(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    names = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
-    types = F.array(*[F.struct(F.lit(c).alias("column"), names[F.typeof(c)].alias("type")) for c in _TYPEOF])
-    return orders.select(F.inline(types)).groupBy("column", "type").agg(F.count(F.lit(1)).alias("n"))
+    return tables.value_types(table(spark, sf_dir, "orders"), _TYPEOF)
 
 
 _DESCRIBED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -333,14 +322,7 @@ _DESCRIBED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
     ),
 )
 def describe_table(spark, sf_dir):
-    """Column names and types from the schema, with how many values each column has."""
-    df = table(spark, sf_dir, "orders")
-    counts = df.agg(*[F.count(f.name).alias(f.name) for f in df.schema.fields])
-    rows = [
-        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(type_name(f.dataType)).alias("type"), F.col(f.name).alias("filled"))
-        for i, f in enumerate(df.schema.fields, 1)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    return tables.describe(table(spark, sf_dir, "orders"))
 
 
 @query(

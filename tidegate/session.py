@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # some 150 MB; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 2_000_000
 
+# Bytes of input per shuffle partition, and the most partitions a load asks for.
+PARTITION_BYTES = 1 << 27
+MOST_PARTITIONS = 50_000
+
 _local_dir: str | None = None
 
 
@@ -35,13 +40,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffle_sized_for(spark: SparkSession, size: int):
+    """Enough shuffle partitions for ``size`` bytes while a job runs.
+
+    Adaptive execution merges partitions that turn out small, but cannot split
+    the number it starts with.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
+    spark.conf.set(name, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a session that names none (tests on one machine) gets a private one.
     """
     global _local_dir
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if _local_dir is None:
