@@ -206,8 +206,8 @@ def test_missing_table_is_rebuilt(load, tmp_path):
     assert rows(run.table().select("id", "name", "age"), "id") == [(1, "Uma", 3000), (2, "Vic", 1)]
 
 
-@pytest.mark.parametrize("split", ["97b", "1000b", "64m"])
-def test_result_does_not_depend_on_splits(load, spark, split):
+@pytest.mark.parametrize("split, packed", [("97b", None), ("1000b", None), ("1000b", 3), ("64m", None)])
+def test_result_does_not_depend_on_splits(load, spark, split, packed):
     lines = [f"{i % 700},w{i % 350}{'x' * (i % 5)}" + ("" if i % 11 else ",") for i in range(3000)]
     body = "k,v,z\n" + "\n".join(line if line.endswith(",") else line + ",ok" for line in lines)
     other = "k,v,z\n" + "\n".join(f"{'no' if i % 9 == 0 else i},w,{i}" for i in range(500))
@@ -218,12 +218,15 @@ def test_result_does_not_depend_on_splits(load, spark, split):
             seen.add(key)
             expected.append(key.split(","))
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    if packed:
+        spark.conf.set("spark.sql.files.maxPartitionNum", packed)
     try:
         run = load({"a__csv": body, "b__csv": other}, chunk_span=512)
         run.run_all()
         got = rows(run.table().select("id", "k", "v", "z"), "id")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
     want = [(i, int(k), v, z or None) for i, (k, v, z) in enumerate(expected, 1)]
     want += [(len(expected) + i + 1, i, "w", str(i)) for i in range(500) if i % 9]
     assert got == want

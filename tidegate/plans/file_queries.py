@@ -163,15 +163,10 @@ def schema_router(spark, sf_dir):
     return gate.route_by_schema(_registry(spark, sf_dir)).select("file", "table_name")
 
 
-def _layouts(spark: SparkSession, sf_dir: str, kinds: tuple[int, ...]) -> list[Layout]:
-    """Layouts of the landed files of some kinds; the folder holds a capped number of files."""
-    number = F.substring("file", 8, 6).cast("int") % 7
-    chosen = _registry(spark, sf_dir).where(number.isin(*kinds)).select("path", "file", "columns", "first_width")
-    return [Layout(r["path"], r["file"], tuple(r["columns"]), r["first_width"]) for r in chosen.collect()]
-
-
-_KINDS = tuple(range(7))
-_FITTING = tuple(k for k in _KINDS if k != OTHER)
+def _layouts(registry: DataFrame) -> list[Layout]:
+    """Layouts of landed files; the folder holds a capped number of them."""
+    chosen = registry.select("path", "file", "columns", "first_width").collect()
+    return [Layout(r["path"], r["file"], tuple(r["columns"]), r["first_width"]) for r in chosen]
 
 
 def _filled(*columns: str) -> str:
@@ -186,7 +181,7 @@ def _filled(*columns: str) -> str:
 )
 def file_validation(spark, sf_dir):
     """Whether every record of a file fits its header."""
-    rows = csv.scan(spark, _layouts(spark, sf_dir, _KINDS))
+    rows = csv.scan(spark, _layouts(_registry(spark, sf_dir)))
     facts = column_facts(rows, csv.positional(rows), ["file"], FLAGS)
     per_file = facts.groupBy("file").agg(
         F.max("rows").alias("rows"), F.sum("filled").alias("values"), F.max("overlong").alias("overlong_rows")
@@ -198,13 +193,15 @@ def file_validation(spark, sf_dir):
 @query(
     "csv_scan",
     _PLACED + f"SELECT file, row_number() OVER (PARTITION BY file ORDER BY pos) AS ordinal, "
-    f"{', '.join(f'CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {n}' for c, n in COLUMNS.items())} FROM rows WHERE file_no % 7 NOT IN ({OTHER}, {RAGGED})",
+    f"{', '.join(f'CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {n}' for c, n in COLUMNS.items())} FROM rows WHERE file_no % 7 <> {OTHER}",
 )
 def csv_scan(spark, sf_dir):
     """Rows of all files with the table's columns, by name, in file order."""
     wanted = list(COLUMNS.values())
-    rows = csv.scan(spark, _layouts(spark, sf_dir, tuple(k for k in _FITTING if k != RAGGED)), wanted)
-    return ids.number_rows(rows, "file", "pos", span=2**26).select("file", ids.ORDINAL, *wanted)
+    registry = _registry(spark, sf_dir)
+    fitting = registry.where(F.col("schema_key") == gate.main_schema(registry).select("schema_key").scalar())
+    rows = csv.scan(spark, _layouts(fitting), wanted)
+    return ids.number_rows(rows, "file", "pos", span=csv.CHUNK_SPAN).select("file", ids.ORDINAL, *wanted)
 
 
 # --- whole loads --------------------------------------------------------------

@@ -39,7 +39,7 @@ class LoadConfig:
     warehouse: str
     table: str = "main_data_table"
     files_per_batch: int = 2000
-    chunk_span: int = 2**26
+    chunk_span: int = csv.CHUNK_SPAN
     strict: bool = False
 
 

@@ -2,9 +2,10 @@
 
 One scan reads any number of files by column position; names come from the
 header registry. Rows get a position that grows through the file: the byte
-offset of their split plus their line number in the task. A split has no more
-lines than bytes, and a task reads at most one split of full size, its first, so
-positions never overlap. They follow from the scan alone, before any shuffle.
+offset of their split times 1024, plus their line number in the task. A split has
+no more lines than bytes, so positions of a file's splits cannot overlap unless a
+task reads a thousand full splits. They follow from the scan alone, before any
+shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from tidegate.sources.files import decoded_name
 
 RAW = "_raw"
 LINE_MASK = (1 << 33) - 1
+OFFSET_SCALE = 1 << 10
+# Positions per chunk of rows: those of 64 MB of text.
+CHUNK_SPAN = (1 << 26) * OFFSET_SCALE
 QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 
@@ -58,6 +62,11 @@ def field_names(width: int) -> list[str]:
     return [f"_c{i}" for i in range(width)]
 
 
+def row_position() -> Column:
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit(LINE_MASK))
+    return F.col("_metadata.file_block_start") * OFFSET_SCALE + line
+
+
 def positional(rows: DataFrame) -> list[str]:
     """The positional columns of a scan without names."""
     return [c for c in rows.columns if c.startswith("_c")]
@@ -95,11 +104,10 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
         .option("maxColumns", max(20_480, read_width + 1))
         .csv([as_pattern(p) for p in paths])
     )
-    line = F.monotonically_increasing_id().bitwiseAND(F.lit(LINE_MASK))
     quotes = F.char_length(RAW) - F.char_length(F.replace(F.col(RAW), F.lit('"'), F.lit("")))
     return rows.select(
         decoded_name(F.col("_metadata.file_name")).alias("file"),
-        (F.col("_metadata.file_block_start") + line).alias("pos"),
+        row_position().alias("pos"),
         *[decode_null(F.col(c)).alias(c) for c in field_names(width)],
         F.when(F.col(RAW).isNull(), read_width).otherwise(count_fields(F.col(RAW))).alias("fields"),
         F.coalesce(quotes % 2 == 1, F.lit(False)).alias("open_quote"),
@@ -158,10 +166,9 @@ def scan(spark: SparkSession, layouts: Sequence[Layout], wanted: Sequence[str] |
 def scan_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The raw lines of files that cannot be read as CSV."""
     lines = spark.read.text([as_pattern(p) for p in paths])
-    line = F.monotonically_increasing_id().bitwiseAND(F.lit(LINE_MASK))
     return lines.select(
         decoded_name(F.col("_metadata.file_name")).alias("file"),
-        (F.col("_metadata.file_block_start") + line).alias("pos"),
+        row_position().alias("pos"),
         F.col("value").alias("line"),
     )
 

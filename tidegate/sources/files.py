@@ -6,7 +6,7 @@ import csv
 import io
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,20 +113,16 @@ HEADER_SCHEMA = (
 )
 
 
-def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        heads = [read_head(p) for p in batch["path"]]
-        yield pd.DataFrame(
-            {
-                "path": batch["path"],
-                "file": batch["file"],
-                "length": batch["length"],
-                "header": [h for h, _, _ in heads],
-                "columns": [None if h is None else table_columns(h) for h, _, _ in heads],
-                "first_width": [w for _, w, _ in heads],
-                "problem": [p for _, _, p in heads],
-            }
-        )
+        heads = [read_head(p) for p in batch.column("path").to_pylist()]
+        peeked = {
+            "header": pa.array([h for h, _, _ in heads], pa.list_(pa.string())),
+            "columns": pa.array([None if h is None else table_columns(h) for h, _, _ in heads], pa.list_(pa.string())),
+            "first_width": pa.array([w for _, w, _ in heads], pa.int32()),
+            "problem": pa.array([p for _, _, p in heads], pa.string()),
+        }
+        yield pa.RecordBatch.from_arrays([*batch.columns, *peeked.values()], [*batch.schema.names, *peeked])
 
 
 def header_registry(files: DataFrame) -> DataFrame:
@@ -136,7 +132,7 @@ def header_registry(files: DataFrame) -> DataFrame:
     """
     tasks = files.sparkSession.sparkContext.defaultParallelism
     spread = files.select("path", "file", "length").repartition(tasks, "path")
-    peeked = spread.mapInPandas(_peek, HEADER_SCHEMA)
+    peeked = spread.mapInArrow(_peek, HEADER_SCHEMA)
     return peeked.withColumns(
         {
             "schema_key": schema_key(F.col("columns")),
