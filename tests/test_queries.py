@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tidegate.plans import registry
 from oracle import TESTDATA, compare, connect
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -20,10 +21,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, name):
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) is None
 

@@ -11,7 +11,7 @@ FLAGSHIP = "load_good_rows"
 _MODULES = (file_queries, load_queries, profile_queries)
 
 
-def _tuned(query):
+def tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
         return query(tune(spark), sf_dir)
@@ -20,7 +20,7 @@ def _tuned(query):
 
 
 def queries() -> dict:
-    return {name: _tuned(query) for module in _MODULES for name, query in module.QUERIES.items()}
+    return {name: tuned(query) for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
