@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from tidegate.llm import bpe
 from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
+from tidegate.llm.packing import pack_documents
 from tidegate.llm.sharding import shard_documents
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op2_tree_bpe(spark, sf_dir):
+    tokens = bpe.encode(table(spark, sf_dir, "documents"), RANKS)
+    return bpe.digests(bpe.decode(tokens, RANKS))
+
+
 def op6_jump_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op8_residual_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), RANKS, capacity=1024, end_id=2)
+
+
 def op10_chunk_recipes(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -28,7 +44,9 @@ FROM t
 """
 
 QUERIES = {
+    "op2_tree_bpe": op2_tree_bpe,
     "op6_jump_shards": op6_jump_shards,
+    "op8_residual_packing": op8_residual_packing,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
 
