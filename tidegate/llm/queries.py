@@ -9,6 +9,7 @@ from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.packing import pack_documents
 from tidegate.llm.sharding import shard_documents
+from tidegate.llm.substring import remove_repeats
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,10 +28,35 @@ def op8_residual_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), RANKS, capacity=1024, end_id=2)
 
 
+def op9_suffix_automata(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), window=13)
+
+
 def op10_chunk_recipes(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents")).drop("row_id")
 
 
+OP9_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+), g AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 12], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM w)
+), hit AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY win) AS least FROM g) WHERE least < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS at FROM hit
+), word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) AS BIGINT) - coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -47,9 +73,11 @@ QUERIES = {
     "op2_tree_bpe": op2_tree_bpe,
     "op6_jump_shards": op6_jump_shards,
     "op8_residual_packing": op8_residual_packing,
+    "op9_suffix_automata": op9_suffix_automata,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
 
 ORACLES = {
+    "op9_suffix_automata": OP9_SQL,
     "op10_chunk_recipes": OP10_SQL,
 }
