@@ -38,19 +38,19 @@ def op10_chunk_recipes(spark, sf_dir):
 
 OP9_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
 ), g AS (
   SELECT doc_id, p, array_to_string(words[p:p + 12], ' ') AS win
   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM w)
 ), hit AS (
   SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY win) AS least FROM g) WHERE least < doc_id
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS at FROM hit
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS place FROM hit
 ), word AS (
-  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM w
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w
 ), kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n
-  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
 )
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) AS BIGINT) - coalesce(kept.n, 0) AS n_removed,
        sha256(coalesce(kept.kept, '')) AS kept_sha256
