@@ -10,6 +10,7 @@ from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.packing import pack_documents
 from tidegate.llm.sharding import shard_documents
 from tidegate.llm.substring import remove_repeats
+from tidegate.llm.topk import search
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +21,27 @@ def op2_tree_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(tokens, RANKS))
 
 
+def op5_uniform_threshold(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
 def op6_jump_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -71,6 +93,7 @@ FROM t
 
 QUERIES = {
     "op2_tree_bpe": op2_tree_bpe,
+    "op5_uniform_threshold": op5_uniform_threshold,
     "op6_jump_shards": op6_jump_shards,
     "op8_residual_packing": op8_residual_packing,
     "op9_suffix_automata": op9_suffix_automata,
@@ -78,6 +101,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_uniform_threshold": OP5_SQL,
     "op9_suffix_automata": OP9_SQL,
     "op10_chunk_recipes": OP10_SQL,
 }
