@@ -8,19 +8,29 @@ from tidegate.llm import bpe
 from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.packing import pack_documents
+from tidegate.llm.quality import score_quality
 from tidegate.llm.sharding import shard_documents
 from tidegate.llm.substring import remove_repeats
 from tidegate.llm.topk import search
+from tidegate.llm.toxicity import score_toxicity
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_factorization_machine(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", parts=5, part=0)
+
+
 def op2_tree_bpe(spark, sf_dir):
     tokens = bpe.encode(table(spark, sf_dir, "documents"), RANKS)
     return bpe.digests(bpe.decode(tokens, RANKS))
 
 
+def op3_ftrl_ngrams(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", parts=3, part=1)
+
+
 def op5_uniform_threshold(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
@@ -92,7 +102,9 @@ FROM t
 """
 
 QUERIES = {
+    "op1_factorization_machine": op1_factorization_machine,
     "op2_tree_bpe": op2_tree_bpe,
+    "op3_ftrl_ngrams": op3_ftrl_ngrams,
     "op5_uniform_threshold": op5_uniform_threshold,
     "op6_jump_shards": op6_jump_shards,
     "op8_residual_packing": op8_residual_packing,
