@@ -7,6 +7,7 @@ import public_tokenizers
 from tidegate.llm import bpe
 from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
+from tidegate.llm.near_dedup import near_classes
 from tidegate.llm.packing import pack_documents
 from tidegate.llm.quality import score_quality
 from tidegate.llm.sharding import shard_documents
@@ -31,6 +32,10 @@ def op3_ftrl_ngrams(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", parts=3, part=1)
 
 
+def op4_prob_min_hash(spark, sf_dir):
+    return near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("row_id")
+
+
 def op5_uniform_threshold(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
@@ -105,6 +110,7 @@ QUERIES = {
     "op1_factorization_machine": op1_factorization_machine,
     "op2_tree_bpe": op2_tree_bpe,
     "op3_ftrl_ngrams": op3_ftrl_ngrams,
+    "op4_prob_min_hash": op4_prob_min_hash,
     "op5_uniform_threshold": op5_uniform_threshold,
     "op6_jump_shards": op6_jump_shards,
     "op8_residual_packing": op8_residual_packing,
