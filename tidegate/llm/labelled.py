@@ -16,7 +16,7 @@ from tidegate.llm.common import keyed, slices, written
 # Labelled rows that a model is fitted on, the least by a hash of their id; and the
 # features it may use at most.
 SAMPLE_ROWS = 20_000
-MOST_FEATURES = 1 << 14
+MOST_FEATURES = 1 << 12
 
 
 def fold(id_col: str, parts: int, part: int) -> Column:
@@ -103,15 +103,14 @@ def sample(
     counted = seen.select("y", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("y").alias("with_1"), F.count(F.lit(1)).alias("with_any"))
     gain = _gain(F.col("with_1"), F.col("with_any"), total.ones, total.n)
     told = counted.filter(F.col("with_any") >= least_docs).withColumn("gain", gain).filter(F.col("gain") >= least_gain)
-    features = told.orderBy(F.desc("gain"), "feature").limit(most_features).select("feature").toPandas()["feature"].to_numpy(np.int64)
-    features = np.sort(features)
-    table = texts.mapInArrow(_described(describe, bits, features), schema).toPandas()
-    order = sorted(range(len(table)), key=lambda i: (table.y[i], tuple(table.features[i])))  # whatever order the rows came in
-    table = table.iloc[order]
-    ends = np.cumsum([0, *(len(f) for f in table.features)])
-    columns = np.concatenate([np.zeros(0, np.int64), *table.features]).astype(np.int64)
-    values = np.concatenate([np.zeros(0), *table["values"]])
-    return Sample(features, table.y.to_numpy(np.float64), ends, columns, values)
+    features = told.orderBy(F.desc("gain"), "feature").limit(most_features).select("feature").toArrow()["feature"].to_numpy()
+    features = np.sort(features.astype(np.int64))
+    described = texts.mapInArrow(_described(describe, bits, features), schema)
+    table = described.withColumn("mark", F.xxhash64("features", "values")).toArrow()
+    table = table.sort_by([("y", "ascending"), ("mark", "ascending")]).combine_chunks()  # the same order in every run
+    ends = np.cumsum([0, *table["features"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)])
+    columns, values = (table[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("features", "values"))
+    return Sample(features, table["y"].to_numpy().astype(np.float64), ends, columns, values)
 
 
 def _scored(describe: Callable, bits: int, features, score: Callable, constant):
