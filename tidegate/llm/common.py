@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.session import scratch_path
+from tidegate.session import lookup, scratch_path
 
 # Bytes of text that a task works on at a time, unless one text is longer.
 SLICE_BYTES = 1 << 21
@@ -18,6 +19,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_recorded: list[str] | None = None
+_of_stages: list[str] = []
+
+
+@contextmanager
+def scratch_of_stage(spark: SparkSession, docs: DataFrame):
+    """Note the tables that a pipeline stage writes, and remove those of stages before it.
+
+    A stage's result has been written when the next one starts, so what it was made from
+    is not needed any more, unless ``docs`` still reads it.
+    """
+    global _recorded
+    if _of_stages:
+        read = docs.inputFiles()
+        for path in [p for p in _of_stages if not any(p.split(":", 1)[-1] in f for f in read)]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _of_stages.remove(path)
+    _recorded, outer = [], _recorded
+    try:
+        yield
+    finally:
+        _of_stages.extend(_recorded)
+        _recorded = outer
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table once to the shared folder and read it from there.
 
@@ -25,6 +52,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     may be lost, and columns such as row numbers are fixed by it.
     """
     path = scratch_path(df.sparkSession, label)
+    if _recorded is not None:
+        _recorded.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -71,3 +100,19 @@ def flat(column: pa.Array):
     if data is None:
         return np.zeros(0, np.uint8), offsets
     return np.frombuffer(data, dtype=np.uint8), offsets
+
+
+def only_kept(docs: DataFrame, decisions: DataFrame, id_col: str, key: str) -> DataFrame:
+    """The rows that ``decisions`` (``doc_id, key, kept``) keeps, with all their columns.
+
+    Rows are found by their id and the column ``key``, a hash of the text. Rows that
+    agree in both are copies; of those that are kept only in part, one stays.
+    """
+    verdicts = written(decisions.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"), "verdicts")
+    gone, repeated = (verdicts.filter(c).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")) for c in ("NOT kept", "kept"))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_key"))
+    out = docs.join(lookup(gone), same, "left_anti")
+    if not repeated.isEmpty():
+        once = out.join(lookup(repeated), same, "left_semi").dropDuplicates([id_col, key])
+        out = out.join(lookup(repeated), same, "left_anti").unionByName(once)
+    return out

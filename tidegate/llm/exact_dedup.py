@@ -10,7 +10,7 @@ identifiers are, so later steps move lists of 8-byte numbers and never texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,10 +77,11 @@ def _recipes(bits: int):
                     [
                         part.column("row_id"),
                         part.column("doc_id"),
+                        part.column("key"),
                         pa.array(recipes, pa.list_(pa.int64())),
                         pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
                     ],
-                    ["row_id", "doc_id", "recipe", "text_sha256"],
+                    ["row_id", "doc_id", "key", "recipe", "text_sha256"],
                 )
 
     return run
@@ -107,21 +108,20 @@ def _contents(bits: int, places: bool):
     return run
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, hash_bits: int = 64) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256, row_id`` for each row.
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None, hash_bits: int = 64) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256, key`` for each row.
 
     Texts are equal when identical after each run of ASCII white space became one
     space; null counts as empty, and empty texts equal each other. Of equal texts the
     row with the smallest ``doc_id`` stays, null ids last; of rows that repeat a
-    ``doc_id`` as well, exactly one is kept. ``row_id`` identifies rows: the column
-    ``row_col``, or numbers given here. ``hash_bits`` is less than 64 only in tests of
-    collisions. An empty table gives an empty result.
+    ``doc_id`` as well, exactly one is kept. ``key`` is any 64-bit column to return with
+    its row. ``hash_bits`` is less than 64 only in tests of collisions. An empty table
+    gives an empty result.
     """
-    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
-    source = keyed(docs, id_col, text_col, row_id=row)
+    source = keyed(docs, id_col, text_col, key=F.lit(0).cast("long") if key is None else key, row_id=F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
     recipes = written(
-        source.mapInArrow(_recipes(hash_bits), f"row_id long, doc_id {id_type}, recipe array<long>, text_sha256 string"), "recipes"
+        source.mapInArrow(_recipes(hash_bits), f"row_id long, doc_id {id_type}, key long, recipe array<long>, text_sha256 string"), "recipes"
     )
     contents = source.select("text").mapInArrow(_contents(hash_bits, False), "hash long, content binary")
     collided = written(
@@ -133,9 +133,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     same = ["recipe"]
     if not collided.isEmpty():
-        if row_col is None:  # numbers given above hold for the written rows only
-            source = written(source, "rows")
-            recipes = written(source.mapInArrow(_recipes(hash_bits), recipes.schema), "recipes")
+        source = written(source, "rows")  # the numbers given above hold for the rows written then
+        recipes = written(source.mapInArrow(_recipes(hash_bits), recipes.schema), "recipes")
         numbered = (
             contents.join(collided, "hash", "left_semi")
             .distinct()
@@ -162,5 +161,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("keep.row_id") == F.col("row_id"))).alias("kept"),
         "text_sha256",
-        "row_id",
+        "key",
     )

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm.common import keyed, slices, written
 
@@ -113,7 +114,7 @@ def sample(
     return Sample(features, table["y"].to_numpy().astype(np.float64), ends, columns, values)
 
 
-def _scored(describe: Callable, bits: int, features, score: Callable, constant):
+def _scored(describe: Callable, bits: int, features, score: Callable, constant, others: list[str]):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -133,17 +134,20 @@ def _scored(describe: Callable, bits: int, features, score: Callable, constant):
                     chance = 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
                 else:
                     chance = np.full(part.num_rows, constant)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(chance)], ["doc_id", "held_out", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(chance)], [*others, "score"])
 
     return run
 
 
-def scored(docs: DataFrame, held_out: Column, describe: Callable, bits: int, found: Sample, score: Callable, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row."""
+def scored(
+    docs: DataFrame, held_out: Column, describe: Callable, bits: int, found: Sample, score: Callable, id_col: str, text_col: str, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for each row, and the columns to carry."""
     constant = None
     if found.one_sided:
         constant = float(found.y[0]) if len(found.y) else 0.0
-    source = keyed(docs, id_col, text_col).withColumn("held_out", held_out)
-    schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double"
-    out = source.mapInArrow(_scored(describe, bits, found.features, score, constant), schema)
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    source = keyed(docs, id_col, text_col, held_out=held_out, **{f"carry_{i}": F.col(c) for i, c in enumerate(carry)})
+    others = [c for c in source.columns if c != "text"]
+    schema = T.StructType([*(source.schema[c] for c in others), T.StructField("score", T.DoubleType())])
+    out = source.mapInArrow(_scored(describe, bits, found.features, score, constant, others), schema)
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})

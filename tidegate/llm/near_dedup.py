@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import flat, keyed, slices, written
@@ -110,11 +110,12 @@ def _signatures(batches):
                 [
                     part.column("row_id"),
                     part.column("doc_id"),
+                    part.column("key"),
                     *_prints(texts),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].reshape(-1).view(np.int64))),
                     pa.array([short[i].tobytes() if has[i] else b"" for i in range(n)], pa.binary()),
                 ],
-                ["row_id", "doc_id", "print", "print_2", "keys", "registers"],
+                ["row_id", "doc_id", "key", "print", "print_2", "keys", "registers"],
             )
 
 
@@ -260,7 +261,7 @@ def _groups(members: DataFrame, bands: DataFrame) -> DataFrame:
     for _ in range(DIVISIONS):
         if crowded.isEmpty():
             break
-        finer = crowded.join(bands, "node").select(F.xxhash64("bucket", "band", "key").alias("bucket"), "node", "label")
+        finer = crowded.join(bands, "node").select(F.xxhash64("bucket", "band", "band_key").alias("bucket"), "node", "label")
         mixed = written(_mixed_buckets(finer.distinct()), "members")
         ready.append(mixed.filter(F.col("size") <= BUCKET_MEMBERS).withColumn("block", F.lit(0).cast("long")))
         crowded = mixed.filter(F.col("size") > BUCKET_MEMBERS)
@@ -273,8 +274,8 @@ def _groups(members: DataFrame, bands: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (r.select("bucket", "block", "node", "label") for r in ready))
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
-    """``doc_id, class_id, copy_of, class_size, kept, row_id`` for each row.
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """``doc_id, class_id, copy_of, class_size, kept, key`` for each row.
 
     Texts are linked if the probability Jaccard similarity of their weighted five-word
     shingles is at least ``threshold``; a class is what links connect, and ``class_id``
@@ -282,12 +283,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     smallest ``doc_id`` among them. Exactly one row of a class is kept, the one with the
     smallest ``doc_id``, null ids last, and one of those that repeat it. Texts under five
     words have no shingles and are linked to equal ones only; texts without words (null
-    and empty too) equal each other. An empty table gives an empty result.
+    and empty too) equal each other. ``key`` is any 64-bit column to return with its row.
+    An empty table gives an empty result.
     """
-    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
-    source = keyed(docs, id_col, text_col, row_id=row)
+    source = keyed(docs, id_col, text_col, key=F.lit(0).cast("long") if key is None else key, row_id=F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
-    spec = f"row_id long, doc_id {id_type}, print long, print_2 long, keys array<long>, registers binary"
+    spec = f"row_id long, doc_id {id_type}, key long, print long, print_2 long, keys array<long>, registers binary"
     signed = written(source.mapInArrow(_signatures, spec), "signatures").withColumn("order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     first = F.min(F.struct("order", "row_id", "doc_id", "keys", "registers"))
     folded = signed.groupBy("print", "print_2").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -298,9 +299,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
         ),
         "folded",
     )
-    bands = folded.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "key")
-    bands = written(bands.join(written(shared, "buckets"), ["band", "key"]), "bands")
+    bands = folded.select("node", F.posexplode("keys").alias("band", "band_key"))
+    shared = bands.groupBy("band", "band_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "band_key")
+    bands = written(bands.join(written(shared, "buckets"), ["band", "band_key"]), "bands")
     candidates = written(bands.select("node").distinct(), "candidates")
     wanted = written(folded.join(candidates, "node", "left_semi").select("node", "print", "print_2", "copy_of", "registers"), "wanted")
     ids = wanted.select(F.col("copy_of").alias("wanted_id")).distinct()
@@ -312,7 +313,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     payload = written(packed.select("node", "registers", "shingles", "weights"), "payload")
     links, labels = None, None
     for low, high in WAVES:
-        members = bands.filter((F.col("band") >= low) & (F.col("band") < high)).select(F.xxhash64("band", "key").alias("bucket"), "node")
+        members = bands.filter((F.col("band") >= low) & (F.col("band") < high)).select(F.xxhash64("band", "band_key").alias("bucket"), "node")
         if labels is None:
             members = members.withColumn("label", F.col("node"))
         else:
@@ -328,5 +329,5 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     of = members.join(written(classes, "classes"), "label").select(
         "print", "print_2", "copy_of", "class_size", F.col("first.copy_of").alias("class_id"), F.col("first.node").alias("keep")
     )
-    joined = signed.select("row_id", "doc_id", "print", "print_2").join(written(of, "class-of"), ["print", "print_2"])
-    return joined.select("doc_id", "class_id", "copy_of", "class_size", (F.col("row_id") == F.col("keep")).alias("kept"), "row_id")
+    joined = signed.select("row_id", "doc_id", "key", "print", "print_2").join(written(of, "class-of"), ["print", "print_2"])
+    return joined.select("doc_id", "class_id", "copy_of", "class_size", (F.col("row_id") == F.col("keep")).alias("kept"), "key")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tidegate.llm import bpe
+from tidegate.llm import bpe, chat
 from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.near_dedup import near_classes
@@ -33,7 +34,7 @@ def op3_ftrl_ngrams(spark, sf_dir):
 
 
 def op4_prob_min_hash(spark, sf_dir):
-    return near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("row_id")
+    return near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("key")
 
 
 def op5_uniform_threshold(spark, sf_dir):
@@ -61,6 +62,63 @@ def op6_jump_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_preference_pairs(spark, sf_dir):
+    chosen, rejected = chat.swapped_replies(table(spark, sf_dir, "conversations"))
+    pairs = chat.render(chat.segments(chosen, rejected))
+
+    def written_out(column):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return pairs.select(
+        F.col("pair_id").alias("conv_id"), "prompt", "chosen", "rejected", written_out("chosen_loss").alias("chosen_loss"),
+        written_out("rejected_loss").alias("rejected_loss"), F.col("prompt_turns").cast("long").alias("prompt_turns"),
+    )
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), last AS (
+  SELECT conv_id, turn, text FROM t WHERE role = 'assistant'
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1
+), reply AS (
+  SELECT conv_id, turn,
+         CASE WHEN count(*) OVER (PARTITION BY conv_id // 64) = 1 THEN ''
+              ELSE coalesce(lead(text) OVER (PARTITION BY conv_id // 64 ORDER BY conv_id),
+                            first_value(text) OVER (PARTITION BY conv_id // 64 ORDER BY conv_id)) END AS reply
+  FROM last
+), rejected AS (
+  SELECT DISTINCT t.conv_id, t.turn, t.role, CASE WHEN t.role = 'assistant' AND r.reply IS NOT NULL THEN r.reply ELSE t.text END AS text
+  FROM t LEFT JOIN reply r ON t.conv_id = r.conv_id AND t.turn = r.turn
+), u AS (
+  SELECT conv_id, turn, role, text, max(c) AS c, max(r) AS r
+  FROM (SELECT *, 1 AS c, 0 AS r FROM t UNION ALL SELECT *, 0, 1 FROM rejected) GROUP BY conv_id, turn, role, text
+), d AS (
+  SELECT conv_id, min(turn) AS parting FROM u WHERE c + r < 2 GROUP BY conv_id
+), s AS (
+  SELECT u.conv_id, turn, role, text, c, r, coalesce(turn < parting, true) AS common,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered
+  FROM u LEFT JOIN d USING (conv_id)
+), p AS (
+  SELECT *, 'prompt' AS part FROM s WHERE common
+  UNION ALL SELECT *, 'chosen' FROM s WHERE NOT common AND c = 1
+  UNION ALL SELECT *, 'rejected' FROM s WHERE NOT common AND r = 1
+), e AS (
+  SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) AS stop FROM p
+), m AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN CAST(stop - length(rendered) + length(role) + 5 AS VARCHAR) || '-' || CAST(stop AS VARCHAR) END AS span FROM e
+)
+SELECT conv_id,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (part = 'prompt'), '') AS prompt,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (part = 'chosen'), '') AS chosen,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (part = 'rejected'), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY turn, role, text) FILTER (part = 'chosen'), '') AS chosen_loss,
+       coalesce(string_agg(span, ',' ORDER BY turn, role, text) FILTER (part = 'rejected'), '') AS rejected_loss,
+       count(*) FILTER (part = 'prompt') AS prompt_turns
+FROM m GROUP BY conv_id
+"""
+
+
 def op8_residual_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), RANKS, capacity=1024, end_id=2)
 
@@ -70,7 +128,7 @@ def op9_suffix_automata(spark, sf_dir):
 
 
 def op10_chunk_recipes(spark, sf_dir):
-    return exact_groups(table(spark, sf_dir, "documents")).drop("row_id")
+    return exact_groups(table(spark, sf_dir, "documents")).drop("key")
 
 
 OP9_SQL = r"""
@@ -113,12 +171,14 @@ QUERIES = {
     "op4_prob_min_hash": op4_prob_min_hash,
     "op5_uniform_threshold": op5_uniform_threshold,
     "op6_jump_shards": op6_jump_shards,
+    "op7_preference_pairs": op7_preference_pairs,
     "op8_residual_packing": op8_residual_packing,
     "op9_suffix_automata": op9_suffix_automata,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
 
 ORACLES = {
+    "op7_preference_pairs": OP7_SQL,
     "op5_uniform_threshold": OP5_SQL,
     "op9_suffix_automata": OP9_SQL,
     "op10_chunk_recipes": OP10_SQL,

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm.common import flat, keyed, slices, written
 from tidegate.llm.words import Words, grams, owners
@@ -422,8 +423,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     rows = _rows(docs, id_col, text_col, **{f"carry_{i}": F.col(c) for i, c in enumerate(carry)})
     joined = rows.join(F.broadcast(spans) if size <= BROADCAST_BYTES else spans, ["order", "text_key"], "left").drop("order", "text_key")
     others = tuple(c for c in joined.columns if c not in ("text", "spans"))
-    kinds = ", ".join(f"{c} {joined.schema[c].dataType.simpleString()}" for c in others)
-    out = joined.mapInArrow(_removed(with_text, others), f"{kinds}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
+    made = T.StructType.fromDDL("n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
+    out = joined.mapInArrow(_removed(with_text, others), T.StructType([*(joined.schema[c] for c in others), *made]))
     return out.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
 
 

@@ -89,7 +89,7 @@ def fit(found: Sample, factors: int = FACTORS, rounds: int = 12, rate: float = 0
                 others = np.bincount(owner, weights=factor[:, k], minlength=len(rows))[owner] - factor[:, k]
                 slope = np.bincount(where, weights=weight * others, minlength=len(used)) + decay * machine.factors[used, k]
                 seen_factors[used, k] += slope**2
-                machine.factors[used, k] -= 0.3 * rate * slope / np.sqrt(seen_factors[used, k])
+                machine.factors[used, k] -= rate * slope / np.sqrt(seen_factors[used, k])
             slope = 16.0 * error.mean()
             seen_bias += slope**2
             machine.bias -= rate * slope / np.sqrt(seen_bias)
@@ -97,7 +97,8 @@ def fit(found: Sample, factors: int = FACTORS, rounds: int = 12, rate: float = 0
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 5, part: int = 0, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 5, part: int = 0, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
@@ -105,7 +106,8 @@ def score_toxicity(
     most ``sample_rows`` labelled rows outside the held-out part; only the text decides.
     Null counts as empty, and an empty text gets the score of the bias. Rows that repeat
     are scored each. Where the sample holds no label 1 (or no rows) every score is 0, and
-    1 where it holds nothing else. An empty table gives an empty result.
+    1 where it holds nothing else. An empty table gives an empty result. ``carry`` names
+    further columns of ``docs`` to return.
     """
     found = sample(docs, labels, label, ~fold("doc_id", parts, part), _terms, BITS, LEAST_DOCS, LEAST_GAIN, sample_rows, id_col, text_col)
     machine = fit(found)
@@ -113,4 +115,4 @@ def score_toxicity(
     def sums(owner, column, value, rows):
         return machine.sums(owner, column, rows)
 
-    return scored(docs, fold("doc_id", parts, part), _terms, BITS, found, sums, id_col, text_col)
+    return scored(docs, fold("doc_id", parts, part), _terms, BITS, found, sums, id_col, text_col, carry)
