@@ -230,3 +230,134 @@ def test_result_does_not_depend_on_splits(load, spark, split, packed):
     want = [(i, int(k), v, z or None) for i, (k, v, z) in enumerate(expected, 1)]
     want += [(len(expected) + i + 1, i, "w", str(i)) for i in range(500) if i % 9]
     assert got == want
+
+
+def test_line_breaks_in_the_last_quoted_column(load):
+    """The line after the break has the right number of commas, so only the open quote tells."""
+    run = load({"a__csv": 'n,text\n1,"hello\nfoo, bar"\n2,plain\n', "b__csv": 'n,text\n3,"one, two"\n4,"say ""hi"", you"\n'})
+    run.run_all()
+    assert rows(run.table().select("id", "n", "text"), "id") == [(1, 1, "hello\nfoo, bar"), (2, 2, "plain"), (3, 3, "one, two"), (4, 4, 'say "hi", you')]
+    assert run.store.finished(st.BAD_ROWS).isEmpty()
+
+
+def test_stray_quotes_are_text(load):
+    run = load({"a__csv": 'n,text,more\n1,5" pipe\n2,6" x 7",ok\n3,a"b\n'})
+    run.run_all()
+    assert rows(run.table().select("n", "text", "more"), "n") == [(1, '5" pipe', None), (2, '6" x 7"', "ok"), (3, 'a"b', None)]
+
+
+@pytest.mark.parametrize("lines", [1, 5, 20_000])
+def test_bytes_that_are_no_text_at_any_size(load, lines):
+    good = "".join(f"{i},x\n" for i in range(lines)).encode()
+    run = load({"a__csv": "n,größe\n1,ü\n", "b__csv": "n,größe\n".encode() + good + b"7,\xfc\n", "c__csv": "n,größe\n".encode("latin-1") + good})
+    run.run_all()
+    status = dict(rows(run.store.finished(st.PROCESSED).select("file", "status"), "file"))
+    assert status == {"a.csv": "loaded", "b.csv": "unreadable", "c.csv": "unreadable"}
+
+
+def test_any_number_of_fields_ends_in_quarantine(load):
+    run = load({"a__csv": "x,y\n1,2\n", "b__csv": "x,y\n1,2\n" + ",".join("5" * 25_000) + "\n", "c__csv": "x,y\n3,4\n"})
+    run.run_all()
+    assert rows(run.table().select("id", "x", "y"), "id") == [(1, 1, 2), (2, 3, 4)]
+    assert run.store.finished(st.BAD_FILES).first()["reason"] == "row longer than the header"
+
+
+def test_long_headers_are_read(load):
+    """More than 64 MB of header and first row."""
+    name = "n" * 1000
+    header = ",".join(f"{name}{i}" for i in range(3))
+    run = load({"a__csv": f"{header}\n1,2,{'x' * (70 << 20)}\n"})
+    assert files_head(run) == 3
+
+
+def files_head(run):
+    from tidegate.sources import files
+
+    row = files.header_registry(run.pending()).first()
+    assert row["problem"] is None and row["first_width"] == len(row["columns"])
+    return len(row["columns"])
+
+
+@pytest.mark.parametrize("batch", [1, 2, 100])
+def test_values_do_not_depend_on_the_batch(load, batch):
+    run = load(
+        {"a__csv": "k,v\nx,1\ny,word\nz,2.50\n", "b__csv": "k,v\nx,1.0\ny,2\n", "c__csv": "k,v\nx,7\n", "d__csv": "k,v\nx,1e3\ny,007\n"},
+        files_per_batch=batch,
+    )
+    run.run_all()
+    assert run.registered_schema().types["v"] == "DOUBLE"
+    assert rows(run.table().select("id", "v"), "id") == [(1, 1.0), (3, 2.5), (4, 1.0), (5, 2.0), (6, 7.0), (7, 1000.0), (8, 7.0)]
+
+
+@pytest.mark.parametrize("batch", [1, 2, 100])
+def test_text_columns_of_number_files_do_not_depend_on_the_batch(load, batch):
+    run = load(
+        {"a__csv": "v\nword\nother\n1.50\n", "b__csv": "v\n1.0\n2.5\n", "c__csv": "v\n7\n007\n", "d__csv": "v\n1e3\n9007199254740993\n", "e__csv": "v\nTRUE\nfalse\n"},
+        files_per_batch=batch,
+    )
+    run.run_all()
+    assert run.registered_schema().types["v"] == "VARCHAR(100)"
+    got = rows(run.table().select("id", "_src_file", "v"), "id")
+    assert [g[1:] for g in got] == [
+        ("a.csv", "word"), ("a.csv", "other"), ("a.csv", "1.50"), ("b.csv", "1"), ("b.csv", "2.5"), ("c.csv", "7"),
+        ("d.csv", "1000"), ("d.csv", "9.007199254740992E15"), ("e.csv", "True"), ("e.csv", "False"),
+    ]
+
+
+def test_rows_of_a_dead_run_stay_out(load, tmp_path):
+    """The file of a run that died leaves, the number is used again, the file returns."""
+    run = load({"a__csv": "k,v\n1,x\n", "b__csv": "k,v\n2,y\n"}, files_per_batch=1)
+    checkpoint = run._checkpoint
+    calls = []
+
+    def dies_once(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        checkpoint(*args)
+
+    run._checkpoint = dies_once
+    with pytest.raises(RuntimeError):
+        run.run_all()
+    landing = tmp_path / "landing"
+    (landing / "b.csv").rename(tmp_path / "b.csv")
+    land(landing, c__csv="other\n1\n")
+    run.run_all()
+    assert rows(run.table().select("k", "v"), "k") == [(1, "x")]
+    (tmp_path / "b.csv").rename(landing / "b.csv")
+    run.run_all()
+    assert rows(run.table().select("id", "k", "v"), "id") == [(1, 1, "x"), (2, 2, "y")]
+
+
+def test_staged_rows_go_and_ids_come_from_control_rows(load, tmp_path):
+    run = load(NARROW, files_per_batch=1)
+    run.run_all()
+    warehouse = tmp_path / "warehouse"
+    assert not list(warehouse.glob("staged/run=*")) and not list(warehouse.glob("chunk_tallies/run=*"))
+    assert run.last_id() == run.table().agg({"id": "max"}).first()[0]
+    assert [r["last_id"] for r in run.store.finished(st.LAST_IDS).orderBy("run").collect()] == [7, 12, 18]
+
+
+def test_usual_date_layouts(load):
+    dates = ["2024-01-05", "2024/01/05", "05-Jan-2024", "5 Jan 2024", "5 January 2024", "2024.01.05", "01/05/2024", "Jan 5, 2024"]
+    run = load({"a__csv": "d\n" + "\n".join(["2024-01-05"] * 9) + "\n", "b__csv": "d\n" + "\n".join(f'"{d}"' for d in dates) + "\n2024/13/45\n"})
+    run.run_all()
+    assert run.registered_schema().types["d"] == "DATE"
+    assert {str(r["d"]) for r in run.table().collect()} == {"2024-01-05"}
+    assert run.table().where("_src_file = 'b.csv'").count() == len(dates)
+    assert run.store.finished(st.BAD_ROWS).count() == 1
+
+
+CLASHING = ["file", "pos", "copies", "overlong", "open_quote", "run", "_src_file", "ordinal", "_chunk", "_fault"]
+
+
+def test_columns_may_have_any_name_but_id(load):
+    header = ",".join(CLASHING)
+    line = ",".join(str(i) for i in range(len(CLASHING)))
+    run = load({"a__csv": f"{header}\n{line}\n{line}\n", "b__csv": f"{header}\n{line.replace('5', 'five')}\n{line}\n"}, files_per_batch=1)
+    run.run_all()
+    table = run.table()
+    assert table.columns == ["id", *CLASHING, "_src_file_"]
+    assert rows(table, "id") == [(1, *range(len(CLASHING)), "a.csv"), (3, *range(len(CLASHING)), "b.csv")]
+    bad = run.store.finished(st.BAD_ROWS).first()
+    assert bad["error"] == "Column 'run' expects INT, got 'five'" and json.loads(bad["payload"])["run"] == "five"

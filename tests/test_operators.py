@@ -153,7 +153,7 @@ def test_ids_equal_a_sequential_model(spark, seed, span, partitions):
 
 
 def test_ids_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("tidegate.session.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("tidegate.session.BROADCAST_BYTES", 0)
     rows = [(f"f{i % 3}", i, i % 5 > 0) for i in range(200)]
     df = spark.createDataFrame(rows, "f string, pos long, good boolean")
     out = ids.number_rows(df, "f", "pos", F.col("good"), span=8).collect()
@@ -302,3 +302,21 @@ def test_errors_follow_the_column_order_of_the_file(spark):
     types = {"p": "INT", "q": "DOUBLE"}
     got = validate.check_rows(df, types, places="places").select(F.col(validate.FAULT)["column"].alias("c")).collect()
     assert [r["c"] for r in got] == ["p", "q", "q", None]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_percentiles_take_few_passes_for_any_spread(spark, monkeypatch, seed):
+    """Values over 600 decades, of either sign, with zeros, ties and infinities."""
+    import tidegate.functions.quantiles as quantiles
+
+    draw = np.random.default_rng(seed)
+    values = np.sort(draw.choice([-1, 1], 1500) * 10.0 ** draw.uniform(-300, 300, 1500))
+    values = np.concatenate([values, [0.0, -0.0, 5e-324, 1e308, -1e308, float("inf"), float("-inf")], values[:300], np.full(50, 0.1)])
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    passes = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    ranks = [0, 1, 400, 929, 1000, len(values) // 2, len(values) - 2, len(values) - 1]
+    found = quantiles.values_at(df, {"x": set(ranks)}, quantiles.column_ranges(df, ["x"]))
+    assert {r: v for (_, r), v in found.items()} == {r: float(np.sort(values)[r]) for r in ranks}
+    assert len(passes) <= quantiles.MOST_PASSES

@@ -11,6 +11,11 @@ DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 DATE_LAYOUTS = (
     (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4}$", "d/M/yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
+    (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
     (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{4}$", "yyyy"),
     (r"^[A-Z][a-z]{2} \d{1,2},? \d{4}$", "MMM d yyyy"),

@@ -64,14 +64,23 @@ _READERS = {
 }
 
 
+def double_text(x: Column) -> Column:
+    """Whole numbers as digits, others as Spark prints doubles."""
+    whole = F.when((x % 1 == 0) & (F.abs(x) < float(2**53)), x.try_cast("bigint"))
+    return F.coalesce(whole.cast("string"), x.cast("string"))
+
+
 def number_text(value: Column) -> Column:
-    """One text per number: whole numbers as digits, others as Spark prints doubles.
+    """One text per number, the same whether its column travels as numbers or as text."""
+    return double_text(numbers.reading_value(value))
 
-    Integer literals are not passed through double, so long ones keep all digits.
-    """
-    x = numbers.reading_value(value)
-    whole = F.when((x % 1 == 0) & (F.abs(x) < float(2**53)), x.try_cast("bigint"))
-    return F.coalesce(F.coalesce(numbers.long_value(strip(value)), whole).cast("string"), x.cast("string"))
+
+def value_text(df: DataFrame, column: str) -> Column:
+    """A column's values as text again."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if kind == T.DoubleType():
+        return double_text(value)
+    return F.initcap(value.cast("string")) if kind == T.BooleanType() else value.cast("string")
 
 
 def read_text(value: Column, kind: Column) -> Column:
@@ -83,18 +92,14 @@ def read_text(value: Column, kind: Column) -> Column:
     return (
         F.when(kind == "text", value)
         .when(kind == "bool", F.initcap(value))
-        .when(kind.isNotNull(), number_text(value))
+        .when(kind == "int", numbers.long_value(strip(value)).cast("string"))
+        .when(kind == "float", number_text(value))
     )
 
 
 def as_written(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """The columns as text again."""
-    out = []
-    for c in columns:
-        value = F.col(f"`{c}`")
-        text = value.cast("string")
-        out.append((F.initcap(text) if df.schema[c].dataType == T.BooleanType() else text).alias(c))
-    return out
+    return [value_text(df, c).alias(c) for c in columns]
 
 
 def dedupe_rows(df: DataFrame, file: str, pos: str, columns: Sequence[str]) -> DataFrame:

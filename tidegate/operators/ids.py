@@ -44,7 +44,7 @@ def _before(value: str, window) -> Column:
 
 
 def chunk_offsets(tallies: DataFrame, file: str, base: int = 0) -> DataFrame:
-    """``(file, chunk, rows_before, id_base)`` from a settled table of tallies.
+    """``(file, chunk, rows_before, id_base, last_good)`` from a settled table of tallies.
 
     Running totals go in two steps, within groups of neighbouring chunks and
     over the groups, so that no task orders all chunks of one huge file. The
@@ -71,7 +71,7 @@ def chunk_offsets(tallies: DataFrame, file: str, base: int = 0) -> DataFrame:
         .agg(F.coalesce(F.max(F.col("rows_before") + F.col("last_good")), F.lit(0)).alias("_reach"))
         .withColumn("id_base", _before("_reach", W.orderBy(file)) + F.lit(base))
     )
-    return chunks.join(files, file).select(file, CHUNK, "rows_before", "id_base")
+    return chunks.join(files, file).select(file, CHUNK, "rows_before", "id_base", "last_good")
 
 
 def apply_offsets(ranked: DataFrame, offsets: DataFrame, file: str) -> DataFrame:
@@ -81,7 +81,7 @@ def apply_offsets(ranked: DataFrame, offsets: DataFrame, file: str) -> DataFrame
         ranked.join(offsets, [file, CHUNK])
         .withColumn(ORDINAL, ordinal)
         .withColumn("id", F.col("id_base") + ordinal)
-        .drop(CHUNK, RANK, "rows_before", "id_base")
+        .drop(CHUNK, RANK, "rows_before", "id_base", "last_good")
     )
 
 

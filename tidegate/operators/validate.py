@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions import dates, numbers
 from tidegate.functions.text import strip
-from tidegate.operators.clean import as_written
+from tidegate.operators.clean import as_written, value_text
 from tidegate.operators.infer import spark_type
 
 FAULT = "_fault"
@@ -52,7 +52,7 @@ def typed_values(df: DataFrame, types: Mapping[str, str], prefix: str = "") -> D
     texts, values = {}, {}
     for c, sql_type in types.items():
         value, source, target = F.col(f"`{c}`"), df.schema[c].dataType, spark_type(sql_type)
-        text = F.initcap(value.cast("string")) if source == T.BooleanType() else value.cast("string")
+        text = value_text(df, c)
         if expected_kind(sql_type) is None:
             values[prefix + c] = text
         elif source == target:
@@ -82,12 +82,13 @@ def column_checks(df: DataFrame, types: Mapping[str, str], strict: bool = False)
     return checks
 
 
-def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False, places: str | None = None) -> DataFrame:
+def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | None = None, strict: bool = False, places: str | None = None, labels: Mapping[str, str] | None = None) -> DataFrame:
     """Add the first fault of every row, ``(column, expected, value)`` or NULL.
 
     First means first in the column order of the row's file: ``order`` if all
     files share one, else ``places``, a column with the place of every column of
-    ``types`` in the row's own file. Each column is checked once.
+    ``types`` in the row's own file. Each column is checked once. ``labels`` are the
+    names that faults call the columns by.
     """
     checks = column_checks(df, types, strict)
     if not checks:
@@ -109,7 +110,7 @@ def check_rows(df: DataFrame, types: Mapping[str, str], order: Sequence[str] | N
     for i, text in enumerate(as_written(df, names)):
         value = value.when(no == i, text)
     fault = F.struct(
-        F.get(F.array(*[F.lit(c) for c in names]), no).alias("column"),
+        F.get(F.array(*[F.lit((labels or {}).get(c, c)) for c in names]), no).alias("column"),
         F.get(F.array(*[F.lit(checks[c][0]) for c in names]), no).alias("expected"),
         value.alias("value"),
     )

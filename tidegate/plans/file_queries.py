@@ -228,6 +228,18 @@ def ingest_table(spark, sf_dir):
     )
 
 
+@query("ingest_batches", _LOAD + f"SELECT id, file, {_VALUES} FROM loaded WHERE error IS NULL")
+def ingest_batches(spark, sf_dir):
+    """The same table from several batches: ids, texts and types do not depend on their size."""
+    folder = landing(spark, sf_dir)
+    batch = -(-files.list_files(spark, folder).count() // 4)
+    run = Load(spark, LoadConfig(folder, scratch_path(spark, "batches"), files_per_batch=batch))
+    run.run_all()
+    return run.table().select(
+        "id", F.col("_src_file").alias("file"), "order_price_usd", F.col("order_date").cast("string"), F.col("cust_key").cast("long"), "status"
+    )
+
+
 @query("ingest_bad_rows", _LOAD + "SELECT file, ordinal + 1 AS row_number, error FROM loaded WHERE error IS NOT NULL")
 def ingest_bad_rows(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.BAD_ROWS).select("file", "row_number", "error")
@@ -298,11 +310,11 @@ def staged_roundtrip(spark, sf_dir):
     return back.select(dirty.FILE, dirty.POS, "copies", *clean.as_written(back, dirty.COLUMNS))
 
 
-@query("csv_export", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+@query("csv_export", "SELECT * FROM orders")
 def csv_export(spark, sf_dir):
     """A table exported as CSV and read back."""
     path = scratch_path(spark, "export")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = table(spark, sf_dir, "orders")
     export.export_csv(rows, path)
     return spark.read.schema(rows.schema).option("header", True).option("escape", '"').csv(path)
 

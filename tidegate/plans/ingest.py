@@ -52,6 +52,23 @@ class MainSchema:
     types: dict[str, str] | None
     first_file: str
 
+    @property
+    def inner(self) -> dict[str, str]:
+        """Names of the columns while rows are worked on, so that a file may call its columns anything."""
+        return {c: f"_d{i}" for i, c in enumerate(self.columns)}
+
+    @property
+    def lineage(self) -> str:
+        """The column that names a row's file, apart from the file's own."""
+        name = "_src_file"
+        while name in self.columns:
+            name += "_"
+        return name
+
+    def inside(self, layouts: list[Layout]) -> list[Layout]:
+        names = self.inner
+        return [replace(x, columns=tuple(names[c] for c in x.columns)) for x in layouts]
+
 
 @dataclass(frozen=True)
 class Judged:
@@ -89,14 +106,13 @@ class Load:
         if schema is None or schema.types is None:
             raise ValueError("nothing has been loaded yet")
         fields = [f"`{c}` {infer.spark_type(t).simpleString()}" for c, t in schema.types.items()]
-        rows = self.store.finished(self.config.table, ", ".join(["id long", *fields, "_src_file string"]))
-        return rows.select("id", *[F.col(f"`{c}`") for c in schema.types], "_src_file")
+        return self.store.rows(self.config.table, ", ".join(["id long", *fields, f"`{schema.lineage}` string"]))
 
-    def last_id(self, run: int) -> int:
+    def last_id(self) -> int:
+        """The greatest id given so far, from one row per finished run; 0 if the table has gone."""
         if not self.store.exists(self.config.table):
             return 0
-        earlier = self.store.read(self.config.table, "id long").where(F.col("run") < run)
-        return ids.max_id(earlier).first()[0]
+        return self.store.finished(st.LAST_IDS).agg(F.coalesce(F.max("last_id"), F.lit(0))).first()[0]
 
     # --- a run ------------------------------------------------------------------
 
@@ -121,6 +137,7 @@ class Load:
 
     def _load_batch(self, registry: list, started: float) -> None:
         run = self.store.last_run() + 1
+        self.store.discard(run)
         known = self.registered_schema()
         judged, main, facts, other_facts = self._judge(registry, known)
         good = [j.layout for j in judged if j.status == LOADED]
@@ -132,6 +149,8 @@ class Load:
         if good and (known is None or known.types is None):
             self._register(run, main)
         self._checkpoint(run, judged)
+        self.store.remove(STAGED, run)
+        self.store.remove(TALLIES, run)
 
     # --- which files fit --------------------------------------------------------
 
@@ -145,6 +164,7 @@ class Load:
         """
         broken = {r["file"]: r["problem"] for r in registry if r["problem"]}
         multiline = {r["file"] for r in registry if r["multiline"]}
+        self._read_lines([self._layout(r, multiline) for r in registry if r["file"] not in broken], multiline, broken)
         scanned: set[str] = set()
         facts: list[DataFrame] = []
         other_facts: list[DataFrame] = []
@@ -158,13 +178,14 @@ class Load:
                     defined, scanned, facts, other_facts = new, set(), [], []
             judged = [Judged(None, f, UNREADABLE, why) for f, why in broken.items()]
             for r in readable:
-                layout = Layout(r["path"], r["file"], tuple(r["columns"]), r["first_width"], r["file"] in multiline)
-                judged.append(Judged(layout, r["file"], *self._status(r, defined)))
+                judged.append(Judged(self._layout(r, multiline), r["file"], *self._status(r, defined)))
             fitting = [j.layout for j in judged if j.status == LOADED and j.file not in scanned]
             others = [j.layout for j in judged if j.status in (MISMATCH, RESERVED) and j.file not in scanned]
             if not fitting and not others:
                 return judged, defined, facts, other_facts
-            for layouts, wanted, into in ((fitting, defined and defined.columns, facts), (others, None, other_facts)):
+            if fitting:
+                fitting = defined.inside(fitting)
+            for layouts, wanted, into in ((fitting, defined and list(defined.inner.values()), facts), (others, None, other_facts)):
                 if layouts:
                     rows = csv.scan(self.spark, layouts, wanted)
                     columns = wanted or csv.positional(rows)
@@ -173,6 +194,23 @@ class Load:
                     into.append(found.where(~F.col("file").isin(refused)) if refused else found)
                     scanned |= {x.file for x in layouts} - set(refused)
 
+    @staticmethod
+    def _layout(r, multiline: set) -> Layout:
+        return Layout(r["path"], r["file"], tuple(r["columns"]), r["first_width"], r["file"] in multiline)
+
+    def _read_lines(self, layouts: list[Layout], multiline: set, broken: dict) -> None:
+        """Strike out files by their raw lines, and find those with line breaks inside quotes."""
+        if not layouts:
+            return
+        # At most one row per file of the batch, whose number is capped.
+        for r in csv.line_facts(self.spark, layouts).collect():
+            if r["bad_bytes"]:
+                broken[r["file"]] = "not UTF-8"
+            elif r["open_quote"]:
+                multiline.add(r["file"])
+            elif r["overlong"] and r["file"] not in multiline:
+                broken[r["file"]] = csv.file_verdict(0, 1, False)
+
     @staticmethod
     def _status(r, defined: MainSchema) -> tuple[str, str | None]:
         if gate.RESERVED in r["columns"]:
@@ -204,34 +242,43 @@ class Load:
         rows = kinds.apply(csv.scan(self.spark, layouts, columns))
         return clean.dedupe_rows(rows, "file", "pos", columns)
 
-    def _stage(self, run: int, layouts: list[Layout], rows: DataFrame, types: dict[str, str]) -> DataFrame:
+    def _stage(self, run: int, layouts: list[Layout], rows: DataFrame, types: dict[str, str], labels: dict[str, str]) -> DataFrame:
         """Rows with their rank in their chunk and their first fault, on disk.
 
         Each row is judged once, here. Counting and quarantine then read the few
         columns they need.
         """
         ranked = ids.rank_in_chunks(rows, "file", "pos", self.config.chunk_span)
-        staged = self._check(ranked, layouts, types).withColumn("_nulls", clean.nulls_in_row(list(types)))
+        staged = self._check(ranked, layouts, types, labels).withColumn("_nulls", clean.nulls_in_row(list(types)))
         self.store.write(staged, STAGED, run)
         return self.spark.read.parquet(self.store.path(STAGED, run))
 
     def _stage_and_load(self, run: int, layouts: list[Layout], main: MainSchema, facts: list[DataFrame]) -> dict[str, str]:
-        columns = list(main.columns)
+        names = main.inner
+        labels = {inner: c for c, inner in names.items()}
+        layouts = main.inside(layouts)
+        columns = list(labels)
         kinds = clean.Kinds(reduce(DataFrame.unionByName, facts), "file", columns)
-        types = main.types
+        types = main.types and {names[c]: t for c, t in main.types.items()}
         if types is None:
             first = min(layouts, key=lambda x: x.file)
             types = infer.collect_types(infer.infer_schema(self._rows([first], columns, kinds), columns))
-        staged = self._stage(run, layouts, self._rows(layouts, columns, kinds), types)
+        staged = self._stage(run, layouts, self._rows(layouts, columns, kinds), types, labels)
         good = F.col(validate.FAULT).isNull()
         extras = F.sum("copies").alias("rows_in"), F.sum("_nulls").alias("nulls"), F.count_if(good).alias("good_rows")
         self.store.write(ids.tally_chunks(staged, "file", good, *extras), TALLIES, run)
         tallies = self.spark.read.parquet(self.store.path(TALLIES, run))
-        offsets = lookup(ids.chunk_offsets(tallies, "file", self.last_id(run)), tallies)
+        before = self.last_id()
+        chunks = ids.chunk_offsets(tallies, "file", before)
+        last = F.max(F.col("id_base") + F.col("rows_before") + F.col("last_good"))
+        self.store.write(chunks.agg(F.coalesce(last, F.lit(before)).cast("long").alias("last_id")), st.LAST_IDS, run)
+        offsets = lookup(chunks, tallies).drop("last_good")
         numbered = ids.apply_offsets(staged, offsets, "file")
-        loaded = validate.good_rows(numbered, types, ["id", F.col("file").alias("_src_file")])
-        self.store.write(loaded, self.config.table, run)
-        payload = F.to_json(F.struct(*clean.as_written(numbered, columns)), {"ignoreNullFields": "false"})
+        loaded = validate.good_rows(numbered, types, ["id", "file"])
+        named = [F.col(inner).alias(c) for inner, c in labels.items()]
+        self.store.write(loaded.select("id", *named, F.col("file").alias(main.lineage)), self.config.table, run)
+        values = [clean.value_text(numbered, inner).alias(c) for inner, c in labels.items()]
+        payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
         bad = numbered.where(~good).select(
             "file",
             ids.ORDINAL,
@@ -242,17 +289,17 @@ class Load:
             payload.alias("payload"),
         )
         self.store.write(bad, st.BAD_ROWS, run)
-        return types
+        return {c: types[inner] for inner, c in labels.items()}
 
-    def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str]) -> DataFrame:
+    def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str], labels: dict[str, str]) -> DataFrame:
         """Add the first fault in the column order of the row's own file."""
         strict = self.config.strict
         if len({layout.columns for layout in layouts}) == 1:
-            return validate.check_rows(rows, types, layouts[0].columns, strict)
+            return validate.check_rows(rows, types, layouts[0].columns, strict, labels=labels)
         listed = [(x.file, [x.columns.index(c) for c in types]) for x in layouts]
         # One row per file of the batch, whose number is capped.
         guide = F.broadcast(small_table(self.spark, listed, "file string, _places array<int>"))
-        return validate.check_rows(rows.join(guide, "file"), types, strict=strict, places="_places").drop("_places")
+        return validate.check_rows(rows.join(guide, "file"), types, strict=strict, places="_places", labels=labels).drop("_places")
 
     # --- books ------------------------------------------------------------------
 

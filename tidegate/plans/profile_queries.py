@@ -20,7 +20,7 @@ TABLES = (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _DOCUMENT_TEXTS = ["lang", "source"]
 
 
@@ -74,7 +74,7 @@ def profile_numeric(spark, sf_dir):
     return _rounded(out, "min_value", "max_value", "mean", "median")
 
 
-_EVENT_NUMBERS = ["user_id", "value"]
+_EVENT_NUMBERS = ["event_id", "user_id", "value"]
 
 
 @query(
@@ -298,7 +298,7 @@ def adhoc_filter_count(spark, sf_dir):
     return spark.sql("SELECT COUNT(*) AS n FROM {events} WHERE value > 50", events=table(spark, sf_dir, "events"))
 
 
-_TYPEOF = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"]
+_TYPEOF = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A lookup side (a few short fields per row) is broadcast up to this many rows,
-# some 150 MB; beyond it Spark joins by shuffle.
-BROADCAST_ROWS = 2_000_000
+# A lookup side is broadcast up to this size; beyond it Spark joins by shuffle.
+BROADCAST_BYTES = 1 << 27
+
+# Bytes that a value takes at most in a lookup side: numbers as they are, and keys,
+# names and kinds as text.
+NUMBER_BYTES, TEXT_BYTES = 8, 64
 
 # Bytes of input per shuffle partition, and the most partitions a load asks for.
 PARTITION_BYTES = 1 << 27
@@ -67,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     if _local_dir is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _local_dir = tempfile.mkdtemp(prefix="tidegate-")
     return _local_dir
 
@@ -88,13 +93,13 @@ def settle(df: DataFrame) -> DataFrame:
 def lookup(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     """Mark a table for broadcast if it is small enough to send around.
 
-    The size is measured, not guessed, on the table itself or on a settled one
-    with as many rows; a larger table is left to a shuffled join.
+    Rows are counted, not guessed, on the table itself or on a settled one with as
+    many, and weighed by the table's columns; a larger table is left to a shuffled join.
     """
     measured = df if sized_by is None else sized_by
-    if measured.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    wide = sum(NUMBER_BYTES if isinstance(f.dataType, T.NumericType) else TEXT_BYTES for f in df.schema)
+    most = BROADCAST_BYTES // wide
+    return F.broadcast(df) if measured.limit(most + 1).count() <= most else df
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

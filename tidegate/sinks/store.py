@@ -1,7 +1,7 @@
 """Where a load keeps its tables: Parquet folders, one subfolder per run.
 
-Every sink of a run writes its own ``run=<n>`` folder and overwrites it, so a
-run that died half-way is simply done again under the same number. A run counts
+Every sink of a run writes its own ``run=<n>`` folder. A run that died half-way is
+done again under the same number, after all folders of that number are removed. A run counts
 once ``processed_files`` has its rows, which are written last; readers ignore
 anything newer.
 """
@@ -20,6 +20,7 @@ BAD_FILES = "quarantine_files"
 BAD_ROWS = "quarantine_rows"
 AUDIT = "file_audit"
 RUNS = "run_summary"
+LAST_IDS = "last_ids"
 
 SCHEMA_OF = {
     PROCESSED: "file string, status string, processed_at timestamp",
@@ -27,6 +28,7 @@ SCHEMA_OF = {
     BAD_FILES: "file string, status string, reason string, pos long, payload string",
     BAD_ROWS: "file string, ordinal long, row_number long, error_column string, expected string, error string, payload string",
     AUDIT: "file string, status string, columns long, rows_in long, duplicates_removed long, nulls long, rows_staged long, rows_loaded long, rows_bad long",
+    LAST_IDS: "last_id long",
     RUNS: "files_seen long, files_loaded long, files_mismatched long, files_unreadable long, rows_loaded long, rows_bad long, seconds double",
 }
 
@@ -42,6 +44,20 @@ class Store:
     def write(self, df: DataFrame, name: str, run: int) -> None:
         df.write.mode("overwrite").parquet(self.path(name, run))
 
+    def remove(self, name: str, run: int) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name, run))
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    def discard(self, run: int) -> None:
+        """Remove what a run that died has left under this number, in whatever table.
+
+        The run that takes the number over may write other tables, or none.
+        """
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/*/run={run}")
+        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for left in system.globStatus(root) or []:
+            system.delete(left.getPath(), True)
+
     def read(self, name: str, schema: str) -> DataFrame:
         """All rows of a table with their ``run``; empty if nothing was written."""
         try:
@@ -51,6 +67,15 @@ class Store:
                 raise
             return small_table(self.spark, [], f"{schema}, run int")
 
+    def rows(self, name: str, schema: str) -> DataFrame:
+        """The rows of finished runs without their run, so that any column may be called so."""
+        folders = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/run=*")
+        system = folders.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [f.getPath().toString() for f in system.globStatus(folders) or []]
+        last = self.last_run()
+        finished = [p for p in found if int(p.rsplit("=", 1)[1]) <= last]
+        return self.spark.read.schema(schema).parquet(*finished) if finished else small_table(self.spark, [], schema)
+
     def exists(self, name: str) -> bool:
         try:
             self.spark.read.text(self.path(name))

@@ -26,6 +26,9 @@ LINE_MASK = (1 << 33) - 1
 OFFSET_SCALE = 1 << 10
 # Positions per chunk of rows: those of 64 MB of text.
 CHUNK_SPAN = (1 << 26) * OFFSET_SCALE
+# Fields that a record with line breaks may have before its reading is given up; of
+# other records any number is counted from the line.
+MOST_FIELDS = 1 << 20
 QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 
@@ -83,6 +86,35 @@ def count_fields(line: Column) -> Column:
     return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def open_quote(text: Column) -> Column:
+    """Whether a quoted field of a record is not closed by the record's end.
+
+    Only a quote at the beginning of a field opens one; other quotes are text.
+    """
+    bare = F.regexp_replace(text, QUOTED, "$1")
+    return F.coalesce(text.contains('"') & bare.rlike('(^|,)"'), F.lit(False))
+
+
+def line_facts(spark: SparkSession, layouts: Sequence[Layout]) -> DataFrame:
+    """``file, bad_bytes, open_quote, overlong`` of files with any of them, from their raw lines.
+
+    The lines before the first open quote all begin outside of quotes, so it is found
+    for certain; what follows it in that file is not judged by lines. Any number of
+    fields may be counted here, and bytes are looked at before they are decoded.
+    """
+    widths = [(x.file, x.width) for x in layouts]
+    guide = F.broadcast(small_table(spark, widths, "file string, width int"))
+    lines = spark.read.text([as_pattern(x.path) for x in layouts]).select(
+        decoded_name(F.col("_metadata.file_name")).alias("file"), "value"
+    )
+    line = F.col("value")
+    commas = F.char_length(line) - F.char_length(F.replace(line, F.lit(","), F.lit("")))
+    overlong = F.when(commas >= F.col("width"), count_fields(line) > F.col("width")).otherwise(False)
+    found = {"bad_bytes": ~F.is_valid_utf8(line), "open_quote": open_quote(line), "overlong": overlong}
+    facts = lines.join(guide, "file").select("file", *[v.alias(k) for k, v in found.items()])
+    return facts.groupBy("file").agg(*[F.max(k).alias(k) for k in found]).where(" OR ".join(found))
+
+
 def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline: bool = False) -> DataFrame:
     """``file, pos, _c0 … _c<width-1>, fields, open_quote`` of all data rows.
 
@@ -101,16 +133,15 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
         .option("columnPruning", False)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("maxColumns", max(20_480, read_width + 1))
+        .option("maxColumns", max(MOST_FIELDS if multiline else 20_480, read_width + 1))
         .csv([as_pattern(p) for p in paths])
     )
-    quotes = F.char_length(RAW) - F.char_length(F.replace(F.col(RAW), F.lit('"'), F.lit("")))
     return rows.select(
         decoded_name(F.col("_metadata.file_name")).alias("file"),
         row_position().alias("pos"),
         *[decode_null(F.col(c)).alias(c) for c in field_names(width)],
         F.when(F.col(RAW).isNull(), read_width).otherwise(count_fields(F.col(RAW))).alias("fields"),
-        F.coalesce(quotes % 2 == 1, F.lit(False)).alias("open_quote"),
+        open_quote(F.col(RAW)).alias("open_quote"),
     )
 
 

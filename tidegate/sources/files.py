@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,8 +16,6 @@ from tidegate.operators.gate import schema_key
 from tidegate.session import small_table
 
 CSV_GLOB = "*.[cC][sS][vV]"
-HEAD_BYTES = 1 << 16
-HEAD_LIMIT = 1 << 26
 
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -79,33 +78,58 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
-def _records(text: str) -> list[list[str]]:
-    return [r for r in csv.reader(io.StringIO(text, newline="")) if "".join(r).strip() or len(r) > 1]
+def fields_of(line: str, inside: bool) -> tuple[int, bool]:
+    """Separators of a physical line, and whether a quoted field goes on after it.
+
+    A quote opens a field only where the field begins; elsewhere it is text.
+    """
+    commas, at, begins = 0, 0, not inside
+    while True:
+        if inside:
+            at = line.find('"', at) + 1
+            if not at:
+                return commas, True
+            if line[at : at + 1] == '"':
+                at += 1
+            else:
+                inside = begins = False
+        elif begins and line[at : at + 1] == '"':
+            inside, at = True, at + 1
+        else:
+            at = line.find(",", at) + 1
+            if not at:
+                return commas, False
+            commas, begins = commas + 1, True
 
 
 def read_head(path: str) -> tuple[list[str] | None, int, str | None]:
-    """Header, width of the first data row and what is wrong, from the file's first bytes.
+    """Header, width of the first data row and what is wrong, from the file's first lines.
 
-    Reads on until the header and one data row are complete. A third record
-    proves that the second one was.
+    Text is decoded strictly. The header is kept; of the data row only the fields are
+    counted, line by line, so a quote that never closes costs time but no memory.
     """
-    csv.field_size_limit(HEAD_LIMIT)
-    data = b""
+    csv.field_size_limit(sys.maxsize)
     try:
-        with _open(path) as stream:
-            while True:
-                more = stream.read(HEAD_BYTES)
-                data += more
-                records = _records(data.decode("utf-8-sig", "strict" if not more else "ignore"))
-                if not more or len(records) > 2:
-                    break
-                if len(data) > HEAD_LIMIT:
-                    return None, 0, "header too long"
+        with _open(path) as stream, io.TextIOWrapper(stream, encoding="utf-8-sig", errors="strict", newline="") as lines:
+            head, commas, inside = [], 0, False
+            for line in lines:
+                if inside or line.strip():
+                    head.append(line)
+                    _, inside = fields_of(line, inside)
+                    if not inside:
+                        break
+            if not head:
+                return None, 0, "empty file"
+            started = False
+            for line in lines:
+                if started or line.strip():
+                    more, inside = fields_of(line, started and inside)
+                    commas, started = commas + more, True
+                    if not inside:
+                        break
     except (UnicodeDecodeError, csv.Error, OSError) as error:
-        return None, 0, f"{type(error).__name__}: {error}"[:200]
-    if not records:
-        return None, 0, "empty file"
-    return records[0], len(records[1]) if len(records) > 1 else 0, None
+        return None, 0, f"{type(error).__name__}: {error}"
+    return next(csv.reader(head)), commas + 1 if started else 0, None
 
 
 HEADER_SCHEMA = (
