@@ -265,6 +265,31 @@ def quality_score(df: DataFrame, exclude: Sequence[str] = ("id",)) -> DataFrame:
     )
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """Everything about every column as ``column, metric, value, text``.
+
+    ``value`` is a number; only ``mode`` has a ``text``, its value being how often it
+    occurs. A fixed number of passes, whatever the number of columns.
+    """
+    found = [column_nulls(df), repeated_values(df)]
+    if numeric_columns(df):
+        found += [numeric_summary(df), outliers(df)]
+    if text_columns(df):
+        found.append(distinct_values(df))
+    parts = []
+    for one in found:
+        metrics = [c for c in one.columns if c != "column"]
+        numbers = one.select("column", *[F.col(m).cast("double").alias(m) for m in metrics])
+        parts.append(numbers.unpivot("column", metrics, "metric", "value").withColumn("text", F.lit(None).cast("string")))
+    if text_columns(df):
+        modes = column_modes(df)
+        parts.append(modes.select("column", F.lit("mode").alias("metric"), F.col("occurrences").cast("double").alias("value"), F.col("mode").alias("text")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of every table, largest first."""
     out = None

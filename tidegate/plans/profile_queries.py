@@ -257,6 +257,33 @@ def quality_score(spark, sf_dir):
     return _rounded(profile.quality_score(as_read, exclude=["pos"]), "completeness", "uniqueness", "overall")
 
 
+_CUSTOMER_NUMBERS, _CUSTOMER_TEXTS = ["c_custkey", "c_nationkey", "c_acctbal"], ["c_name", "c_mktsegment"]
+
+
+def _profile_sql() -> str:
+    def one(column: str, metric: str, value: str) -> str:
+        return f"SELECT '{column}' AS \"column\", '{metric}' AS metric, ROUND(CAST({value} AS DOUBLE), 4) AS value, CAST(NULL AS VARCHAR) AS text FROM customer"
+
+    parts = []
+    for c in _CUSTOMER_NUMBERS + _CUSTOMER_TEXTS:
+        again = f"COUNT(*) - COUNT(DISTINCT {c}) - MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+        parts += [one(c, "nulls", f"COUNT(*) - COUNT({c})"), one(c, "null_pct", f"(COUNT(*) - COUNT({c})) * 100.0 / COUNT(*)")]
+        parts += [one(c, "duplicates", again), one(c, "duplicate_pct", f"({again}) * 100.0 / COUNT(*)")]
+    for c in _CUSTOMER_NUMBERS:
+        parts += [one(c, "min_value", f"MIN({c})"), one(c, "max_value", f"MAX({c})"), one(c, "mean", f"AVG({c})"), one(c, "median", f"quantile_cont({c}, 0.5)")]
+        far = f"{c} < m - 3 * s OR {c} > m + 3 * s"
+        parts.append(one(c, "outliers", f"COUNT(CASE WHEN {far} THEN 1 END)") + f", (SELECT AVG({c}) AS m, stddev_samp({c}) AS s FROM customer)")
+    parts += [one(c, "distinct_values", f"COUNT(DISTINCT {c})") for c in _CUSTOMER_TEXTS]
+    mode = f"SELECT \"column\", 'mode' AS metric, CAST(occurrences AS DOUBLE) AS value, mode AS text FROM ({_union([_mode_sql('customer', c) for c in _CUSTOMER_TEXTS])})"
+    return _union([*parts, mode])
+
+
+@query("table_profile", _profile_sql())
+def table_profile(spark, sf_dir):
+    """All metrics of all columns of a table by one call."""
+    return _rounded(profile.profile(table(spark, sf_dir, "customer")), "value")
+
+
 def _count_sql(t: str) -> str:
     return f"SELECT '{t}' AS table_name, COUNT(*) AS rows, (SELECT COUNT(*) FROM (DESCRIBE {t})) AS columns FROM {t}"
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # A lookup side is broadcast up to this size; beyond it Spark joins by shuffle.
-BROADCAST_BYTES = 1 << 27
+BROADCAST_BYTES = 1 << 26
 
 # Bytes that a value takes at most in a lookup side: numbers as they are, and keys,
 # names and kinds as text.
