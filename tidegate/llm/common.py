@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tidegate.session import lookup, scratch_path
 
-# Bytes of text that a task works on at a time, unless one text is longer.
-SLICE_BYTES = 1 << 21
+# Bytes of text that a task works on at a time, unless one text is longer, and of the
+# batches in which rows come to it.
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +70,7 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, **extra) -> DataFrame:
     """``doc_id``, ``text`` (null as empty) and columns asked for, whatever else the table holds."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[c.alias(n) for n, c in extra.items()]
     )

@@ -12,7 +12,7 @@ import numpy as np
 # The multiplier of a place, and the seed of the values of the bytes.
 BASE = 0x9E3779B97F4A7C15
 SEED = 20240607
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def _mix(x):
