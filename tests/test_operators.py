@@ -320,3 +320,16 @@ def test_percentiles_take_few_passes_for_any_spread(spark, monkeypatch, seed):
     found = quantiles.values_at(df, {"x": set(ranks)}, quantiles.column_ranges(df, ["x"]))
     assert {r: v for (_, r), v in found.items()} == {r: float(np.sort(values)[r]) for r in ranks}
     assert len(passes) <= quantiles.MOST_PASSES
+
+
+def test_correlation_of_many_columns(spark):
+    draw = np.random.default_rng(5)
+    frame = pd.DataFrame(draw.normal(size=(60, 24)), columns=[f"c{i}" for i in range(24)])
+    frame = frame.mask(draw.random(frame.shape) < 0.1)
+    frame["flat"] = 1.0
+    want = frame.corr()
+    got = profile.correlation(spark.createDataFrame(frame)).collect()
+    assert len(got) == 25 * 24 // 2
+    for r in got:
+        expected = want.loc[r["column_a"], r["column_b"]]
+        assert (r["r"] is None and np.isnan(expected)) or r["r"] == pytest.approx(expected)

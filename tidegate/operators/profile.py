@@ -187,27 +187,31 @@ def box_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns with both values present.
 
-    A constant column has no correlation (NULL). Each pass over the table holds a
-    bounded number of pairs, so wide tables do not outgrow generated code.
+    A constant column has no correlation (NULL). The table is read once: a few pairs are
+    aggregates of one row; for many, a row is laid out as its pairs, which tasks fold
+    before the shuffle, so that generated code does not grow with the table's width.
     """
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
 
-    def block(chunk):
+    def related(p: Column, q: Column) -> Column:
+        return F.try_divide(F.covar_pop(p, q), F.stddev_pop(p) * F.stddev_pop(q))
+
+    if len(pairs) <= PAIRS_PER_PASS:
         parts = []
-        for i, (a, b) in enumerate(chunk):
+        for i, (a, b) in enumerate(pairs):
             x, y = number_column(a), number_column(b)
-            p, q = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-            r = F.try_divide(F.covar_pop(p, q), F.stddev_pop(p) * F.stddev_pop(q))
-            parts.append(r.alias(f"r{i}"))
-        rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(chunk)]
+            parts.append(related(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)).alias(f"r{i}"))
+        rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
         return df.agg(*parts).select(F.inline(F.array(*rows)))
-
-    blocks = [block(pairs[i : i + PAIRS_PER_PASS]) for i in range(0, len(pairs), PAIRS_PER_PASS)]
-    out = blocks[0]
-    for more in blocks[1:]:
-        out = out.unionByName(more)
-    return out
+    values = df.select(F.array(*[number_column(c) for c in columns]).alias("v"))
+    firsts = values.select("v", F.posexplode("v").alias("i", "x"))
+    later = F.slice("v", F.col("i") + 2, F.lit(len(columns)))
+    met = firsts.select("i", "x", F.posexplode(later).alias("j", "y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    folded = met.groupBy("i", (F.col("i") + F.col("j") + 1).alias("j")).agg(related(F.when(both, F.col("x")), F.when(both, F.col("y"))).alias("r"))
+    names = F.array(*map(F.lit, columns))
+    return folded.select(F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), "r")
 
 
 def table_totals(df: DataFrame) -> DataFrame:

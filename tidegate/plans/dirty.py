@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.functions.numbers import VOTE_PATTERN
-from tidegate.functions.text import NULL_TOKENS
+from tidegate.plans.expected import NULL_TOKENS, VOTE_PATTERN
 from tidegate.session import tune
 
 FILE = "src_file"

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.numbers import VOTE_PATTERN
-from tidegate.functions.text import NULL_TOKENS
 from tidegate.operators import audit, clean, gate, ids
 from tidegate.operators.infer import column_facts
 from tidegate.plans import dirty, load_queries
 from tidegate.plans.dirty import table
+from tidegate.plans.expected import NULL_TOKENS, VOTE_PATTERN
 from tidegate.plans.ingest import FLAGS, Load, LoadConfig
 from tidegate.plans.landing import COLUMNS, HEADER, ORACLE_ROWS, OTHER, OTHER_HEADER, RAGGED, REORDERED, landing
 from tidegate.plans.profile_queries import TABLES

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.text import NULL_TOKENS
 from tidegate.operators import clean, profile
 from tidegate.plans import dirty
 from tidegate.plans.dirty import table
+from tidegate.plans.expected import NULL_TOKENS
 from tidegate.sources import tables
 
 TABLES = (
