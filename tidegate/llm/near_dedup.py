@@ -8,24 +8,23 @@ their next arrival is later than every register's, so most make a few steps only
 texts agree in a register with a chance equal to their probability Jaccard similarity.
 
 Registers are banded; texts that share a band are compared. The work on a bucket is
-bounded: comparisons first go by registers, only pairs that may reach the threshold are
-verified on their shingles, and only while nothing else has connected them, so a bucket
-returns fewer links than it has members. Buckets whose members are in one class already
+bounded: comparisons first go by registers, and texts without a promising partner leave.
+Promising pairs are verified on their shingles, but only while nothing else has connected
+them, so a bucket returns fewer links than it has members. Buckets whose members are in one class already
 drop out between waves of bands. A bucket that is too large for a task is divided by
-further bands and, if members still agree there, into pairs of blocks.
+further bands; if several classes are left in it, they are compared in pairs of blocks.
 
 Texts of equal words are folded first, so thousands of copies are one member.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import flat, keyed, slices, written
 from tidegate.llm.words import BASE, Words, _mix, grams, owners
+from tidegate.session import lookup
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -38,10 +37,12 @@ REGISTERS = 193
 PROMISING = 0.69
 WAVES = ((0, 4), (4, BANDS))
 BUCKET_MEMBERS = 2048
-DIVISIONS = 2
+BIN_MEMBERS = 4096
 # Candidates are found by broadcast up to this many, by shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 LAST = (1 << 63) - 1
+# What is known of a member of a bucket; ``band`` is -1 where the bucket is not a whole band's.
+GROUP = ["bucket", "band", "block", "node", "label"]
 
 
 def shingles(words: Words, texts):
@@ -91,7 +92,7 @@ def registers(owner, gram, weight, texts: int):
 
 
 def _signatures(batches):
-    """Per row: 128 bits of its word sequence, its band keys, and 16 bits of each register."""
+    """Per row: 128 bits of its word sequence and its band keys."""
     import numpy as np
     import pyarrow as pa
 
@@ -105,7 +106,6 @@ def _signatures(batches):
             keys = _mix((found.reshape(n, BANDS, BAND_ROWS) * np.uint64(BASE) ** np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64)).sum(axis=2, dtype=np.uint64))
             has = np.bincount(owner, minlength=n) > 0
             ends = np.cumsum(np.append(0, has * BANDS)).astype(np.int32)
-            short = found.astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("row_id"),
@@ -113,9 +113,8 @@ def _signatures(batches):
                     part.column("key"),
                     *_prints(texts),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].reshape(-1).view(np.int64))),
-                    pa.array([short[i].tobytes() if has[i] else b"" for i in range(n)], pa.binary()),
                 ],
-                ["row_id", "doc_id", "key", "print", "print_2", "keys", "registers"],
+                ["row_id", "doc_id", "key", "print", "print_2", "keys"],
             )
 
 
@@ -130,7 +129,7 @@ def _prints(texts):
 
 
 def _packed(batches):
-    """Shingles of each text as sorted 64-bit hashes, and weights where any is above 1."""
+    """16 bits of each register; shingles as sorted 64-bit hashes, and weights where any is above 1."""
     import numpy as np
     import pyarrow as pa
 
@@ -138,15 +137,17 @@ def _packed(batches):
     for batch in batches:
         for part in slices(batch):
             owner, gram, weight = shingles(words, part.column("text"))
+            found = registers(owner, gram, weight, part.num_rows).astype("<u2")
             ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
             spans = list(zip(ends, ends[1:]))
             yield pa.RecordBatch.from_arrays(
                 [
                     *_prints(part.column("text")),
+                    pa.array([row.tobytes() for row in found], pa.binary()),
                     pa.array([gram[a:b].astype("<u8").tobytes() for a, b in spans], pa.binary()),
                     pa.array([weight[a:b].astype("<u4").tobytes() if (weight[a:b] > 1).any() else b"" for a, b in spans], pa.binary()),
                 ],
-                ["print", "print_2", "shingles", "weights"],
+                ["print", "print_2", "registers", "shingles", "weights"],
             )
 
 
@@ -176,58 +177,107 @@ def similarity(left, right) -> float:
     return float((1.0 / (from_x / shared_x + from_y / shared_y)).sum())
 
 
-def _connected(threshold: float):
-    """Links of one bucket that connect what is not connected yet."""
+def _buckets(rows):
+    """The buckets of a bin, each sorted by node."""
+    import numpy as np
+
+    rows = rows.sort_by([("bucket", "ascending"), ("node", "ascending")])
+    bucket = rows.column("bucket").to_numpy()
+    cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b - a > 1:
+            yield rows.slice(a, b - a)
+
 
-    def run(bucket):
+def _promising_pairs(bucket, wave: tuple[int, int]):
+    """``(agreement, i, j)`` of the members of two classes whose registers agree enough.
+
+    Members that share several bands of a wave meet in the first of them only.
+    """
+    import numpy as np
+
+    label, side = bucket.column("label").to_numpy(), bucket.column("block").to_numpy()
+    band = bucket.column("band")[0].as_py()
+    table = np.stack([np.frombuffer(r, "<u2") for r in bucket.column("registers").to_pylist()])
+    two_sided = side.min() != side.max()
+    for i in range(len(label) - 1):
+        fine = label[i + 1 :] != label[i]
+        if two_sided:  # pairs inside a block are compared in the block's own group
+            fine &= side[i + 1 :] != side[i]
+        j = np.flatnonzero(fine) + i + 1
+        same = table[j] == table[i]
+        agreed = same.mean(axis=1)
+        fine = agreed >= PROMISING
+        if band > wave[0]:
+            fine &= ~same[:, wave[0] * BAND_ROWS : band * BAND_ROWS].reshape(len(j), band - wave[0], BAND_ROWS).all(axis=2).any(axis=1)
+        yield agreed[fine], i, j[fine]
+
+
+def _promising(wave: tuple[int, int]):
+    """Members with a promising partner of another class."""
+
+    def run(rows):
         import numpy as np
         import pyarrow as pa
 
-        bucket = bucket.sort_by("node")
-        node, label = bucket.column("node").to_numpy(), bucket.column("label").to_numpy()
-        side = bucket.column("block").to_numpy()
-        table = np.stack([np.frombuffer(r, "<u2") for r in bucket.column("registers").to_pylist()])
-        raw, weights = bucket.column("shingles"), bucket.column("weights")
-        held: dict = {}
-
-        def of(i):
-            if i not in held:
-                w = weights[i].as_py()
-                held[i] = (np.frombuffer(raw[i].as_py(), "<u8"), np.frombuffer(w, "<u4") if w else None)
-            return held[i]
-
-        classes = np.unique(label, return_inverse=True)[1]
-        two_sided = len(np.unique(side)) > 1
-        found = []
-        for i in range(len(node) - 1):
-            agreed = (table[i + 1 :] == table[i]).mean(axis=1)
-            fine = (agreed >= PROMISING) & (classes[i + 1 :] != classes[i])
-            if two_sided:  # pairs inside a block are compared in the block's own group
-                fine &= side[i + 1 :] != side[i]
-            j = np.flatnonzero(fine)
-            found.append(np.stack([agreed[j], np.full(len(j), i), j + i + 1], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 3))
-        above = list(range(len(node)))
-
-        def root(c):
-            while above[c] != c:
-                above[c] = above[above[c]]
-                c = above[c]
-            return c
+        held = [rows.select(GROUP).slice(0, 0)]
+        for bucket in _buckets(rows):
+            some = np.zeros(bucket.num_rows, bool)
+            for _, i, j in _promising_pairs(bucket, wave):
+                some[j] = True
+                some[i] |= len(j) > 0
+            held.append(bucket.select(GROUP).filter(pa.array(some)))
+        return pa.concat_tables(held)
+
+    return run
+
+
+def _connected(threshold: float, wave: tuple[int, int]):
+    """Links of each bucket that connect what is not connected yet."""
+
+    def run(rows):
+        import numpy as np
+        import pyarrow as pa
 
         links = []
-        classes = classes.tolist()
-        for i, j in pairs[np.argsort(-pairs[:, 0], kind="stable"), 1:].astype(int).tolist():
-            a, b = root(classes[i]), root(classes[j])
-            if a != b and similarity(of(i), of(j)) >= threshold:
-                above[max(a, b)] = min(a, b)
-                links.append((node[i], node[j]))
+        for bucket in _buckets(rows):
+            node, raw, weights = bucket.column("node").to_numpy(), bucket.column("shingles"), bucket.column("weights")
+            held: dict = {}
+
+            def of(i):
+                if i not in held:
+                    w = weights[i].as_py()
+                    held[i] = (np.frombuffer(raw[i].as_py(), "<u8"), np.frombuffer(w, "<u4") if w else None)
+                return held[i]
+
+            classes = np.unique(bucket.column("label").to_numpy(), return_inverse=True)[1].tolist()
+            above = list(range(len(node)))
+
+            def root(c):
+                while above[c] != c:
+                    above[c] = above[above[c]]
+                    c = above[c]
+                return c
+
+            pairs = [np.stack([agreed, np.full(len(j), i), j], 1) for agreed, i, j in _promising_pairs(bucket, wave)]
+            pairs = np.concatenate([np.zeros((0, 3)), *pairs])
+            for i, j in pairs[np.argsort(-pairs[:, 0], kind="stable"), 1:].astype(int).tolist():
+                a, b = root(classes[i]), root(classes[j])
+                if a != b and similarity(of(i), of(j)) >= threshold:
+                    above[max(a, b)] = min(a, b)
+                    links.append((node[i], node[j]))
         ends = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
 
     return run
 
 
+def _binned(members: DataFrame, rows: int):
+    """Whole buckets, some ``BIN_MEMBERS`` members to a task's call."""
+    bins = -(-rows // BIN_MEMBERS) or 1
+    return members.withColumn("bin", F.pmod(F.xxhash64("bucket"), F.lit(bins))).groupBy("bin")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for each node of ``links`` (``a``, ``b``): the least node it is connected with.
 
@@ -248,30 +298,56 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _mixed_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes, with their number."""
+    """Members of buckets that hold several classes, with the bucket's size."""
     sizes = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-    return members.join(written(sizes.filter("low < high").select("bucket", "size"), "mixed"), "bucket")
+    mixed = sizes.filter("low < high").select("bucket", "size")
+    return written(members.join(lookup(written(mixed, "mixed")), "bucket"), "members")
 
 
 def _groups(members: DataFrame, bands: DataFrame) -> DataFrame:
-    """``bucket, block, node, label``: the groups that tasks compare."""
-    mixed = written(_mixed_buckets(members), "members")
-    ready = [mixed.filter(F.col("size") <= BUCKET_MEMBERS).withColumn("block", F.lit(0).cast("long"))]
-    crowded = mixed.filter(F.col("size") > BUCKET_MEMBERS)
-    for _ in range(DIVISIONS):
-        if crowded.isEmpty():
-            break
-        finer = crowded.join(bands, "node").select(F.xxhash64("bucket", "band", "band_key").alias("bucket"), "node", "label")
-        mixed = written(_mixed_buckets(finer.distinct()), "members")
-        ready.append(mixed.filter(F.col("size") <= BUCKET_MEMBERS).withColumn("block", F.lit(0).cast("long")))
-        crowded = mixed.filter(F.col("size") > BUCKET_MEMBERS)
-    if not crowded.isEmpty():
-        half = BUCKET_MEMBERS // 2
-        blocks = F.ceil(F.col("size") / half).cast("long")
-        dealt = crowded.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        pair = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
-        ready.append(dealt.withColumn("bucket", pair).drop("other"))
-    return reduce(DataFrame.unionByName, (r.select("bucket", "block", "node", "label") for r in ready))
+    """``bucket, band, block, node, label``: the groups of a wave.
+
+    Buckets too large for a task are divided by each further band their members are in.
+    That finds most of their links; the rest is left to ``_block_pairs``.
+    """
+    whole = F.lit(0).cast("long").alias("block")
+    fits, crowds = F.col("size") <= BUCKET_MEMBERS, F.col("size") > BUCKET_MEMBERS
+    mixed = _mixed_buckets(members)
+    ready = mixed.filter(fits).select("bucket", "band", whole, "node", "label")
+    crowded = mixed.filter(crowds)
+    if crowded.isEmpty():
+        return ready
+    other = bands.withColumnRenamed("band", "by")
+    finer = crowded.join(other, "node").filter("by <> band").select(F.xxhash64("bucket", "by", "band_key").alias("bucket"), "node", "label")
+    return ready.unionByName(_mixed_buckets(finer).filter(fits).select("bucket", F.lit(-1).alias("band"), whole, "node", "label"))
+
+
+def _block_pairs(members: DataFrame) -> DataFrame | None:
+    """Groups that compare all classes of the buckets too large for a task, or None if there are no such.
+
+    Members are dealt to blocks, those of a large class to blocks of its own. Two blocks
+    of one class need no comparison, so a huge class meets the few members outside it
+    and not itself.
+    """
+    crowded = written(_mixed_buckets(members).filter(F.col("size") > BUCKET_MEMBERS), "crowded")
+    if crowded.isEmpty():
+        return None
+    half = BUCKET_MEMBERS // 2
+    classes = crowded.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    owner = F.when(F.col("n") > half, F.col("label"))
+    shares = classes.withColumn("owner", owner)
+    totals = shares.groupBy("bucket", "owner").agg(F.sum("n").alias("total"))
+    sized = written(shares.alias("s").join(totals.alias("t"), (F.col("s.bucket") == F.col("t.bucket")) & F.col("s.owner").eqNullSafe(F.col("t.owner"))).select("s.bucket", "s.label", "s.owner", "t.total"), "shares")
+    number = F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / half))
+    dealt = crowded.join(sized, ["bucket", "label"]).withColumn("block", F.xxhash64("owner", number))
+    dealt = written(dealt.select("bucket", "block", "owner", "node", "label"), "blocks")
+    blocks = dealt.select("bucket", "block", "owner").distinct()
+    others = blocks.select("bucket", F.col("block").alias("other"), F.col("owner").alias("other_owner"))
+    met = blocks.join(others, "bucket").filter("block <= other AND (owner IS NULL OR other_owner IS NULL OR owner <> other_owner)")
+    pair = F.xxhash64("bucket", "block", "other").alias("pair")
+    sides = met.select("bucket", pair, F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    out = dealt.join(sides, ["bucket", "block"])
+    return out.select(F.col("pair").alias("bucket"), F.lit(-1).alias("band"), "block", "node", "label")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
@@ -288,41 +364,55 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     """
     source = keyed(docs, id_col, text_col, key=F.lit(0).cast("long") if key is None else key, row_id=F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
-    spec = f"row_id long, doc_id {id_type}, key long, print long, print_2 long, keys array<long>, registers binary"
+    spec = f"row_id long, doc_id {id_type}, key long, print long, print_2 long, keys array<long>"
     signed = written(source.mapInArrow(_signatures, spec), "signatures").withColumn("order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    first = F.min(F.struct("order", "row_id", "doc_id", "keys", "registers"))
+    first = F.min(F.struct("order", "row_id", "doc_id", "keys"))
     folded = signed.groupBy("print", "print_2").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
     folded = written(
         folded.select(
             "print", "print_2", "copies", F.col("first.row_id").alias("node"), F.col("first.order").alias("order"),
-            F.col("first.doc_id").alias("copy_of"), F.col("first.keys").alias("keys"), F.col("first.registers").alias("registers"),
+            F.col("first.doc_id").alias("copy_of"), F.col("first.keys").alias("keys"),
         ),
         "folded",
     )
     bands = folded.select("node", F.posexplode("keys").alias("band", "band_key"))
-    shared = bands.groupBy("band", "band_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "band_key")
-    bands = written(bands.join(written(shared, "buckets"), ["band", "band_key"]), "bands")
+    shared = bands.groupBy("band", "band_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = written(shared, "buckets")
+    bands = written(bands.join(lookup(shared.drop("n")), ["band", "band_key"]), "bands")
     candidates = written(bands.select("node").distinct(), "candidates")
-    wanted = written(folded.join(candidates, "node", "left_semi").select("node", "print", "print_2", "copy_of", "registers"), "wanted")
+    wanted = written(folded.join(candidates, "node", "left_semi").select("node", "print", "print_2", "copy_of"), "wanted")
     ids = wanted.select(F.col("copy_of").alias("wanted_id")).distinct()
     if candidates.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     texts = source.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    packed = texts.mapInArrow(_packed, "print long, print_2 long, shingles binary, weights binary")
+    packed = texts.mapInArrow(_packed, "print long, print_2 long, registers binary, shingles binary, weights binary")
     packed = packed.dropDuplicates(["print", "print_2"]).join(wanted, ["print", "print_2"])
     payload = written(packed.select("node", "registers", "shingles", "weights"), "payload")
     links, labels = None, None
-    for low, high in WAVES:
-        members = bands.filter((F.col("band") >= low) & (F.col("band") < high)).select(F.xxhash64("band", "band_key").alias("bucket"), "node")
+
+    def joined(groups, wave):
+        groups = written(groups, "groups")
+        marked = _binned(payload.select("node", "registers").join(lookup(groups), "node"), groups.count())
+        groups = written(marked.applyInArrow(_promising(wave), "bucket long, band int, block long, node long, label long"), "promising")
+        compared = _binned(payload.join(lookup(groups), "node"), groups.count())
+        found = written(compared.applyInArrow(_connected(threshold, wave), "a long, b long").distinct(), "links")
+        return found if links is None else links.unionByName(found)
+
+    def labelled(rows):
+        rows = rows.select(F.xxhash64("band", "band_key").alias("bucket"), "band", "node")
         if labels is None:
-            members = members.withColumn("label", F.col("node"))
-        else:
-            members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        groups = _groups(members, bands)
-        found = groups.join(payload, "node").groupBy("bucket").applyInArrow(_connected(threshold), "a long, b long")
-        found = written(found.distinct(), "links")
-        links = found if links is None else links.unionByName(found)
+            return rows.withColumn("label", F.col("node"))
+        return rows.join(lookup(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    for low, high in WAVES:
+        links = joined(_groups(labelled(bands.filter((F.col("band") >= low) & (F.col("band") < high))), bands), (low, high))
         labels = components(links)
+    large = shared.filter(F.col("n") > BUCKET_MEMBERS)
+    if not large.isEmpty():
+        rest = _block_pairs(labelled(bands.join(lookup(large.drop("n")), ["band", "band_key"])))
+        if rest is not None:
+            links = joined(rest, (0, 0))
+            labels = components(links)
     members = folded.select("node", "print", "print_2", "copies", "order", "copy_of").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     members = written(members, "class-members")
     classes = members.groupBy("label").agg(F.min(F.struct("order", "node", "copy_of")).alias("first"), F.sum("copies").alias("class_size"))
