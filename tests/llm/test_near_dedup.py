@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -10,12 +11,14 @@ from tidegate.llm import near_dedup as N
 from tidegate.llm.words import Words
 
 
-def counted(text):
+def weighed(text):
+    """Weights of a text's shingles."""
     w = (text or "").split()
-    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    count = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    return {g: 1 + math.log2(n) / N.DOUBLINGS for g, n in count.items()}
 
 
-def similarity(x, y):
+def probability_jaccard(x, y):
     both = set(x) | set(y)
     return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in both) for i in x if i in y)
 
@@ -27,7 +30,9 @@ def edited(draw, tokens, edits):
     return out
 
 
-def test_similarity_and_estimate():
+@pytest.mark.parametrize("doublings", [N.DOUBLINGS, 0.5])
+def test_registers_estimate_probability_jaccard(monkeypatch, doublings):
+    monkeypatch.setattr(N, "DOUBLINGS", doublings)
     draw = random.Random(4)
     texts = []
     for _ in range(50):
@@ -39,21 +44,24 @@ def test_similarity_and_estimate():
     found = N.registers(owner, gram, weight, len(texts))
     off = []
     for i in range(0, len(texts), 2):
-        sides = [(gram[owner == k], weight[owner == k] if (weight[owner == k] > 1).any() else None) for k in (i, i + 1)]
-        exact = similarity(counted(texts[i]), counted(texts[i + 1]))
-        assert N.similarity(*sides) == pytest.approx(exact)
-        off.append((found[i] == found[i + 1]).mean() - exact)
+        off.append((found[i] == found[i + 1]).mean() - probability_jaccard(weighed(texts[i]), weighed(texts[i + 1])))
     assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.05
 
 
+def test_similarity_is_of_sets():
+    assert N.similarity(np.array([1, 2, 3, 9]), np.array([2, 3, 4])) == 0.4
+    assert N.similarity(np.array([], np.uint64), np.array([1])) == 0
+
+
 def model(rows, threshold=0.8):
-    keys = [" ".join((t or "").split()) for _, t in rows]
-    owner, gram, weight = N.shingles(Words(), pa.array(keys))
-    sets = [(gram[owner == k], weight[owner == k].astype(float)) for k in range(len(rows))]
-    linked = [
-        (i, j) for i in range(len(rows)) for j in range(i)
-        if keys[i] == keys[j] or (len(sets[i][0]) and len(sets[j][0]) and N.similarity(sets[i], sets[j]) >= threshold)
-    ]
+    split = [(t or "").split() for _, t in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in split]
+    linked = []
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if split[i] == split[j] or (common and common >= threshold * (len(sets[i]) + len(sets[j]) - common)):
+                linked.append((i, j))
     out = Counter()
     for members in classes(len(rows), linked).values():
         least = min((rows[i][0] for i in members if rows[i][0] is not None), default=None)

@@ -1,7 +1,8 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A text is the multiset of its five-word shingles, a shingle's weight being how often it
-occurs. Each shingle is a Poisson process with its weight as rate: its arrivals fall on
+A text is the set of its five-word shingles. A shingle's weight grows slowly with how
+often it occurs, so that a line repeated a thousand times does not drown the rest. Each
+shingle is a Poisson process with its weight as rate: its arrivals fall on
 the registers one after another, in an order and at gaps drawn from the shingle's hash
 alone. A register keeps the shingle that arrives first. A text's shingles stop as soon as
 their next arrival is later than every register's, so most make a few steps only. Two
@@ -28,13 +29,15 @@ from tidegate.session import lookup
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
+# Doublings of a shingle's occurrences that double its weight.
+DOUBLINGS = 16
 # 32 bands of 6: two texts at the threshold share no band with a chance of 6 in 100,000.
 BANDS, BAND_ROWS = 32, 6
 # A prime, so that steps by any stride visit all registers; those beyond the bands are not used.
 REGISTERS = 193
-# Pairs whose registers agree less than this are not verified: 3.8 standard deviations
-# (0.029 with 192 registers) below the threshold.
-PROMISING = 0.69
+# Pairs whose registers agree less than this are not verified: 4.8 standard deviations
+# (0.029 with 192 registers) below the threshold, which leaves room for unequal weights.
+PROMISING = 0.66
 WAVES = ((0, 4), (4, BANDS))
 BUCKET_MEMBERS = 2048
 BIN_MEMBERS = 4096
@@ -60,7 +63,7 @@ def shingles(words: Words, texts):
     new = np.ones(len(gram), bool)
     new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
     begin = np.flatnonzero(new)
-    return owner[begin], gram[begin], np.diff(np.append(begin, len(gram)))
+    return owner[begin], gram[begin], 1 + np.log2(np.diff(np.append(begin, len(gram)))) / DOUBLINGS
 
 
 def registers(owner, gram, weight, texts: int):
@@ -129,7 +132,7 @@ def _prints(texts):
 
 
 def _packed(batches):
-    """16 bits of each register; shingles as sorted 64-bit hashes, and weights where any is above 1."""
+    """16 bits of each register, and the shingles as sorted 64-bit hashes."""
     import numpy as np
     import pyarrow as pa
 
@@ -145,36 +148,17 @@ def _packed(batches):
                     *_prints(part.column("text")),
                     pa.array([row.tobytes() for row in found], pa.binary()),
                     pa.array([gram[a:b].astype("<u8").tobytes() for a, b in spans], pa.binary()),
-                    pa.array([weight[a:b].astype("<u4").tobytes() if (weight[a:b] > 1).any() else b"" for a, b in spans], pa.binary()),
                 ],
-                ["print", "print_2", "registers", "shingles", "weights"],
+                ["print", "print_2", "registers", "shingles"],
             )
 
 
 def similarity(left, right) -> float:
-    """Probability Jaccard similarity of two weighted sets ``(sorted hashes, weights or None)``.
-
-    The sum, over shared shingles i, of 1 over the sum over all j of the larger of
-    x[j] / x[i] and y[j] / y[i]; the plain Jaccard similarity where all weights are equal.
-    """
+    """Jaccard similarity of two sets of sorted hashes."""
     import numpy as np
 
-    (a, x), (b, y) = left, right
-    common, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if x is None and y is None:
-        return len(common) / max(1, len(a) + len(b) - len(common))
-    x = np.ones(len(a)) if x is None else x.astype(np.float64)
-    y = np.ones(len(b)) if y is None else y.astype(np.float64)
-    if not len(common):
-        return 0.0
-    shared_x, shared_y = x[at_a], y[at_b]
-    order = np.argsort(shared_x / shared_y, kind="stable")
-    shared_x, shared_y = shared_x[order], shared_y[order]
-    ratio = shared_x / shared_y
-    # all j whose x/y is at least i's count by x, the others by y; what only one text has is at either end
-    from_x = np.append(np.cumsum(shared_x[::-1])[::-1], 0.0)[np.searchsorted(ratio, ratio, side="left")] + x.sum() - shared_x.sum()
-    from_y = np.append(0.0, np.cumsum(shared_y))[np.searchsorted(ratio, ratio, side="left")] + y.sum() - shared_y.sum()
-    return float((1.0 / (from_x / shared_x + from_y / shared_y)).sum())
+    common = len(np.intersect1d(left, right, assume_unique=True))
+    return common / max(1, len(left) + len(right) - common)
 
 
 def _buckets(rows):
@@ -241,13 +225,12 @@ def _connected(threshold: float, wave: tuple[int, int]):
 
         links = []
         for bucket in _buckets(rows):
-            node, raw, weights = bucket.column("node").to_numpy(), bucket.column("shingles"), bucket.column("weights")
+            node, raw = bucket.column("node").to_numpy(), bucket.column("shingles")
             held: dict = {}
 
             def of(i):
                 if i not in held:
-                    w = weights[i].as_py()
-                    held[i] = (np.frombuffer(raw[i].as_py(), "<u8"), np.frombuffer(w, "<u4") if w else None)
+                    held[i] = np.frombuffer(raw[i].as_py(), "<u8")
                 return held[i]
 
             classes = np.unique(bucket.column("label").to_numpy(), return_inverse=True)[1].tolist()
@@ -353,8 +336,8 @@ def _block_pairs(members: DataFrame) -> DataFrame | None:
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """``doc_id, class_id, copy_of, class_size, kept, key`` for each row.
 
-    Texts are linked if the probability Jaccard similarity of their weighted five-word
-    shingles is at least ``threshold``; a class is what links connect, and ``class_id``
+    Texts are linked if the Jaccard similarity of their five-word shingles is at least
+    ``threshold``; a class is what links connect, and ``class_id``
     its smallest ``doc_id``. Texts of equal words are one member; ``copy_of`` is the
     smallest ``doc_id`` among them. Exactly one row of a class is kept, the one with the
     smallest ``doc_id``, null ids last, and one of those that repeat it. Texts under five
@@ -385,9 +368,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     if candidates.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     texts = source.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    packed = texts.mapInArrow(_packed, "print long, print_2 long, registers binary, shingles binary, weights binary")
+    packed = texts.mapInArrow(_packed, "print long, print_2 long, registers binary, shingles binary")
     packed = packed.dropDuplicates(["print", "print_2"]).join(wanted, ["print", "print_2"])
-    payload = written(packed.select("node", "registers", "shingles", "weights"), "payload")
+    payload = written(packed.select("node", "registers", "shingles"), "payload")
     links, labels = None, None
 
     def joined(groups, wave):
