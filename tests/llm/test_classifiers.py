@@ -62,6 +62,31 @@ def test_pairs_beat_weights(spark):
     assert misses(toxicity.fit(found)) < 0.5 * misses(toxicity.fit(found, factors=0))
 
 
+def test_terms_that_tell_only_in_pairs(spark):
+    """By the operator as it is: no insult gains enough alone."""
+    rows, labels = corpus(both=lambda insult, group: insult != group)
+    scores = toxicity.score_toxicity(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    toxic = {i: y for i, _, y in labels}
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in scores if r.held_out]) >= 0.9
+
+
+@pytest.mark.parametrize("shares", [1, 3])
+def test_paired_features_of_all_pairs(shares):
+    draw = np.random.default_rng(5)
+    has = draw.random((300, 25)) < draw.random(25)
+    y = (has[:, 3] ^ has[:, 7]) & (draw.random(300) < 0.9)
+    ends, columns = np.cumsum([0, *has.sum(axis=1)]), np.nonzero(has)[1]
+    gain = lambda x: labelled._gains(np.array([(x & y).sum()]), np.array([x.sum()]), y.sum(), 300)[0]
+    want = set()
+    for a in range(25):
+        for b in range(a):
+            if gain(has[:, a] & has[:, b]) - max(gain(has[:, a]), gain(has[:, b])) >= 4.0:
+                want |= {a, b}
+    counts = (has & y[:, None]).sum(axis=0), has.sum(axis=0)
+    found = [labelled.paired(y, ends, columns, *counts, 4.0, share, shares) for share in range(shares)]
+    assert want and set(np.concatenate(found).tolist()) == want
+
+
 @pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
 def test_awkward_rows(spark, tables, score):
     _, labels, _ = tables

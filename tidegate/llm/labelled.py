@@ -18,6 +18,8 @@ from tidegate.llm.common import keyed, slices, written
 # features it may use at most.
 SAMPLE_ROWS = 20_000
 MOST_FEATURES = 1 << 12
+# A task counts pairs for each so many features of sampled rows.
+SHARE_ENTRIES = 1 << 20
 
 
 def fold(id_col: str, parts: int, part: int) -> Column:
@@ -71,6 +73,107 @@ def _gain(with_1: Column, with_any: Column, ones: int, rows: int) -> Column:
     return out
 
 
+def _gains(with_1, with_any, ones: int, rows: int):
+    """The same of arrays."""
+    import numpy as np
+
+    out = np.zeros(len(with_any))
+    for seen, margin_a, margin_b in (
+        (with_1, with_any, ones),
+        (with_any - with_1, with_any, rows - ones),
+        (ones - with_1, rows - with_any, ones),
+        (rows - ones - (with_any - with_1), rows - with_any, rows - ones),
+    ):
+        some = seen > 0
+        out[some] += 2 * seen[some] * np.log(seen[some] * float(rows) / ((margin_a + 0 * seen)[some] * float(margin_b)))
+    return out
+
+
+def least_support(ones: int, rows: int, gain: float) -> tuple[int, int]:
+    """In how many rows of label 1, or else of label 0, a pair must be to gain as much at all."""
+    import numpy as np
+
+    def least(most, label):
+        n = np.arange(1, most + 1)
+        enough = n[_gains(n * label, n, ones, rows) >= gain]
+        return int(enough[0]) if len(enough) else rows + 1
+
+    return least(ones, 1), least(rows - ones, 0)
+
+
+def paired(y, ends, columns, with_1, with_any, gain: float, share: int = 0, shares: int = 1):
+    """The features of pairs whose presence together gains ``gain`` more than the better of the two does alone.
+
+    Rows are in compressed form; ``with_1`` and ``with_any`` count a feature's rows. All
+    pairs are counted, each at its rarer feature, of which a share are looked at.
+    """
+    import numpy as np
+
+    rows, ones, size = len(y), int(y.sum()), len(with_any)
+    order = np.lexsort((np.arange(size), with_any))
+    alone = _gains(with_1, with_any, ones, rows)[order]
+    rank = np.empty(size, np.int32)
+    rank[order] = np.arange(size)
+    owner = np.repeat(np.arange(rows, dtype=np.int32), np.diff(ends))
+    ranked = owner.astype(np.int64) * size + rank[columns]
+    ranked.sort()
+    ranked = (ranked % max(1, size)).astype(np.int32)
+    marked = 2 * ranked + y.astype(np.int32)[owner]
+    at_rank = np.argsort(ranked, kind="stable").astype(np.int32)
+    starts = np.searchsorted(ranked[at_rank], np.arange(size + 1))
+    least_1, least_0 = least_support(ones, rows, gain)
+    kept = np.zeros(size, bool)
+    for a in range(share, size, shares):
+        at = at_rank[starts[a] : starts[a + 1]]
+        lengths = ends[owner[at] + 1] - at - 1
+        rest = marked[np.repeat(at + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
+        both = np.bincount(rest - 2 * a, minlength=2 * (size - a)).reshape(-1, 2)
+        b = np.flatnonzero((both[:, 1] >= least_1) | (both[:, 0] >= least_0))
+        more = _gains(both[b, 1], both[b].sum(axis=1), ones, rows) - np.maximum(alone[a], alone[a + b]) >= gain
+        kept[a + b[more]] = True
+        kept[a] |= more.any()
+    return np.sort(order[kept])
+
+
+def _paired_shares(found, with_1, with_any, gain: float, shares: int):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for share in batch.column("id").to_pylist():
+                kept = paired(*found, with_1, with_any, gain, share, shares)
+                yield pa.RecordBatch.from_arrays([pa.array(kept)], ["place"])
+
+    return run
+
+
+def _rows(table):
+    """``y, ends, columns`` of described rows, in compressed form."""
+    import numpy as np
+
+    table = table.combine_chunks()
+    features = table["features"].combine_chunks()
+    ends = np.cumsum([0, *features.value_lengths().to_numpy(zero_copy_only=False)])
+    return table["y"].to_numpy(), ends, features.flatten().to_numpy(zero_copy_only=False)
+
+
+def _paired_features(texts: DataFrame, counted: DataFrame, describe: Callable, bits: int, ones: int, rows: int, gain: float):
+    """Features of the sample that gain in pairs; tasks share out the features."""
+    import numpy as np
+
+    least_1, least_0 = least_support(ones, rows, gain)
+    able = counted.filter((F.col("with_1") >= least_1) | (F.col("with_any") - F.col("with_1") >= least_0)).orderBy("feature").toArrow()
+    features, with_1, with_any = (able[c].to_numpy().astype(np.int64) for c in ("feature", "with_1", "with_any"))
+    if not len(features):
+        return features
+    described = texts.mapInArrow(_described(describe, bits, features), "y int, features array<int>, values array<double>")
+    found = _rows(described.select("y", "features").toArrow())
+    spark = texts.sparkSession
+    shares = -(-len(found[2]) // SHARE_ENTRIES) or 1
+    places = spark.range(0, shares, 1, shares).mapInArrow(_paired_shares(found, with_1, with_any, gain, shares), "place long").distinct()
+    return features[places.toArrow()["place"].to_numpy()]
+
+
 class Sample:
     """Selected features of the sample: sorted feature numbers, labels, and rows in compressed form."""
 
@@ -85,10 +188,14 @@ class Sample:
 
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, describe: Callable, bits: int, least_docs: int, least_gain: float, rows: int = SAMPLE_ROWS,
-    id_col: str = "doc_id", text_col: str = "text", most_features: int = MOST_FEATURES,
+    id_col: str = "doc_id", text_col: str = "text", most_features: int = MOST_FEATURES, least_pair_gain: float | None = None,
 ) -> Sample:
     """The labelled rows to learn from, by the features that tell the labels apart.
 
+    Those are, of the features of at least ``least_docs`` sampled rows, the ``most_features``
+    of most gain, from ``least_gain`` on; and, with a ``least_pair_gain``, both of any two
+    that gain as much more together than the better of them does alone.
+
     Labels that are null, or of ids without a document, are left out; an id with
     several labels counts as 1 if any of them is.
     """
@@ -103,9 +210,12 @@ def sample(
     total = seen.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("ones")).first()
     counted = seen.select("y", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("y").alias("with_1"), F.count(F.lit(1)).alias("with_any"))
     gain = _gain(F.col("with_1"), F.col("with_any"), total.ones, total.n)
-    told = counted.filter(F.col("with_any") >= least_docs).withColumn("gain", gain).filter(F.col("gain") >= least_gain)
+    counted = written(counted.filter(F.col("with_any") >= least_docs), "sample-counts")
+    told = counted.withColumn("gain", gain).filter(F.col("gain") >= least_gain)
     features = told.orderBy(F.desc("gain"), "feature").limit(most_features).select("feature").toArrow()["feature"].to_numpy()
     features = np.sort(features.astype(np.int64))
+    if least_pair_gain is not None:
+        features = np.union1d(features, _paired_features(texts, counted, describe, bits, total.ones, total.n, least_pair_gain))
     described = texts.mapInArrow(_described(describe, bits, features), schema)
     table = described.withColumn("mark", F.xxhash64("features", "values")).toArrow()
     table = table.sort_by([("y", "ascending"), ("mark", "ascending")]).combine_chunks()  # the same order in every run

@@ -19,7 +19,10 @@ BITS = 20
 # Bytes of the beginnings that are terms of their own.
 BEGINNINGS = (4, 6)
 LEAST_DOCS = 3
+# G² of a term against the label from which it counts; or of a pair of terms, beyond that
+# of the better of the two, for terms that tell little or nothing alone.
 LEAST_GAIN = 15.0
+LEAST_PAIR_GAIN = 20.0
 FACTORS = 8
 
 
@@ -109,7 +112,7 @@ def score_toxicity(
     1 where it holds nothing else. An empty table gives an empty result. ``carry`` names
     further columns of ``docs`` to return.
     """
-    found = sample(docs, labels, label, ~fold("doc_id", parts, part), _terms, BITS, LEAST_DOCS, LEAST_GAIN, sample_rows, id_col, text_col)
+    found = sample(docs, labels, label, ~fold("doc_id", parts, part), _terms, BITS, LEAST_DOCS, LEAST_GAIN, sample_rows, id_col, text_col, least_pair_gain=LEAST_PAIR_GAIN)
     machine = fit(found)
 
     def sums(owner, column, value, rows):
