@@ -109,3 +109,13 @@ def test_only_the_sample_is_learned_from(tables):
     documents, labels, _ = tables
     found = labelled.sample(documents, labels, "quality", ~labelled.fold("doc_id", 3, 1), quality._ngrams, quality.BITS, 5, 8.0, rows=50)
     assert len(found.y) == 50 and len(found.ends) == 51 and found.ends[-1] == len(found.columns) == len(found.values)
+
+
+def test_thousands_of_features_are_kept(spark):
+    """Each of 6,000 words belongs to one label."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{draw.randrange(3000)}" for _ in range(300))) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    every = labelled.fold("doc_id", 1, 0)
+    found = labelled.sample(docs(spark, rows), labels, "quality", every, quality._ngrams, quality.BITS, quality.LEAST_DOCS, quality.LEAST_GAIN)
+    assert len(found.features) > 5500
