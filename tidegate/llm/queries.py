@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from tidegate.llm import bpe, chat
 from tidegate.llm.common import table
 from tidegate.llm.exact_dedup import exact_groups
+from tidegate.llm.language import identify
 from tidegate.llm.near_dedup import near_classes
 from tidegate.llm.packing import pack_documents
 from tidegate.llm.quality import score_quality
+from tidegate.llm.runs import periodic_runs
 from tidegate.llm.sharding import shard_documents
 from tidegate.llm.substring import remove_repeats
 from tidegate.llm.topk import search
 from tidegate.llm.toxicity import score_toxicity
-
+from tidegate.llm.whitening import whiten
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -131,6 +133,18 @@ def op10_chunk_recipes(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op11_viterbi_spans(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"), parts=4, part=2)
+
+
+def op12_dyadic_runs(spark, sf_dir):
+    return periodic_runs(table(spark, sf_dir, "documents"), least_exponent=4, least_length=6, plant=True)
+
+
+def op13_whitened_components(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 OP9_SQL = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
@@ -175,6 +189,9 @@ QUERIES = {
     "op8_residual_packing": op8_residual_packing,
     "op9_suffix_automata": op9_suffix_automata,
     "op10_chunk_recipes": op10_chunk_recipes,
+    "op11_viterbi_spans": op11_viterbi_spans,
+    "op12_dyadic_runs": op12_dyadic_runs,
+    "op13_whitened_components": op13_whitened_components,
 }
 
 ORACLES = {
