@@ -15,8 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # A lookup side is broadcast up to this size; beyond it Spark joins by shuffle.
 BROADCAST_BYTES = 1 << 26
 
-# Bytes that a value takes at most in a lookup side: numbers as they are, and keys,
-# names and kinds as text.
+# Bytes that a value takes in a lookup side: a number, and any other beside its text.
 NUMBER_BYTES, TEXT_BYTES = 8, 64
 
 # Bytes of input per shuffle partition, and the most partitions a load asks for.
@@ -76,9 +75,9 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str, below: str | None = None) -> str:
+    """A fresh path below the shared folder, or below another."""
+    return f"{(below or shared_dir(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -94,12 +93,16 @@ def lookup(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     """Mark a table for broadcast if it is small enough to send around.
 
     Rows are counted, not guessed, on the table itself or on a settled one with as
-    many, and weighed by the table's columns; a larger table is left to a shuffled join.
+    many, and weighed by the table's columns, texts by their length; a larger table is
+    left to a shuffled join.
     """
     measured = df if sized_by is None else sized_by
+    texts = [f"`{f.name}`" for f in measured.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     wide = sum(NUMBER_BYTES if isinstance(f.dataType, T.NumericType) else TEXT_BYTES for f in df.schema)
     most = BROADCAST_BYTES // wide
-    return F.broadcast(df) if measured.limit(most + 1).count() <= most else df
+    long = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in texts), F.lit(0).cast("long"))
+    found = measured.select(long.alias("bytes")).limit(most + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found.rows <= most and found.rows * wide + found.bytes <= BROADCAST_BYTES else df
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
