@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import awkward, docs, rows_of, words
 
+from tidegate.llm import common
 from tidegate.llm import exact_dedup as E
 from tidegate.llm.words import normalised
 
@@ -33,6 +34,12 @@ def test_groups(spark, bits):
     assert found.filter("kept AND NOT doc_id <=> keep_id").isEmpty()
 
 
+def test_a_text_that_most_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    rows = [(i, " " * (i % 3)) for i in range(30)] + [(i, f"text {i % 50}") for i in range(30, 100)] + [(None, "text 1")]
+    assert rows_of(E.exact_groups(docs(spark, rows)).select("doc_id", "keep_id", "group_size", "text_sha256")) == model(rows)
+
+
 def test_empty_table(spark):
     found = E.exact_groups(docs(spark, []))
     assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256", "key"] and found.count() == 0

@@ -1,7 +1,8 @@
 """Registered queries of the operators: against their SQL, or against plain models on the whole table."""
 
+import hashlib
 import os
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from oracle import TESTDATA, compare, connect
@@ -77,10 +78,38 @@ def stage_rows(docs):
     return Counter((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
 
 
+def pieces_are_packed(pieces, rows):
+    """Every document's ids, cut as they must be, in sequences without gaps, few of them."""
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    want, total = Counter(), 0
+    for i, text in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        total += len(ids)
+        cuts = [0, *range(len(ids) % 1024 or min(1024, len(ids)), len(ids) + 1, 1024)]
+        want.update((i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:])))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces) == want
+    sequences = defaultdict(list)
+    for r in pieces:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(parts[-1]) <= 1024
+    assert len(sequences) <= 1.02 * -(-total // 1024) + 1
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against what its operator decides, on what the stage before kept."""
     from test_near_dedup import model as near_model
     from test_exact_dedup import model as exact_model
+    from test_substring import model as substring_model
 
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before = docs
@@ -99,9 +128,12 @@ def test_pipeline_stages(spark, tmp_path):
         elif name == "near_dedup":
             assert {r.doc_id for r in after.collect()} == {c for _, c, _ in near_model(rows)}
         elif name == "substring_dedup":
-            assert after.count() == len(rows) and all(r.n_chars == len(r.text) for r in after.collect())
+            assert all(r.n_chars == len(r.text) for r in after.collect())
+            split = Counter((i, len(t.split()), hashlib.sha256(" ".join(t.split()).encode()).hexdigest()) for i, t in after.select("doc_id", "text").collect())
+            want = Counter({(i, n - gone, digest): times for (i, n, gone, digest), times in substring_model(rows, 13).items()})
+            assert split == want
         else:
-            assert {r.doc_id for r in after.collect()} == {i for i, _ in rows}
+            pieces_are_packed(after.collect(), rows)
         before = after
     whole = corpus_pipeline.run(spark, SF_DIR)
     assert Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in whole.collect()) == Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in before.collect())
@@ -122,6 +154,24 @@ def test_stages_on_awkward_rows(spark, tmp_path):
         before = after
 
 
+def test_two_pipelines_built_before_either_runs(spark):
+    """Stages own their tables: what one of them writes and removes is nothing to another."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "n_chars")
+    halves = [docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")]
+    for name, stage in corpus_pipeline.STAGES:
+        built = [stage(spark, half, SF_DIR) for half in halves]
+        counts = [b.count() for b in reversed(built)][::-1]
+        assert [stage(spark, half, SF_DIR).count() for half in halves] == counts, name
+
+
+def test_a_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    from tidegate import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["packed"]
+
+
 def test_stages_on_no_rows(spark, tmp_path):
     before = docs(spark, [])
     for name, stage in corpus_pipeline.STAGES:

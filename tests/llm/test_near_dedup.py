@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from helpers import awkward, classes, docs, rows_of, words
 
+from tidegate.llm import common
 from tidegate.llm import near_dedup as N
 from tidegate.llm.words import Words
 
@@ -69,9 +70,10 @@ def model(rows, threshold=0.8):
     return out
 
 
-@pytest.mark.parametrize("most", [N.BUCKET_MEMBERS, 12])
-def test_classes(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "hot"), [(N.BUCKET_MEMBERS, common.HOT_ROWS), (12, 3)])
+def test_classes(spark, monkeypatch, most, hot):
     monkeypatch.setattr(N, "BUCKET_MEMBERS", most)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     draw = random.Random(9)
     rows = awkward()
     hot = words(draw, 150)
@@ -91,6 +93,60 @@ def test_classes(spark, monkeypatch, most):
     assert len(kept) >= by_class and all(r.doc_id == r.class_id for r in kept)
 
 
+def at_the_threshold(kind, times, pairs):
+    """Pairs of texts with 800 shared shingles and 100 of their own, by hashes: ``(owner, gram, weight)``.
+
+    ``kind`` says which shingles occur ``times`` times: none, each text's own, or another
+    half of the shared ones in each text.
+    """
+    rng = np.random.default_rng(times + len(kind))
+    heavy = 1 + math.log2(times) / N.DOUBLINGS
+    owner, gram, weight = [], [], []
+    for i in range(pairs):
+        shared = rng.integers(1, 2**63, 800, dtype=np.uint64)
+        for side in (0, 1):
+            w = np.ones(900)
+            if kind == "own":
+                w[800:] = heavy
+            elif kind == "halves":
+                w[400 * side : 400 * side + 400] = heavy
+            g = np.concatenate([shared, rng.integers(1, 2**63, 100, dtype=np.uint64)])
+            order = np.argsort(g)
+            owner.append(np.full(900, 2 * i + side))
+            gram.append(g[order])
+            weight.append(w[order])
+    return np.concatenate(owner), np.concatenate(gram), np.concatenate(weight)
+
+
+@pytest.mark.parametrize(("kind", "times"), [("none", 1), ("own", 100), ("own", 1000), ("halves", 100), ("halves", 1000)])
+def test_links_of_texts_with_repeats_are_not_lost(monkeypatch, kind, times):
+    """Every pair at a set similarity of 0.8 shares a bucket and passes the gate, by the module's own steps."""
+    pairs = 1200
+    monkeypatch.setattr(N, "shingles", lambda words, texts: at_the_threshold(kind, times, pairs))
+    texts = pa.array([f"text {i}" for i in range(2 * pairs)])
+    monkeypatch.setattr(N, "slices", lambda batch: [batch])
+    number = pa.array(range(2 * pairs))
+    (signed,) = N._signatures([pa.RecordBatch.from_arrays([number, number, number, texts], ["row_id", "doc_id", "key", "text"])])
+    (packed,) = N._packed([pa.RecordBatch.from_arrays([texts], ["text"])])
+    keys, table = signed.column("keys").to_pylist(), [np.frombuffer(r, "<u2") for r in packed.column("registers").to_pylist()]
+    lost = 0
+    for a, b in zip(range(0, 2 * pairs, 2), range(1, 2 * pairs, 2)):
+        met = {(i % N.BANDS, k) for i, k in enumerate(keys[a]) if k is not None} & {(i % N.BANDS, k) for i, k in enumerate(keys[b]) if k is not None}
+        lost += not met or (table[a] == table[b]).mean() < N.PROMISING
+    assert lost <= 0.001 * pairs
+
+
+def test_weighted_bands_come_second():
+    """A text without repeats has its even signature only, one with repeats both, without those that agree."""
+    plain, repeated = " ".join(f"a{i}" for i in range(300)), " ".join(f"a{i}" for i in range(300)) + " a0 a1 a2 a3 a4 a5" * 50
+    batch = pa.RecordBatch.from_pydict({"row_id": [0, 1, 2], "doc_id": [0, 1, 2], "key": [0, 0, 0], "text": [plain, repeated, ""]})
+    (signed,) = N._signatures([batch])
+    first, second, none = signed.column("keys").to_pylist()
+    assert len(first) == N.BANDS and len(second) == 2 * N.BANDS and none == []
+    even, weighted = second[: N.BANDS], second[N.BANDS :]
+    assert None not in even and any(k is None for k in weighted) and all(k is None or k != e for k, e in zip(weighted, even))
+
+
 def test_empty_table(spark):
     assert N.near_classes(docs(spark, [])).count() == 0
 

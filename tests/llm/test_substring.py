@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from helpers import awkward, docs, rows_of, words
 
+from tidegate.llm import common
 from tidegate.llm import substring as S
 
 
@@ -42,9 +43,11 @@ def some_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize(("window", "crowd", "filtered", "broadcast"), [(13, 20000, 1 << 24, 1 << 20), (13, 3, 0, 0), (9, 20000, 1 << 24, 0)])
-def test_removed_words(spark, monkeypatch, window, crowd, filtered, broadcast):
-    monkeypatch.setattr(S, "ANCHOR_REFERENCES", crowd)
+@pytest.mark.parametrize(("window", "crowd", "filtered", "broadcast", "hot"), [(13, 1 << 17, 1 << 24, 1 << 20, 1 << 17), (13, 50, 0, 0, 3), (9, 1 << 17, 1 << 24, 0, 3)])
+def test_removed_words(spark, monkeypatch, window, crowd, filtered, broadcast, hot):
+    monkeypatch.setattr(S, "ANCHOR_WORDS_MOST", crowd)
+    monkeypatch.setattr(S, "HOT_ROWS", hot)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     monkeypatch.setattr(S, "FILTER_ANCHORS", filtered)
     monkeypatch.setattr(S, "BROADCAST_BYTES", broadcast)
     rows = some_rows(window)
@@ -58,6 +61,13 @@ def test_kept_text_has_its_own_white_space(spark):
     assert found == {1: f"x {run}", 2: "a\n\tb  c  d", 3: "  as it  is "}
 
 
+def test_rows_that_agree_in_id_and_text(spark):
+    """Thousands of copies under one id, and a third of all rows one text."""
+    text = " ".join(words(random.Random(1), 80))
+    rows = [(5, text)] * 2000 + [(None, text)] * 500 + [(i, f"{text} x{i}") for i in range(6, 60)] + [(1, text[100:])]
+    assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
+
+
 def test_empty_table(spark):
     assert S.remove_repeats(docs(spark, [])).count() == 0
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,45 +22,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_recorded: list[str] | None = None
-_of_stages: list[str] = []
+# The folder for tables that only the operator at work reads, and those around it.
+_folders: ContextVar[tuple[str, ...]] = ContextVar("folders", default=())
 
 
 @contextmanager
-def scratch_of_stage(spark: SparkSession, docs: DataFrame):
-    """Note the tables that a pipeline stage writes, and remove those of stages before it.
+def working(spark: SparkSession):
+    """A folder of its own for what is ``written`` inside, removed at the end.
 
-    A stage's result has been written when the next one starts, so what it was made from
-    is not needed any more, unless ``docs`` still reads it.
+    What is returned from inside must not read those tables; it is ``kept``, which puts
+    it beside the folder, where it belongs to whoever called: an outer ``working``, which
+    removes it in turn, or the shared folder.
     """
-    global _recorded
-    if _of_stages:
-        read = docs.inputFiles()
-        for path in [p for p in _of_stages if not any(p.split(":", 1)[-1] in f for f in read)]:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-            _of_stages.remove(path)
-    _recorded, outer = [], _recorded
+    folder = scratch_path(spark, "work", _folder())
+    token = _folders.set((*_folders.get(), folder))
     try:
         yield
     finally:
-        _of_stages.extend(_recorded)
-        _recorded = outer
+        _folders.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def _folder(outer: int = 0) -> str | None:
+    held = _folders.get()
+    return held[-1 - outer] if len(held) > outer else None
+
+
+def written(df: DataFrame, label: str, outer: int = 0) -> DataFrame:
     """Write a table once to the shared folder and read it from there.
 
     What reads it later neither computes it again nor depends on an executor that
     may be lost, and columns such as row numbers are fixed by it.
     """
-    path = scratch_path(df.sparkSession, label)
-    if _recorded is not None:
-        _recorded.append(path)
+    path = scratch_path(df.sparkSession, label, _folder(outer))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """The same for a table that outlives the ``working`` folder around it."""
+    return written(df, label, 1)
+
+
+def thrifty(run):
+    """A task's function that gives its memory back at its end, as a Python worker waits for more tasks."""
+
+    def bounded(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+            if trim is not None:
+                trim(0)
+
+    return bounded
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}
@@ -111,7 +135,7 @@ def only_kept(docs: DataFrame, decisions: DataFrame, id_col: str, key: str) -> D
     Rows are found by their id and the column ``key``, a hash of the text. Rows that
     agree in both are copies; of those that are kept only in part, one stays.
     """
-    verdicts = written(decisions.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"), "verdicts")
+    verdicts = kept(decisions.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("NOT kept OR n > 1"), "verdicts")
     gone, repeated = (verdicts.filter(c).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")) for c in ("NOT kept", "kept"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_key"))
     out = docs.join(lookup(gone), same, "left_anti")
@@ -119,3 +143,22 @@ def only_kept(docs: DataFrame, decisions: DataFrame, id_col: str, key: str) -> D
         once = out.join(lookup(repeated), same, "left_semi").dropDuplicates([id_col, key])
         out = out.join(lookup(repeated), same, "left_anti").unionByName(once)
     return out
+
+
+# Rows with one key from which the key is hot: its rows stay where they are and meet the
+# other side by broadcast.
+HOT_ROWS = 1 << 17
+
+
+def join_keyed(rows: DataFrame, side: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """Join with a side that has each key once and says in ``count`` how many rows do.
+
+    Keys of very many rows would each be one task's work in a shuffled join. There are at
+    most as many of them as ``HOT_ROWS`` goes into the rows.
+    """
+    hot = side.filter(F.col(count) >= HOT_ROWS)
+    if hot.isEmpty():
+        return rows.join(side, keys, how)
+    few = lookup(hot)
+    cold = rows.join(lookup(hot.select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(cold.join(side.filter(F.col(count) < HOT_ROWS), keys, how))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import keyed, slices, written
+from tidegate.llm.common import join_keyed, kept, keyed, slices, working, written
 from tidegate.llm.words import normalised
 
 # A chunk ends where this many leading bits of the rolling hash are 0: 4 KiB on average.
@@ -118,7 +118,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     its row. ``hash_bits`` is less than 64 only in tests of collisions. An empty table
     gives an empty result.
     """
-    source = keyed(docs, id_col, text_col, key=F.lit(0).cast("long") if key is None else key, row_id=F.monotonically_increasing_id())
+    with working(docs.sparkSession):
+        return kept(_groups(docs, id_col, text_col, F.lit(0).cast("long") if key is None else key, hash_bits), "exact-groups")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, key: Column, hash_bits: int) -> DataFrame:
+    source = keyed(docs, id_col, text_col, key=key, row_id=F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
     recipes = written(
         source.mapInArrow(_recipes(hash_bits), f"row_id long, doc_id {id_type}, key long, recipe array<long>, text_sha256 string"), "recipes"
@@ -153,7 +158,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = recipes.groupBy(*same).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("size")
     )
-    joined = recipes.join(written(groups.filter("size > 1"), "copies"), same, "left")
+    joined = join_keyed(recipes, written(groups.filter("size > 1"), "copies"), same, "size", "left")
     alone = F.col("size").isNull()
     return joined.select(
         "doc_id",

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import flat, keyed, slices, written
+from tidegate.llm.common import flat, keyed, slices, thrifty, working, written
 from tidegate.llm.labelled import fold
 from tidegate.llm.words import BASE, Words, _mix, byte_values
 
@@ -348,6 +348,11 @@ def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     languages ``rows`` rows, as long as their texts hold ``size`` bytes (one text at
     least). A language none of whose sampled texts has a letter is not learned.
     """
+    with working(docs.sparkSession):
+        return _learned(docs, train, id_col, text_col, lang_col, rows, size)
+
+
+def _learned(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, rows: int, size: int) -> Model:
     import numpy as np
 
     known = keyed(docs, id_col, text_col, lang=F.col(lang_col).cast("string"), train=train).filter("train AND lang IS NOT NULL")
@@ -366,7 +371,7 @@ def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     # of a row that repeats, one copy counts
     texts = known.select("lang", "doc_id", "mark", "text").join(F.broadcast(keys.drop("bytes")), ["lang", "doc_id", "mark"], "left_semi")
     texts = texts.dropDuplicates(["lang", "doc_id", "mark"]).select(number.alias("language"), "text")
-    counted = texts.mapInArrow(_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    counted = texts.mapInArrow(thrifty(_counts), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     key, n = (counted[c].to_numpy() for c in ("key", "n"))
     order = np.argsort(key)
     key, n = key[order], n[order]
@@ -395,4 +400,4 @@ def identify(
     source = keyed(docs, id_col, text_col, held_out=held_out)
     made = "lang_pred string, score double" + (", spans array<struct<start:long,end:long,lang:string>>" if detail else "")
     schema = T.StructType([source.schema["doc_id"], source.schema["held_out"], *T.StructType.fromDDL(made)])
-    return source.mapInArrow(_labelled(model, switch, detail, ["doc_id", "held_out"]), schema)
+    return source.mapInArrow(thrifty(_labelled(model, switch, detail, ["doc_id", "held_out"])), schema)

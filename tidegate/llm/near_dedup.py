@@ -8,6 +8,12 @@ alone. A register keeps the shingle that arrives first. A text's shingles stop a
 their next arrival is later than every register's, so most make a few steps only. Two
 texts agree in a register with a chance equal to their probability Jaccard similarity.
 
+Links are judged by sets of shingles, so a text with repeated shingles is also entered
+under a second signature, in which every shingle weighs 1. In texts without repeats the
+two are the same. Of any two texts the even signatures meet in a bucket as often as the
+Jaccard similarity of their sets says, whatever repeats in them; the weighted ones bring
+further candidates, texts that repeat the same lines.
+
 Registers are banded; texts that share a band are compared. The work on a bucket is
 bounded: comparisons first go by registers, and texts without a promising partner leave.
 Promising pairs are verified on their shingles, but only while nothing else has connected
@@ -23,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import flat, keyed, slices, written
+from tidegate.llm.common import flat, join_keyed, kept, keyed, slices, thrifty, working, written
 from tidegate.llm.words import BASE, Words, _mix, grams, owners
 from tidegate.session import lookup
 
@@ -35,8 +41,8 @@ DOUBLINGS = 16
 BANDS, BAND_ROWS = 32, 6
 # A prime, so that steps by any stride visit all registers; those beyond the bands are not used.
 REGISTERS = 193
-# Pairs whose registers agree less than this are not verified: 4.8 standard deviations
-# (0.029 with 192 registers) below the threshold, which leaves room for unequal weights.
+# Pairs whose even registers agree less than this are not verified: 4.8 standard deviations
+# (0.029 with 192 registers) below the threshold.
 PROMISING = 0.66
 WAVES = ((0, 4), (4, BANDS))
 BUCKET_MEMBERS = 2048
@@ -94,8 +100,15 @@ def registers(owner, gram, weight, texts: int):
     return winner.reshape(texts, REGISTERS)[:, : BANDS * BAND_ROWS]
 
 
+def _band_keys(found):
+    import numpy as np
+
+    factors = np.uint64(BASE) ** np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64)
+    return _mix((found.reshape(len(found), BANDS, BAND_ROWS) * factors).sum(axis=2, dtype=np.uint64)).view(np.int64)
+
+
 def _signatures(batches):
-    """Per row: 128 bits of its word sequence and its band keys."""
+    """Per row: 128 bits of its word sequence and its band keys, even ones and then weighted ones that differ."""
     import numpy as np
     import pyarrow as pa
 
@@ -105,17 +118,28 @@ def _signatures(batches):
             texts = part.column("text")
             owner, gram, weight = shingles(words, texts)
             n = part.num_rows
-            found = registers(owner, gram, weight, n)
-            keys = _mix((found.reshape(n, BANDS, BAND_ROWS) * np.uint64(BASE) ** np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64)).sum(axis=2, dtype=np.uint64))
+            keys = _band_keys(registers(owner, gram, np.ones(len(gram)), n))
+            uneven = np.bincount(owner, weights=weight > 1, minlength=n) > 0
+            also = uneven[owner]
+            again = np.cumsum(uneven) - 1
+            weighted = _band_keys(registers(again[owner[also]], gram[also], weight[also], int(uneven.sum())))
             has = np.bincount(owner, minlength=n) > 0
-            ends = np.cumsum(np.append(0, has * BANDS)).astype(np.int32)
+            ends = np.cumsum(np.append(0, has * BANDS + uneven * BANDS))
+            every = np.empty(ends[-1], np.int64)
+            at = ends[:-1][has][:, None] + np.arange(BANDS)
+            every[at] = keys[has]
+            at = ends[:-1][uneven][:, None] + BANDS + np.arange(BANDS)
+            every[at] = weighted
+            none = np.zeros(len(every), bool)
+            none[at] = weighted == keys[uneven]
+            ends = ends.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("row_id"),
                     part.column("doc_id"),
                     part.column("key"),
                     *_prints(texts),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].reshape(-1).view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(every, mask=none)),
                 ],
                 ["row_id", "doc_id", "key", "print", "print_2", "keys"],
             )
@@ -132,15 +156,15 @@ def _prints(texts):
 
 
 def _packed(batches):
-    """16 bits of each register, and the shingles as sorted 64-bit hashes."""
+    """16 bits of each even register, and the shingles as sorted 64-bit hashes."""
     import numpy as np
     import pyarrow as pa
 
     words = Words()
     for batch in batches:
         for part in slices(batch):
-            owner, gram, weight = shingles(words, part.column("text"))
-            found = registers(owner, gram, weight, part.num_rows).astype("<u2")
+            owner, gram, _ = shingles(words, part.column("text"))
+            found = registers(owner, gram, np.ones(len(gram)), part.num_rows).astype("<u2")
             ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
             spans = list(zip(ends, ends[1:]))
             yield pa.RecordBatch.from_arrays(
@@ -345,10 +369,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     and empty too) equal each other. ``key`` is any 64-bit column to return with its row.
     An empty table gives an empty result.
     """
-    source = keyed(docs, id_col, text_col, key=F.lit(0).cast("long") if key is None else key, row_id=F.monotonically_increasing_id())
+    with working(docs.sparkSession):
+        return kept(_classes(docs, threshold, id_col, text_col, F.lit(0).cast("long") if key is None else key), "near-classes")
+
+
+def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str, key: Column) -> DataFrame:
+    source = keyed(docs, id_col, text_col, key=key, row_id=F.monotonically_increasing_id())
     id_type = source.schema["doc_id"].dataType.simpleString()
     spec = f"row_id long, doc_id {id_type}, key long, print long, print_2 long, keys array<long>"
-    signed = written(source.mapInArrow(_signatures, spec), "signatures").withColumn("order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    signed = written(source.mapInArrow(thrifty(_signatures), spec), "signatures").withColumn("order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     first = F.min(F.struct("order", "row_id", "doc_id", "keys"))
     folded = signed.groupBy("print", "print_2").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
     folded = written(
@@ -358,7 +387,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
         ),
         "folded",
     )
-    bands = folded.select("node", F.posexplode("keys").alias("band", "band_key"))
+    bands = folded.select("node", F.posexplode("keys").alias("band", "band_key")).filter("band_key IS NOT NULL")
+    bands = bands.withColumn("band", F.col("band") % BANDS)
     shared = bands.groupBy("band", "band_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = written(shared, "buckets")
     bands = written(bands.join(lookup(shared.drop("n")), ["band", "band_key"]), "bands")
@@ -368,7 +398,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     if candidates.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     texts = source.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    packed = texts.mapInArrow(_packed, "print long, print_2 long, registers binary, shingles binary")
+    packed = texts.mapInArrow(thrifty(_packed), "print long, print_2 long, registers binary, shingles binary")
     packed = packed.dropDuplicates(["print", "print_2"]).join(wanted, ["print", "print_2"])
     payload = written(packed.select("node", "registers", "shingles"), "payload")
     links, labels = None, None
@@ -398,9 +428,11 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
             labels = components(links)
     members = folded.select("node", "print", "print_2", "copies", "order", "copy_of").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     members = written(members, "class-members")
-    classes = members.groupBy("label").agg(F.min(F.struct("order", "node", "copy_of")).alias("first"), F.sum("copies").alias("class_size"))
-    of = members.join(written(classes, "classes"), "label").select(
-        "print", "print_2", "copy_of", "class_size", F.col("first.copy_of").alias("class_id"), F.col("first.node").alias("keep")
+    classes = members.groupBy("label").agg(
+        F.min(F.struct("order", "node", "copy_of")).alias("first"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("members")
+    )
+    of = join_keyed(members, written(classes, "classes"), ["label"], "members").select(
+        "print", "print_2", "copies", "copy_of", "class_size", F.col("first.copy_of").alias("class_id"), F.col("first.node").alias("keep")
     )
-    joined = signed.select("row_id", "doc_id", "key", "print", "print_2").join(written(of, "class-of"), ["print", "print_2"])
+    joined = join_keyed(signed.select("row_id", "doc_id", "key", "print", "print_2"), written(of, "class-of"), ["print", "print_2"], "copies")
     return joined.select("doc_id", "class_id", "copy_of", "class_size", (F.col("row_id") == F.col("keep")).alias("kept"), "key")

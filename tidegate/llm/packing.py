@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import Codec
-from tidegate.llm.common import keyed, slices, written
+from tidegate.llm.common import kept, keyed, slices, thrifty, working, written
 
 PARTITION_ITEMS = 1 << 16
 # A bin with fewer free places than this share of a sequence is final.
@@ -160,10 +160,11 @@ def pack_documents(
     little-endian 32-bit numbers. Rows that repeat are packed each; an empty table
     gives an empty result.
     """
-    source = keyed(docs, id_col, text_col)
-    id_type = source.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, piece long, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
-    cut = source.mapInArrow(_pieces(path, capacity, end_id, keep_ids), schema)
-    pieces = written(cut.withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
-    placed = pack(pieces.select("piece_id", "length"), capacity)
-    return pieces.withColumn("piece", F.col("piece").cast("int")).join(placed, "piece_id").drop("piece_id")
+    with working(docs.sparkSession):
+        source = keyed(docs, id_col, text_col)
+        id_type = source.schema["doc_id"].dataType.simpleString()
+        schema = f"doc_id {id_type}, piece long, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
+        cut = source.mapInArrow(thrifty(_pieces(path, capacity, end_id, keep_ids)), schema)
+        pieces = written(cut.withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
+        placed = pack(pieces.select("piece_id", "length"), capacity)
+        return kept(pieces.withColumn("piece", F.col("piece").cast("int")).join(placed, "piece_id").drop("piece_id"), "packed")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import flat, keyed, slices
+from tidegate.llm.common import flat, keyed, slices, thrifty
 from tidegate.llm.words import BASE, Words, _mix
 
 LEAST_EXPONENT, LEAST_LENGTH = 4, 6
@@ -248,4 +248,4 @@ def periodic_runs(
     made = "n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
     made += ", runs array<struct<start:long,length:long,period:long>>, collapsed string" if detail else ""
     schema = T.StructType([source.schema["doc_id"], *T.StructType.fromDDL(made)])
-    return source.mapInArrow(_answers(plant, least_exponent, least_length, detail, ["doc_id"]), schema)
+    return source.mapInArrow(thrifty(_answers(plant, least_exponent, least_length, detail, ["doc_id"])), schema)

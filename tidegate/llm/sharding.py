@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import written
+from tidegate.llm.common import kept, working, written
 from tidegate.session import lookup
 
 # Rows that one task numbers together.
@@ -94,4 +94,6 @@ def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", t
     )
     rows = assign(rows, ["doc_id"], (shards, shards + 1))
     rows = rows.withColumn("shard", F.col(f"shards.in_{shards}")).withColumn("grown_shard", F.col(f"shards.in_{shards + 1}"))
-    return place(rows.drop("shards"), "shard").select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"]
+    with working(docs.sparkSession):
+        return kept(place(rows.drop("shards"), "shard").select(*columns), "shards")

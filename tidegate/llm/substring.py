@@ -14,9 +14,9 @@ short word runs inside a window, which does not depend on what surrounds the win
 4. Owners go back to the occurrences of a segment, and documents drop the words of
    windows whose owner has a smaller id. Neighbouring windows make maximal spans.
 
-An anchor with very many different segments (a passage with a different neighbour in
-each document) is cut into single windows, which fold natively, so that no shard grows
-with the number of documents that share a passage.
+An anchor whose different segments hold very many words (a passage with a different
+neighbour in each document) is cut into single windows, which fold natively, so that no
+shard grows with the number of documents that share a passage.
 """
 
 from __future__ import annotations
@@ -25,16 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import flat, keyed, slices, written
+from tidegate.llm.common import HOT_ROWS, flat, join_keyed, kept, keyed, slices, thrifty, working, written
 from tidegate.llm.words import Words, grams, owners
+from tidegate.session import lookup
 
 # Words in a run that may be an anchor.
 ANCHOR_WORDS = 5
 # Windows in a segment at most; only periodic text has longer runs of one anchor.
 SEGMENT_WINDOWS = 64
-# References that one automaton task holds, and the most of one anchor.
-SHARD_REFERENCES = 2000
-ANCHOR_REFERENCES = 20000
+# Words of references that an automaton task holds, and the most of one anchor; an
+# automaton takes some 500 bytes a word.
+SHARD_WORDS = 1 << 16
+ANCHOR_WORDS_MOST = 1 << 17
 # The filter of shared anchors is broadcast as bits up to this many anchors (32 MB of
 # bits); beyond it segments meet the anchors in a join.
 FILTER_ANCHORS = 1 << 24
@@ -281,9 +283,14 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     one ``doc_id`` and different texts apart. A null ``doc_id`` counts as above all
     others; null texts have no words.
     """
+    with working(docs.sparkSession):
+        return kept(_spans(docs, window, id_col, text_col), "spans")
+
+
+def _spans(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     source = _rows(docs, id_col, text_col)
-    anchors = source.select("order", "text").mapInArrow(_anchors(window), "anchor long, order long")
+    anchors = source.select("order", "text").mapInArrow(thrifty(_anchors(window)), "anchor long, order long")
     shared = written(
         anchors.groupBy("anchor").agg(F.min("order").alias("low"), F.max("order").alias("high")).filter("low < high").select("anchor"), "anchors"
     )
@@ -294,15 +301,20 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
         table, bits = _bit_filter(shared, count)
         held = spark.sparkContext.broadcast(table)
     found = source.select("order", "text_key", "text").mapInArrow(
-        _segments(window, held, bits), "anchor long, segment binary, order long, text_key long, place long"
+        thrifty(_segments(window, held, bits)), "anchor long, segment binary, order long, text_key long, place long"
     )
     if not filtered:
         found = found.join(shared, "anchor", "left_semi")
     occurrences = written(found, "segments")
-    references = written(
-        occurrences.groupBy("anchor", "segment").agg(F.min("order").alias("least"), (F.min("order") < F.max("order")).alias("several")), "references"
+    if held is not None:
+        held.destroy()
+    folded = occurrences.groupBy("anchor", "segment").agg(
+        F.min("order").alias("least"), (F.min("order") < F.max("order")).alias("several"), F.count(F.lit(1)).alias("n")
     )
-    crowded = references.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > ANCHOR_REFERENCES)
+    words = F.octet_length("segment") - F.octet_length(F.replace(F.col("segment").cast("string"), F.lit(" "), F.lit(""))) + 1
+    references = written(folded.withColumn("words", words.cast("long")), "references")
+    crowded = references.groupBy("anchor").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"))
+    crowded = crowded.filter((F.col("words") > ANCHOR_WORDS_MOST) & (F.col("n") > 1))
     crowded = written(crowded.select("anchor"), "crowded")
     if not crowded.isEmpty():
         # single windows of crowded anchors, in place of their segments
@@ -311,21 +323,26 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
         )
         alone = alone.select("anchor", "segment", "order", "text_key", (F.col("place") + F.col("at")).alias("place"))
         occurrences = written(occurrences.join(crowded, "anchor", "left_anti").unionByName(alone), "segments")
-        folded = occurrences.join(crowded, "anchor", "left_semi").groupBy("segment").agg(F.min("order").alias("least"), F.max("order").alias("most"))
+        folded = occurrences.join(crowded, "anchor", "left_semi").groupBy("segment")
+        folded = written(folded.agg(F.min("order").alias("least"), F.max("order").alias("most"), F.count(F.lit(1)).alias("n")), "single-windows")
         direct = folded.filter("least < most").select("segment", F.array("least").alias("least"))
         references = references.join(crowded, "anchor", "left_anti")
-    shards = -(-references.count() // SHARD_REFERENCES) or 1
+    shards = -(-(references.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS) or 1
     owned = (
         references.withColumn("shard", F.pmod("anchor", F.lit(shards)))
+        .select("shard", "anchor", "segment", "least", "several")
         .groupBy("shard")
         .applyInArrow(_owners(window), "segment binary, least array<long>")
     )
+    counted = references.select("segment", "n")
     if not crowded.isEmpty():
         owned = owned.unionByName(direct)
+        counted = counted.unionByName(folded.select("segment", "n"))
     owned = written(owned.select(*_prints(), "least"), "owners")
+    frequent = counted.filter(F.col("n") >= HOT_ROWS).select(*_prints(), "n")
+    owned = owned.join(lookup(written(frequent, "frequent")), ["print", "print_2"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     hit = (
-        occurrences.select(*_prints(), "order", "text_key", "place")
-        .join(owned, ["print", "print_2"])
+        join_keyed(occurrences.select(*_prints(), "order", "text_key", "place"), owned, ["print", "print_2"], "n")
         .withColumn("hits", F.expr("filter(transform(least, (o, i) -> if(o < `order`, i, -1)), i -> i >= 0)"))
         .filter(F.size("hits") > 0)
     )
@@ -335,10 +352,10 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     spans = (
         hit.withColumn("end", F.explode(ends))
         .groupBy("order", "text_key")
-        .agg(F.collect_list(F.struct((F.col("place") + F.col("end.a")).alias("first"), (F.col("place") + F.col("end.b")).alias("last"))).alias("windows"))
+        .agg(F.collect_set(F.struct((F.col("place") + F.col("end.a")).alias("first"), (F.col("place") + F.col("end.b")).alias("last"))).alias("windows"))
         .mapInArrow(_merged(window), "order long, text_key long, spans array<struct<first:long,last:long>>")
     )
-    return written(spans, "spans")
+    return spans
 
 
 def _merged(window: int):
@@ -424,7 +441,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     joined = rows.join(F.broadcast(spans) if size <= BROADCAST_BYTES else spans, ["order", "text_key"], "left").drop("order", "text_key")
     others = tuple(c for c in joined.columns if c not in ("text", "spans"))
     made = T.StructType.fromDDL("n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
-    out = joined.mapInArrow(_removed(with_text, others), T.StructType([*(joined.schema[c] for c in others), *made]))
+    out = joined.mapInArrow(thrifty(_removed(with_text, others)), T.StructType([*(joined.schema[c] for c in others), *made]))
     return out.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import written
+from tidegate.llm.common import kept, working, written
 
 VECTOR_BLOCK = 2048
 QUERY_BLOCK = 512
@@ -201,7 +201,11 @@ def search(
     0. Rows that repeat an id are candidates each; a query that repeats is answered each
     time. No queries or no candidates give an empty result.
     """
+    with working(vectors.sparkSession):
+        return kept(_found(vectors, queries, k, scale, id_col, vector_col, lists), "nearest")
 
+
+def _found(vectors: DataFrame, queries: DataFrame, k: int, scale: float, id_col: str, vector_col: str, lists: int) -> DataFrame:
     asked = _packed(queries, id_col, vector_col, scale, QUERY_BLOCK, "query_block").select(
         "query_block", F.col("ids").alias("query_ids"), F.col("matrix").alias("query_matrix")
     )
