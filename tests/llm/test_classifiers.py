@@ -83,17 +83,72 @@ def test_paired_features_of_all_pairs(shares):
             if gain(has[:, a] & has[:, b]) - max(gain(has[:, a]), gain(has[:, b])) >= 4.0:
                 want |= {a, b}
     counts = (has & y[:, None]).sum(axis=0), has.sum(axis=0)
-    found = [labelled.paired(y, ends, columns, *counts, 4.0, share, shares) for share in range(shares)]
-    assert want and set(np.concatenate(found).tolist()) == want
+    with_1, with_any = (has & y[:, None]).sum(axis=0), has.sum(axis=0)
+    order = np.lexsort((np.arange(25), with_any))
+    ranks = np.nonzero(has[:, order])[1]
+    found = [labelled.paired(y.astype(np.int32), ends, ranks, with_1[order], with_any[order], 4.0, share, shares) for share in range(shares)]
+    assert want and set(order[np.concatenate([place for place, _ in found])].tolist()) == want
+    best = {order[p]: m for place, more in found for p, m in zip(place, more)}
+    assert min(best.values()) >= 4.0
+
+
+def test_sums_are_those_over_all_pairs():
+    draw = np.random.default_rng(2)
+    machine = toxicity.Machine(0.3, draw.normal(size=30), draw.normal(size=(30, 4)))
+    texts = [sorted(draw.choice(30, draw.integers(0, 9), replace=False).tolist()) for _ in range(50)]
+    owner, column = np.repeat(np.arange(50), [len(t) for t in texts]), np.array([c for t in texts for c in t], int)
+    naive = [
+        machine.bias + sum(machine.weights[c] for c in t) + sum(machine.factors[a] @ machine.factors[b] for i, a in enumerate(t) for b in t[:i]) for t in texts
+    ]
+    assert np.allclose(machine.sums(owner, column, 50), naive)
+
+
+def test_updates_follow_the_regularised_leader():
+    """One coordinate after another, by the formula written out."""
+    draw = np.random.default_rng(3)
+    leader = quality.Leader(6, rate=0.4, l1=0.3, l2=0.01)
+    z, n = [0.0] * 7, [0.0] * 7
+    for _ in range(60):
+        at = np.append(np.sort(draw.choice(6, draw.integers(1, 6), replace=False)), 6)
+        x, y = np.append(draw.random(len(at) - 1) * 3, 1.0), float(draw.integers(0, 2))
+        w = {}
+        for i in at.tolist():
+            l1 = 0.0 if i == 6 else 0.3
+            w[i] = 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((1.0 + np.sqrt(n[i])) / 0.4 + 0.01)
+        assert np.allclose(leader.weights(at), [w[i] for i in at.tolist()])
+        p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in zip(at.tolist(), x))))
+        for i, v in zip(at.tolist(), x):
+            g = (p - y) * v
+            sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / 0.4
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+        leader.learn(at, x, y)
+
+
+def test_the_sample_stays_at_its_bound(spark):
+    """However often ids, and whole rows, repeat; by rows and by bytes."""
+    rows = [(i % 20, f"word{i % 7} and word{i % 400}") for i in range(4000)] + [(3, "one row that repeats")] * 500
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    every = labelled.fold("doc_id", 1, 0)
+    for rows_most, bytes_most, least in ((20, 1 << 20, 20), (300, 1000, 40), (5, 1, 1)):
+        found = labelled.sample(docs(spark, rows), labels, "quality", every, quality._ngrams, quality.BITS, 1, 0.0, rows=rows_most, size=bytes_most)
+        assert least <= len(found.y) <= rows_most
+
+
+def test_no_more_features_than_asked_for(spark):
+    rows, labels = corpus(600, both=lambda insult, group: insult != group)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = labelled.sample(docs(spark, rows), labels, "toxic", labelled.fold("doc_id", 1, 0), toxicity._terms, toxicity.BITS, 3, 2.0, most_features=10, least_pair_gain=4.0)
+    assert 10 <= len(found.features) <= 20
 
 
 @pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
 def test_awkward_rows(spark, tables, score):
     _, labels, _ = tables
     rows = awkward()
-    found = score(docs(spark, rows + corpus(200)[0]), labels).collect()
+    found = score(docs(spark, rows + corpus(220)[0][20:]), labels).collect()
     assert len(found) == len(rows) + 200 and all(r.score is not None and r.held_out is not None for r in found)
-    assert len({r.score for r in found if r.doc_id in (1, 2, 3)} if score is toxicity.score_toxicity else {1}) == 1
+    assert len({r.score for r in found if r.doc_id in (1, 2, 3)}) == 1
     assert score(docs(spark, []), labels).count() == 0
 
 

@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import keyed, slices, written
+from tidegate.llm.common import keyed, slices, thrifty, working, written
 
-# Labelled rows that a model is fitted on, the least by a hash of their id; and the
-# features it may use at most.
-SAMPLE_ROWS = 20_000
+# Labelled rows that a model is fitted on, the least by a hash of their id, as long as
+# their texts hold so many bytes; and the features it may use at most, of each screen.
+SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 1 << 27
 MOST_FEATURES = 1 << 14
 # A task counts pairs for each so many features of sampled rows.
 SHARE_ENTRIES = 1 << 20
@@ -28,8 +29,8 @@ def fold(id_col: str, parts: int, part: int) -> Column:
     return F.coalesce(rest, F.lit(False))
 
 
-def _described(describe: Callable, bits: int, keep):
-    """``row, y, features, values`` of labelled texts; only ``keep`` of the features, if given."""
+def _described(describe: Callable, bits: int, keep, rank=None):
+    """``y, features, values`` of labelled texts; only ``keep`` of the features, if given, by place or ``rank``."""
 
     def run(batches):
         import numpy as np
@@ -44,7 +45,7 @@ def _described(describe: Callable, bits: int, keep):
                     known = np.searchsorted(keep, feature)
                     known[known == len(keep)] = 0
                     chosen = keep[known] == feature if len(keep) else np.zeros(len(feature), bool)
-                    owner, feature, value = owner[chosen], known[chosen], value[chosen]
+                    owner, feature, value = owner[chosen], known[chosen] if rank is None else rank[known[chosen]], value[chosen]
                 key, place = np.unique(owner << bits | feature, return_inverse=True)
                 value = np.bincount(place, weights=value, minlength=len(key))
                 ends = np.searchsorted(key >> bits, np.arange(part.num_rows + 1)).astype(np.int32)
@@ -57,7 +58,7 @@ def _described(describe: Callable, bits: int, keep):
                     ["y", "features", "values"],
                 )
 
-    return run
+    return thrifty(run)
 
 
 def _gain(with_1: Column, with_any: Column, ones: int, rows: int) -> Column:
@@ -101,50 +102,48 @@ def least_support(ones: int, rows: int, gain: float) -> tuple[int, int]:
     return least(ones, 1), least(rows - ones, 0)
 
 
-def paired(y, ends, columns, with_1, with_any, gain: float, share: int = 0, shares: int = 1):
-    """The features of pairs whose presence together gains ``gain`` more than the better of the two does alone.
+def paired(y, ends, ranks, with_1, with_any, gain: float, share: int = 0, shares: int = 1):
+    """``(rank, gain)`` of features of pairs that gain ``gain`` more together than the better of the two does alone.
 
-    Rows are in compressed form; ``with_1`` and ``with_any`` count a feature's rows. All
-    pairs are counted, each at its rarer feature, of which a share are looked at.
+    Features go by rank, the rarest first; ``with_1`` and ``with_any`` count a feature's
+    rows. Rows are in compressed form, each with its ranks in order. All pairs are
+    counted, each at its rarer feature, of which a share are looked at, so that a task
+    holds the rows once and an index of its share only.
     """
     import numpy as np
 
     rows, ones, size = len(y), int(y.sum()), len(with_any)
-    order = np.lexsort((np.arange(size), with_any))
-    alone = _gains(with_1, with_any, ones, rows)[order]
-    rank = np.empty(size, np.int32)
-    rank[order] = np.arange(size)
-    owner = np.repeat(np.arange(rows, dtype=np.int32), np.diff(ends))
-    ranked = owner.astype(np.int64) * size + rank[columns]
-    ranked.sort()
-    ranked = (ranked % max(1, size)).astype(np.int32)
-    marked = 2 * ranked + y.astype(np.int32)[owner]
-    at_rank = np.argsort(ranked, kind="stable").astype(np.int32)
-    starts = np.searchsorted(ranked[at_rank], np.arange(size + 1))
+    alone = _gains(with_1, with_any, ones, rows)
+    own = np.flatnonzero(ranks % shares == share)
+    own = own[np.argsort(ranks[own], kind="stable")]
+    starts = np.searchsorted(ranks[own], np.arange(size + 1))
     least_1, least_0 = least_support(ones, rows, gain)
-    kept = np.zeros(size, bool)
+    best = np.zeros(size)
     for a in range(share, size, shares):
-        at = at_rank[starts[a] : starts[a + 1]]
-        lengths = ends[owner[at] + 1] - at - 1
-        rest = marked[np.repeat(at + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
-        both = np.bincount(rest - 2 * a, minlength=2 * (size - a)).reshape(-1, 2)
+        at = own[starts[a] : starts[a + 1]]
+        owner = np.searchsorted(ends, at, side="right") - 1
+        lengths = ends[owner + 1] - at - 1
+        rest = ranks[np.repeat(at + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
+        both = np.bincount(2 * (rest - a) + np.repeat(y[owner], lengths), minlength=2 * (size - a)).reshape(-1, 2)
         b = np.flatnonzero((both[:, 1] >= least_1) | (both[:, 0] >= least_0))
-        more = _gains(both[b, 1], both[b].sum(axis=1), ones, rows) - np.maximum(alone[a], alone[a + b]) >= gain
-        kept[a + b[more]] = True
-        kept[a] |= more.any()
-    return np.sort(order[kept])
+        more = _gains(both[b, 1], both[b].sum(axis=1), ones, rows) - np.maximum(alone[a], alone[a + b])
+        b, more = b[more >= gain], more[more >= gain]
+        best[a + b] = np.maximum(best[a + b], more)
+        best[a] = max(best[a], more.max(initial=0.0))
+    found = np.flatnonzero(best)
+    return found, best[found]
 
 
-def _paired_shares(found, with_1, with_any, gain: float, shares: int):
+def _paired_shares(held, with_1, with_any, gain: float, shares: int):
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for share in batch.column("id").to_pylist():
-                kept = paired(*found, with_1, with_any, gain, share, shares)
-                yield pa.RecordBatch.from_arrays([pa.array(kept)], ["place"])
+                place, more = paired(*held.value, with_1, with_any, gain, share, shares)
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(more)], ["place", "more"])
 
-    return run
+    return thrifty(run)
 
 
 def _rows(table):
@@ -157,8 +156,12 @@ def _rows(table):
     return table["y"].to_numpy(), ends, features.flatten().to_numpy(zero_copy_only=False)
 
 
-def _paired_features(texts: DataFrame, counted: DataFrame, describe: Callable, bits: int, ones: int, rows: int, gain: float):
-    """Features of the sample that gain in pairs; tasks share out the features."""
+def _paired_features(texts: DataFrame, counted: DataFrame, describe: Callable, bits: int, ones: int, rows: int, gain: float, most: int):
+    """Features of the sample that gain the most in pairs; tasks share out the features.
+
+    The rows go out once as a broadcast, bounded as the sample is: 4 bytes for each
+    different feature of a sampled row. It is destroyed when the pairs are counted.
+    """
     import numpy as np
 
     least_1, least_0 = least_support(ones, rows, gain)
@@ -166,12 +169,19 @@ def _paired_features(texts: DataFrame, counted: DataFrame, describe: Callable, b
     features, with_1, with_any = (able[c].to_numpy().astype(np.int64) for c in ("feature", "with_1", "with_any"))
     if not len(features):
         return features
-    described = texts.mapInArrow(_described(describe, bits, features), "y int, features array<int>, values array<double>")
+    order = np.lexsort((features, with_any))
+    rank = np.empty(len(features), np.int64)
+    rank[order] = np.arange(len(features))
+    described = texts.mapInArrow(_described(describe, bits, features, rank), "y int, features array<int>, values array<double>")
     found = _rows(described.select("y", "features").toArrow())
     spark = texts.sparkSession
     shares = -(-len(found[2]) // SHARE_ENTRIES) or 1
-    places = spark.range(0, shares, 1, shares).mapInArrow(_paired_shares(found, with_1, with_any, gain, shares), "place long").distinct()
-    return features[places.toArrow()["place"].to_numpy()]
+    held = spark.sparkContext.broadcast(found)
+    places = spark.range(0, shares, 1, shares).mapInArrow(_paired_shares(held, with_1[order], with_any[order], gain, shares), "place long, more double")
+    places = places.groupBy("place").agg(F.max("more").alias("more")).orderBy(F.desc("more"), "place").limit(most)
+    places = places.toArrow()["place"].to_numpy()
+    held.destroy()
+    return np.sort(features[order[places]])
 
 
 class Sample:
@@ -186,27 +196,49 @@ class Sample:
         return len(self.y) == 0 or self.y.min() == self.y.max()
 
 
+def _chosen(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``y, text`` of the labelled rows to learn from: ``rows`` at most, of ``size`` bytes at most (or one row).
+
+    Rows that agree in id and text are one. A few numbers per row decide, before any text is moved.
+    """
+    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL").filter(train)
+    ids = written(known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "sample-ids")
+    marked = keyed(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
+    found = marked.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "mark").agg(F.max(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("copies"))
+    first = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("mark")]
+    found = found.orderBy(*first).limit(rows)
+    upto = F.sum(F.col("bytes").cast("long")).over(W.orderBy(*first).rowsBetween(W.unboundedPreceding, 0))  # of ``rows`` rows at most
+    found = written(found.withColumn("upto", upto).filter((F.col("upto") <= size) | (F.col("upto") == F.col("bytes"))).drop("upto"), "sample-rows")
+    texts = marked.join(F.broadcast(found.select("doc_id", "mark")), ["doc_id", "mark"], "left_semi")
+    if not found.filter("copies > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id", "mark"])
+    return texts.join(F.broadcast(ids), "doc_id").select("y", "text")
+
+
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, describe: Callable, bits: int, least_docs: int, least_gain: float, rows: int = SAMPLE_ROWS,
-    id_col: str = "doc_id", text_col: str = "text", most_features: int = MOST_FEATURES, least_pair_gain: float | None = None,
+    id_col: str = "doc_id", text_col: str = "text", most_features: int = MOST_FEATURES, least_pair_gain: float | None = None, size: int = SAMPLE_BYTES,
 ) -> Sample:
     """The labelled rows to learn from, by the features that tell the labels apart.
 
     Those are, of the features of at least ``least_docs`` sampled rows, the ``most_features``
-    of most gain, from ``least_gain`` on; and, with a ``least_pair_gain``, both of any two
-    that gain as much more together than the better of them does alone.
+    of most gain, from ``least_gain`` on; and, with a ``least_pair_gain``, those of any two
+    that gain as much more together than the better of them does alone, again the
+    ``most_features`` of most such gain.
 
-    Labels that are null, or of ids without a document, are left out; an id with
-    several labels counts as 1 if any of them is.
+    The sample has ``rows`` rows at most, however often an id or a row repeats, and ``size``
+    bytes of text (one row, if that is longer). Labels that are null, or of ids without a
+    document, are left out; an id with several labels counts as 1 if any of them is.
     """
+    with working(docs.sparkSession):
+        return _sampled(_chosen(docs, labels, label, train, rows, size, id_col, text_col), describe, bits, least_docs, least_gain, most_features, least_pair_gain)
+
+
+def _sampled(texts: DataFrame, describe: Callable, bits: int, least_docs: int, least_gain: float, most_features: int, least_pair_gain: float | None) -> Sample:
     import numpy as np
 
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL").filter(train)
-    chosen = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    chosen = written(chosen, "sample")
-    texts = keyed(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("y", "text")
     schema = "y int, features array<int>, values array<double>"
-    seen = written(texts.mapInArrow(_described(describe, bits, None), schema), "sample-features")
+    seen = written(texts.mapInArrow(_described(describe, bits, None), schema).select("y", "features"), "sample-features")
     total = seen.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("ones")).first()
     counted = seen.select("y", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("y").alias("with_1"), F.count(F.lit(1)).alias("with_any"))
     gain = _gain(F.col("with_1"), F.col("with_any"), total.ones, total.n)
@@ -215,7 +247,7 @@ def sample(
     features = told.orderBy(F.desc("gain"), "feature").limit(most_features).select("feature").toArrow()["feature"].to_numpy()
     features = np.sort(features.astype(np.int64))
     if least_pair_gain is not None:
-        features = np.union1d(features, _paired_features(texts, counted, describe, bits, total.ones, total.n, least_pair_gain))
+        features = np.union1d(features, _paired_features(texts, counted, describe, bits, total.ones, total.n, least_pair_gain, most_features))
     described = texts.mapInArrow(_described(describe, bits, features), schema)
     table = described.withColumn("mark", F.xxhash64("features", "values")).toArrow()
     table = table.sort_by([("y", "ascending"), ("mark", "ascending")]).combine_chunks()  # the same order in every run
@@ -246,7 +278,7 @@ def _scored(describe: Callable, bits: int, features, score: Callable, constant,
                     chance = np.full(part.num_rows, constant)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(chance)], [*others, "score"])
 
-    return run
+    return thrifty(run)
 
 
 def scored(
