@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate.functions import quantiles
 from tidegate.functions.quantiles import exact_percentiles
 from tidegate.operators import audit, clean, gate, ids, infer, profile, validate
 from tidegate.sinks import export
@@ -252,13 +255,18 @@ def test_profile_of_values(table, frame):
         assert box[c] == pytest.approx((q1, q2, q3, low, high, int(((frame[c] < low) | (frame[c] > high)).sum())))
 
 
-def test_correlation_is_pairwise_and_null_for_constants(table, frame, monkeypatch):
+def test_correlation_is_pairwise_and_null_for_constants(spark, table, frame):
     want = frame[["x", "y", "same"]].corr()
-    for size in (200, 1):
-        monkeypatch.setattr(profile, "PAIRS_PER_PASS", size)
-        got = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlation(table).collect()}
-        assert got["x", "y"] == pytest.approx(want.loc["x", "y"])
-        assert got["x", "same"] is None and got["y", "same"] is None
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlation(table).collect()}
+    assert got["x", "y"] == pytest.approx(want.loc["x", "y"])
+    assert got["x", "same"] is None and got["y", "same"] is None
+    # far from zero, constant where both are there, infinite, and nothing at all
+    rows = [(1e9 + i, 2e9 - i, 0.1 if i < 5 else None, None, float("inf") if i == 3 else float(i)) for i in range(10)] + [(None, 5.0, 7.3, None, 2.0)]
+    odd = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlation(spark.createDataFrame(rows, "a double, b double, c double, d double, e double")).collect()}
+    assert odd["a", "b"] == pytest.approx(-1) and odd["a", "c"] is None and odd["a", "d"] is None and np.isnan(odd["a", "e"]) and len(odd) == 10
+    assert profile.correlation(table, ["x"]).collect() == []
+    nothing = profile.correlation(spark.createDataFrame([], "a double, b int"))
+    assert [r["r"] for r in nothing.collect()] in ([], [None])
 
 
 def test_profile_of_tables(spark, table, frame):
@@ -305,21 +313,34 @@ def test_errors_follow_the_column_order_of_the_file(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_percentiles_take_few_passes_for_any_spread(spark, monkeypatch, seed):
+def test_percentiles_take_few_passes_for_any_spread(spark, seed):
     """Values over 600 decades, of either sign, with zeros, ties and infinities."""
-    import tidegate.functions.quantiles as quantiles
-
     draw = np.random.default_rng(seed)
     values = np.sort(draw.choice([-1, 1], 1500) * 10.0 ** draw.uniform(-300, 300, 1500))
     values = np.concatenate([values, [0.0, -0.0, 5e-324, 1e308, -1e308, float("inf"), float("-inf")], values[:300], np.full(50, 0.1)])
     df = spark.createDataFrame(pd.DataFrame({"x": values}))
-    passes = []
-    narrow = quantiles._narrow
-    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
     ranks = [0, 1, 400, 929, 1000, len(values) // 2, len(values) - 2, len(values) - 1]
-    found = quantiles.values_at(df, {"x": set(ranks)}, quantiles.column_ranges(df, ["x"]))
-    assert {r: v for (_, r), v in found.items()} == {r: float(np.sort(values)[r]) for r in ranks}
-    assert len(passes) <= quantiles.MOST_PASSES
+    for few, scans in ((quantiles.FEW, 2), (0, quantiles.MOST_SCANS)):
+        found = quantiles.Ranks(df, ["x"], few=few)
+        assert {r: v for (_, r), v in found.at({"x": set(ranks)}).items()} == {r: float(np.sort(values)[r]) for r in ranks}
+        assert found.scans <= scans
+
+
+@pytest.mark.parametrize("few", [1 << 16, 3])
+def test_ranks_keep_all_digits(spark, few):
+    draw = np.random.default_rng(few)
+    longs = [int(v) for v in draw.integers(-(2**63), 2**63 - 1, 300)] + [2**53 + 1, 2**53 + 2, 2**53 + 3, 2**63 - 1, -(2**63), 0, 0, -1, 1]
+    prices = [Decimal(int(v)).scaleb(-2) for v in draw.integers(-(10**17), 10**17, len(longs))]
+    df = spark.createDataFrame([(x, p, None if i % 3 else i) for i, (x, p) in enumerate(zip(longs, prices))], "x long, p decimal(18,2), i smallint").repartition(4)
+    found = quantiles.Ranks(df, ["x", "p", "i"], buckets=1 << 8, few=few)
+    ranks = set(range(0, len(longs), 17)) | {len(longs) - 1}
+    got = found.at({"x": ranks, "p": ranks})
+    assert {r: got["x", r] for r in ranks} == {r: sorted(longs)[r] for r in ranks} and {r: got["p", r] for r in ranks} == {r: sorted(prices)[r] for r in ranks}
+    assert found.range("x") == (-(2**63), 2**63 - 1) and found.range("p") == (min(prices), max(prices)) and found.count("i") == len(longs[::3])
+    assert found.mean("p") == pytest.approx(float(sum(prices)) / len(prices))
+    wide = spark.createDataFrame([(2**53 + 1,), (2**53 + 3,), (2**53 + 4,), (2**53 + 5,)], "x long")
+    row = profile.numeric_summary(wide).first()
+    assert (row["least"], row["greatest"], row["middle"]) == ("9007199254740993", "9007199254740997", "9007199254740995.5")
 
 
 def test_correlation_of_many_columns(spark):

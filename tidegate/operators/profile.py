@@ -8,6 +8,7 @@ read it back as a scalar subquery or as a few numbers, never as a join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -15,12 +16,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.quantiles import column_ranges, exact_percentiles, number_column
+from tidegate.functions.quantiles import Ranks, exact_percentiles, number_column
+from tidegate.session import small_table
 
 TOP_VALUES = 10
 HISTOGRAM_BINS = 30
 MODE_LIMIT = 10
-PAIRS_PER_PASS = 200
+INFINITE = float("inf")
+# A spread that is a smaller share of the squares it was taken from is taken again around
+# the pair's own means; one under this share of the mean is that of equal values.
+LOST, EQUAL = 1e-6, 1e-15
 
 # Bytes per value of a fixed-width type.
 WIDTHS = {
@@ -68,21 +73,28 @@ def column_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Range, mean and exact median of numeric columns."""
+    """Range, mean and exact median of numeric columns, in two scans or three.
+
+    ``least``, ``greatest`` and ``middle`` are the same range and median as text in the
+    column's own type, with all digits of long integers and decimals.
+    """
     columns = list(columns or numeric_columns(df))
-    ranges = column_ranges(df, columns)
-    medians = exact_percentiles(df, columns, [0.5], ranges)
+    ranks = Ranks(df, columns)
+    medians = ranks.percentiles([0.5])
+    rows = []
+    for c in columns:
+        exact = [*ranks.range(c), medians[c][0]]
+        low, high, median = (None if v is None else float(v) for v in exact)
+        rows.append((c, low, high, ranks.mean(c), median, *(None if v is None else _digits(v) for v in exact)))
+    return small_table(df.sparkSession, rows, "column string, min_value double, max_value double, mean double, median double, least string, greatest string, middle string")
 
-    def summary(c):
-        x = number_column(c)
-        return {
-            "min_value": F.min(x),
-            "max_value": F.max(x),
-            "mean": F.avg(x),
-            "median": F.lit(medians[c][0]).cast("double"),
-        }
 
-    return _per_column(_summaries(df, columns, summary), columns, ["min_value", "max_value", "mean", "median"])
+def _digits(value) -> str:
+    """A number as text, a decimal without an exponent or zeros at its end."""
+    if isinstance(value, Decimal):
+        text = format(value, "f")
+        return text.rstrip("0").rstrip(".") if "." in text else text
+    return str(value)
 
 
 def outliers(df: DataFrame, columns: Sequence[str] | None = None, sigmas: float = 3.0) -> DataFrame:
@@ -169,7 +181,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = H
 def box_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Quartiles, fences at 1.5 times their distance, and the values beyond them."""
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75])  # two scans or three; the values outside take one more
 
     def summary(c):
         x = number_column(c)
@@ -187,31 +199,101 @@ def box_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns with both values present.
 
-    A constant column has no correlation (NULL). The table is read once: a few pairs are
-    aggregates of one row; for many, a row is laid out as its pairs, which tasks fold
-    before the shuffle, so that generated code does not grow with the table's width.
+    A constant column has no correlation (NULL). After one scan for the means, a second
+    one multiplies matrices: a task adds up the cross products of its rows, of those that
+    have both values of a pair, and sends one row per pair. Pairs whose rows lie far from
+    their columns' means take another scan around their own.
     """
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
 
-    def related(p: Column, q: Column) -> Column:
-        return F.try_divide(F.covar_pop(p, q), F.stddev_pop(p) * F.stddev_pop(q))
-
-    if len(pairs) <= PAIRS_PER_PASS:
-        parts = []
-        for i, (a, b) in enumerate(pairs):
-            x, y = number_column(a), number_column(b)
-            parts.append(related(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)).alias(f"r{i}"))
-        rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
-        return df.agg(*parts).select(F.inline(F.array(*rows)))
-    values = df.select(F.array(*[number_column(c) for c in columns]).alias("v"))
-    firsts = values.select("v", F.posexplode("v").alias("i", "x"))
-    later = F.slice("v", F.col("i") + 2, F.lit(len(columns)))
-    met = firsts.select("i", "x", F.posexplode(later).alias("j", "y"))
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    folded = met.groupBy("i", (F.col("i") + F.col("j") + 1).alias("j")).agg(related(F.when(both, F.col("x")), F.when(both, F.col("y"))).alias("r"))
-    names = F.array(*map(F.lit, columns))
-    return folded.select(F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), "r")
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
+    values = df.select(*[number_column(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    finite = [F.avg(F.when(F.abs(f"c{i}") < INFINITE, F.col(f"c{i}"))) for i in range(len(columns))]
+    centres = [v or 0.0 for v in values.agg(*finite).first()]
+    total = _added(values, _pair_sums(centres))
+    # pairs whose rows lie far from the columns' means, as many rows lack the other value
+    lost = [(r.i, r.j, centres[r.i] + r.x / r.n, centres[r.j] + r.y / r.n) for r in total.values() if r.n and (_spread(r.xx, r.x, r.n) < r.xx * LOST or _spread(r.yy, r.y, r.n) < r.yy * LOST)]
+    around = {(i, j): (cx, cy) for i, j, cx, cy in lost}
+    if lost:
+        total |= _added(values, _sums_of_pairs(lost))
+    rows = []
+    for (i, j), t in sorted(total.items()):
+        r = None
+        if t.odd:
+            r = float("nan")
+        elif t.n:
+            across, along = _spread(t.xx, t.x, t.n), _spread(t.yy, t.y, t.n)
+            cx, cy = around.get((i, j), (centres[i], centres[j]))
+            if across > t.n * (EQUAL * cx) ** 2 and along > t.n * (EQUAL * cy) ** 2:
+                r = (t.xy - t.x * t.y / t.n) / across**0.5 / along**0.5
+        rows.append((columns[i], columns[j], r))
+    return small_table(df.sparkSession, rows, "column_a string, column_b string, r double")
+
+
+def _spread(squares: float, total: float, n: int) -> float:
+    return squares - total * total / n
+
+
+def _added(values: DataFrame, sums) -> dict:
+    """The tasks' sums added up: one row per pair of columns."""
+    parts = values.mapInArrow(sums, "i int, j int, n long, x double, y double, xx double, yy double, xy double, odd long")
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy", "odd")])
+    return {(r.i, r.j): r for r in total.collect()}
+
+
+def _sums_of_pairs(pairs: list[tuple]):
+    """The same as ``_pair_sums`` for single pairs, each around a place of its own."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((len(pairs), 6))
+        for batch in batches:
+            columns = [np.array(c.to_numpy(zero_copy_only=False), np.float64) for c in batch.columns]
+            for k, (i, j, cx, cy) in enumerate(pairs):
+                both = np.isfinite(columns[i]) & np.isfinite(columns[j])
+                x, y = columns[i][both] - cx, columns[j][both] - cy
+                total[k] += [len(x), x.sum(), y.sum(), x @ x, y @ y, x @ y]
+        places = [pa.array([p[k] for p in pairs], pa.int32()) for k in (0, 1)]
+        sums = [pa.array(total[:, 0].astype(np.int64)), *(pa.array(c) for c in total[:, 1:].T), pa.array(np.zeros(len(pairs), np.int64))]
+        yield pa.RecordBatch.from_arrays([*places, *sums], ["i", "j", "n", "x", "y", "xx", "yy", "xy", "odd"])
+
+    return run
+
+
+def _pair_sums(centres: list[float]):
+    """Per task, counts, sums and products of every two columns over rows that have both.
+
+    Values are taken from the columns' means, so that large values lose no digits. Rows
+    with an infinite value in a pair are counted in ``odd``.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        size = len(centres)
+        total = np.zeros((6, size, size))
+        odd = np.zeros((size, size))
+        for batch in batches:
+            x = np.stack([np.array(c.to_numpy(zero_copy_only=False), np.float64) for c in batch.columns], axis=1)
+            there = ~np.isnan(x)
+            usual = np.isfinite(x)
+            x = np.where(usual, x - centres, 0.0)
+            m = usual.astype(np.float64)
+            square = x * x
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, square.T @ m, m.T @ square, x.T @ x])
+            if (there & ~usual).any():
+                strange, any_ = (there & ~usual).astype(np.float64), there.astype(np.float64)
+                odd += strange.T @ any_ + any_.T @ strange
+        i, j = np.triu_indices(size, 1)
+        arrays = [i.astype(np.int32), j.astype(np.int32), total[0][i, j].astype(np.int64), *(t[i, j] for t in total[1:]), odd[i, j].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["i", "j", "n", "x", "y", "xx", "yy", "xy", "odd"])
+
+    return run
 
 
 def table_totals(df: DataFrame) -> DataFrame:
@@ -277,7 +359,7 @@ def profile(df: DataFrame) -> DataFrame:
     """
     found = [column_nulls(df), repeated_values(df)]
     if numeric_columns(df):
-        found += [numeric_summary(df), outliers(df)]
+        found += [numeric_summary(df).drop("least", "greatest", "middle"), outliers(df)]
     if text_columns(df):
         found.append(distinct_values(df))
     parts = []

@@ -70,10 +70,36 @@ def _numeric_sql(column: str) -> str:
 
 @query("profile_numeric", _union([_numeric_sql(c) for c in _NUMBERS]))
 def profile_numeric(spark, sf_dir):
-    out = profile.numeric_summary(table(spark, sf_dir, "lineitem"), _NUMBERS)
+    out = profile.numeric_summary(table(spark, sf_dir, "lineitem"), _NUMBERS).drop("least", "greatest", "middle")
     return _rounded(out, "min_value", "max_value", "mean", "median")
 
 
+# Keys moved beyond what doubles tell apart, and prices as decimals.
+_WIDE = "SELECT 9007199254740993 + {key} AS wide, -9223372036854775807 + {key} AS least, CAST(o_totalprice AS DECIMAL(15,2)) AS price, CAST(o_custkey AS INT) AS customer FROM {orders}"
+_WIDE_COLUMNS = ["wide", "least", "price", "customer"]
+
+
+def _exact_sql(c: str) -> str:
+    middle = f"""(SELECT list_aggregate(list_slice(list_sort(list({c})), (COUNT({c}) + 1) // 2, COUNT({c}) // 2 + 1), 'min') FROM wide)"""
+    upper = f"""(SELECT list_aggregate(list_slice(list_sort(list({c})), (COUNT({c}) + 1) // 2, COUNT({c}) // 2 + 1), 'max') FROM wide)"""
+    half = f"(CAST({middle} AS DECIMAL(38, 4)) + CAST({upper} AS DECIMAL(38, 4))) * 0.5"
+
+    def bare(value: str) -> str:
+        return f"rtrim(rtrim(CAST(CAST({value} AS DECIMAL(38, 4)) AS VARCHAR), '0'), '.')"
+
+    return f"SELECT '{c}' AS \"column\", {bare(f'MIN({c})')} AS least, {bare(f'MAX({c})')} AS greatest, {bare(half)} AS middle FROM wide"
+
+
+@query(
+    "profile_exact",
+    f"WITH wide AS ({_WIDE.format(key='o_orderkey', orders='orders')}) " + _union([_exact_sql(c) for c in _WIDE_COLUMNS]),
+)
+def profile_exact(spark, sf_dir):
+    """Ranges and medians of long integers and decimals with all their digits."""
+    wide = spark.sql(_WIDE.replace("{key}", "o_orderkey"), orders=table(spark, sf_dir, "orders"))
+    return profile.numeric_summary(wide, _WIDE_COLUMNS).select("column", "least", "greatest", "middle")
+
+
 _EVENT_NUMBERS = ["event_id", "user_id", "value"]
 
 
