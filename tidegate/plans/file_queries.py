@@ -13,7 +13,7 @@ from tidegate.plans import dirty, load_queries
 from tidegate.plans.dirty import table
 from tidegate.plans.expected import NULL_TOKENS, VOTE_PATTERN
 from tidegate.plans.ingest import FLAGS, Load, LoadConfig
-from tidegate.plans.landing import COLUMNS, HEADER, ORACLE_ROWS, OTHER, OTHER_HEADER, RAGGED, REORDERED, landing
+from tidegate.plans.landing import COLUMNS, HEADER, ORACLE_ROWS, OTHER, OTHER_HEADER, RAGGED, REORDERED, landing, texts_landing
 from tidegate.plans.profile_queries import TABLES
 from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
@@ -203,6 +203,21 @@ def csv_scan(spark, sf_dir):
     return ids.number_rows(rows, "file", "pos", span=csv.CHUNK_SPAN).select("file", ids.ORDINAL, *wanted)
 
 
+_TEXT_FIELDS = ", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" for c in ("text", "lang"))
+
+
+@query(
+    "multiline_scan",
+    f"SELECT source || '.csv' AS file, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS ordinal, CAST(doc_id AS VARCHAR) AS doc_id, {_TEXT_FIELDS} FROM documents WHERE source IS NOT NULL",
+)
+def multiline_scan(spark, sf_dir):
+    """Records that go on over line ends, in file order; a file is read by as many tasks as it has splits."""
+    listed = files.list_files(spark, texts_landing(spark, sf_dir))
+    names = ["doc_id", "text", "lang"]
+    layouts = [Layout(r["path"], r["file"], tuple(names), len(names), True) for r in listed.collect()]
+    return ids.number_rows(csv.scan(spark, layouts, names), "file", "pos", span=csv.CHUNK_SPAN).select("file", ids.ORDINAL, *names)
+
+
 # --- whole loads --------------------------------------------------------------
 
 _warehouses: dict[tuple[str, str], Load] = {}

@@ -96,6 +96,16 @@ def _land(spark: SparkSession, parts: list[str], landing: str) -> None:
             system.rename(source, hadoop.Path(target, name))
 
 
+def texts_landing(spark: SparkSession, sf_dir: str) -> str:
+    """All documents as one CSV file per source, in order of their ids, line ends and quotes in the texts kept."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.concat("source", F.lit(".csv")).alias("file"), F.col("doc_id").alias("pos"), "doc_id", "text", "lang")
+    work, target = scratch_path(spark, "parts"), scratch_path(spark, "texts")
+    _write_csv(rows.where(F.col("source").isNotNull()), {c: c for c in ("doc_id", "text", "lang")}, work)
+    _land(spark, [work], target)
+    return target
+
+
 _landed: dict[tuple[str, str], str] = {}
 
 

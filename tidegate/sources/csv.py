@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.text import decode_null
 from tidegate.session import small_table
+from tidegate.sources import records
 from tidegate.sources.files import decoded_name
 
 RAW = "_raw"
@@ -26,9 +27,6 @@ LINE_MASK = (1 << 33) - 1
 OFFSET_SCALE = 1 << 10
 # Positions per chunk of rows: those of 64 MB of text.
 CHUNK_SPAN = (1 << 26) * OFFSET_SCALE
-# Fields that a record with line breaks may have before its reading is given up; of
-# other records any number is counted from the line.
-MOST_FIELDS = 1 << 20
 QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 
@@ -123,6 +121,8 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
     fields and an unclosed quote (a record that goes on in the next line) are
     told. A one-column file is read as two so that each record keeps its text.
     """
+    if multiline:
+        return scan_records(spark, paths, width)
     read_width = max(width, 2)
     schema = ", ".join(f"`{c}` string" for c in field_names(read_width)) + f", `{RAW}` string"
     rows = (
@@ -132,8 +132,7 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
         .option("columnNameOfCorruptRecord", RAW)
         .option("columnPruning", False)
         .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("maxColumns", max(MOST_FIELDS if multiline else 20_480, read_width + 1))
+        .option("maxColumns", max(20_480, read_width + 1))
         .csv([as_pattern(p) for p in paths])
     )
     return rows.select(
@@ -145,6 +144,24 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
     )
 
 
+def scan_records(spark: SparkSession, paths: Sequence[str], width: int) -> DataFrame:
+    """The same columns of files whose records go on over line ends, by as many tasks as they have splits.
+
+    A record with more fields than ``width`` is counted, not read, so it may have any number.
+    """
+    lines = records.read_lines(spark, [as_pattern(p) for p in paths], decoded_name(F.col("_metadata.file_name")), row_position())
+    found = records.read_records(lines)
+    commas = F.char_length("record") - F.char_length(F.replace("record", F.lit(","), F.lit("")))
+    found = found.withColumn("fields", F.when(commas >= width, count_fields(F.col("record"))).otherwise(F.lit(width)))
+    schema = ", ".join(f"`{c}` string" for c in field_names(max(width, 2)))
+    options = {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true", "lineSep": "\n", "maxColumns": str(max(20_480, width + 2))}
+    parsed = F.when(F.col("fields") <= width, F.from_csv("record", schema, options))
+    rows = found.withColumn("open_quote", open_quote(F.col("record"))).withColumn("_row", parsed)
+    return rows.select(
+        "file", "pos", *[decode_null(F.col("_row")[c]).alias(c) for c in field_names(width)], "fields", "open_quote"
+    )
+
+
 def scan_group(spark: SparkSession, layouts: Sequence[Layout], wanted: Sequence[str] | None = None) -> DataFrame:
     """Rows of files of one width: ``file, pos, <wanted columns>, overlong, open_quote``.
 
