@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
-from tidegate.session import lookup, settle, shuffle_sized_for, small_table, tune
+from tidegate.session import lookup, settle, shuffle_sized_for, small_table, together, tune
 from tidegate.sinks import store as st
 from tidegate.sinks.store import Store
 from tidegate.sources import csv, files
@@ -141,10 +141,13 @@ class Load:
         known = self.registered_schema()
         judged, main, facts, other_facts = self._judge(registry, known)
         good = [j.layout for j in judged if j.status == LOADED]
-        if good:
-            main = replace(main, types=self._stage_and_load(run, good, main, facts))
         paths = {r["file"]: r["path"] for r in registry}
-        self._quarantine_files(run, judged, paths, other_facts)
+        loaded, _ = together(
+            lambda: self._stage_and_load(run, good, main, facts) if good else None,
+            lambda: self._quarantine_files(run, judged, paths, other_facts),
+        )
+        if good:
+            main = replace(main, types=loaded)
         self._audit(run, judged, bool(good), started)
         if good and (known is None or known.types is None):
             self._register(run, main)
@@ -271,12 +274,12 @@ class Load:
         before = self.last_id()
         chunks = ids.chunk_offsets(tallies, "file", before)
         last = F.max(F.col("id_base") + F.col("rows_before") + F.col("last_good"))
-        self.store.write(chunks.agg(F.coalesce(last, F.lit(before)).cast("long").alias("last_id")), st.LAST_IDS, run)
+        reached = chunks.agg(F.coalesce(last, F.lit(before)).cast("long").alias("last_id"))
         offsets = lookup(chunks, tallies).drop("last_good")
         numbered = ids.apply_offsets(staged, offsets, "file")
         loaded = validate.good_rows(numbered, types, ["id", "file"])
         named = [F.col(inner).alias(c) for inner, c in labels.items()]
-        self.store.write(loaded.select("id", *named, F.col("file").alias(main.lineage)), self.config.table, run)
+        rows = loaded.select("id", *named, F.col("file").alias(main.lineage))
         values = [clean.value_text(numbered, inner).alias(c) for inner, c in labels.items()]
         payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
         bad = numbered.where(~good).select(
@@ -288,7 +291,11 @@ class Load:
             validate.fault_message().alias("error"),
             payload.alias("payload"),
         )
-        self.store.write(bad, st.BAD_ROWS, run)
+        together(
+            lambda: self.store.write(rows, self.config.table, run),
+            lambda: self.store.write(bad, st.BAD_ROWS, run),
+            lambda: self.store.write(reached, st.LAST_IDS, run),
+        )
         return {c: types[inner] for inner, c in labels.items()}
 
     def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str], labels: dict[str, str]) -> DataFrame:

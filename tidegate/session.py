@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +82,28 @@ def scratch_path(spark: SparkSession, label: str, below: str | None = None) -> s
     return f"{(below or shared_dir(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def together(*jobs: Callable[[], object]) -> list:
+    """Run independent small jobs side by side, so that each fills the gaps of the others; all end before it returns."""
+    results: list = [None] * len(jobs)
+    errors: list[BaseException] = []
+
+    def run(i: int) -> None:
+        try:
+            results[i] = jobs[i]()
+        except BaseException as error:
+            errors.append(error)
+
+    threads = [InheritableThread(target=run, args=(i,)) for i in range(1, len(jobs))]
+    for thread in threads:
+        thread.start()
+    run(0)
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small table once, durably, and read it from there afterwards."""
     spark = df.sparkSession
