@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+
 from tidegate.plans.ingest import Load, LoadConfig
+from tidegate.session import settle
 from tidegate.sinks import export
 from tidegate.sinks import store as st
 from tidegate.streaming import landing
@@ -29,6 +32,53 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     assert status == {"a.csv": "loaded", "b.csv": "loaded", "c.csv": "loaded", "d.csv": "schema_mismatch"}
 
 
+def test_empty_and_old_files_are_noticed(spark, tmp_path):
+    """A file without a byte, one that comes in with an old time, and one still being written."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    config = LoadConfig(str(folder), str(tmp_path / "warehouse"), files_per_batch=1)
+
+    def run():
+        landing.start(spark, config, str(tmp_path / "checkpoint")).awaitTermination()
+        return {r["file"]: r["status"] for r in Load(spark, config).store.finished(st.PROCESSED).collect()}
+
+    (folder / "m.csv").write_text("n\n1\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "_p.csv").write_text("n\n7\n")
+    assert run() == {"empty.csv": "unreadable", "m.csv": "loaded"}
+    (folder / "old.CSV").write_text("n\n2\n")
+    os.utime(folder / "old.CSV", (1_000_000_000, 1_000_000_000))
+    assert run() == {"empty.csv": "unreadable", "m.csv": "loaded", "old.CSV": "loaded"}
+    assert run() == {"empty.csv": "unreadable", "m.csv": "loaded", "old.CSV": "loaded"}
+
+
+def test_a_file_that_fails_is_struck_out(spark, tmp_path, monkeypatch):
+    """Deleted after its header was read, named with a colon, or gone before it: the rest loads."""
+    from tidegate.sources import files
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for name in ("a.csv", "b b%.csv", "z:q.csv", "d.csv"):
+        (folder / name).write_text("n\n1\n")
+    peek = files.header_registry
+
+    class Peeked:
+        """The registry, settled before a file goes."""
+
+        def __new__(cls, pending):
+            rows = settle(peek(pending))
+            (folder / "b b%.csv").unlink(missing_ok=True)
+            return rows
+
+    monkeypatch.setattr(files, "header_registry", Peeked)
+    load = Load(spark, LoadConfig(str(folder), str(tmp_path / "warehouse")))
+    load.run_all()
+    status = {r["file"]: r["status"] for r in load.store.finished(st.PROCESSED).collect()}
+    assert status == {"a.csv": "loaded", "b b%.csv": "unreadable", "d.csv": "loaded", "z:q.csv": "unreadable"}
+    reasons = {r["file"]: r["reason"] for r in load.store.finished(st.BAD_FILES).collect()}
+    assert set(reasons) == {"b b%.csv", "z:q.csv"} and reasons["z:q.csv"] == files.UNADDRESSABLE
+
+
 def test_exports(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

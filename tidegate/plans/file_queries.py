@@ -18,7 +18,7 @@ from tidegate.plans.profile_queries import TABLES
 from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
 from tidegate.sinks import store as st
-from tidegate.sources import csv, files, tables
+from tidegate.sources import csv, files, listing, tables
 from tidegate.sources.csv import Layout
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,7 +77,7 @@ _VALUES = "price_value AS order_price_usd, CAST(odate_value AS VARCHAR) AS order
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.list_files(spark, landing(spark, sf_dir))
+    return listing.list_files(spark, landing(spark, sf_dir))
 
 
 def _processed(listed: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ _TEXT_FIELDS = ", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END A
 )
 def multiline_scan(spark, sf_dir):
     """Records that go on over line ends, in file order; a file is read by as many tasks as it has splits."""
-    listed = files.list_files(spark, texts_landing(spark, sf_dir))
+    listed = listing.list_files(spark, texts_landing(spark, sf_dir))
     names = ["doc_id", "text", "lang"]
     layouts = [Layout(r["path"], r["file"], tuple(names), len(names), True) for r in listed.collect()]
     return ids.number_rows(csv.scan(spark, layouts, names), "file", "pos", span=csv.CHUNK_SPAN).select("file", ids.ORDINAL, *names)
@@ -246,7 +246,7 @@ def ingest_table(spark, sf_dir):
 def ingest_batches(spark, sf_dir):
     """The same table from several batches: ids, texts and types do not depend on their size."""
     folder = landing(spark, sf_dir)
-    batch = -(-files.list_files(spark, folder).count() // 4)
+    batch = -(-listing.list_files(spark, folder).count() // 4)
     run = Load(spark, LoadConfig(folder, scratch_path(spark, "batches"), files_per_batch=batch))
     run.run_all()
     return run.table().select(

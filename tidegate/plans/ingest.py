@@ -17,7 +17,10 @@ import time
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +28,15 @@ from tidegate.operators import audit, clean, gate, ids, infer, validate
 from tidegate.session import lookup, settle, shuffle_sized_for, small_table, together, tune
 from tidegate.sinks import store as st
 from tidegate.sinks.store import Store
-from tidegate.sources import csv, files
+from tidegate.sources import csv, files, listing
 from tidegate.sources.csv import Layout
 
 LOADED, MISMATCH, UNREADABLE, RESERVED = "loaded", "schema_mismatch", "unreadable", "reserved_column"
 STAGED, TALLIES = "staged", "chunk_tallies"
 FLAGS = ["overlong", "open_quote"]
+# How reasons begin of files whose lines cannot be read either.
+GONE = "cannot be read"
+UNREACHABLE = (GONE, files.UNADDRESSABLE, "FileNotFoundError")
 
 
 @dataclass(frozen=True)
@@ -86,8 +92,10 @@ class Load:
 
     # --- state across runs ------------------------------------------------------
 
-    def pending(self) -> DataFrame:
-        listed = files.list_files(self.spark, self.config.landing)
+    def pending(self, listed: DataFrame | None = None) -> DataFrame:
+        """Files of the folder, or of a listing of it, that are not checkpointed yet."""
+        if listed is None:
+            listed = listing.list_files(self.spark, self.config.landing)
         return files.pending_files(listed, self.store.control(st.PROCESSED))
 
     def registered_schema(self) -> MainSchema | None:
@@ -116,11 +124,15 @@ class Load:
 
     # --- a run ------------------------------------------------------------------
 
-    def run_all(self) -> int:
-        """Load everything pending, batch by batch; returns the number of files taken."""
+    def run_all(self, listed: DataFrame | None = None) -> int:
+        """Load everything pending, batch by batch; returns the number of files taken.
+
+        The folder is listed once; what lands meanwhile is for the next run.
+        """
+        listed = settle(listing.list_files(self.spark, self.config.landing) if listed is None else listed)
         taken = 0
         while True:
-            names = self.pending().orderBy("file").limit(self.config.files_per_batch)
+            names = self.pending(listed).orderBy("file").limit(self.config.files_per_batch)
             done = self.run_batch(names)
             taken += done
             if done < self.config.files_per_batch:
@@ -167,7 +179,7 @@ class Load:
         """
         broken = {r["file"]: r["problem"] for r in registry if r["problem"]}
         multiline = {r["file"] for r in registry if r["multiline"]}
-        self._read_lines([self._layout(r, multiline) for r in registry if r["file"] not in broken], multiline, broken)
+        self._isolated(registry, broken, lambda: self._read_lines([self._layout(r, multiline) for r in registry if r["file"] not in broken], multiline, broken))
         scanned: set[str] = set()
         facts: list[DataFrame] = []
         other_facts: list[DataFrame] = []
@@ -190,13 +202,37 @@ class Load:
                 fitting = defined.inside(fitting)
             for layouts, wanted, into in ((fitting, defined and list(defined.inner.values()), facts), (others, None, other_facts)):
                 if layouts:
-                    rows = csv.scan(self.spark, layouts, wanted)
-                    columns = wanted or csv.positional(rows)
-                    found = settle(infer.column_facts(rows, columns, ["file"], FLAGS))
+                    found = self._isolated(registry, broken, lambda: self._facts([x for x in layouts if x.file not in broken], wanted))
+                    if found is None:
+                        continue
                     refused = self._refused(found, multiline, broken)
                     into.append(found.where(~F.col("file").isin(refused)) if refused else found)
                     scanned |= {x.file for x in layouts} - set(refused)
 
+    def _facts(self, layouts: list[Layout], wanted: list[str] | None) -> DataFrame | None:
+        if not layouts:
+            return None
+        rows = csv.scan(self.spark, layouts, wanted)
+        return settle(infer.column_facts(rows, wanted or csv.positional(rows), ["file"], FLAGS))
+
+    @staticmethod
+    def _isolated(registry: list, broken: dict, job):
+        """Run a job over the batch's files; one that its reader fails on is struck out, and the others are read again.
+
+        A file may go away or turn unreadable after it was listed. The reader's error names it.
+        """
+        while True:
+            try:
+                return job()
+            except (Py4JJavaError, PySparkException) as error:
+                text = unquote(str(error))
+                named = [r for r in registry if r["file"] not in broken and f"/{r['file']}" in text]
+                if not named:
+                    raise
+                worst = max(named, key=lambda r: len(r["file"]))  # a name may end another
+                kind = error.getCondition() if isinstance(error, PySparkException) else None
+                broken[worst["file"]] = f"{GONE}: {kind or type(error).__name__}"
+
     @staticmethod
     def _layout(r, multiline: set) -> Layout:
         return Layout(r["path"], r["file"], tuple(r["columns"]), r["first_width"], r["file"] in multiline)
@@ -319,7 +355,7 @@ class Load:
         mixed = [j.layout for j in judged if j.status in (MISMATCH, RESERVED)]
         if mixed:
             parts.append(self._mismatch_rows(mixed, reduce(DataFrame.unionByName, facts)))
-        lines = [paths[j.file] for j in judged if j.status == UNREADABLE]
+        lines = [paths[j.file] for j in judged if j.status == UNREADABLE and not (j.reason or "").startswith(UNREACHABLE)]
         if lines:
             parts.append(csv.scan_lines(self.spark, lines).withColumnRenamed("line", "payload"))
         schema = "file string, status string, reason string"

@@ -8,26 +8,12 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import table_columns
 from tidegate.operators.gate import schema_key
-from tidegate.session import small_table
-
-CSV_GLOB = "*.[cC][sS][vV]"
-
-LISTING = "path string, modificationTime timestamp, length long, content binary"
-
-
-def _described(files: DataFrame) -> DataFrame:
-    return files.select(
-        "path",
-        F.substring_index("path", "/", -1).alias("file"),
-        "length",
-        F.col("modificationTime").alias("modified"),
-    )
-
+from tidegate.sources.listing import file_system
 
 def decoded_name(name: Column) -> Column:
     """A file name from its URL form, in which Spark's file metadata comes."""
@@ -35,46 +21,13 @@ def decoded_name(name: Column) -> Column:
     return F.when(name.contains("%"), plain).otherwise(name)
 
 
-def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """``(path, file, length, modified)`` of every CSV file; contents are not read.
-
-    A scan skips files without a byte. They are added from the names in the
-    listing, which Spark keeps on the driver anyway.
-    """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(landing)
-    listed = _described(found)
-    names = found.inputFiles()
-    if len(names) == listed.count():
-        return listed
-    every = small_table(spark, [(n,) for n in names], "url string").select(
-        decoded_name(F.col("url")).alias("path"),
-        F.substring_index(decoded_name(F.col("url")), "/", -1).alias("file"),
-        F.lit(0).cast("long").alias("length"),
-        F.lit(None).cast("timestamp").alias("modified"),
-    )
-    return listed.unionByName(every.join(listed.select("file"), "file", "left_anti"))
-
-
-def stream_files(spark: SparkSession, landing: str, files_per_batch: int) -> DataFrame:
-    """The same listing as a stream of newly landed files."""
-    reader = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", CSV_GLOB)
-    return _described(reader.option("maxFilesPerTrigger", files_per_batch).load(landing))
-
-
 def pending_files(files: DataFrame, processed: DataFrame) -> DataFrame:
     """Files whose name is not checkpointed yet."""
     return files.join(processed.select("file").distinct(), "file", "left_anti")
 
 
 def _open(path: str):
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme == "file" or not rest:
-        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/") if rest else path)
-    if scheme in ("s3a", "s3n"):
-        path = "s3:" + rest
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = file_system(path)
     return system.open_input_stream(inner)
 
 
@@ -102,6 +55,10 @@ def fields_of(line: str, inside: bool) -> tuple[int, bool]:
             commas, begins = commas + 1, True
 
 
+# Spark's readers cannot name such a file, so not even its lines are kept.
+UNADDRESSABLE = "colon in the file name"
+
+
 def read_head(path: str) -> tuple[list[str] | None, int, str | None]:
     """Header, width of the first data row and what is wrong, from the file's first lines.
 
@@ -109,6 +66,8 @@ def read_head(path: str) -> tuple[list[str] | None, int, str | None]:
     counted, line by line, so a quote that never closes costs time but no memory.
     """
     csv.field_size_limit(sys.maxsize)
+    if ":" in path.rsplit("/", 1)[-1]:
+        return None, 0, UNADDRESSABLE
     try:
         with _open(path) as stream, io.TextIOWrapper(stream, encoding="utf-8-sig", errors="strict", newline="") as lines:
             head, commas, inside = [], 0, False
