@@ -13,7 +13,9 @@ from tidegate.plans import dirty, load_queries
 from tidegate.plans.dirty import table
 from tidegate.plans.expected import NULL_TOKENS, VOTE_PATTERN
 from tidegate.plans.ingest import FLAGS, Load, LoadConfig
-from tidegate.plans.landing import COLUMNS, HEADER, ORACLE_ROWS, OTHER, OTHER_HEADER, RAGGED, REORDERED, landing, texts_landing
+from tidegate.plans.landing import (
+    COLUMNS, HEADER, LEAST_ORDERS, MOST_FILES, ORACLE_ROWS, OTHER, OTHER_HEADER, POISONS, RAGGED, REORDERED, landing, poisoned_landing, texts_landing,
+)
 from tidegate.plans.profile_queries import TABLES
 from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
@@ -259,16 +261,20 @@ def ingest_bad_rows(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.BAD_ROWS).select("file", "row_number", "error")
 
 
+_QUOTED = """CASE WHEN status LIKE '%,%' THEN '"' || replace(status, '"', '""') || '"' ELSE status END"""
+_RAW_LINE = f"COALESCE(price, '') || ',' || COALESCE(odate, '') || ',' || COALESCE(cust, '') || ',' || COALESCE({_QUOTED}, '') || CASE WHEN o_orderkey % 500 = 250 THEN ',surplus' ELSE '' END"
 _CLERK_JSON = """'{"order_price_usd":' || COALESCE('"' || price || '"', 'null') || ',"clerk":"' || clerk || '"}'"""
 
 
 @query(
     "quarantine_files",
-    _PLACED + f"SELECT DISTINCT file, 'schema_mismatch' AS status, '{_REASON}' AS reason, {_CLERK_JSON} AS payload FROM rows WHERE file_no % 7 = {OTHER}",
+    _PLACED + f"SELECT DISTINCT file, 'schema_mismatch' AS status, '{_REASON}' AS reason, {_CLERK_JSON} AS payload FROM rows WHERE file_no % 7 = {OTHER} "
+    f"UNION ALL SELECT file, 'unreadable', 'row longer than the header', {_RAW_LINE} FROM rows WHERE file_no % 7 = {RAGGED} "
+    f"UNION ALL SELECT file, 'unreadable', 'row longer than the header', '{','.join(HEADER.values())}' FROM files WHERE file_no % 7 = {RAGGED}",
 )
 def quarantine_files(spark, sf_dir):
-    held = loaded(spark, sf_dir).store.finished(st.BAD_FILES)
-    return held.where(F.col("status") == "schema_mismatch").select("file", "status", "reason", "payload")
+    """Every rejected file: rows of those that do not fit, lines of those that cannot be read."""
+    return loaded(spark, sf_dir).store.finished(st.BAD_FILES).select("file", "status", "reason", "payload")
 
 
 _STATUS = f"CASE file_no % 7 WHEN {OTHER} THEN 'schema_mismatch' WHEN {RAGGED} THEN 'unreadable' ELSE 'loaded' END"
@@ -312,6 +318,40 @@ def streaming_ingest(spark, sf_dir):
     )
 
 
+_POISONED = f"""
+WITH files AS (SELECT o_orderkey // GREATEST({LEAST_ORDERS}, (SELECT MAX(o_orderkey) + 1 FROM orders) // {MOST_FILES}) AS file_no, COUNT(*) AS n FROM orders GROUP BY 1)
+SELECT 'orders_' || LPAD(CAST(file_no AS VARCHAR), 6, '0') || '.csv' AS file,
+  CASE WHEN file_no % 7 BETWEEN 1 AND 5 THEN 'unreadable' ELSE 'loaded' END AS status,
+  CASE file_no % 7 {" ".join(f"WHEN {k} THEN '{why}'" for k, why in POISONS.items())} END AS reason,
+  CASE WHEN file_no % 7 IN (0, 6) THEN n ELSE 0 END AS rows_loaded FROM files
+"""
+
+
+def _outcome(load: Load) -> DataFrame:
+    """What became of each file, why, and how many of its rows were loaded."""
+    reasons = load.store.finished(st.BAD_FILES).groupBy("file").agg(F.max("reason").alias("reason"))
+    audits = load.store.finished(st.AUDIT).select("file", "rows_loaded")
+    return load.store.finished(st.PROCESSED).select("file", "status").join(reasons, "file", "left").join(audits, "file").select("file", "status", "reason", "rows_loaded")
+
+
+@query("poison_files", _POISONED)
+def poison_files(spark, sf_dir):
+    """Bad bytes, tens of thousands and a million fields, a quote that never closes, no bytes: each costs its file only."""
+    run = Load(spark, LoadConfig(poisoned_landing(spark, sf_dir), scratch_path(spark, "poisoned-warehouse"), files_per_batch=10_000))
+    run.run_all()
+    return _outcome(run)
+
+
+@query("poison_stream", _POISONED)
+def poison_stream(spark, sf_dir):
+    """The same folder by a stream, which notices files without a byte."""
+    from tidegate.streaming import landing as stream
+
+    config = LoadConfig(poisoned_landing(spark, sf_dir), scratch_path(spark, "poisoned-stream"), files_per_batch=10_000)
+    stream.start(spark, config, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return _outcome(Load(spark, config))
+
+
 # --- sinks and the catalog ----------------------------------------------------
 
 

@@ -244,7 +244,7 @@ class Load:
         # At most one row per file of the batch, whose number is capped.
         for r in csv.line_facts(self.spark, layouts).collect():
             if r["bad_bytes"]:
-                broken[r["file"]] = "not UTF-8"
+                broken[r["file"]] = files.NOT_TEXT
             elif r["open_quote"]:
                 multiline.add(r["file"])
             elif r["overlong"] and r["file"] not in multiline:

@@ -10,6 +10,7 @@ Spark and DuckDB both run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegate.plans.dirty import table
@@ -106,6 +107,43 @@ def texts_landing(spark: SparkSession, sf_dir: str) -> str:
     return target
 
 
+# What is wrong with every seventh file of the poisoned folder; the others are fine. A
+# file of kind SPREAD has a line end inside quotes, which is no fault.
+POISONS = {1: "not UTF-8", 2: "row longer than the header", 3: "unterminated quote", 4: "row longer than the header", 5: "empty file"}
+BAD_BYTES, MANY_FIELDS, OPEN_QUOTE, MOST_FIELDS, NO_BYTES, SPREAD = 1, 2, 3, 4, 5, 6
+
+
+def poisoned_landing(spark: SparkSession, sf_dir: str) -> str:
+    """All orders as CSV files of a key and a status, most files with one fault in one of their rows."""
+    orders = table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    size = max(LEAST_ORDERS, (top + 1) // MOST_FILES)
+    rows = orders.select(F.floor(F.col("o_orderkey") / size).alias("file_no"), F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"))
+    rows = rows.withColumn("kind", F.col("file_no") % 7).withColumn("last", F.max("key").over(W.partitionBy("file_no")) == F.col("key"))
+    plain, kind = F.concat_ws(",", "key", "status"), F.col("kind")
+    over = F.concat(F.col("key").cast("string"), F.lit(',"two\nlines"'))
+    spoiled = (
+        F.when(kind == BAD_BYTES, F.concat(plain.cast("binary"), F.unhex(F.lit("FFFE"))).cast("string"))
+        .when(kind == MANY_FIELDS, F.repeat(F.lit("9,"), 25_000))
+        .when(kind == OPEN_QUOTE, F.concat(F.col("key").cast("string"), F.lit(',"no end')))
+        .when(kind == MOST_FIELDS, F.concat(over, F.lit("\n"), F.repeat(F.lit("9,"), 1_050_000)))
+        .when(kind == SPREAD, over)
+        .otherwise(plain)
+    )
+    line = F.when(F.col("last"), spoiled).otherwise(plain)
+    named = rows.where(kind != NO_BYTES).select(F.concat(F.lit("orders_"), F.lpad(F.col("file_no").cast("string"), 6, "0"), F.lit(".csv")).alias("file"), F.col("key").alias("pos"), line.alias("line"))
+    head = named.select("file").distinct().select("file", F.lit(-1).cast("long").alias("pos"), F.lit("key,status").alias("line"))
+    work, target = scratch_path(spark, "parts"), scratch_path(spark, "poisoned")
+    every = named.unionByName(head).repartition("file").sortWithinPartitions("file", "pos")
+    every.select("file", "line").write.partitionBy("file").text(work)
+    _land(spark, [work], target)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in rows.where(kind == NO_BYTES).select("file_no").distinct().collect():  # MOST_FILES at most
+        system.create(hadoop.Path(target, f"orders_{r['file_no']:06d}.csv")).close()
+    return target
+
+
 _landed: dict[tuple[str, str], str] = {}
 
 

@@ -57,6 +57,7 @@ def fields_of(line: str, inside: bool) -> tuple[int, bool]:
 
 # Spark's readers cannot name such a file, so not even its lines are kept.
 UNADDRESSABLE = "colon in the file name"
+NOT_TEXT = "not UTF-8"
 
 
 def read_head(path: str) -> tuple[list[str] | None, int, str | None]:
@@ -86,7 +87,9 @@ def read_head(path: str) -> tuple[list[str] | None, int, str | None]:
                     commas, started = commas + more, True
                     if not inside:
                         break
-    except (UnicodeDecodeError, csv.Error, OSError) as error:
+    except UnicodeDecodeError:
+        return None, 0, NOT_TEXT
+    except (csv.Error, OSError) as error:
         return None, 0, f"{type(error).__name__}: {error}"
     return next(csv.reader(head)), commas + 1 if started else 0, None
 
