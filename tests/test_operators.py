@@ -269,6 +269,24 @@ def test_correlation_is_pairwise_and_null_for_constants(spark, table, frame):
     assert [r["r"] for r in nothing.collect()] in ([], [None])
 
 
+def test_prints_tell_values_and_rows_apart(spark):
+    long = "x" * 40
+    rows = [(long, 0.0, [1.0, None], b"a"), (long, -0.0, [1.0, None], b"a"), (long + "y", float("nan"), None, b"a"), (long + "y", float("nan"), None, b"a"), (None, None, [], None), ("1:a", 1.0, [], b""), ("1", 1.0, [], b"")]
+    df = spark.createDataFrame(rows, "s string, d double, a array<double>, b binary")
+    assert df.select(profile.row_print(df, df.columns)).distinct().count() == 5
+    digest = df.where(F.length("s") == 40).select(profile.printed(F.col("s")).alias("p")).first()["p"]
+    odd = spark.createDataFrame([(long,), (long,), ("short",), (bytes(digest).hex(),), ("",)], "s string")
+    assert as_dict(profile.distinct_values(odd), "distinct_values") == {"s": 4} and as_dict(profile.repeated_values(odd), "duplicates") == {"s": 1}
+    score = profile.quality_score(df).first()
+    assert score["uniqueness"] == pytest.approx(100 - 200 / 7) and score["completeness"] == pytest.approx(75)
+
+
+def test_mode_rules_wide_columns_out(spark):
+    df = spark.range(2000).selectExpr("concat('v', id % 10) AS ten", "concat('v', id % 11) AS eleven", "concat('v', id) AS wide")
+    assert as_dict(profile.column_modes(df), "mode", "occurrences") == {"ten": ("v0", 200)}
+    assert profile.column_modes(df, ["wide"]).collect() == [] and profile.column_modes(df.select(F.lit(1).alias("n"))).collect() == []
+
+
 def test_profile_of_tables(spark, table, frame):
     totals = profile.table_totals(table).first()
     assert tuple(totals) == (len(frame), 5, int(frame.isnull().sum().sum()))

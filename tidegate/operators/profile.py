@@ -22,6 +22,10 @@ from tidegate.session import small_table
 TOP_VALUES = 10
 HISTOGRAM_BINS = 30
 MODE_LIMIT = 10
+# An estimate beyond so many times the limit is certain to be beyond the limit.
+SURE = 4
+# Texts up to here are their own keys.
+KEY_BYTES = 32
 INFINITE = float("inf")
 # A spread that is a smaller share of the squares it was taken from is taken again around
 # the pair's own means; one under this share of the mean is that of equal values.
@@ -111,10 +115,24 @@ def outliers(df: DataFrame, columns: Sequence[str] | None = None, sigmas: float
     return _per_column(_summaries(df, columns, summary), columns, ["outliers"])
 
 
+def printed(value: Column) -> Column:
+    """A short key of a value: a text of up to 32 bytes itself, a longer one by its SHA-256.
+
+    A digest is a byte longer than any text that is its own key, so the two never meet.
+    """
+    digest = F.concat(F.lit(b"\x00"), F.unhex(F.sha2(value.cast("binary"), 256)))
+    return F.when(F.octet_length(value) <= KEY_BYTES, value.cast("binary")).otherwise(digest)
+
+
+def _key(df: DataFrame, name: str) -> Column:
+    """What stands for a value where values are counted: a bounded key of a text, anything else itself."""
+    return printed(present(df, name)) if isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)) else present(df, name)
+
+
 def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or text_columns(df))
     return _per_column(
-        _summaries(df, columns, lambda c: {"distinct_values": F.count_distinct(present(df, c))}),
+        _summaries(df, columns, lambda c: {"distinct_values": F.count_distinct(_key(df, c))}),
         columns, ["distinct_values"],
     )
 
@@ -126,7 +144,7 @@ def repeated_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
     def summary(c):
         value = present(df, c)
-        different = F.count_distinct(value) + F.max(F.when(value.isNull(), 1).otherwise(0))
+        different = F.count_distinct(_key(df, c)) + F.max(F.when(value.isNull(), 1).otherwise(0))
         return {"duplicates": rows - different, "duplicate_pct": F.try_divide((rows - different) * 100.0, rows)}
 
     return _per_column(_summaries(df, columns, summary), columns, ["duplicates", "duplicate_pct"])
@@ -141,8 +159,17 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_modes(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MODE_LIMIT) -> DataFrame:
-    """Most frequent value of text columns with few values; ties go to the least value."""
-    counts = value_counts(df, list(columns or text_columns(df)))
+    """Most frequent value of text columns with few values; ties go to the least value.
+
+    A first scan estimates how many values a column has. One with many more than ``limit``
+    is ruled out there, so only columns with few values are counted.
+    """
+    columns = list(columns or text_columns(df))
+    estimates = df.agg(*[F.approx_count_distinct(_key(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first() if columns else []
+    few = [c for c, n in zip(columns, estimates) if n <= SURE * limit]
+    if not few:
+        return df.sparkSession.createDataFrame([], "column string, mode string, occurrences long")
+    counts = value_counts(df, few)
     best = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("distinct_values"),
         F.min(F.struct((-F.col("n")).alias("minus"), F.col("value"))).alias("best"),
@@ -324,22 +351,39 @@ def data_size(df: DataFrame) -> DataFrame:
     return _per_column(_summaries(df, df.columns, summary), df.columns, ["bytes"])
 
 
+def row_print(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of a row's values; rows have one print if their values are the same, null for null and NaN for NaN.
+
+    Each value is preceded by its length, so that no two rows run together.
+    """
+    parts = []
+    for c in columns:
+        value, kind = F.col(f"`{c}`"), df.schema[c].dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            text = (value + F.lit(0.0).cast(kind)).cast("string")  # both zeros are one
+        elif isinstance(kind, T.BinaryType):
+            text = F.hex(value)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.when(value.isNotNull(), F.to_json(F.struct(value), {"ignoreNullFields": "false"}))
+        else:
+            text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256)) if parts else F.lit(b"")
+
+
 def quality_score(df: DataFrame, exclude: Sequence[str] = ("id",)) -> DataFrame:
     """Completeness, uniqueness and their mean, with a traffic light.
 
-    Equal rows are folded first; everything else follows from the folded rows
-    and their counts, so the table is read once.
+    The table is read once: a task makes of each row the SHA-256 of its values and the
+    number of its nulls, and only those are folded and shuffled.
     """
     columns = [c for c in df.columns if c not in exclude]
     nulls = F.lit(0).cast("long")
     for c in columns:
         nulls = nulls + present(df, c).isNull().cast("long")
-    folded = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
-    sums = folded.agg(
-        F.sum("_n").alias("rows"),
-        F.count(F.lit(1)).alias("different"),
-        F.sum(F.col("_n") * nulls).alias("nulls"),
-    )
+    folded = df.select(row_print(df, columns).alias("_print"), nulls.alias("_nulls")).groupBy("_print")
+    folded = folded.agg(F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"))
+    sums = folded.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("different"), F.sum("_nulls").alias("nulls"))
     cells = F.col("rows") * len(columns)
     completeness = 100 - F.try_divide(F.col("nulls") * 100.0, cells)
     uniqueness = 100 - F.try_divide((F.col("rows") - F.col("different")) * 100.0, F.col("rows"))

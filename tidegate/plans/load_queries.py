@@ -112,7 +112,7 @@ def _ladder(low: str, high: str) -> str:
     )
 
 
-_INTEGERS = {"part": ["p_partkey", "p_size"], "lineitem": ["l_orderkey", "l_suppkey", "l_linenumber"], "events": ["event_id", "user_id"]}
+_INTEGERS = {"part": ["p_partkey", "p_size"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "events": ["event_id", "user_id"]}
 
 
 @query(
@@ -169,7 +169,7 @@ def date_detect(spark, sf_dir):
     return facts.select(FILE, "filled", "dates", infer.decided_type().alias("type"))
 
 
-_TEXTS = {"documents": ["text", "lang", "source"], "customer": ["c_name", "c_mktsegment"], "benchmark": ["text"], "pages": ["url"]}
+_TEXTS = {"documents": ["text", "lang", "source"], "customer": ["c_name", "c_mktsegment"], "benchmark": ["text"], "pages": ["url", "html"]}
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 _NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_DOCUMENT_TEXTS = ["lang", "source"]
 
 
 def query(name: str, oracle: str | None = None):
@@ -117,7 +117,8 @@ def outliers_3sigma(spark, sf_dir):
     return profile.outliers(table(spark, sf_dir, "events"), _EVENT_NUMBERS)
 
 
-_DISTINCT = {"orders": ["o_orderstatus", "o_orderpriority"], "documents": ["lang", "source", "text"]}
+# All text columns of these tables.
+_DISTINCT = {"orders": ["o_orderstatus", "o_orderpriority"], "documents": ["lang", "source", "text"], "pages": ["url", "html"], "customer": ["c_name", "c_mktsegment"]}
 
 
 @query(
@@ -137,11 +138,12 @@ def profile_distinct(spark, sf_dir):
         )
         for t, columns in _DISTINCT.items()
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 _MODE_COLUMNS = ["l_returnflag", "l_linestatus"]
 _ORDER_TEXTS = ["o_orderstatus", "o_orderpriority"]
+_DOCUMENT_TEXTS = ["text", "lang", "source"]
 
 
 def _mode_sql(t: str, c: str) -> str:
@@ -151,14 +153,15 @@ def _mode_sql(t: str, c: str) -> str:
     )
 
 
-@query("profile_mode", _union([_mode_sql("orders", c) for c in _ORDER_TEXTS] + [_mode_sql("lineitem", c) for c in _MODE_COLUMNS]))
+@query("profile_mode", _union([_mode_sql(t, c) for t, columns in (("orders", _ORDER_TEXTS), ("lineitem", _MODE_COLUMNS), ("documents", _DOCUMENT_TEXTS)) for c in columns]))
 def profile_mode(spark, sf_dir):
     orders = profile.column_modes(table(spark, sf_dir, "orders"), _ORDER_TEXTS)
     lineitem = profile.column_modes(table(spark, sf_dir, "lineitem"), _MODE_COLUMNS)
-    return orders.unionByName(lineitem)
+    documents = profile.column_modes(table(spark, sf_dir, "documents"), _DOCUMENT_TEXTS)
+    return orders.unionByName(lineitem).unionByName(documents)
 
 
-_REPEATED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_REPEATED = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 @query(
