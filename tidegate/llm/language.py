@@ -357,13 +357,16 @@ def _learned(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_co
 
     known = keyed(docs, id_col, text_col, lang=F.col(lang_col).cast("string"), train=train).filter("train AND lang IS NOT NULL")
     known = known.withColumn("mark", F.xxhash64("text"))
-    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang")
-    by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
-    keys = known.select("lang", "doc_id", "mark", F.octet_length("text").cast("long").alias("bytes")).withColumn("place", F.row_number().over(by_hash))
-    keys = keys.filter(F.col("place") <= rows)  # tasks keep as many per language before they send them
+    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    # of a frequent language, only the share of the hashes is sent that has the rows wanted and some to spare
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    enough = share * F.col("n") <= rows + 20 * rows**0.5 + 100
+    marked = known.select("lang", "doc_id", "mark", F.octet_length("text").cast("long").alias("bytes")).join(F.broadcast(frequent), "lang").filter(enough)
+    keys = marked.groupBy("lang", "doc_id", "mark").agg(F.max("bytes").alias("bytes"))
+    by_hash = W.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 11), "doc_id", "mark")
+    keys = keys.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= rows)
     keys = keys.withColumn("upto", F.sum("bytes").over(by_hash.rowsBetween(W.unboundedPreceding, 0)))
-    keys = keys.filter((F.col("upto") <= size) | (F.col("place") == 1)).join(F.broadcast(frequent), "lang", "left_semi")
-    keys = written(keys.groupBy("lang", "doc_id", "mark").agg(F.max("bytes").alias("bytes")), "language-sample")
+    keys = written(keys.filter((F.col("upto") <= size) | (F.col("place") == 1)).select("lang", "doc_id", "mark", "bytes"), "language-sample")
     languages = [r.lang for r in keys.select("lang").distinct().orderBy("lang").collect()]  # MOST_LANGUAGES at most
     if not languages:
         return Model([], np.zeros((len(SCRIPTS) + 2, 0), bool), [])
