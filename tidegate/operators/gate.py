@@ -6,10 +6,14 @@ expressions over that small table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegate.session import small_table
+
 RESERVED = "id"
 
 
@@ -42,12 +46,15 @@ def judge_files(registry: DataFrame, main_key: Column, key: str = "schema_key",
     return registry.withColumn("status", status).withColumn("reason", reason)
 
 
-def route_by_schema(registry: DataFrame, file: str = "file", key: str = "schema_key", known: int = 0) -> DataFrame:
-    """One table per distinct schema, numbered in the order schemas first appear.
+def route_by_schema(registry: DataFrame, file: str = "file", key: str = "schema_key", known: int = 0, keep: Mapping[str, str] | None = None) -> DataFrame:
+    """One table per distinct schema, numbered from ``known`` on in the order schemas first appear.
 
-    Numbering runs over the distinct schemas, not over the files.
+    Schemas in ``keep`` have the table they had. Numbering runs over the distinct schemas,
+    not over the files.
     """
     schemas = registry.groupBy(key).agg(F.min(file).alias("first_file"))
-    number = F.row_number().over(W.orderBy("first_file")) + F.lit(known)
-    tables = schemas.withColumn("table_name", F.concat(F.lit("tbl_"), number.cast("string")))
+    kept = small_table(registry.sparkSession, list((keep or {}).items()), f"{key} string, kept string")
+    schemas = schemas.join(F.broadcast(kept), key, "left")  # one row per schema on both sides
+    number = F.row_number().over(W.partitionBy(F.col("kept").isNull()).orderBy("first_file")) + F.lit(known)
+    tables = schemas.withColumn("table_name", F.coalesce("kept", F.concat(F.lit("tbl_"), number.cast("string")))).drop("kept")
     return registry.join(tables, key)

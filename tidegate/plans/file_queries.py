@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tidegate.plans.landing import (
     COLUMNS, HEADER, LEAST_ORDERS, MOST_FILES, ORACLE_ROWS, OTHER, OTHER_HEADER, POISONS, RAGGED, REORDERED, landing, poisoned_landing, texts_landing,
 )
 from tidegate.plans.profile_queries import TABLES
+from tidegate.plans.routing import Router
 from tidegate.session import scratch_path, settle
 from tidegate.sinks import export
 from tidegate.sinks import store as st
@@ -305,6 +308,72 @@ def ingest_summary(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.RUNS).drop("seconds", "run")
 
 
+def _typed(rows: DataFrame, lineage: str = "_src_file") -> DataFrame:
+    return rows.select("id", F.col(lineage).alias("file"), "order_price_usd", F.col("order_date").cast("string"), F.col("cust_key").cast("long"), "status")
+
+
+@query("bucketed_load", _LOAD + f"SELECT id, file, {_VALUES} FROM loaded WHERE error IS NULL")
+def bucketed_load(spark, sf_dir):
+    """The load as a catalog table hashed by id, joined with itself on ids without an exchange."""
+    config = LoadConfig(landing(spark, sf_dir), scratch_path(spark, "bucketed"), files_per_batch=10_000, catalog=f"tidegate_{uuid.uuid4().hex}")
+    run = Load(spark, config)
+    run.run_all()
+    rows = run.table()
+    texts = rows.select("id", "status", "_src_file").hint("merge")
+    return _typed(rows.drop("status", "_src_file").join(texts, "id"))
+
+
+_LATER = _LOAD.replace(f"FROM rows WHERE file_no % 7 NOT IN ({OTHER}, {RAGGED})", f"FROM rows WHERE file_no % 7 NOT IN ({OTHER}, {RAGGED}) AND file_no >= (SELECT (COUNT(*) + 1) // 2 FROM files)")
+# Dates of two layouts make the column text in the first file of the later half.
+_LATER = _LATER.replace("odate IS NOT NULL AND odate_value IS NULL AS bad_odate", "FALSE AS bad_odate")
+
+
+@query("missing_table_rebuild", _LATER + f"SELECT id, file, {_VALUES.replace('CAST(odate_value AS VARCHAR)', 'odate')} FROM loaded WHERE error IS NULL")
+def missing_table_rebuild(spark, sf_dir):
+    """The catalog table is dropped between two batches: the next one infers and builds it anew, with ids from 1."""
+    folder, name = landing(spark, sf_dir), f"tidegate_{uuid.uuid4().hex}"
+    listed = settle(listing.list_files(spark, folder))
+    half = (listed.count() + 1) // 2
+    run = Load(spark, LoadConfig(folder, scratch_path(spark, "rebuilt"), files_per_batch=10_000, catalog=name))
+    run.run_batch(run.pending(listed).orderBy("file").limit(half))
+    spark.sql(f"DROP TABLE `{name}`")
+    run.store.remove_all(run.config.table)
+    run.run_all(listed)
+    return _typed(run.table())
+
+
+@query(
+    "error_files",
+    _LOAD + "SELECT 'error_' || replace(file, '.csv', '') AS error_file, price AS order_price_usd, odate AS order_date, cust AS cust_key, status, error FROM loaded WHERE error IS NOT NULL",
+)
+def error_files(spark, sf_dir):
+    """Bad rows of a load as CSV, one folder per source file, read back."""
+    path = scratch_path(spark, "errors")
+    Load(spark, LoadConfig(landing(spark, sf_dir), scratch_path(spark, "error-warehouse"), files_per_batch=10_000, error_files=path)).run_all()
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{path}/run=1")
+    return back.select("error_file", "order_price_usd", "order_date", "cust_key", "status", "error")
+
+
+@query(
+    "schema_tables",
+    _LOAD + f""", other AS (SELECT DISTINCT file, price, clerk FROM rows WHERE file_no % 7 = {OTHER})
+SELECT 'tbl_1' AS table_name, file, COUNT(*) - COUNT(error) AS rows_loaded FROM loaded GROUP BY file
+UNION ALL SELECT 'tbl_1', file, 0 FROM files WHERE file_no % 7 = {RAGGED}
+UNION ALL SELECT 'tbl_2', file, COUNT(CASE WHEN price IS NULL OR TRY_CAST(TRIM(price) AS DOUBLE) IS NOT NULL THEN 1 END) FROM other GROUP BY file""",
+)
+def schema_tables(spark, sf_dir):
+    """Each schema into its own table, in two batches; a schema met again keeps its table."""
+    folder = landing(spark, sf_dir)
+    batch = (listing.list_files(spark, folder).count() + 1) // 2
+    router = Router(spark, LoadConfig(folder, scratch_path(spark, "routed"), files_per_batch=batch))
+    router.run_all()
+    parts = [
+        router.load(r["table_name"]).store.finished(st.AUDIT).select(F.lit(r["table_name"]).alias("table_name"), "file", "rows_loaded")
+        for r in router.tables().collect()  # one row per schema
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("streaming_ingest", _LOAD + f"SELECT file, {_VALUES} FROM loaded WHERE error IS NULL")
 def streaming_ingest(spark, sf_dir):
     """The same load driven by a stream over the folder; ids follow the order of arrival."""

@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
 from tidegate.session import lookup, settle, shuffle_sized_for, small_table, together, tune
+from tidegate.sinks import export
 from tidegate.sinks import store as st
+from tidegate.sinks.catalog import CatalogTable
 from tidegate.sinks.store import Store
 from tidegate.sources import csv, files, listing
 from tidegate.sources.csv import Layout
@@ -47,6 +49,10 @@ class LoadConfig:
     files_per_batch: int = 2000
     chunk_span: int = csv.CHUNK_SPAN
     strict: bool = False
+    # The table's name in the catalog, hashed by id; without, it is a folder of the warehouse.
+    catalog: str | None = None
+    # A folder for the bad rows as CSV, a folder per run and source file.
+    error_files: str | None = None
 
 
 @dataclass(frozen=True)
@@ -89,6 +95,7 @@ class Load:
         self.spark = tune(spark)
         self.config = config
         self.store = Store(spark, config.warehouse)
+        self.catalog = config.catalog and CatalogTable(spark, config.catalog, self.store.path(config.table))
 
     # --- state across runs ------------------------------------------------------
 
@@ -105,20 +112,25 @@ class Load:
             return None
         row = rows[0]
         types = {c["name"]: c["type"] for c in row["columns"]}
-        gone = not self.store.exists(self.config.table)
+        gone = not self._table_exists()
         return MainSchema(row["schema_key"], tuple(types), None if gone else types, row["first_file"])
 
+    def _table_exists(self) -> bool:
+        return self.catalog.exists() if self.catalog else self.store.exists(self.config.table)
+
     def table(self) -> DataFrame:
         """The loaded rows of all finished runs."""
         schema = self.registered_schema()
         if schema is None or schema.types is None:
             raise ValueError("nothing has been loaded yet")
+        if self.catalog:
+            return self.catalog.rows(self.store.last_run())
         fields = [f"`{c}` {infer.spark_type(t).simpleString()}" for c, t in schema.types.items()]
         return self.store.rows(self.config.table, ", ".join(["id long", *fields, f"`{schema.lineage}` string"]))
 
     def last_id(self) -> int:
         """The greatest id given so far, from one row per finished run; 0 if the table has gone."""
-        if not self.store.exists(self.config.table):
+        if not self._table_exists():
             return 0
         return self.store.finished(st.LAST_IDS).agg(F.coalesce(F.max("last_id"), F.lit(0))).first()[0]
 
@@ -327,11 +339,16 @@ class Load:
             validate.fault_message().alias("error"),
             payload.alias("payload"),
         )
+        if self.catalog:
+            self.catalog.create({c: types[inner] for inner, c in labels.items()}, main.lineage)
         together(
-            lambda: self.store.write(rows, self.config.table, run),
+            lambda: self.catalog.publish(rows, run) if self.catalog else self.store.write(rows, self.config.table, run),
             lambda: self.store.write(bad, st.BAD_ROWS, run),
             lambda: self.store.write(reached, st.LAST_IDS, run),
         )
+        if self.config.error_files:
+            bad = self.spark.read.schema(st.SCHEMA_OF[st.BAD_ROWS]).parquet(self.store.path(st.BAD_ROWS, run))
+            export.export_errors(bad, list(labels.values()), f"{self.config.error_files.rstrip('/')}/run={run}")
         return {c: types[inner] for inner, c in labels.items()}
 
     def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str], labels: dict[str, str]) -> DataFrame:

@@ -11,6 +11,8 @@ from tidegate.operators.clean import fill_nulls
 from tidegate.operators.infer import table_ddl
 
 BUCKETS = 3
+# Quotes inside values are doubled, and blanks around them kept.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def create_table(spark: SparkSession, table: str, types: Mapping[str, str], buckets: int = BUCKETS) -> None:
@@ -23,14 +25,10 @@ def append_table(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int = BUCKETS, mode: str = "append") -> None:
-    df.write.mode(mode).bucketBy(buckets, "id").sortBy("id").format("parquet").saveAsTable(table)
-
-
 def export_csv(df: DataFrame, path: str, spell_nulls: bool = False) -> None:
     """The table as CSV files with a header, written in parallel."""
     out = fill_nulls(df) if spell_nulls else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def export_errors(bad_rows: DataFrame, columns: list[str], path: str) -> None:
@@ -38,6 +36,4 @@ def export_errors(bad_rows: DataFrame, columns: list[str], path: str) -> None:
     fields = F.from_json("payload", ", ".join(f"`{c}` string" for c in columns))
     base = F.regexp_replace("file", r"\.[^.]*$", "")
     out = bad_rows.select(F.concat(F.lit("error_"), base).alias("error_file"), fields.alias("row"), "error")
-    out.select("error_file", "row.*", "error").write.mode("overwrite").partitionBy("error_file").option(
-        "header", True
-    ).option("escape", '"').csv(path)
+    out.select("error_file", "row.*", "error").write.mode("overwrite").partitionBy("error_file").options(**CSV).csv(path)

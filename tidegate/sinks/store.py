@@ -48,6 +48,11 @@ class Store:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name, run))
         hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
+    def remove_all(self, name: str) -> None:
+        """Remove a whole table."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def discard(self, run: int) -> None:
         """Remove what a run that died has left under this number, in whatever table.
 
