@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 import pytest
@@ -70,3 +71,21 @@ def test_error_files_of_each_run(spark, folder, tmp_path):
     Load(spark, config).run_all()
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "errors")).select("run", "error_file", "n", "s", F.length("error").alias("e"))
     assert sorted((r["run"], r["error_file"], r["n"], r["s"]) for r in back.collect()) == [(1, "error_a", "x", " blank "), (2, "error_b", "y", "a, b")]
+
+
+def test_bad_rows_keep_their_values_as_written(spark, folder, tmp_path):
+    (folder / "a.csv").write_text('n,x,s\n1,1.50,p\n2, inf,"a ""q"""\nword,1.50, blank \n007,2,z\n')
+    (folder / "b.csv").write_text('s,x,n\n"over\nlines",+1e2,none\n')
+    load = Load(spark, LoadConfig(str(folder), str(tmp_path / "warehouse")))
+    load.run_all()
+    bad = {r["file"]: json.loads(r["payload"]) for r in load.store.finished("quarantine_rows").collect()}
+    assert bad == {"a.csv": {"n": "word", "x": "1.50", "s": " blank "}, "b.csv": {"n": "none", "x": "+1e2", "s": "over\nlines"}}
+
+
+def test_boolean_columns_take_any_text_unless_strict(spark, folder, tmp_path):
+    (folder / "a.csv").write_text("n,b\n1,True\n2,false\n")
+    (folder / "b.csv").write_text("n,b\n3,yes\n4,perhaps\n")
+    for strict, want in ((False, [True, False, True, None]), (True, [True, False, True])):
+        load = Load(spark, LoadConfig(str(folder), str(tmp_path / f"warehouse-{strict}"), strict=strict))
+        load.run_all()
+        assert [r["b"] for r in load.table().orderBy("id").collect()] == want

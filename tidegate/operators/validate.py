@@ -69,13 +69,13 @@ def column_checks(df: DataFrame, types: Mapping[str, str], strict: bool = False)
     """For each column that can reject a value: what it expects and when it rejects.
 
     The conditions refer to the typed values under the prefix ``_value_``. NULL
-    fits every column, text fits every text column. ``strict`` also holds text to
-    its declared length.
+    fits every column, any text fits text and boolean columns; what is no boolean has
+    no typed value. ``strict`` holds text to its declared length, and booleans to be some.
     """
     checks = {}
     for c, sql_type in types.items():
         value, kind = F.col(f"`{c}`"), expected_kind(sql_type)
-        if kind is not None:
+        if kind is not None and (strict or kind != "BOOLEAN"):
             checks[c] = (kind, value.isNotNull() & F.col(f"`_value_{c}`").isNull())
         elif strict and sql_type.startswith("VARCHAR("):
             checks[c] = (sql_type, F.char_length(value.cast("string")) > int(sql_type[8:-1]))

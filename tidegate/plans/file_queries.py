@@ -264,6 +264,19 @@ def ingest_bad_rows(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.BAD_ROWS).select("file", "row_number", "error")
 
 
+_JSON = "json_object(" + ", ".join(f"'{n}', raw.{c}" for c, n in COLUMNS.items()) + ")"
+
+
+@query(
+    "quarantined_values",
+    _LOAD + f""", raw AS (SELECT file, pos, {", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" for c in _ORDER)} FROM rows)
+SELECT l.file, l.ordinal + 1 AS row_number, CAST({_JSON} AS VARCHAR) AS payload FROM loaded l JOIN raw ON l.file = raw.file AND l.pos = raw.pos WHERE l.error IS NOT NULL""",
+)
+def quarantined_values(spark, sf_dir):
+    """The values of bad rows as their files have them, blanks and digits kept."""
+    return loaded(spark, sf_dir).store.finished(st.BAD_ROWS).select("file", "row_number", "payload")
+
+
 _QUOTED = """CASE WHEN status LIKE '%,%' THEN '"' || replace(status, '"', '""') || '"' ELSE status END"""
 _RAW_LINE = f"COALESCE(price, '') || ',' || COALESCE(odate, '') || ',' || COALESCE(cust, '') || ',' || COALESCE({_QUOTED}, '') || CASE WHEN o_orderkey % 500 = 250 THEN ',surplus' ELSE '' END"
 _CLERK_JSON = """'{"order_price_usd":' || COALESCE('"' || price || '"', 'null') || ',"clerk":"' || clerk || '"}'"""

@@ -328,17 +328,7 @@ class Load:
         loaded = validate.good_rows(numbered, types, ["id", "file"])
         named = [F.col(inner).alias(c) for inner, c in labels.items()]
         rows = loaded.select("id", *named, F.col("file").alias(main.lineage))
-        values = [clean.value_text(numbered, inner).alias(c) for inner, c in labels.items()]
-        payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
-        bad = numbered.where(~good).select(
-            "file",
-            ids.ORDINAL,
-            (F.col(ids.ORDINAL) + 1).alias("row_number"),
-            F.col(validate.FAULT)["column"].alias("error_column"),
-            F.col(validate.FAULT)["expected"].alias("expected"),
-            validate.fault_message().alias("error"),
-            payload.alias("payload"),
-        )
+        bad = self._bad_rows(layouts, labels, numbered.where(~good), tallies)
         if self.catalog:
             self.catalog.create({c: types[inner] for inner, c in labels.items()}, main.lineage)
         together(
@@ -351,6 +341,27 @@ class Load:
             export.export_errors(bad, list(labels.values()), f"{self.config.error_files.rstrip('/')}/run={run}")
         return {c: types[inner] for inner, c in labels.items()}
 
+    def _bad_rows(self, layouts: list[Layout], labels: dict[str, str], faulty: DataFrame, tallies: DataFrame) -> DataFrame:
+        """Bad rows with their values as the file has them.
+
+        Rows are staged as what they read as. The few that are bad are looked up in a second
+        scan of the same files, whose positions are those of the first one.
+        """
+        judged = faulty.select(
+            "file",
+            "pos",
+            ids.ORDINAL,
+            (F.col(ids.ORDINAL) + 1).alias("row_number"),
+            F.col(validate.FAULT)["column"].alias("error_column"),
+            F.col(validate.FAULT)["expected"].alias("expected"),
+            validate.fault_message().alias("error"),
+        )
+        if not tallies.agg(F.sum(F.col("chunk_rows") - F.col("good_rows"))).first()[0]:
+            return judged.drop("pos").withColumn("payload", F.lit(None).cast("string"))
+        written = csv.scan(self.spark, layouts, list(labels))
+        payload = F.to_json(F.struct(*[F.col(inner).alias(c) for inner, c in labels.items()]), {"ignoreNullFields": "false"})
+        return written.select("file", "pos", payload.alias("payload")).join(lookup(settle(judged)), ["file", "pos"]).select(*judged.drop("pos").columns, "payload")
+
     def _check(self, rows: DataFrame, layouts: list[Layout], types: dict[str, str], labels: dict[str, str]) -> DataFrame:
         """Add the first fault in the column order of the row's own file."""
         strict = self.config.strict
