@@ -39,6 +39,33 @@ def op4_prob_min_hash(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"), threshold=0.8).drop("key")
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), m AS (
+  SELECT array_to_string(words, ' ') AS norm, any_value(words) AS words, min(doc_id) AS node, count(*) AS copies FROM w GROUP BY 1
+), g AS (
+  SELECT DISTINCT node, hash(array_to_string(words[p:p + 4], ' ')) AS gram FROM (SELECT node, words, unnest(range(1, len(words) - 3)) AS p FROM m)
+), size AS (
+  SELECT node, count(*) AS n FROM g GROUP BY node
+), common AS (
+  SELECT x.node AS a, y.node AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.node < y.node GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN size s ON s.node = a JOIN size t ON t.node = b WHERE c * 10 >= 8 * (s.n + t.n - c)
+), both_ways AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT node, node AS other FROM m UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), label AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+), class AS (
+  SELECT class_id, CAST(sum(copies) AS BIGINT) AS class_size FROM label JOIN m USING (node) GROUP BY class_id
+)
+SELECT doc_id, class_id, node AS copy_of, class_size, doc_id = class_id AS kept
+FROM w JOIN m ON array_to_string(w.words, ' ') = m.norm JOIN label USING (node) JOIN class USING (class_id)
+"""
+
+
 def op5_uniform_threshold(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
@@ -195,6 +222,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_prob_min_hash": OP4_SQL,
     "op7_preference_pairs": OP7_SQL,
     "op5_uniform_threshold": OP5_SQL,
     "op9_suffix_automata": OP9_SQL,
