@@ -82,6 +82,17 @@ def test_bad_rows_keep_their_values_as_written(spark, folder, tmp_path):
     assert bad == {"a.csv": {"n": "word", "x": "1.50", "s": " blank "}, "b.csv": {"n": "none", "x": "+1e2", "s": "over\nlines"}}
 
 
+def test_first_errors_and_samples_are_kept(spark, folder, tmp_path):
+    (folder / "a.csv").write_text("n,s\n" + "".join(f"{i},v{i}\n" for i in range(20)) + "".join(f"bad{i},w\n" for i in range(8)))
+    (folder / "b.csv").write_text("n,s\n7,\n")
+    (folder / "c.csv").write_text("n,s\n")
+    load = Load(spark, LoadConfig(str(folder), str(tmp_path / "warehouse"), chunk_span=1))
+    load.run_all()
+    notes = {r["file"]: (r["first_errors"], r["samples"]) for r in load.store.finished("file_notes").collect()}
+    assert notes["a.csv"] == ([f"Column 'n' expects INT, got 'bad{i}'" for i in range(5)], {"n": ["0", "1", "2"], "s": ["v0", "v1", "v2"]})
+    assert notes["b.csv"] == ([], {"n": ["7"], "s": ["NULL"]}) and set(notes) == {"a.csv", "b.csv"}
+
+
 def test_boolean_columns_take_any_text_unless_strict(spark, folder, tmp_path):
     (folder / "a.csv").write_text("n,b\n1,True\n2,false\n")
     (folder / "b.csv").write_text("n,b\n3,yes\n4,perhaps\n")

@@ -293,6 +293,18 @@ def quarantine_files(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.BAD_FILES).select("file", "status", "reason", "payload")
 
 
+@query(
+    "file_notes",
+    _LOAD + """SELECT file, COALESCE(string_agg(error, '; ' ORDER BY ordinal) FILTER (error_no <= 5), '') AS first_errors,
+  string_agg(COALESCE(status, 'NULL'), '; ' ORDER BY ordinal) FILTER (ordinal <= 3) AS first_status
+FROM (SELECT *, CASE WHEN error IS NOT NULL THEN row_number() OVER (PARTITION BY file, error IS NULL ORDER BY ordinal) END AS error_no FROM loaded) GROUP BY file""",
+)
+def file_notes(spark, sf_dir):
+    """The first errors and values of each file, kept by the load."""
+    notes = loaded(spark, sf_dir).store.finished(st.NOTES)
+    return notes.select("file", F.array_join("first_errors", "; ").alias("first_errors"), F.array_join(F.col("samples")["status"], "; ").alias("first_status"))
+
+
 _STATUS = f"CASE file_no % 7 WHEN {OTHER} THEN 'schema_mismatch' WHEN {RAGGED} THEN 'unreadable' ELSE 'loaded' END"
 
 

@@ -36,6 +36,8 @@ from tidegate.sources.csv import Layout
 LOADED, MISMATCH, UNREADABLE, RESERVED = "loaded", "schema_mismatch", "unreadable", "reserved_column"
 STAGED, TALLIES = "staged", "chunk_tallies"
 FLAGS = ["overlong", "open_quote"]
+# Errors and values that are kept of each file.
+ERRORS, SAMPLES = 5, 3
 # How reasons begin of files whose lines cannot be read either.
 GONE = "cannot be read"
 UNREACHABLE = (GONE, files.UNADDRESSABLE, "FileNotFoundError")
@@ -331,9 +333,10 @@ class Load:
         bad = self._bad_rows(layouts, labels, numbered.where(~good), tallies)
         if self.catalog:
             self.catalog.create({c: types[inner] for inner, c in labels.items()}, main.lineage)
+        notes = self._notes(run, numbered.where(F.col(ids.ORDINAL) <= SAMPLES), labels, offsets)
         together(
             lambda: self.catalog.publish(rows, run) if self.catalog else self.store.write(rows, self.config.table, run),
-            lambda: self.store.write(bad, st.BAD_ROWS, run),
+            lambda: self._write_bad_rows(bad, notes, run),
             lambda: self.store.write(reached, st.LAST_IDS, run),
         )
         if self.config.error_files:
@@ -341,6 +344,24 @@ class Load:
             export.export_errors(bad, list(labels.values()), f"{self.config.error_files.rstrip('/')}/run={run}")
         return {c: types[inner] for inner, c in labels.items()}
 
+    def _notes(self, run: int, first: DataFrame, labels: dict[str, str], files_of: DataFrame) -> DataFrame:
+        """The first values of every column of each file, as read, a null as ``NULL``."""
+        values = F.struct(F.col(ids.ORDINAL).alias("at"), *[F.coalesce(clean.value_text(first, inner), F.lit("NULL")).alias(inner) for inner in labels])
+        # SAMPLES rows per file at most
+        rows = first.select("file", values.alias("row")).groupBy("file").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+        lists = [F.col("rows")[inner] for inner in labels]
+        samples = F.map_from_arrays(F.array(*[F.lit(c) for c in labels.values()]), F.array(*lists))
+        return files_of.select("file").distinct().join(rows, "file", "left").select("file", samples.alias("samples"))
+
+    def _write_bad_rows(self, bad: DataFrame, samples: DataFrame, run: int) -> None:
+        """Bad rows, and the first errors of each file beside its samples."""
+        self.store.write(bad, st.BAD_ROWS, run)
+        written = self.spark.read.schema(st.SCHEMA_OF[st.BAD_ROWS]).parquet(self.store.path(st.BAD_ROWS, run))
+        first = validate.error_sample(written, "file", ids.ORDINAL, ERRORS).groupBy("file")
+        errors = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("error_no", "error"))), lambda e: e["error"]).alias("first_errors"))
+        notes = samples.join(errors, "file", "left").select("file", F.coalesce("first_errors", F.array().cast("array<string>")).alias("first_errors"), "samples")
+        self.store.write(notes, st.NOTES, run)
+
     def _bad_rows(self, layouts: list[Layout], labels: dict[str, str], faulty: DataFrame, tallies: DataFrame) -> DataFrame:
         """Bad rows with their values as the file has them.
 

@@ -20,6 +20,7 @@ BAD_FILES = "quarantine_files"
 BAD_ROWS = "quarantine_rows"
 AUDIT = "file_audit"
 RUNS = "run_summary"
+NOTES = "file_notes"
 LAST_IDS = "last_ids"
 
 SCHEMA_OF = {
@@ -29,6 +30,7 @@ SCHEMA_OF = {
     BAD_ROWS: "file string, ordinal long, row_number long, error_column string, expected string, error string, payload string",
     AUDIT: "file string, status string, columns long, rows_in long, duplicates_removed long, nulls long, rows_staged long, rows_loaded long, rows_bad long",
     LAST_IDS: "last_id long",
+    NOTES: "file string, first_errors array<string>, samples map<string,array<string>>",
     RUNS: "files_seen long, files_loaded long, files_mismatched long, files_unreadable long, rows_loaded long, rows_bad long, seconds double",
 }
 
