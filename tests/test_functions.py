@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -90,9 +91,11 @@ def test_clean_header_column_matches_the_name_function(spark):
 
 
 def test_table_columns_of_matches_the_name_function(spark):
+    draw = random.Random(3)
     rows = [(h.split(","),) for h in HEADERS]
-    got = spark.createDataFrame(rows, "h array<string>").select("h", text.table_columns_of("h").alias("c")).collect()
-    assert all(r["c"] == text.table_columns(r["h"]) for r in got)
+    rows += [([draw.choice(["a", "A", "a.1", "a_1", "", " a", "b", "a.1.1", "Unnamed: 1", "(a)"]) for _ in range(draw.randrange(12))],) for _ in range(200)]
+    got = spark.createDataFrame(rows, "h array<string>").select("h", text.table_columns_of(F.col("h")).alias("c")).collect()
+    assert len(got) == len(rows) and all(r["c"] == text.table_columns(r["h"]) for r in got)
 
 
 DATES = [

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Spellings that mean "no value" in a CSV field.
 NULL_TOKENS = (
@@ -98,7 +96,30 @@ def table_columns(raw: list[str]) -> list[str]:
     return unique_names([clean_name(n) for n in unique_names(list(raw))])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def table_columns_of(headers: pd.Series) -> pd.Series:
-    """Arrow form of :func:`table_columns` for a column of raw headers."""
-    return headers.map(lambda h: table_columns(["" if x is None else x for x in h]))
+def _unique(names: Column) -> Column:
+    """Column form of :func:`unique_names`: one fold over the array, with what each name has been given so far."""
+    named = F.transform(names, lambda n, i: F.when(n == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(n))
+    start = F.struct(
+        F.array().cast("array<string>").alias("out"), named.alias("taken"), F.create_map().cast("map<string,int>").alias("seen")
+    )
+
+    def add(so_far: Column, name: Column) -> Column:
+        number = F.coalesce(F.try_element_at(so_far["seen"], name), F.lit(0))
+        # of as many numbers as there are names and one more, one is free
+        free = F.filter(F.sequence(number, number + F.size(so_far["taken"])), lambda k: ~F.array_contains(so_far["taken"], F.concat(name, F.lit("."), k.cast("string"))))[0]
+        first = number == 0
+        new = F.when(first, name).otherwise(F.concat(name, F.lit("."), free.cast("string")))
+        others = F.map_filter(so_far["seen"], lambda k, _: k != name)
+        return F.struct(
+            F.concat(so_far["out"], F.array(new)).alias("out"),
+            F.when(first, so_far["taken"]).otherwise(F.concat(so_far["taken"], F.array(new))).alias("taken"),
+            F.map_concat(others, F.create_map(name, F.when(first, F.lit(1)).otherwise(free + 1))).alias("seen"),
+        )
+
+    return F.aggregate(named, start, add, lambda done: done["out"])
+
+
+def table_columns_of(headers: Column) -> Column:
+    """Column form of :func:`table_columns` for a column of raw headers; a null name is empty."""
+    raw = F.transform(headers, lambda n: F.coalesce(n, F.lit("")))
+    return _unique(F.transform(_unique(raw), clean_header))

@@ -227,6 +227,23 @@ def infer_schema(spark, sf_dir):
     return infer.infer_schema(first_file(decoded(spark, sf_dir)).select(*COLUMNS))
 
 
+_TYPED = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@query(
+    "typed_source_schema",
+    "SELECT CAST(position AS INTEGER) AS position, \"column\", type FROM (VALUES "
+    + ", ".join(f"({i}, '{c}', (SELECT ANY_VALUE({{{c}}}) FROM events))" for i, c in enumerate(_TYPED, 1)).format(
+        event_id=_ladder("MIN(event_id)", "MAX(event_id)"), user_id=_ladder("MIN(user_id)", "MAX(user_id)"), ts="'DATETIME'", value="'DOUBLE'",
+        event_type="'VARCHAR(100)'", props="'VARCHAR(100)'",
+    ).replace("ANY_VALUE(CASE", "(CASE")
+    + ') t(position, "column", type)',
+)
+def typed_source_schema(spark, sf_dir):
+    """Types of a table whose columns have types already: times stay times, numbers get their width."""
+    return infer.infer_schema(table(spark, sf_dir, "events").select(*_TYPED))
+
+
 @query(
     "inferred_ddl",
     ORACLE + f", inferred AS ({_INFERRED}) SELECT 'CREATE TABLE IF NOT EXISTS `main_data_table` (`id` BIGINT NOT NULL, ' || "
@@ -269,7 +286,7 @@ def header_collisions(spark, sf_dir):
     name, shouted = F.col("p_name"), F.upper("p_name")
     header = F.array(name, shouted, F.col("p_brand"), name, F.lit(""), shouted)
     part = table(spark, sf_dir, "part").select("p_partkey", header.alias("header"))
-    return part.select("p_partkey", F.array_join(table_columns_of("header"), "|").alias("columns"))
+    return part.select("p_partkey", F.array_join(table_columns_of(F.col("header")), "|").alias("columns"))
 
 
 @query("dedupe_rows", ORACLE + f"SELECT src_file, pos, copies, {', '.join(COLUMNS)} FROM deduped")
