@@ -15,12 +15,14 @@ short word runs inside a window, which does not depend on what surrounds the win
    windows whose owner has a smaller id. Neighbouring windows make maximal spans.
 
 An anchor whose different segments hold very many words (a passage with a different
-neighbour in each document) is cut into single windows, which fold natively, so that no
-shard grows with the number of documents that share a passage.
+neighbour in each document) has its segments cut into single windows, which fold
+natively, so that no shard grows with the number of documents that share a passage.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,11 +232,6 @@ def _owners(window: int):
             by_anchor[anchor].append((segment, least, several))
         out = []
         for references in by_anchor.values():
-            if len(references) == 1:  # nothing else to match
-                segment, least, several = references[0]
-                if several:
-                    out.append((segment, [least] * (segment.count(b" ") + 2 - window)))
-                continue
             automaton = Automaton()
             split = [(segment, segment.split(b" "), least, several) for segment, least, several in references]
             for _, words, least, _ in split:
@@ -259,6 +256,19 @@ def _single_windows(window: int):
     return F.transform(F.sequence(F.lit(1), F.size(words) - F.lit(window - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, window)).cast("binary"))
 
 
+def _folded_windows(references: DataFrame, window: int) -> DataFrame:
+    """``print, print_2, least``: the least owner of each window of references, folded natively window by window."""
+    alone = references.select(*_prints(), "least", F.posexplode(_single_windows(window)).alias("at", "window"))
+    windows = [F.xxhash64("window").alias("window_print"), F.xxhash64(F.lit(7), F.col("window")).alias("window_print_2")]
+    alone = written(alone.select("print", "print_2", "least", "at", *windows), "single-windows")
+    keys = ["window_print", "window_print_2"]
+    folded = written(alone.groupBy(*keys).agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n")), "folded-windows")
+    found = join_keyed(alone.drop("least"), folded, keys, "n").groupBy("print", "print_2")
+    # as many windows as a segment has
+    found = found.agg(F.array_sort(F.collect_list(F.struct("at", "least"))).alias("windows"))
+    return found.select("print", "print_2", F.col("windows")["least"].alias("least"))
+
+
 def _bit_filter(shared: DataFrame, count: int):
     """The shared anchors as bits, by their leading bits; bounded by ``FILTER_ANCHORS``."""
     import numpy as np
@@ -313,33 +323,21 @@ def _spans(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFram
     )
     words = F.octet_length("segment") - F.octet_length(F.replace(F.col("segment").cast("string"), F.lit(" "), F.lit(""))) + 1
     references = written(folded.withColumn("words", words.cast("long")), "references")
-    crowded = references.groupBy("anchor").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"))
-    crowded = crowded.filter((F.col("words") > ANCHOR_WORDS_MOST) & (F.col("n") > 1))
-    crowded = written(crowded.select("anchor"), "crowded")
-    if not crowded.isEmpty():
-        # single windows of crowded anchors, in place of their segments
-        alone = occurrences.join(crowded, "anchor", "left_semi").select(
-            "anchor", "order", "text_key", "place", F.posexplode(_single_windows(window)).alias("at", "segment")
-        )
-        alone = alone.select("anchor", "segment", "order", "text_key", (F.col("place") + F.col("at")).alias("place"))
-        occurrences = written(occurrences.join(crowded, "anchor", "left_anti").unionByName(alone), "segments")
-        folded = occurrences.join(crowded, "anchor", "left_semi").groupBy("segment")
-        folded = written(folded.agg(F.min("order").alias("least"), F.max("order").alias("most"), F.count(F.lit(1)).alias("n")), "single-windows")
-        direct = folded.filter("least < most").select("segment", F.array("least").alias("least"))
-        references = references.join(crowded, "anchor", "left_anti")
-    shards = -(-(references.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS) or 1
-    owned = (
-        references.withColumn("shard", F.pmod("anchor", F.lit(shards)))
-        .select("shard", "anchor", "segment", "least", "several")
-        .groupBy("shard")
-        .applyInArrow(_owners(window), "segment binary, least array<long>")
-    )
-    counted = references.select("segment", "n")
+    met = references.groupBy("anchor").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = written(met.select("anchor", (F.col("words") > ANCHOR_WORDS_MOST).alias("crowded"), "words"), "met-anchors")
+    # a segment that meets no other of its anchor: its windows have its own least owner
+    alone = references.join(lookup(met.select("anchor")), "anchor", "left_anti").filter("several")
+    owned = [alone.select(*_prints(), F.array_repeat("least", F.col("words").cast("int") - (window - 1)).alias("least"))]
+    crowded = met.filter("crowded").select("anchor")
     if not crowded.isEmpty():
-        owned = owned.unionByName(direct)
-        counted = counted.unionByName(folded.select("segment", "n"))
-    owned = written(owned.select(*_prints(), "least"), "owners")
-    frequent = counted.filter(F.col("n") >= HOT_ROWS).select(*_prints(), "n")
+        owned.append(_folded_windows(references.join(lookup(crowded), "anchor", "left_semi"), window))
+    shards = -(-(met.filter("NOT crowded").agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS)
+    if shards:
+        matched = references.join(lookup(met.filter("NOT crowded").select("anchor")), "anchor", "left_semi")
+        matched = matched.select(F.pmod("anchor", F.lit(shards)).alias("shard"), "anchor", "segment", "least", "several")
+        owned.append(matched.groupBy("shard").applyInArrow(_owners(window), "segment binary, least array<long>").select(*_prints(), "least"))
+    owned = written(reduce(DataFrame.unionByName, owned), "owners")
+    frequent = references.filter(F.col("n") >= HOT_ROWS).select(*_prints(), "n")
     owned = owned.join(lookup(written(frequent, "frequent")), ["print", "print_2"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     hit = (
         join_keyed(occurrences.select(*_prints(), "order", "text_key", "place"), owned, ["print", "print_2"], "n")
