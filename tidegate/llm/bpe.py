@@ -198,7 +198,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, ids``: token ids of each whole text, one row per input row.
 
     Null counts as empty and gives an empty list; rows that repeat are encoded each;
-    other columns do not matter. A text's own ids must fit a row, as its text does.
+    other columns do not matter. A text's own ids must fit a row, as its text does. An
+    empty table gives an empty result.
     """
     source = keyed(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
@@ -231,7 +232,11 @@ def _decode(path: str):
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
-    """Add ``text`` to ``doc_id, ids``; bytes that are no UTF-8 become U+FFFD."""
+    """Add ``text`` to ``doc_id, ids``; bytes that are no UTF-8 become U+FFFD.
+
+    A null or empty list is an empty text; null ids, rows that repeat and lists of any
+    length are decoded each. Other columns are left out. An empty table gives an empty result.
+    """
     ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
     schema = f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string"
     return tokens.select("doc_id", ids).mapInArrow(_decode(path), schema)

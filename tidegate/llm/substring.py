@@ -431,7 +431,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     ``kept_text`` has them with the white space that follows each in the text, and is
     the text itself where nothing is removed. Null and empty texts have no words. Rows
     that repeat a ``doc_id`` are judged each, and not against one another. A null id
-    counts as above all others. ``carry`` names further columns to return.
+    counts as above all others. A very long text is worked on alone, and whole. An empty
+    table gives an empty result. ``carry`` names further columns to return.
     """
     spans = repeated_spans(docs, window, id_col, text_col)
     size = spans.agg(F.sum(F.size("spans") * 16 + 64)).first()[0] or 0
