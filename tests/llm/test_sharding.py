@@ -46,10 +46,20 @@ def test_documents(spark):
     check(rows, S.shard_documents(docs(spark, rows)).collect())
 
 
-def test_small_blocks_are_gapless(spark, monkeypatch):
-    rows = [(i, "x" * (i % 7)) for i in range(3000)]
-    monkeypatch.setattr(S, "BLOCK_ROWS", 10)
-    check(rows, S.shard_documents(docs(spark, rows)).collect())
+def test_slots_are_in_one_order_however_rows_come(spark):
+    """Small blocks, nulls, and rows that agree often enough to be dealt at random."""
+    order = ["doc_id", "size"]
+    rows = [(i, i % 7, i % 3) for i in range(900)] + [(None, None, 1)] * 3 + [(5, 5, 2)] * 400 + [(6, 6, 2)] * 300
+    found = []
+    for seed in (1, 2):
+        np.random.default_rng(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, size long, shard int").repartition(5)
+        found.append(Counter(map(tuple, S.place(df, "shard", order, block_rows=25).select("doc_id", "size", "shard", "slot").collect())))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    for shard in range(3):
+        assert sorted(r[3] for r in found[0] if r[2] == shard) == list(range(sum(r[2] == shard for r in rows)))
+    crowd = [{r[3] for r in found[0] if r[:2] == (k, k) and r[2] == 2} for k in (5, 6)]
+    assert all(max(s) - min(s) + 1 == len(s) for s in crowd) and max(map(max, crowd)) + 1 == sum(r[2] == 2 for r in rows)
 
 
 def test_empty_table(spark):

@@ -91,6 +91,35 @@ def op6_jump_shards(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+OP6_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
+         xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda p: CAST('0x' || p AS BIGINT))),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS UBIGINT) AS key
+  FROM documents, crc_table
+), jump AS (
+  SELECT DISTINCT key, CAST(key AS HUGEINT) AS state, CAST(0 AS BIGINT) AS reach FROM d
+  UNION ALL
+  SELECT key, state, CAST(floor((reach + 1) * (CAST(2147483648 AS DOUBLE) / CAST(state // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT key, reach, (state * 2862933555777941757 + 1) % 18446744073709551616 AS state FROM jump WHERE reach < 25)
+), shards AS (
+  SELECT key, CAST(max(reach) FILTER (reach < 24) AS INTEGER) AS shard, CAST(max(reach) FILTER (reach < 25) AS INTEGER) AS grown_shard FROM jump GROUP BY key
+), prints AS (
+  SELECT *, md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), size, text_crc32)) AS print, greatest(64, (count(*) OVER () + 65535) // 65536) AS blocks FROM d
+), dealt AS (
+  SELECT *, count(*) OVER (PARTITION BY print) >= 65536 AS crowd, CAST('0x' || substr(print, 1, 15) AS BIGINT) % blocks AS block FROM prints
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY CASE WHEN crowd THEN print ELSE '' END, CASE WHEN crowd THEN 0 ELSE block END,
+                          doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM dealt JOIN shards USING (key)
+"""
+
+
 def op7_preference_pairs(spark, sf_dir):
     chosen, rejected = chat.swapped_replies(table(spark, sf_dir, "conversations"))
     pairs = chat.render(chat.segments(chosen, rejected))
@@ -223,6 +252,7 @@ QUERIES = {
 
 ORACLES = {
     "op4_prob_min_hash": OP4_SQL,
+    "op6_jump_shards": OP6_SQL,
     "op7_preference_pairs": OP7_SQL,
     "op5_uniform_threshold": OP5_SQL,
     "op9_suffix_automata": OP9_SQL,

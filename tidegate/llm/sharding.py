@@ -8,7 +8,7 @@ either stays or moves to the new shard, so only the necessary share of rows move
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -47,43 +47,71 @@ def _jumper(counts: tuple[int, ...]):
     return F.pandas_udf(run, ", ".join(f"in_{n} int" for n in counts))
 
 
+def _print(columns: list[str]) -> Column:
+    """MD5 of columns written out, null as nothing, in hexadecimal digits."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).cast("binary"))
+
+
+def _number(digits: Column, length: int) -> Column:
+    """The first of some hexadecimal digits as a long, 16 of them as its bits."""
+    return F.conv(F.substring(digits, 1, length), 16, -10).cast("long")
+
+
 def assign(df: DataFrame, key_cols: list[str], counts: tuple[int, ...], into: str = "shards") -> DataFrame:
     """Add a struct with the shard of each row for every shard count, as ``in_<count>``.
 
-    Any hashable columns may be the key; null is a key like others, and rows with
-    equal keys share a shard. Nothing is shuffled.
+    Any columns that can be written as text may be the key; null is a key like the empty
+    text, and rows with equal keys share a shard. Nothing is shuffled.
     """
-    return df.withColumn(into, _jumper(counts)(F.xxhash64(*key_cols)))
+    return df.withColumn(into, _jumper(counts)(_number(_print(key_cols), 16)))
 
 
-def place(df: DataFrame, shard: str, slot: str = "slot", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Number the rows of every shard from 0 without gaps.
+def place(df: DataFrame, shard: str, order: list[str], slot: str = "slot", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Number the rows of every shard from 0 without gaps, the same way whenever it is done.
 
-    Rows are numbered in blocks that are dealt at random, so a shard, or a key that
-    holds a third of all rows, is the work of many tasks; block sizes summed up shift
-    the numbers.
+    Rows are dealt into blocks by a hash of the columns ``order`` and numbered within a
+    block by these columns, so a shard, or a key that holds a third of all rows, is the
+    work of many tasks; block sizes summed up shift the numbers. Rows that agree in all of
+    these columns, ``block_rows`` of them or more, come last in their shard; they are dealt
+    at random, as any of them may have any of their numbers.
     """
     fixed = written(df.withColumn("_uid", F.monotonically_increasing_id()), "shard-rows")
     blocks = max(64, -(-fixed.count() // block_rows))
-    dealt = fixed.withColumn("_block", F.pmod(F.xxhash64("_uid"), F.lit(blocks)))
-    ranked = dealt.withColumn("_rank", F.row_number().over(W.partitionBy(shard, "_block").orderBy("_uid")) - 1)
-    sizes = written(dealt.groupBy(shard, "_block").agg(F.count(F.lit(1)).alias("_rows")), "shard-blocks")
-    before = W.partitionBy(shard).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(shard, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    dealt = fixed.withColumn("_print", _print(order)).withColumn("_block", F.pmod(_number(F.col("_print"), 15), F.lit(blocks)))
+    sizes = _block_sizes(dealt.withColumn("_group", F.lit("")), shard)
+    crowded = sizes.filter(F.col("_rows") >= block_rows).select(shard, "_block")
+    if crowded.isEmpty():
+        dealt = dealt.withColumn("_group", F.lit(""))
+    else:
+        inside = dealt.join(lookup(crowded), [shard, "_block"], "left_semi")
+        alike = written(inside.groupBy("_print").agg(F.count(F.lit(1)).alias("_alike")).filter(F.col("_alike") >= block_rows), "shard-alike")
+        dealt = dealt.join(lookup(alike), "_print", "left").withColumn("_group", F.when(F.col("_alike").isNull(), "").otherwise(F.col("_print")))
+        anywhere = F.pmod(F.xxhash64("_uid"), F.ceil(F.col("_alike") / block_rows))
+        dealt = dealt.withColumn("_block", F.when(F.col("_alike").isNull(), F.col("_block")).otherwise(anywhere)).drop("_alike")
+        sizes = _block_sizes(dealt, shard)
+    within = W.partitionBy(shard, "_group", "_block").orderBy(*[F.asc_nulls_first(c) for c in order], "_uid")
+    before = W.partitionBy(shard).orderBy("_group", "_block").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(shard, "_group", "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     return (
-        ranked.join(lookup(offsets, sizes), [shard, "_block"])
+        dealt.withColumn("_rank", F.row_number().over(within) - 1)
+        .join(lookup(offsets, sizes), [shard, "_group", "_block"])
         .withColumn(slot, F.col("_before") + F.col("_rank"))
-        .drop("_uid", "_block", "_rank", "_before")
+        .drop("_uid", "_print", "_group", "_block", "_rank", "_before")
     )
 
 
+def _block_sizes(dealt: DataFrame, shard: str) -> DataFrame:
+    return written(dealt.groupBy(shard, "_group", "_block").agg(F.count(F.lit(1)).alias("_rows")), "shard-blocks")
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for each row.
 
     ``size`` is the UTF-8 bytes of the text plus 8. A null text has no bytes, so its
     size is 8 and its checksum that of nothing, 0. Rows with equal ``doc_id`` (null
-    too) go to the same shard and get slots of their own. ``grown_shard`` is the shard
-    with one shard more. An empty table gives an empty result.
+    too) go to the same shard and get slots of their own, which their size and checksum
+    decide. ``grown_shard`` is the shard with one shard more. An empty table gives an empty
+    result; further columns, of any names, do not matter.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -96,4 +124,4 @@ def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", t
     rows = rows.withColumn("shard", F.col(f"shards.in_{shards}")).withColumn("grown_shard", F.col(f"shards.in_{shards + 1}"))
     columns = ["doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"]
     with working(docs.sparkSession):
-        return kept(place(rows.drop("shards"), "shard").select(*columns), "shards")
+        return kept(place(rows.drop("shards"), "shard", ["doc_id", "size", "text_crc32"]).select(*columns), "shards")
