@@ -287,6 +287,23 @@ def test_mode_rules_wide_columns_out(spark):
     assert profile.column_modes(df, ["wide"]).collect() == [] and profile.column_modes(df.select(F.lit(1).alias("n"))).collect() == []
 
 
+def test_everything_by_one_call(spark, table, frame):
+    """The one call says what the single ones say, and whatever a table has no columns for is left out."""
+    got = {(r["column"], r["metric"], r["text"]): r["value"] for r in profile.profile(table).collect()}
+    box = as_dict(profile.box_summary(table), "q1", "q3", "low_fence", "high_fence", "outside")
+    for c in ("x", "y", "same"):
+        assert tuple(got[c, m, None] for m in ("q1", "q3", "low_fence", "high_fence", "outside")) == box[c]
+        assert got[c, "median", None] == pytest.approx(frame[c].median())
+    assert {(c, int(b)): n for (c, m, b), n in got.items() if m == "bin"} == {(r["column"], r["bin"]): r["n"] for r in profile.histogram(table).collect()}
+    assert {(c, v): n for (c, m, v), n in got.items() if m == "top_value"} == {(r["column"], r["value"]): r["n"] for r in profile.top_values(table).collect()}
+    assert got["x", "correlation", "y"] == pytest.approx(frame["x"].corr(frame["y"])) and got["x", "correlation", "same"] is None
+    assert {m for _, m, _ in got} >= {"nulls", "duplicate_pct", "mean", "outliers", "distinct_values", "mode"}
+    metrics = lambda df: {r.metric for r in profile.profile(df).collect()}
+    assert not metrics(table.select("x")) & {"correlation", "distinct_values", "mode", "top_value"} and "bin" in metrics(table.select("x"))
+    assert not metrics(table.select("s")) & {"correlation", "bin", "q1", "mean"}
+    assert metrics(table.where("false")) & {"nulls", "outside", "correlation"} and not metrics(table.where("false")) & {"bin", "top_value", "mode"}
+
+
 def test_profile_of_tables(spark, table, frame):
     totals = profile.table_totals(table).first()
     assert tuple(totals) == (len(frame), 5, int(frame.isnull().sum().sum()))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ from tidegate.session import small_table
 TOP_VALUES = 10
 HISTOGRAM_BINS = 30
 MODE_LIMIT = 10
+QUARTILES = (0.25, 0.5, 0.75)
 # An estimate beyond so many times the limit is certain to be beyond the limit.
 SURE = 4
 # Texts up to here are their own keys.
@@ -82,15 +84,17 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     ``least``, ``greatest`` and ``middle`` are the same range and median as text in the
     column's own type, with all digits of long integers and decimals.
     """
-    columns = list(columns or numeric_columns(df))
-    ranks = Ranks(df, columns)
-    medians = ranks.percentiles([0.5])
+    ranks = Ranks(df, list(columns or numeric_columns(df)))
+    return _numeric_summary(ranks, {c: found[0] for c, found in ranks.percentiles([0.5]).items()})
+
+
+def _numeric_summary(ranks: Ranks, medians: dict[str, object]) -> DataFrame:
     rows = []
-    for c in columns:
-        exact = [*ranks.range(c), medians[c][0]]
+    for c in ranks.columns:
+        exact = [*ranks.range(c), medians[c]]
         low, high, median = (None if v is None else float(v) for v in exact)
         rows.append((c, low, high, ranks.mean(c), median, *(None if v is None else _digits(v) for v in exact)))
-    return small_table(df.sparkSession, rows, "column string, min_value double, max_value double, mean double, median double, least string, greatest string, middle string")
+    return small_table(ranks.spark, rows, "column string, min_value double, max_value double, mean double, median double, least string, greatest string, middle string")
 
 
 def _digits(value) -> str:
@@ -208,7 +212,11 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = H
 def box_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Quartiles, fences at 1.5 times their distance, and the values beyond them."""
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75])  # two scans or three; the values outside take one more
+    return _box_summary(df, exact_percentiles(df, columns, QUARTILES))  # two scans or three; the values outside take one more
+
+
+def _box_summary(df: DataFrame, quartiles: dict[str, list]) -> DataFrame:
+    columns = list(quartiles)
 
     def summary(c):
         x = number_column(c)
@@ -398,26 +406,35 @@ def quality_score(df: DataFrame, exclude: Sequence[str] = ("id",)) -> DataFrame:
 def profile(df: DataFrame) -> DataFrame:
     """Everything about every column as ``column, metric, value, text``.
 
-    ``value`` is a number; only ``mode`` has a ``text``, its value being how often it
-    occurs. A fixed number of passes, whatever the number of columns.
+    ``value`` is a number. Four metrics have a ``text`` to go with it: ``mode`` and
+    ``top_value``, whose value is how often the text occurs; ``bin``, the number of a
+    histogram's bin and the values in it; ``correlation``, the other column of the pair. A
+    fixed number of passes, whatever the number of columns: ranges, means, medians and
+    quartiles come from the same ones. A table without columns of a kind has no metrics of
+    that kind.
     """
-    found = [column_nulls(df), repeated_values(df)]
-    if numeric_columns(df):
-        found += [numeric_summary(df).drop("least", "greatest", "middle"), outliers(df)]
-    if text_columns(df):
-        found.append(distinct_values(df))
+    numbers, texts = numeric_columns(df), text_columns(df)
+    found, named = [column_nulls(df), repeated_values(df)], []
+    if numbers:
+        ranks = Ranks(df, numbers)
+        quartiles = ranks.percentiles(QUARTILES)
+        found.append(_numeric_summary(ranks, {c: q[1] for c, q in quartiles.items()}).drop("least", "greatest", "middle"))
+        found += [outliers(df, numbers), _box_summary(df, {c: [None if v is None else float(v) for v in q] for c, q in quartiles.items()}).drop("median")]
+        named.append(("bin", histogram(df, numbers), "column", "bin", "n"))
+    if len(numbers) > 1:
+        named.append(("correlation", correlation(df, numbers), "column_a", "column_b", "r"))
+    if texts:
+        found.append(distinct_values(df, texts))
+        named.append(("mode", column_modes(df, texts), "column", "mode", "occurrences"))
+        named.append(("top_value", top_values(df, texts), "column", "value", "n"))
     parts = []
     for one in found:
         metrics = [c for c in one.columns if c != "column"]
-        numbers = one.select("column", *[F.col(m).cast("double").alias(m) for m in metrics])
-        parts.append(numbers.unpivot("column", metrics, "metric", "value").withColumn("text", F.lit(None).cast("string")))
-    if text_columns(df):
-        modes = column_modes(df)
-        parts.append(modes.select("column", F.lit("mode").alias("metric"), F.col("occurrences").cast("double").alias("value"), F.col("mode").alias("text")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        wide = one.select("column", *[F.col(m).cast("double").alias(m) for m in metrics])
+        parts.append(wide.unpivot("column", metrics, "metric", "value").withColumn("text", F.lit(None).cast("string")))
+    for metric, one, column, text, value in named:
+        parts.append(one.select(F.col(column).alias("column"), F.lit(metric).alias("metric"), F.col(value).cast("double").alias("value"), F.col(text).cast("string").alias("text")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:

@@ -223,10 +223,10 @@ def top_values(spark, sf_dir):
     return profile.top_values(table(spark, sf_dir, "events"), _TOP).withColumn("rank", F.col("rank").cast("long"))
 
 
-def _histogram_sql(c: str) -> str:
+def _histogram_sql(c: str, t: str = "lineitem") -> str:
     return (
         f"SELECT '{c}' AS \"column\", CAST(LEAST(FLOOR(({c} - lo) * 30 / (hi - lo)), 29) AS INTEGER) AS bin, COUNT(*) AS n "
-        f"FROM lineitem, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM lineitem) GROUP BY 2"
+        f"FROM {t}, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {t}) GROUP BY 2"
     )
 
 
@@ -303,6 +303,20 @@ def _profile_sql() -> str:
         far = f"{c} < m - 3 * s OR {c} > m + 3 * s"
         parts.append(one(c, "outliers", f"COUNT(CASE WHEN {far} THEN 1 END)") + f", (SELECT AVG({c}) AS m, stddev_samp({c}) AS s FROM customer)")
     parts += [one(c, "distinct_values", f"COUNT(DISTINCT {c})") for c in _CUSTOMER_TEXTS]
+    for c in _CUSTOMER_NUMBERS:
+        quartiles = ", ".join(f"quantile_cont({c}, 0.{q}) AS q{k}" for k, q in ((1, "25"), (3, "75")))
+        low, high = "q1 - 1.5 * (q3 - q1)", "q3 + 1.5 * (q3 - q1)"
+        shape = {"q1": "q1", "q3": "q3", "low_fence": low, "high_fence": high}
+        shape = {m: f"ANY_VALUE({e})" for m, e in shape.items()} | {"outside": f"COUNT(CASE WHEN {c} < {low} OR {c} > {high} THEN 1 END)"}
+        parts += [one(c, m, e) + f", (SELECT {quartiles} FROM customer)" for m, e in shape.items()]
+        parts.append(f"SELECT \"column\", 'bin', CAST(n AS DOUBLE), CAST(bin AS VARCHAR) FROM ({_histogram_sql(c, 'customer')})")
+    for i, a in enumerate(_CUSTOMER_NUMBERS):
+        for b in _CUSTOMER_NUMBERS[i + 1 :]:
+            r = f"covar_pop({a}, {b}) / NULLIF(stddev_pop({a}) * stddev_pop({b}), 0)"
+            parts.append(f"SELECT '{a}', 'correlation', ROUND({r}, 4) + 0.0, '{b}' FROM customer")
+    for c in _CUSTOMER_TEXTS:
+        counts = f"SELECT {c} AS value, COUNT(*) AS n, row_number() OVER (ORDER BY COUNT(*) DESC, {c}) AS rank FROM customer WHERE {c} IS NOT NULL GROUP BY {c}"
+        parts.append(f"SELECT '{c}', 'top_value', CAST(n AS DOUBLE), value FROM ({counts}) WHERE rank <= 10")
     mode = f"SELECT \"column\", 'mode' AS metric, CAST(occurrences AS DOUBLE) AS value, mode AS text FROM ({_union([_mode_sql('customer', c) for c in _CUSTOMER_TEXTS])})"
     return _union([*parts, mode])
 
@@ -310,7 +324,8 @@ def _profile_sql() -> str:
 @query("table_profile", _profile_sql())
 def table_profile(spark, sf_dir):
     """All metrics of all columns of a table by one call."""
-    return _rounded(profile.profile(table(spark, sf_dir, "customer")), "value")
+    found = _rounded(profile.profile(table(spark, sf_dir, "customer")), "value")
+    return found.withColumn("value", F.col("value") + F.lit(0.0))
 
 
 def _count_sql(t: str) -> str:
