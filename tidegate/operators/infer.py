@@ -236,6 +236,11 @@ def collect_types(schema: DataFrame) -> dict[str, str]:
     return {r["column"]: r["type"] for r in schema.orderBy("position").collect()}
 
 
+def declared_length(sql_type: str) -> int | None:
+    """The length that a text type declares; None for other types."""
+    return int(sql_type[len("VARCHAR(") : -1]) if sql_type.startswith("VARCHAR(") else None
+
+
 def table_ddl(table: str, types: dict[str, str], buckets: int = 3) -> str:
     """``CREATE TABLE`` text with the surrogate key first, hashed by it."""
     columns = ["`id` BIGINT NOT NULL"] + [f"`{c}` {t}" for c, t in types.items()]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidegate.functions import dates, numbers
 from tidegate.functions.text import strip
 from tidegate.operators.clean import as_written, value_text
-from tidegate.operators.infer import spark_type
+from tidegate.operators.infer import declared_length, spark_type
 
 FAULT = "_fault"
 
@@ -77,8 +77,8 @@ def column_checks(df: DataFrame, types: Mapping[str, str], strict: bool = False)
         value, kind = F.col(f"`{c}`"), expected_kind(sql_type)
         if kind is not None and (strict or kind != "BOOLEAN"):
             checks[c] = (kind, value.isNotNull() & F.col(f"`_value_{c}`").isNull())
-        elif strict and sql_type.startswith("VARCHAR("):
-            checks[c] = (sql_type, F.char_length(value.cast("string")) > int(sql_type[8:-1]))
+        elif strict and (longest := declared_length(sql_type)) is not None:
+            checks[c] = (sql_type, F.char_length(value.cast("string")) > longest)
     return checks
 
 

@@ -259,6 +259,27 @@ def ingest_batches(spark, sf_dir):
     )
 
 
+_FIRST_FILE = "file = (SELECT MIN(file) FROM deduped)"
+_LENGTHS = "CASE WHEN longest <= 50 THEN 100 WHEN longest <= 100 THEN 200 WHEN longest <= 255 THEN 500 WHEN longest <= 1000 THEN 2000 ELSE 65533 END"
+_STEPS = " ".join(f"WHEN low >= -{2**b} AND high <= {2**b - 1} THEN '{t}'" for b, t in ((7, "TINYINT"), (15, "SMALLINT"), (31, "INT")))
+
+
+@query(
+    "schema_registry",
+    _LOAD + f""", first_file AS (SELECT * FROM typed WHERE {_FIRST_FILE}),
+whole AS (SELECT MIN(file) AS file, MIN(cust_value) AS low, MAX(cust_value) AS high, MAX(length(status)) AS longest FROM first_file),
+named AS (SELECT file, low, high, {_LENGTHS} AS varchar_len FROM whole)
+SELECT 'main_data_table' AS table_name, '{_MAIN_KEY}' AS schema_key, file AS first_file, u.position, u.name, u.type, u.varchar_len
+FROM named, LATERAL (VALUES (1, 'order_price_usd', 'DOUBLE', NULL), (2, 'order_date', CASE WHEN (SELECT COUNT(*) FROM first_file WHERE odate IS NOT NULL AND NOT regexp_matches(odate, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) = 0 THEN 'DATE' ELSE 'VARCHAR(100)' END, NULL),
+  (3, 'cust_key', CASE {_STEPS} ELSE 'BIGINT' END, NULL), (4, 'status', 'VARCHAR(' || varchar_len || ')', varchar_len)) AS u(position, name, type, varchar_len)""",
+)
+def schema_registry(spark, sf_dir):
+    """What a load registers of its table: columns in order, their types, the lengths of text."""
+    found = loaded(spark, sf_dir).store.finished(st.SCHEMAS)
+    columns = found.select("table_name", "schema_key", "first_file", F.posexplode("columns").alias("position", "c"))
+    return columns.select("table_name", "schema_key", "first_file", (F.col("position") + 1).alias("position"), "c.name", "c.type", "c.varchar_len")
+
+
 @query("ingest_bad_rows", _LOAD + "SELECT file, ordinal + 1 AS row_number, error FROM loaded WHERE error IS NOT NULL")
 def ingest_bad_rows(spark, sf_dir):
     return loaded(spark, sf_dir).store.finished(st.BAD_ROWS).select("file", "row_number", "error")

@@ -214,14 +214,21 @@ class Load:
                 return judged, defined, facts, other_facts
             if fitting:
                 fitting = defined.inside(fitting)
-            for layouts, wanted, into in ((fitting, defined and list(defined.inner.values()), facts), (others, None, other_facts)):
-                if layouts:
-                    found = self._isolated(registry, broken, lambda: self._facts([x for x in layouts if x.file not in broken], wanted))
-                    if found is None:
-                        continue
-                    refused = self._refused(found, multiline, broken)
-                    into.append(found.where(~F.col("file").isin(refused)) if refused else found)
-                    scanned |= {x.file for x in layouts} - set(refused)
+            groups = [(fitting, defined and list(defined.inner.values()), facts), (others, None, other_facts)]
+            groups = [g for g in groups if g[0]]
+            struck = [dict(broken) for _ in groups]  # each scan strikes out files of its own
+            scans = [self._scan_job(registry, own, layouts, wanted) for (layouts, wanted, _), own in zip(groups, struck)]
+            for (layouts, _, into), own, found in zip(groups, struck, together(*scans)):
+                broken |= own
+                if found is None:
+                    continue
+                refused = self._refused(found, multiline, broken)
+                into.append(found.where(~F.col("file").isin(refused)) if refused else found)
+                scanned |= {x.file for x in layouts} - set(refused)
+
+    def _scan_job(self, registry: list, broken: dict, layouts: list[Layout], wanted: list[str] | None):
+        """The scan of some files for their facts, as a job for ``together``."""
+        return lambda: self._isolated(registry, broken, lambda: self._facts([x for x in layouts if x.file not in broken], wanted))
 
     def _facts(self, layouts: list[Layout], wanted: list[str] | None) -> DataFrame | None:
         if not layouts:
@@ -330,13 +337,12 @@ class Load:
         loaded = validate.good_rows(numbered, types, ["id", "file"])
         named = [F.col(inner).alias(c) for inner, c in labels.items()]
         rows = loaded.select("id", *named, F.col("file").alias(main.lineage))
-        bad = self._bad_rows(layouts, labels, numbered.where(~good), tallies)
         if self.catalog:
             self.catalog.create({c: types[inner] for inner, c in labels.items()}, main.lineage)
         notes = self._notes(run, numbered.where(F.col(ids.ORDINAL) <= SAMPLES), labels, offsets)
         together(
             lambda: self.catalog.publish(rows, run) if self.catalog else self.store.write(rows, self.config.table, run),
-            lambda: self._write_bad_rows(bad, notes, run),
+            lambda: self._write_bad_rows(self._bad_rows(layouts, labels, numbered.where(~good), tallies), notes, run),
             lambda: self.store.write(reached, st.LAST_IDS, run),
         )
         if self.config.error_files:
@@ -462,7 +468,8 @@ class Load:
         self.store.write(summary.withColumn("seconds", F.lit(time.time() - started)), st.RUNS, run)
 
     def _register(self, run: int, main: MainSchema) -> None:
-        row = (self.config.table, main.key, list(main.types.items()), main.first_file)
+        columns = [(c, t, infer.declared_length(t)) for c, t in main.types.items()]
+        row = (self.config.table, main.key, columns, main.first_file)
         self.store.write(small_table(self.spark, [row], st.SCHEMA_OF[st.SCHEMAS]), st.SCHEMAS, run)
 
     def _checkpoint(self, run: int, judged: list[Judged]) -> None:

@@ -25,7 +25,7 @@ LAST_IDS = "last_ids"
 
 SCHEMA_OF = {
     PROCESSED: "file string, status string, processed_at timestamp",
-    SCHEMAS: "table_name string, schema_key string, columns array<struct<name:string,type:string>>, first_file string",
+    SCHEMAS: "table_name string, schema_key string, columns array<struct<name:string,type:string,varchar_len:int>>, first_file string",
     BAD_FILES: "file string, status string, reason string, pos long, payload string",
     BAD_ROWS: "file string, ordinal long, row_number long, error_column string, expected string, error string, payload string",
     AUDIT: "file string, status string, columns long, rows_in long, duplicates_removed long, nulls long, rows_staged long, rows_loaded long, rows_bad long",
