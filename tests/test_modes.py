@@ -44,6 +44,15 @@ def test_catalog_table_joins_without_exchange(spark, folder, tmp_path):
     assert [tuple(r) for r in load.table().collect()] == [(1, "x", "soon", "g.csv")]
 
 
+def test_the_registry_keeps_lengths_of_text(spark, folder, tmp_path):
+    (folder / "a.csv").write_text("n,short,long,none\n" + f"1,ab,{'x' * 300},\n2,cd,y,\n")
+    load = Load(spark, LoadConfig(str(folder), str(tmp_path / "warehouse")))
+    load.run_all()
+    (row,) = load.store.finished("schema_registry").collect()
+    want = [("n", "TINYINT", None), ("short", "VARCHAR(100)", 100), ("long", "VARCHAR(2000)", 2000), ("none", "VARCHAR(255)", 255)]
+    assert [tuple(c) for c in row["columns"]] == want and load.registered_schema().types == {c: t for c, t, _ in want}
+
+
 def test_a_schema_keeps_its_table(spark, folder, tmp_path):
     config = LoadConfig(str(folder), str(tmp_path / "warehouse"), files_per_batch=3)
     router = Router(spark, config)
