@@ -11,6 +11,8 @@ import pytest
 from tidegate.operators import ids
 from tidegate.plans.ingest import Load, LoadConfig
 from tidegate.sources import csv as source
+from tidegate.sources import records
+from tidegate.sources.csv import Layout
 from tidegate.sources.records import open_after
 
 
@@ -97,3 +99,65 @@ def test_any_number_of_fields_over_line_ends(spark, tmp_path):
     status = {r["file"]: r["status"] for r in load.store.finished("processed_files").collect()}
     assert status == {"a.csv": "loaded", "b.csv": "unreadable", "c.csv": "loaded"}
     assert sorted((r["k"], r["v"]) for r in load.table().collect()) == [(1, "x"), (2, "y"), (4, "two\nlines")]
+
+
+@pytest.fixture
+def cores(spark):
+    """Sets how many cores Spark believes to have, by which it would cut files."""
+    name, cost = "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    spark.conf.set(cost, "1")
+    yield lambda n: spark.conf.set(name, str(n))
+    spark.conf.unset(name)
+    spark.conf.set(cost, before)
+
+
+def test_executors_that_come_and_go_move_no_split(spark, cores, tmp_path):
+    """Positions are those of splits, and later scans of a file must find them again."""
+    text = written(random.Random(5), 300, 3)
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8", newline="")
+    layout = Layout(str(tmp_path / "a.csv"), "a.csv", ("a", "b", "c"), 3, True)
+    cores(3)
+    rows = source.scan(spark, [layout], ["a", "b", "c"])
+    cores(17)
+    numbered = ids.number_rows(rows, "file", "pos", span=1 << 15)
+    cores(40)
+    found = numbered.orderBy(ids.ORDINAL).collect()
+    assert [[r[c] or "" for c in "abc"] for r in found] == sequential(text)
+    assert [r[ids.ORDINAL] for r in found] == list(range(1, len(found) + 1))
+
+
+def test_bad_rows_are_found_again_while_executors_go(spark, cores, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for f in "ab":
+        (landing / f"{f}.csv").write_text("k,v\n" + "".join(f"{'x' if i % 50 == 7 else i},{f}{i}\n" for i in range(400)))
+    scan, seen = source.scan, []
+
+    def moving(*args):
+        seen.append(args)
+        cores(3 + 5 * len(seen))
+        return scan(*args)
+
+    monkeypatch.setattr(source, "scan", moving)
+    load = Load(spark, LoadConfig(str(landing), str(tmp_path / "warehouse"), chunk_span=1 << 15))
+    load.run_all()
+    assert len(seen) > 2
+    bad = load.store.finished("quarantine_rows").collect()
+    assert sorted((r["file"], r["row_number"]) for r in bad) == [(f"{f}.csv", i + 2) for f in "ab" for i in range(400) if i % 50 == 7]
+    assert load.table().count() == 2 * (400 - 8) and all(r["payload"] for r in bad)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_more_splits_than_can_be_broadcast(spark, small_splits, tmp_path, monkeypatch, seed):
+    monkeypatch.setattr(records, "lookup", lambda df, *_: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = written(random.Random(seed), 200, 3)
+        (tmp_path / "a.csv").write_text(text, encoding="utf-8", newline="")
+        rows = source.scan_fields(spark, [str(tmp_path / "a.csv")], 3, True).orderBy("pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert [[r[f"_c{i}"] or "" for i in range(3)] for r in rows] == sequential(text)

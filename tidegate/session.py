@@ -44,6 +44,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def steady_splits(spark: SparkSession) -> None:
+    """Have files cut alike by every scan of the session, whatever executors come and go.
+
+    Rows are placed by their split, and later scans of a file must find the same places.
+    Spark sizes splits by the cores that are up when a scan is planned, unless it is told
+    a number.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(name, str(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+
+
 @contextmanager
 def shuffle_sized_for(spark: SparkSession, size: int):
     """Enough shuffle partitions for ``size`` bytes while a job runs.

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import decode_null
-from tidegate.session import small_table
+from tidegate.session import small_table, steady_splits
 from tidegate.sources import records
 from tidegate.sources.files import decoded_name
 
@@ -121,6 +121,7 @@ def scan_fields(spark: SparkSession, paths: Sequence[str], width: int, multiline
     fields and an unclosed quote (a record that goes on in the next line) are
     told. A one-column file is read as two so that each record keeps its text.
     """
+    steady_splits(spark)
     if multiline:
         return scan_records(spark, paths, width)
     read_width = max(width, 2)
@@ -213,6 +214,7 @@ def scan(spark: SparkSession, layouts: Sequence[Layout], wanted: Sequence[str] |
 
 def scan_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The raw lines of files that cannot be read as CSV."""
+    steady_splits(spark)
     lines = spark.read.text([as_pattern(p) for p in paths])
     return lines.select(
         decoded_name(F.col("_metadata.file_name")).alias("file"),

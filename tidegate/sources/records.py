@@ -161,6 +161,17 @@ def read_lines(spark: SparkSession, paths: Sequence[str], file, pos) -> DataFram
     return lines.select(file.alias("file"), F.col("_metadata.file_block_start").alias("block"), pos.alias("pos"), F.col("value").cast("binary").alias("line"))
 
 
+def _placed(lines: DataFrame, states: DataFrame) -> DataFrame:
+    """Lines with the states of their splits, each split's one after another in its order.
+
+    A broadcast leaves lines as they are read; more splits than that are joined by
+    shuffle, which promises no order.
+    """
+    side = lookup(states)
+    joined = lines.join(side, ["file", "block"])
+    return joined.sortWithinPartitions("file", "block", "pos") if side is states else joined
+
+
 def read_records(lines: DataFrame) -> DataFrame:
     """``file, pos, record`` of every filled record but each file's first, its header.
 
@@ -170,12 +181,11 @@ def read_records(lines: DataFrame) -> DataFrame:
     states = split_states(lines)
     known = states.select("file", "block", "inside", "carry", "ends_open", "head")
     schema = "file string, pos long, piece long, record binary"
-    joined = lines.join(lookup(known), ["file", "block"])
-    whole = joined.mapInArrow(_records(True), schema)
+    whole = _placed(lines, known).mapInArrow(_records(True), schema)
     out = whole.select("file", "pos", "record")
     torn = states.filter("inside OR ends_open").select("file", "block", "inside", "carry")
     if not torn.isEmpty():
-        pieces = lines.join(lookup(torn), ["file", "block"]).mapInArrow(_records(False), schema)
+        pieces = _placed(lines, torn).mapInArrow(_records(False), schema)
         parts = F.transform(F.array_sort(F.collect_list(F.struct("piece", "record"))), lambda p: p["record"].cast("string"))
         # as many pieces as the record has splits
         joined_up = pieces.groupBy("file", "pos").agg(F.array_join(parts, "\n").cast("binary").alias("record"))
