@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit, clean, gate, ids, infer, validate
-from tidegate.session import lookup, settle, shuffle_sized_for, small_table, together, tune
+from tidegate.session import lookup, settle, shuffle_sized_for, small_table, steady_splits, together, tune
 from tidegate.sinks import export
 from tidegate.sinks import store as st
 from tidegate.sinks.catalog import CatalogTable
@@ -95,6 +95,7 @@ class Judged:
 class Load:
     def __init__(self, spark: SparkSession, config: LoadConfig):
         self.spark = tune(spark)
+        steady_splits(spark)
         self.config = config
         self.store = Store(spark, config.warehouse)
         self.catalog = config.catalog and CatalogTable(spark, config.catalog, self.store.path(config.table))
