@@ -199,7 +199,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     Null counts as empty and gives an empty list; rows that repeat are encoded each;
     other columns do not matter. A text's own ids must fit a row, as its text does. An
-    empty table gives an empty result.
+    empty table gives an empty result. Long texts are numbered as they are read, so ``docs``
+    should be a table on disk or have a fixed order, lest a repeated task number them anew.
     """
     source = keyed(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
