@@ -5,9 +5,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.plans.ingest import Load, LoadConfig
+from tidegate.session import DEFAULTS, LISTING_TASKS, tune
 from tidegate.sinks import store as st
+from tidegate.sources import csv
+from tidegate.sources.csv import Layout
 
 
 def land(folder, **contents):
@@ -361,3 +365,28 @@ def test_columns_may_have_any_name_but_id(load):
     assert rows(table, "id") == [(1, *range(len(CLASHING)), "a.csv"), (3, *range(len(CLASHING)), "b.csv")]
     bad = run.store.finished(st.BAD_ROWS).first()
     assert bad["error"] == "Column 'run' expects INT, got 'five'" and json.loads(bad["payload"])["run"] == "five"
+
+
+def test_long_lists_of_files_are_looked_up_by_few_tasks(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(LISTING_TASKS + 60):
+        (folder / f"f{i:03}.csv").write_text(f"n\n{i}\n")
+    layouts = [Layout(str(p), p.name, ("n",), 1) for p in sorted(folder.iterdir())]
+    session = spark.newSession()
+    context = session.sparkContext
+    context.setJobGroup("many-files", "")
+    try:
+        found = csv.scan(tune(session), layouts, ["n"]).agg(F.count("n"), F.sum("n")).first()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert tuple(found) == (len(layouts), sum(range(len(layouts))))
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many-files") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= LISTING_TASKS
+
+
+def test_a_session_keeps_its_own_number_of_listing_tasks(spark):
+    session, (name,) = spark.newSession(), DEFAULTS
+    session.conf.set(name, "7")
+    assert tune(session).conf.get(name) == "7"
