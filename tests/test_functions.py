@@ -98,6 +98,16 @@ def test_table_columns_of_matches_the_name_function(spark):
     assert len(got) == len(rows) and all(r["c"] == text.table_columns(r["h"]) for r in got)
 
 
+def test_names_are_made_unique_by_one_fold_each(spark):
+    wide = ["A"] * 300 + ["a.299", "b", "", None]
+    rows = spark.createDataFrame([(wide,), (["b", "c"],), ([],), (None,)], "h array<string>")
+    found = rows.select("h", text.table_columns_of(F.col("h")).alias("c"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2
+    for r in found.collect():
+        assert r["c"] == (None if r["h"] is None else text.table_columns([n or "" for n in r["h"]]))
+
+
 DATES = [
     ("2024-01-31", "2024-01-31"), ("2024-1-3", "2024-01-03"), ("2024-13-45", None), ("2023-02-29", None),
     ("10/02/1997", "1997-10-02"), ("31/12/1997", "1997-12-31"), ("13/13/1997", None), ("19970203", "1997-02-03"),

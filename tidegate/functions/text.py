@@ -97,26 +97,28 @@ def table_columns(raw: list[str]) -> list[str]:
 
 
 def _unique(names: Column) -> Column:
-    """Column form of :func:`unique_names`: one fold over the array, with what each name has been given so far."""
+    """Column form of :func:`unique_names`: names as they are if all differ, else one fold over the array.
+
+    A name is repeated if it is found before its own place. It takes the least number that
+    no name has, so the numbers given so far need not be kept.
+    """
     named = F.transform(names, lambda n, i: F.when(n == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(n))
-    start = F.struct(
-        F.array().cast("array<string>").alias("out"), named.alias("taken"), F.create_map().cast("map<string,int>").alias("seen")
-    )
-
-    def add(so_far: Column, name: Column) -> Column:
-        number = F.coalesce(F.try_element_at(so_far["seen"], name), F.lit(0))
-        # of as many numbers as there are names and one more, one is free
-        free = F.filter(F.sequence(number, number + F.size(so_far["taken"])), lambda k: ~F.array_contains(so_far["taken"], F.concat(name, F.lit("."), k.cast("string"))))[0]
-        first = number == 0
-        new = F.when(first, name).otherwise(F.concat(name, F.lit("."), free.cast("string")))
-        others = F.map_filter(so_far["seen"], lambda k, _: k != name)
-        return F.struct(
-            F.concat(so_far["out"], F.array(new)).alias("out"),
-            F.when(first, so_far["taken"]).otherwise(F.concat(so_far["taken"], F.array(new))).alias("taken"),
-            F.map_concat(others, F.create_map(name, F.when(first, F.lit(1)).otherwise(free + 1))).alias("seen"),
-        )
-
-    return F.aggregate(named, start, add, lambda done: done["out"])
+
+    def numbered(named: Column) -> Column:
+        def add(out: Column, name: Column) -> Column:
+            stem = F.concat(name, F.lit("."))
+            taken = F.concat(named, out)
+            # of as many numbers as there are names that begin alike and one more, one is free
+            most = F.size(F.filter(taken, lambda t: F.startswith(t, stem))) + 1
+            free = F.array_except(F.transform(F.sequence(F.lit(1), most), lambda k: F.concat(stem, k.cast("string"))), taken)[0]
+            first = F.array_position(named, name) > F.size(out)
+            return F.concat(out, F.array(F.when(first, name).otherwise(free)))
+
+        folded = F.aggregate(named, F.array().cast("array<string>"), add)
+        return F.when(F.size(F.array_distinct(named)) == F.size(named), named).otherwise(folded)
+
+    # a lambda's variable is computed once, however often it is used
+    return F.transform(F.array(named), numbered)[0]
 
 
 def table_columns_of(headers: Column) -> Column:
