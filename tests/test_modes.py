@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.plans.ingest import Load, LoadConfig
 from tidegate.plans.routing import UNREAD, Router
+from tidegate.sinks import export
 
 
 @pytest.fixture
@@ -82,6 +83,20 @@ def test_error_files_of_each_run(spark, folder, tmp_path):
     assert sorted((r["run"], r["error_file"], r["n"], r["s"]) for r in back.collect()) == [(1, "error_a", "x", " blank "), (2, "error_b", "y", "a, b")]
 
 
+def test_error_folders_hold_one_part_each_in_row_order(spark, tmp_path):
+    rows = [(f"f{i % 6}.csv", i, json.dumps({"n": f"v{i}"}), "bad") for i in range(600)]
+    mixed = spark.createDataFrame(rows, "file string, row_number long, payload string, error string").repartition(8, "row_number")
+    export.export_errors(mixed, ["n"], str(tmp_path / "errors"))
+    parts = [p for p in (tmp_path / "errors").glob("error_file=*/part-*.csv")]
+    # a range may end within a file, so there may be a part more for each range
+    assert 6 <= len(parts) <= 6 + 7
+    for part in parts:
+        numbers = [int(line.split(",")[0][1:]) for line in part.read_text().splitlines()[1:]]
+        assert numbers and numbers == sorted(numbers)
+    back = spark.read.option("header", True).csv(str(tmp_path / "errors")).collect()
+    assert sorted((r["error_file"], r["n"]) for r in back) == sorted((f"error_f{i % 6}", f"v{i}") for i in range(600))
+
+
 def test_bad_rows_keep_their_values_as_written(spark, folder, tmp_path):
     (folder / "a.csv").write_text('n,x,s\n1,1.50,p\n2, inf,"a ""q"""\nword,1.50, blank \n007,2,z\n')
     (folder / "b.csv").write_text('s,x,n\n"over\nlines",+1e2,none\n')

@@ -11,6 +11,7 @@ from tidegate.operators.clean import fill_nulls
 from tidegate.operators.infer import table_ddl
 
 BUCKETS = 3
+ERROR_FILE = "error_file"
 # Quotes inside values are doubled, and blanks around them kept.
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -32,8 +33,14 @@ def export_csv(df: DataFrame, path: str, spell_nulls: bool = False) -> None:
 
 
 def export_errors(bad_rows: DataFrame, columns: list[str], path: str) -> None:
-    """Quarantined rows as CSV, one folder ``error_<file>`` per source file."""
+    """Quarantined rows as CSV, one folder ``error_<file>`` per source file, in the order of its rows.
+
+    Rows are dealt out by ranges of file and row, so a folder has one part file, or a few if
+    it spans ranges, and not one of each task.
+    """
     fields = F.from_json("payload", ", ".join(f"`{c}` string" for c in columns))
     base = F.regexp_replace("file", r"\.[^.]*$", "")
-    out = bad_rows.select(F.concat(F.lit("error_"), base).alias("error_file"), fields.alias("row"), "error")
-    out.select("error_file", "row.*", "error").write.mode("overwrite").partitionBy("error_file").options(**CSV).csv(path)
+    named = bad_rows.withColumn(ERROR_FILE, F.concat(F.lit("error_"), base))
+    dealt = named.repartitionByRange(ERROR_FILE, "file", "row_number").sortWithinPartitions(ERROR_FILE, "file", "row_number")
+    out = dealt.select(ERROR_FILE, fields.alias("row"), "error")
+    out.select(ERROR_FILE, "row.*", "error").write.mode("overwrite").partitionBy(ERROR_FILE).options(**CSV).csv(path)
