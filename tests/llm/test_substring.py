@@ -87,3 +87,23 @@ def test_automaton_knows_least_owners():
                 run = probe[k : k + window]
                 want.append(min((o for w, o in texts for j in range(len(w)) if w[j : j + window] == run), default=S.LAST))
             assert automaton.least_owners(probe, window) == want
+
+
+def pairs_of_documents(seed):
+    """Each passage is in two documents, with other words around it."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(0, 400, 2):
+        passage = words(draw, 40)
+        rows += [(j, " ".join([*words(draw, 60), *passage, *words(draw, 60)])) for j in (i, i + 1)]
+    return rows
+
+
+def test_no_list_of_anchors_is_looked_up(spark, monkeypatch):
+    """A table with a row per anchor grows with the documents, and the driver would hold it."""
+    held = []
+    lookup = S.lookup
+    monkeypatch.setattr(S, "lookup", lambda df: held.append(df.count()) or lookup(df))
+    rows = pairs_of_documents(4)
+    assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
+    assert sum(held) == 0

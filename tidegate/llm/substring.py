@@ -7,7 +7,8 @@ short word runs inside a window, which does not depend on what surrounds the win
 1. Anchors of all documents are counted. A window whose anchor only one document has
    cannot be repeated; this leaves a small part of the text.
 2. The rest is cut into segments, runs of windows with one anchor. Equal segments are
-   folded into one reference with its least owner.
+   folded into one reference with its least owner, where all segments of an anchor are
+   brought together: one that meets no other needs no automaton.
 3. References are sharded by anchor. Each shard's suffix automaton knows the least
    owner of every stretch of words; segments stream through it, and wherever the
    matching statistic reaches the window length the window's least owner is read off.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -251,6 +252,44 @@ def _prints():
     return [F.xxhash64("segment").alias("print"), F.xxhash64(F.lit(7), F.col("segment")).alias("print_2")]
 
 
+def _references(occurrences: DataFrame) -> DataFrame:
+    """Different segments with their least owner, those left out that meet no other of their anchor and have one owner.
+
+    ``met`` says that the anchor has others, ``crowded`` that they hold very many words;
+    only a segment that is met keeps its text. Anchors, of which the driver could not hold
+    all, are looked at where their occurrences are brought together; those of very many
+    occurrences, which would each be one task's work, are folded first.
+    """
+    hot = written(occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT_ROWS).select("anchor"), "hot-anchors")
+    words = F.octet_length("segment") - F.octet_length(F.replace(F.col("segment").cast("string"), F.lit(" "), F.lit(""))) + 1
+
+    def folded(rows):
+        out = rows.groupBy("anchor", "segment").agg(
+            F.min("order").alias("least"), (F.min("order") < F.max("order")).alias("several"), F.count(F.lit(1)).alias("n")
+        )
+        return out.withColumn("words", words.cast("long"))
+
+    count, held = F.count(F.lit(1)), F.sum("words")
+    by_anchor = Window.partitionBy("anchor")
+    rows = occurrences
+    found = []
+    if not hot.isEmpty():
+        rows = occurrences.join(lookup(hot), "anchor", "left_anti")
+        many = written(folded(occurrences.join(lookup(hot), "anchor", "left_semi")), "hot-references")
+        totals = written(many.groupBy("anchor").agg(count.alias("others"), held.alias("held")), "hot-totals")
+        found.append(many.join(lookup(totals), "anchor"))
+    found.append(folded(rows.repartition("anchor")).withColumns({"others": count.over(by_anchor), "held": held.over(by_anchor)}))
+    met = F.col("others") > 1
+    judged = reduce(DataFrame.unionByName, found).filter(met | F.col("several"))
+    return written(
+        judged.select(
+            "anchor", F.when(met, F.col("segment")).alias("segment"), *_prints(), "least", "several", "n", "words",
+            met.alias("met"), (met & (F.col("held") > ANCHOR_WORDS_MOST)).alias("crowded"),
+        ),
+        "references",
+    )
+
+
 def _single_windows(window: int):
     words = F.split(F.col("segment").cast("string"), " ")
     return F.transform(F.sequence(F.lit(1), F.size(words) - F.lit(window - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, window)).cast("binary"))
@@ -318,26 +357,20 @@ def _spans(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFram
     occurrences = written(found, "segments")
     if held is not None:
         held.destroy()
-    folded = occurrences.groupBy("anchor", "segment").agg(
-        F.min("order").alias("least"), (F.min("order") < F.max("order")).alias("several"), F.count(F.lit(1)).alias("n")
-    )
-    words = F.octet_length("segment") - F.octet_length(F.replace(F.col("segment").cast("string"), F.lit(" "), F.lit(""))) + 1
-    references = written(folded.withColumn("words", words.cast("long")), "references")
-    met = references.groupBy("anchor").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = written(met.select("anchor", (F.col("words") > ANCHOR_WORDS_MOST).alias("crowded"), "words"), "met-anchors")
+    references = _references(occurrences)
     # a segment that meets no other of its anchor: its windows have its own least owner
-    alone = references.join(lookup(met.select("anchor")), "anchor", "left_anti").filter("several")
-    owned = [alone.select(*_prints(), F.array_repeat("least", F.col("words").cast("int") - (window - 1)).alias("least"))]
-    crowded = met.filter("crowded").select("anchor")
+    alone = references.filter("NOT met")
+    owned = [alone.select("print", "print_2", F.array_repeat("least", F.col("words").cast("int") - (window - 1)).alias("least"))]
+    crowded = references.filter("crowded")
     if not crowded.isEmpty():
-        owned.append(_folded_windows(references.join(lookup(crowded), "anchor", "left_semi"), window))
-    shards = -(-(met.filter("NOT crowded").agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS)
+        owned.append(_folded_windows(crowded, window))
+    matched = references.filter("met AND NOT crowded")
+    shards = -(-(matched.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS)
     if shards:
-        matched = references.join(lookup(met.filter("NOT crowded").select("anchor")), "anchor", "left_semi")
         matched = matched.select(F.pmod("anchor", F.lit(shards)).alias("shard"), "anchor", "segment", "least", "several")
         owned.append(matched.groupBy("shard").applyInArrow(_owners(window), "segment binary, least array<long>").select(*_prints(), "least"))
     owned = written(reduce(DataFrame.unionByName, owned), "owners")
-    frequent = references.filter(F.col("n") >= HOT_ROWS).select(*_prints(), "n")
+    frequent = references.filter(F.col("n") >= HOT_ROWS).select("print", "print_2", "n")
     owned = owned.join(lookup(written(frequent, "frequent")), ["print", "print_2"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     hit = (
         join_keyed(occurrences.select(*_prints(), "order", "text_key", "place"), owned, ["print", "print_2"], "n")
