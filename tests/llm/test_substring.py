@@ -107,3 +107,29 @@ def test_no_list_of_anchors_is_looked_up(spark, monkeypatch):
     rows = pairs_of_documents(4)
     assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
     assert sum(held) == 0
+
+
+@pytest.mark.parametrize("filtered", [1 << 24, 0])
+def test_few_segments_pass_whose_anchor_is_not_shared(spark, monkeypatch, filtered):
+    monkeypatch.setattr(S, "FILTER_ANCHORS", filtered)
+    held, kept = {}, S.written
+
+    def written(df, label):
+        out = held[label] = kept(df, label)
+        if label == "segments":
+            held["passed"], held["shared"] = out.count(), out.join(held["anchors"], "anchor", "left_semi").count()
+        return out
+
+    monkeypatch.setattr(S, "written", written)
+    rows = pairs_of_documents(5)
+    assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
+    assert 0 < held["shared"] <= held["passed"] <= 1.05 * held["shared"]
+
+
+def test_filter_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(S, "FILTER_BITS_MOST", 16)
+    rows = pairs_of_documents(6)
+    shared = spark.range(1 << 14).selectExpr("xxhash64(id) AS anchor")
+    table, bits = S._bit_filter(shared, 1 << 14)
+    assert bits == 16 and len(table) == 1 << 13
+    assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)

@@ -40,10 +40,12 @@ SEGMENT_WINDOWS = 64
 # automaton takes some 500 bytes a word.
 SHARD_WORDS = 1 << 16
 ANCHOR_WORDS_MOST = 1 << 17
-# The filter of shared anchors is broadcast as bits up to this many anchors (32 MB of
-# bits); beyond it segments meet the anchors in a join.
-FILTER_ANCHORS = 1 << 24
+# Shared anchors are broadcast as bits, two of each anchor: 16 bits an anchor, 2**28 (32 MB)
+# at most. Beyond this many anchors, of which one other in six passes, the segments that
+# pass meet the anchors in a join too.
+FILTER_ANCHORS = 1 << 26
 FILTER_BITS_EACH = 16
+FILTER_BITS_MOST = 28
 # Least owner of null ids: above every id, so they own nothing.
 LAST = (1 << 63) - 1
 
@@ -109,20 +111,20 @@ def _anchors(window: int):
 
 
 def _segments(window: int, shared, bits: int):
-    """Segments of the documents whose anchor may be shared (all, without a filter)."""
+    """Segments of the documents whose anchor may be shared."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         words = Words()
-        table = np.frombuffer(shared.value, np.uint8) if shared is not None else None
+        table = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part in slices(batch):
                 data, offsets = flat(part.column("text"))
                 starts, ends, first, place, anchor = _windows(words, data, offsets, window)
-                if table is not None and len(place):
-                    bit = (anchor.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+                for shift in (0, FILTER_BITS_MOST):
+                    bit = (anchor >> shift) & ((1 << bits) - 1)
                     keep = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                     place, anchor = place[keep], anchor[keep]
                 doc = owners(first)[place]
@@ -309,13 +311,16 @@ def _folded_windows(references: DataFrame, window: int) -> DataFrame:
 
 
 def _bit_filter(shared: DataFrame, count: int):
-    """The shared anchors as bits, by their leading bits; bounded by ``FILTER_ANCHORS``."""
+    """The shared anchors as bits, two of each; bounded by ``FILTER_BITS_MOST``.
+
+    Anchors are least hashes, so their leading bits are mostly zeros and tell little.
+    """
     import numpy as np
 
-    bits = max(15, (count * FILTER_BITS_EACH).bit_length())
-    leading = F.shiftrightunsigned("anchor", 64 - bits)
+    bits = min(max(15, (count * FILTER_BITS_EACH).bit_length()), FILTER_BITS_MOST)
+    both = F.array(*(F.shiftright("anchor", shift).bitwiseAND((1 << bits) - 1) for shift in (0, FILTER_BITS_MOST)))
     rows = (
-        shared.select(leading.alias("bit"))
+        shared.select(F.explode(both).alias("bit"))
         .groupBy(F.shiftright("bit", 15).alias("bucket"))
         .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND((1 << 15) - 1)).alias("bits"))
     )
@@ -344,19 +349,15 @@ def _spans(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFram
         anchors.groupBy("anchor").agg(F.min("order").alias("low"), F.max("order").alias("high")).filter("low < high").select("anchor"), "anchors"
     )
     count = shared.count()
-    filtered = count <= FILTER_ANCHORS
-    held, bits = None, 0
-    if filtered:
-        table, bits = _bit_filter(shared, count)
-        held = spark.sparkContext.broadcast(table)
+    table, bits = _bit_filter(shared, count)
+    held = spark.sparkContext.broadcast(table)
     found = source.select("order", "text_key", "text").mapInArrow(
         thrifty(_segments(window, held, bits)), "anchor long, segment binary, order long, text_key long, place long"
     )
-    if not filtered:
+    if count > FILTER_ANCHORS:
         found = found.join(shared, "anchor", "left_semi")
     occurrences = written(found, "segments")
-    if held is not None:
-        held.destroy()
+    held.destroy()
     references = _references(occurrences)
     # a segment that meets no other of its anchor: its windows have its own least owner
     alone = references.filter("NOT met")
