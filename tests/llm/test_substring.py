@@ -133,3 +133,22 @@ def test_filter_is_bounded(spark, monkeypatch):
     table, bits = S._bit_filter(shared, 1 << 14)
     assert bits == 16 and len(table) == 1 << 13
     assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
+
+
+@pytest.mark.parametrize("crowd", [1 << 17, 50])
+def test_anchors_of_many_occurrences(spark, monkeypatch, crowd):
+    """They are folded by segment, so that no task has all occurrences of one."""
+    monkeypatch.setattr(S, "ANCHOR_ROWS_MOST", 3)
+    monkeypatch.setattr(S, "ANCHOR_WORDS_MOST", crowd)
+    held, kept = {}, S.written
+
+    def written(df, label):
+        out = held[label] = kept(df, label)
+        if label == "references":
+            held["hot"], held["folded"] = held["hot-anchors"].count(), held["hot-references"].count()
+        return out
+
+    monkeypatch.setattr(S, "written", written)
+    rows = some_rows(8)
+    assert rows_of(S.remove_repeats(docs(spark, rows))) == model(rows, 13)
+    assert held["folded"] >= held["hot"] > 0

@@ -40,6 +40,10 @@ SEGMENT_WINDOWS = 64
 # automaton takes some 500 bytes a word.
 SHARD_WORDS = 1 << 16
 ANCHOR_WORDS_MOST = 1 << 17
+# Occurrences of one anchor that a task brings together at most; those of an anchor of more
+# are folded by segment first. There are few such anchors, as many at most as this goes into
+# all occurrences.
+ANCHOR_ROWS_MOST = 1 << 11
 # Shared anchors are broadcast as bits, two of each anchor: 16 bits an anchor, 2**28 (32 MB)
 # at most. Beyond this many anchors, of which one other in six passes, the segments that
 # pass meet the anchors in a join too.
@@ -260,9 +264,9 @@ def _references(occurrences: DataFrame) -> DataFrame:
     ``met`` says that the anchor has others, ``crowded`` that they hold very many words;
     only a segment that is met keeps its text. Anchors, of which the driver could not hold
     all, are looked at where their occurrences are brought together; those of very many
-    occurrences, which would each be one task's work, are folded first.
+    occurrences, which would each be one task's work, are folded first and then looked up.
     """
-    hot = written(occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT_ROWS).select("anchor"), "hot-anchors")
+    hot = written(occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > ANCHOR_ROWS_MOST).select("anchor"), "hot-anchors")
     words = F.octet_length("segment") - F.octet_length(F.replace(F.col("segment").cast("string"), F.lit(" "), F.lit(""))) + 1
 
     def folded(rows):
